@@ -399,7 +399,6 @@ def prune_unconnected(tree: DataFrame, collation: str = DEFAULT_COLLATION) -> Da
         .filter(F.coalesce("root", F.lit(False)) | ~F.col("arrived"))
         .select(F.col("id").alias("parent_id"))
     )
-    good = materialize(good, "connected")
     return balanced_join(tree.filter(~is_root(collation)), good, ["parent_id"], "left_semi", ["id"]).unionByName(
         tree.filter(is_root(collation))
     )

@@ -11,6 +11,9 @@ keys' worth of repetition in all.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 from functools import reduce
 
@@ -37,6 +40,22 @@ class SkewSettings:
         )
 
 
+_row_bound: ContextVar[int | None] = ContextVar("row_bound", default=None)
+
+
+@contextmanager
+def at_most(rows: int) -> Iterator[None]:
+    """Within this block the left side of every join has at most ``rows`` rows.
+
+    Keys are then only counted when that many rows could hold a hot one.
+    """
+    token = _row_bound.set(rows)
+    try:
+        yield
+    finally:
+        _row_bound.reset(token)
+
+
 def _any_null(keys: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
@@ -49,6 +68,9 @@ def hot_keys(df: DataFrame, keys: list[str], settings: SkewSettings | None = Non
     """
     spark = df.sparkSession
     settings = settings or SkewSettings.of(spark)
+    bound = _row_bound.get()
+    if bound is not None and bound <= settings.min_rows:
+        return None
     total = df.count()
     if total <= settings.min_rows:
         return None

@@ -8,6 +8,7 @@ from ..operators.doubles import survivors, with_band, with_lineage
 from ..operators.hierarchy import MAX_DEPTH, lineage, prune_unconnected
 from ..operators.parents import link_parents
 from ..operators.repair import repair_ranks
+from ..operators.skew import at_most
 from ..runtime import DEFAULT_COLLATION, materialize
 
 # long texts that no step of the merge looks at join in at the end
@@ -35,9 +36,10 @@ def merge_taxonomy(
     given if it is already there.
     """
     slim = taxa.drop(*_TEXTS)
-    if lineage_df is None:
-        lineage_df = lineage(slim, max_depth, collation)
-    kept = merge_doubles(slim, lineage_df, collation, winner_scope)
-    linked = materialize(link_parents(kept, collation), "linked")
-    tree = prune_unconnected(repair_ranks(linked), collation)
+    with at_most(taxa.count()):
+        if lineage_df is None:
+            lineage_df = lineage(slim, max_depth, collation)
+        kept = merge_doubles(slim, lineage_df, collation, winner_scope)
+        linked = materialize(link_parents(kept, collation), "linked")
+        tree = prune_unconnected(repair_ranks(linked), collation)
     return tree.join(taxa.select("id", *_TEXTS), "id")

@@ -27,7 +27,8 @@ _SCHEMA = ", ".join(f"{c} {'bigint' if c.endswith('ID') else 'string'}" for c in
 
 
 def read_backbone(spark: SparkSession, location: str, fmt: str = "parquet", **options: str) -> DataFrame:
-    """The backbone table; text files are tab separated with a header."""
+    """The backbone table; text files are tab separated with a header, and an empty
+    field in them is null."""
     reader = spark.read.format(fmt)
     if fmt == "csv":
         reader = reader.options(sep="\t", header="true").schema(_SCHEMA)
