@@ -43,15 +43,12 @@ def _is_empty(df: DataFrame) -> bool:
 
 def closure_step(frontier: DataFrame, taxa: DataFrame) -> DataFrame:
     """Extend every path of ``frontier`` by one step towards the root."""
-    up = taxa.select(*SCOPE, F.col(TAXON_ID).alias("AncestorID"), _parent_of().alias(_UP)).filter(
-        F.col(_UP).isNotNull()
-    )
+    up = taxa.select(*KEY, _parent_of().alias(_UP)).filter(F.col(_UP).isNotNull())
     parents = taxa.select(*SCOPE, F.col(TAXON_ID).alias(_UP))
-    moved = balanced_join(frontier, up, [*SCOPE, "AncestorID"], "inner", ["DescendantID"])
-    reached = balanced_join(moved, parents, [*SCOPE, _UP], "inner", ["DescendantID"])
-    return reached.select(
-        F.col(_UP).alias("AncestorID"), "DescendantID", (F.col("PathLength") + 1).alias("PathLength"), *SCOPE
-    )
+    steps = materialize(balanced_join(up, parents, [*SCOPE, _UP], "inner", [TAXON_ID]), "steps")
+    return balanced_join(
+        frontier, steps.withColumnRenamed(TAXON_ID, "AncestorID"), [*SCOPE, "AncestorID"], "inner", ["DescendantID"]
+    ).select(F.col(_UP).alias("AncestorID"), "DescendantID", (F.col("PathLength") + 1).alias("PathLength"), *SCOPE)
 
 
 def closure(taxa: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
@@ -81,7 +78,12 @@ def closure(taxa: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     up_exists = inner.select(*SCOPE, F.col(TAXON_ID).alias(_UP))
     jump = materialize(
         balanced_join(
-            steps.join(inner.select(*KEY), KEY, "left_semi"), up_exists, [*SCOPE, _UP], "inner", [TAXON_ID]
+            steps.join(inner.select(*KEY), KEY, "left_semi"),
+            up_exists,
+            [*SCOPE, _UP],
+            "inner",
+            [TAXON_ID],
+            hot_in=steps,
         ),
         "jump",
     )
@@ -299,6 +301,7 @@ def lineage(taxa: DataFrame, max_depth: int = MAX_DEPTH, collation: str = DEFAUL
         F.coalesce("gain", "_gain").alias("gain"),
     )
     if has_multi:
+        reached = materialize(reached, "reached")
         forks = _fork_values(edges, multi, chain, max_depth)
         reached = balanced_join(
             reached,
@@ -328,10 +331,10 @@ def _fork_values(edges: DataFrame, multi: DataFrame, chain: DataFrame, max_depth
     """
     zero = F.lit(0).cast("long")
     none = F.lit(None).cast("struct<dist:bigint,id:bigint,name:string>")
-    steps = balanced_join(edges.distinct(), multi, KEY, "left_semi", [_UP])
+    above = materialize(balanced_join(edges, multi, KEY, "left_semi", [_UP]).distinct(), "forks")
     steps = materialize(
         balanced_join(
-            steps.withColumnRenamed(_UP, "_first"), chain, [*SCOPE, "_first"], "inner", [TAXON_ID]
+            above.withColumnRenamed(_UP, "_first"), chain, [*SCOPE, "_first"], "inner", [TAXON_ID]
         ).drop("_first"),
         "forks",
     )

@@ -49,28 +49,37 @@ def link_by_key(df: DataFrame, merged: DataFrame, key: str, column: str = "by_ke
 
 
 def link_by_name(
-    df: DataFrame, merged: DataFrame, name: str, column: str = "by_name", collation: str = DEFAULT_COLLATION, open_column: str | None = None
+    df: DataFrame,
+    merged: DataFrame,
+    name: str,
+    column: str = "by_name",
+    collation: str = DEFAULT_COLLATION,
+    open_column: str | None = None,
+    hot_in: DataFrame | None = None,
 ) -> DataFrame:
     """Add the lowest merged id with the row's taxon name and family.
 
     With ``open_column`` only rows in which that column is null are looked up.
+    ``hot_in`` is a stored table with the names and families of ``df``.
     """
+    keys = ["_name", "_family"]
     ids = (
         merged.filter(F.col("familyCache").isNotNull())
         .groupBy(name_key("taxon", collation).alias("_name"), name_key("familyCache", collation).alias("_family"))
         .agg(F.min("id").alias(column))
     )
-    wanted = name_key(name, collation)
+    wanted, family = name_key(name, collation), name_key("familyCache", collation)
+    counted = (df if hot_in is None else hot_in).select(wanted.alias("_name"), family.alias("_family"))
     if open_column:
         wanted = F.when(F.col(open_column).isNull(), wanted)
-    keyed = df.withColumn("_name", wanted).withColumn("_family", name_key("familyCache", collation))
+    keyed = df.withColumn("_name", wanted).withColumn("_family", family)
     spread = [_ROW] if _ROW in df.columns else df.columns
-    return balanced_join(keyed, ids, ["_name", "_family"], "left", spread).drop("_name", "_family")
+    return balanced_join(keyed, ids, keys, "left", spread, hot_in=counted, null_heavy=True).drop(*keys)
 
 
 def _relink(df: DataFrame, merged: DataFrame, key: str, name: str, column: str, collation: str) -> DataFrame:
     linked = link_by_name(
-        link_by_key(_numbered(df), merged, key), merged, name, collation=collation, open_column="by_key"
+        link_by_key(_numbered(df), merged, key), merged, name, collation=collation, open_column="by_key", hot_in=df
     )
     return linked.withColumn(column, F.coalesce("by_key", "by_name")).drop("by_key", "by_name", _ROW)
 

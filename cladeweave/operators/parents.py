@@ -46,27 +46,28 @@ def parent_same_source(rows: DataFrame) -> DataFrame:
 
 def _with_family_matches(df: DataFrame, rows: DataFrame, collation: str, wanted: Column) -> DataFrame:
     """Add ``_c``: the entries of ``rows`` with the parent's name and the own family."""
+    keys = ["_name", "_family"]
+    family = name_key("familyCache", collation)
+    parent = name_key("parent_taxon", collation)
     found = _by_rank(
         rows.filter(F.col("familyCache").isNotNull()).select(
-            name_key("taxon", collation).alias("_name"),
-            name_key("familyCache", collation).alias("_family"),
-            "rank_code",
-            "id",
+            name_key("taxon", collation).alias("_name"), family.alias("_family"), "rank_code", "id"
         ),
-        ["_name", "_family"],
+        keys,
         "_c",
     )
-    keyed = df.withColumn("_name", F.when(wanted, name_key("parent_taxon", collation))).withColumn(
-        "_family", name_key("familyCache", collation)
-    )
-    return balanced_join(keyed, found, ["_name", "_family"], "left", ["id"]).drop("_name", "_family")
+    keyed = df.withColumn("_name", F.when(wanted, parent)).withColumn("_family", family)
+    counted = rows.select(parent.alias("_name"), family.alias("_family"))
+    return balanced_join(keyed, found, keys, "left", ["id"], hot_in=counted, null_heavy=True).drop(*keys)
 
 
 def _with_name_matches(df: DataFrame, rows: DataFrame, collation: str, wanted: Column) -> DataFrame:
     """Add ``_c``: the entries of ``rows`` with the parent's name."""
+    parent = name_key("parent_taxon", collation)
     found = _by_rank(rows.select(name_key("taxon", collation).alias("_name"), "rank_code", "id"), ["_name"], "_c")
-    keyed = df.withColumn("_name", F.when(wanted, name_key("parent_taxon", collation)))
-    return balanced_join(keyed, found, ["_name"], "left", ["id"]).drop("_name")
+    keyed = df.withColumn("_name", F.when(wanted, parent))
+    counted = rows.select(parent.alias("_name"))
+    return balanced_join(keyed, found, ["_name"], "left", ["id"], hot_in=counted, null_heavy=True).drop("_name")
 
 
 def _equal_rank(collation: str) -> Column:

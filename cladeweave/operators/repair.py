@@ -81,7 +81,8 @@ def lower_rank(flags: DataFrame, tree: DataFrame, raised: DataFrame) -> DataFram
 def repair_round(tree: DataFrame) -> DataFrame:
     flags = materialize(same_rank_flags(tree).filter("state != 0"), "same-rank")
     raised = raise_rank(flags)
-    moved = raised.unionByName(lower_rank(flags, tree, raised)).drop("rank_code")
+    # stored, so that its true size is known when the join with the tree is planned
+    moved = materialize(raised.unionByName(lower_rank(flags, tree, raised)).drop("rank_code"), "moved")
     columns = [c for c in tree.columns if c not in ("rank", "rank_code")]
     return tree.join(moved, "id", "left").select(
         *columns,

@@ -60,20 +60,21 @@ def _any_null(keys: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
-def hot_keys(df: DataFrame, keys: list[str], settings: SkewSettings | None = None) -> DataFrame | None:
-    """Hot keys of ``df`` and their number of salts, or None when there are none.
-
-    The result is a local relation of fewer than ``share`` rows. A hot null key
-    is reported as a row of nulls.
-    """
-    spark = df.sparkSession
-    settings = settings or SkewSettings.of(spark)
+def _is_small(df: DataFrame, settings: SkewSettings) -> int | None:
+    """Row count of ``df``, or None when it is too small to hold a hot key."""
     bound = _row_bound.get()
     if bound is not None and bound <= settings.min_rows:
         return None
     total = df.count()
-    if total <= settings.min_rows:
-        return None
+    return None if total <= settings.min_rows else total
+
+
+def hot_keys(df: DataFrame, keys: list[str], total: int, settings: SkewSettings) -> DataFrame | None:
+    """Hot keys among the ``total`` rows of ``df`` with their number of salts, or None.
+
+    The result is a local relation of fewer than ``share`` rows. A hot null key
+    is reported as a row of nulls.
+    """
     rows = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -86,7 +87,7 @@ def hot_keys(df: DataFrame, keys: list[str], settings: SkewSettings | None = Non
     schema = T.StructType(
         [T.StructField(k, df.schema[k].dataType) for k in keys] + [T.StructField(_SALTS, T.IntegerType())]
     )
-    return spark.createDataFrame([tuple(r) for r in rows], schema)
+    return df.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
 
 
 def balanced_join(
@@ -95,6 +96,8 @@ def balanced_join(
     keys: list[str],
     how: str,
     spread: list[str],
+    hot_in: DataFrame | None = None,
+    null_heavy: bool = False,
     settings: SkewSettings | None = None,
 ) -> DataFrame:
     """Join on equally named ``keys``; ``left`` may be skewed, ``right`` is not.
@@ -102,31 +105,58 @@ def balanced_join(
     ``how`` is inner, left, left_semi or left_anti. ``spread`` names columns of
     ``left`` that tell the rows of one key apart: salts are a function of them, so
     a task that runs twice sends every row the same way.
+
+    Keys are counted in ``left``, which should be cheap to read; otherwise give a
+    stored table as ``hot_in`` that has the keys and at least the same rows. If
+    ``left`` then has many null keys of its own, ``null_heavy`` spreads them.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
-    spark = left.sparkSession
-    settings = settings or SkewSettings.of(spark)
-    hot = hot_keys(left.select(*keys), keys, settings)
-    if hot is None:
+    settings = settings or SkewSettings.of(left.sparkSession)
+    counted = (left if hot_in is None else hot_in).select(*keys)
+    total = _is_small(counted, settings)
+    hot = None if total is None else hot_keys(counted, keys, total, settings)
+    if hot is None and (total is None or not null_heavy):
         return left.join(right, keys, how)
     hashed = F.xxhash64(*spread)
-    salt = F.when(_any_null(keys), F.pmod(hashed, F.lit(settings.share))).otherwise(
-        F.pmod(hashed, F.coalesce(F.col(_SALTS), F.lit(1)).cast("long"))
-    )
-    salted_left = (
-        left.join(F.broadcast(hot), keys, "left").withColumn(_SALT, salt.cast("int")).drop(_SALTS)
-    )
-    salted_right = (
-        right.join(F.broadcast(hot), keys, "left")
-        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1)))
-        .drop(_SALTS)
-    )
-    return salted_left.join(salted_right, [*keys, _SALT], how).drop(_SALT)
+    own_salt = F.lit(0)
+    if hot is not None:
+        hot = F.broadcast(hot)
+        left = left.join(hot, keys, "left")
+        own_salt = F.pmod(hashed, F.coalesce(F.col(_SALTS), F.lit(1)).cast("long"))
+        right = right.join(hot, keys, "left").withColumn(
+            _SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1))
+        )
+    else:
+        right = right.withColumn(_SALT, F.lit(0))
+    salt = F.when(_any_null(keys), F.pmod(hashed, F.lit(settings.share))).otherwise(own_salt)
+    left = left.withColumn(_SALT, salt.cast("int")).drop(_SALTS)
+    return left.join(right.drop(_SALTS), [*keys, _SALT], how).drop(_SALT)
+
+
+def balanced_outer(left: DataFrame, right: DataFrame, keys: list[str], spread: list[str]) -> DataFrame:
+    """Left outer join in which ``right`` may be skewed and ``left`` is not.
+
+    An outer join cannot split its right side, so with hot keys it is done as an
+    inner join from the right and the rows of ``left`` that meet nothing.
+    """
+    settings = SkewSettings.of(left.sparkSession)
+    counted = right.select(*keys)
+    total = _is_small(counted, settings)
+    if total is None or hot_keys(counted, keys, total, settings) is None:
+        return left.join(right, keys, "left")
+    met = balanced_join(right, left, keys, "inner", spread)
+    unmet = left.join(counted.distinct(), keys, "left_anti")
+    return met.unionByName(unmet, allowMissingColumns=True)
 
 
 def dimension_join(
-    left: DataFrame, dim: DataFrame, keys: list[str], how: str, spread: list[str], limit: int = 100_000
+    left: DataFrame,
+    dim: DataFrame,
+    keys: list[str],
+    how: str,
+    spread: list[str],
+    limit: int = 100_000,
 ) -> DataFrame:
     """Join a table that should be a small dimension.
 

@@ -62,11 +62,10 @@ def extract_all(
     names = [s.name for s in specs] + ([backbone.name] if backbone else [])
     for source_id, spec in enumerate(specs, start=1):
         t = cl.read_checklist(spark, spec)
-        for project in spec.project_ids:
-            taxa.append(cl.extract_taxa(t, source_id, project))
-            synonyms.append(cl.extract_synonyms(t, source_id, project))
-            common.append(cl.extract_common_names(t, source_id, project, spec.dbname))
-        red.append(cl.extract_redlist(t, source_id, list(spec.project_ids), spec.dbname, per_project))
+        taxa.append(cl.extract_taxa(t, source_id, spec.project_ids))
+        synonyms.append(cl.extract_synonyms(t, source_id, spec.project_ids))
+        common.append(cl.extract_common_names(t, source_id, spec.project_ids, spec.dbname))
+        red.append(cl.extract_redlist(t, source_id, spec.project_ids, spec.dbname, per_project))
     if backbone:
         table = bb.read_backbone(spark, backbone.location, backbone.fmt)
         taxa.append(bb.extract_backbone_taxa(table, len(names)))
@@ -74,9 +73,7 @@ def extract_all(
     projects = {i: list(s.project_ids) for i, s in enumerate(specs, start=1)}
     return Staged(
         sources=st.source_registry(spark, names),
-        taxa=materialize(
-            st.number_taxa(st.stage_taxa(st.union_sources(taxa)), projects, collation), "taxa"
-        ),
+        taxa=st.number_taxa(st.stage_taxa(st.union_sources(taxa)), projects, collation),
         synonyms=materialize(st.stage_synonyms(st.union_sources(synonyms)), "synonyms"),
         common_names=materialize(st.stage_common_names(st.union_sources(common)), "common-names"),
         redlist=materialize(st.stage_redlist(st.union_sources(red)), "redlist"),

@@ -1,17 +1,20 @@
 """Checklist databases: reading their tables, and the four extractions.
 
 A checklist keeps names, hierarchy, acceptance, synonymy, lists and list properties
-of many projects in normalised tables. An extraction takes the part of one project.
+of many projects in normalised tables. An extraction takes the part of the
+projects asked for, all of them in one pass.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names
 from ..model import ACCEPTED_ID, PARENT_ID, PROJECT, REDLIST_LABELS, REDLIST_PROJECT_RANGES, SOURCE, TAXON_ID, SourceSpec
-from ..operators.skew import balanced_join, dimension_join
+from ..operators.skew import balanced_join, balanced_outer, dimension_join
 
 # Tables of a checklist database and the columns that are used.
 TABLES = {
@@ -45,6 +48,9 @@ TABLES = {
 
 Tables = dict[str, DataFrame]
 
+#: a name in a project
+_MEMBER = ["NameID", "ProjectID"]
+
 
 def read_checklist(spark: SparkSession, spec: SourceSpec) -> Tables:
     """The tables of one source, reduced to the columns in use.
@@ -71,52 +77,57 @@ def _read_jdbc(spark: SparkSession, spec: SourceSpec, table: str, columns: list[
     return reader.option("dbtable", table).load().select(*columns)
 
 
-# --- filters --------------------------------------------------------------------
+# --- filters and joins --------------------------------------------------------------
 
 
-def by_project(df: DataFrame, project_id: int) -> DataFrame:
-    return df.filter(F.col("ProjectID") == project_id)
+def by_project(df: DataFrame, project_ids: Sequence[int]) -> DataFrame:
+    return df.filter(F.col("ProjectID").isin(list(project_ids)))
 
 
-def project_names(t: Tables, project_id: int) -> DataFrame:
-    """Names that belong to the project."""
-    members = by_project(t["TaxonNameProject"], project_id).select("NameID")
-    return t["TaxonName"].join(members, "NameID")
+def project_members(t: Tables, project_ids: Sequence[int]) -> DataFrame:
+    """(NameID, ProjectID) of the names in the projects."""
+    return by_project(t["TaxonNameProject"], project_ids).select(*_MEMBER)
 
 
-def _acceptance(t: Tables, project_id: int) -> DataFrame:
-    return by_project(t["TaxonAcceptedName"], project_id).filter("IgnoreButKeepForReference = 0").select("NameID")
+def _acceptance(t: Tables, project_ids: Sequence[int]) -> DataFrame:
+    return by_project(t["TaxonAcceptedName"], project_ids).filter("IgnoreButKeepForReference = 0").select(*_MEMBER)
 
 
-def accepted_only(df: DataFrame, t: Tables, project_id: int) -> DataFrame:
-    """Names that are accepted in the project."""
-    return df.join(_acceptance(t, project_id), "NameID", "left_semi")
+def accepted_only(members: DataFrame, t: Tables, project_ids: Sequence[int]) -> DataFrame:
+    """Members whose name is accepted in the project."""
+    return members.join(_acceptance(t, project_ids), _MEMBER, "left_semi")
 
 
-def not_accepted(df: DataFrame, t: Tables, project_id: int) -> DataFrame:
-    """Names that are not accepted in the project."""
-    return df.join(_acceptance(t, project_id), "NameID", "left_anti")
+def not_accepted(members: DataFrame, t: Tables, project_ids: Sequence[int]) -> DataFrame:
+    """Members whose name is not accepted in the project."""
+    return members.join(_acceptance(t, project_ids), _MEMBER, "left_anti")
 
 
-# --- joins ------------------------------------------------------------------------
+def with_hierarchy(members: DataFrame, t: Tables, project_ids: Sequence[int]) -> DataFrame:
+    """Add ``NameParentID`` in the same project; one row per parent."""
+    parents = by_project(t["TaxonHierarchy"], project_ids).select(*_MEMBER, "NameParentID")
+    return balanced_outer(members, parents, _MEMBER, ["NameParentID"])
 
 
-def with_display_order(df: DataFrame, t: Tables) -> DataFrame:
-    """Add the ``DisplayOrder`` of the rank, null for an unknown rank."""
-    ranks = t["TaxonNameTaxonomicRank_Enum"].select(F.col("Code").alias("TaxonomicRank"), "DisplayOrder")
-    return dimension_join(df, ranks, ["TaxonomicRank"], "left", ["NameID"])
-
+def with_name(members: DataFrame, names_: DataFrame, spread: list[str], hot_in: DataFrame | None = None) -> DataFrame:
+    """Add the columns of the name."""
+    return balanced_join(members, names_, ["NameID"], "inner", spread, hot_in=hot_in)
 
-def with_hierarchy(df: DataFrame, t: Tables, project_id: int) -> DataFrame:
-    """Add ``NameParentID`` in the project; one row per parent."""
-    parents = by_project(t["TaxonHierarchy"], project_id).select("NameID", "NameParentID")
-    return df.join(parents, "NameID", "left")
 
-
-def with_parent_name(df: DataFrame, names_: DataFrame, columns: dict[str, str]) -> DataFrame:
+def with_parent_name(
+    placed: DataFrame, names_: DataFrame, columns: dict[str, str], hot_in: DataFrame | None = None
+) -> DataFrame:
     """Add ``columns`` (name in ``names_`` to new name) of the parent's row."""
     parent = names_.select(F.col("NameID").alias("NameParentID"), *[F.col(c).alias(n) for c, n in columns.items()])
-    return balanced_join(df, parent, ["NameParentID"], "left", ["NameID"])
+    return balanced_join(
+        placed, parent, ["NameParentID"], "left", ["NameID", "ProjectID"], hot_in=hot_in, null_heavy=hot_in is not None
+    )
+
+
+def with_display_order(df: DataFrame, t: Tables) -> DataFrame:
+    """Add the ``DisplayOrder`` of the rank, null for an unknown rank."""
+    ranks = t["TaxonNameTaxonomicRank_Enum"].select(F.col("Code").alias("TaxonomicRank"), "DisplayOrder")
+    return dimension_join(df, ranks, ["TaxonomicRank"], "left", ["NameID"])
 
 
 def _canonical() -> Column:
@@ -160,26 +171,33 @@ def with_authorship(df: DataFrame) -> DataFrame:
     )
 
 
-def tag_source(df: DataFrame, source_id: int, project_id: int, db_name: str | None = None) -> DataFrame:
+def tag_source(df: DataFrame, source_id: int, project: Column | int, db_name: str | None = None) -> DataFrame:
     """Add the source and project ids, and the database name if given."""
-    tagged = df.withColumn(SOURCE, F.lit(source_id).cast("long")).withColumn(PROJECT, F.lit(project_id).cast("long"))
+    project = project if isinstance(project, Column) else F.lit(project)
+    tagged = df.withColumn(SOURCE, F.lit(source_id).cast("long")).withColumn(PROJECT, project.cast("long"))
     return tagged if db_name is None else tagged.withColumn("db_name", F.lit(db_name))
 
 
 # --- extractions --------------------------------------------------------------------
 
 
-def extract_taxa(t: Tables, source_id: int, project_id: int) -> DataFrame:
-    """Accepted names of a project with authorship, parent and rank.
+def extract_taxa(t: Tables, source_id: int, project_ids: Sequence[int]) -> DataFrame:
+    """Accepted names of the projects with authorship, parent and rank.
 
-    The parent's name is looked up in the names with their canonical name made, so
-    one rank lookup serves both. List membership has no column here and would only
-    repeat rows, so it is not joined.
+    All projects of a source go through together. The texts are made once per name,
+    so that the joins carry few columns and the parent's name needs no rank lookup
+    of its own. List membership gives no column and would only repeat rows, so it is
+    not joined.
     """
-    parent_names = with_canonical_name(t["TaxonName"], t)
-    own = with_authorship(with_canonical_name(accepted_only(project_names(t, project_id), t, project_id), t))
-    placed = with_parent_name(with_hierarchy(own, t, project_id), parent_names, {"canonicalName": "parentCanonicalName"})
-    return tag_source(placed, source_id, project_id).select(
+    texts = with_authorship(with_canonical_name(t["TaxonName"], t)).select(
+        "NameID", "canonicalName", "scientificNameAuthorShip", "TaxonomicRank", "TaxonNameCache"
+    )
+    accepted = accepted_only(project_members(t, project_ids), t, project_ids)
+    placed = with_hierarchy(accepted, t, project_ids)
+    edges = by_project(t["TaxonHierarchy"], project_ids)
+    named = with_name(placed, texts, ["ProjectID", "NameParentID"], hot_in=edges)
+    full = with_parent_name(named, texts, {"canonicalName": "parentCanonicalName"}, hot_in=edges)
+    return tag_source(full, source_id, F.col("ProjectID")).select(
         SOURCE,
         F.col("NameID").alias(TAXON_ID),
         F.col("NameParentID").alias(PARENT_ID),
@@ -192,18 +210,22 @@ def extract_taxa(t: Tables, source_id: int, project_id: int) -> DataFrame:
     ).distinct()
 
 
-def synonym_targets(df: DataFrame, t: Tables) -> DataFrame:
+def synonym_targets(members: DataFrame, t: Tables) -> DataFrame:
     """Add ``SynNameID``: what the name is a synonym of, in any project."""
-    return df.join(t["TaxonSynonymy"], "NameID")
+    return balanced_join(t["TaxonSynonymy"], members, ["NameID"], "inner", ["SynNameID"])
 
 
-def extract_synonyms(t: Tables, source_id: int, project_id: int) -> DataFrame:
-    """Names of a project that are not accepted, one row per accepted name.
+def extract_synonyms(t: Tables, source_id: int, project_ids: Sequence[int]) -> DataFrame:
+    """Names of the projects that are not accepted, one row per accepted name.
 
     The hierarchy gives no column here and would only repeat rows.
     """
-    own = with_authorship(with_canonical_name(not_accepted(project_names(t, project_id), t, project_id), t))
-    return tag_source(synonym_targets(own, t), source_id, project_id).select(
+    texts = with_authorship(with_canonical_name(t["TaxonName"], t)).select(
+        "NameID", "canonicalName", "scientificNameAuthorShip", "TaxonomicRank"
+    )
+    own = synonym_targets(not_accepted(project_members(t, project_ids), t, project_ids), t)
+    named = with_name(own, texts, ["ProjectID", "SynNameID"], hot_in=t["TaxonSynonymy"])
+    return tag_source(named, source_id, F.col("ProjectID")).select(
         SOURCE,
         F.col("NameID").alias(TAXON_ID),
         PROJECT,
@@ -214,15 +236,15 @@ def extract_synonyms(t: Tables, source_id: int, project_id: int) -> DataFrame:
     ).distinct()
 
 
-def common_names(t: Tables, project_id: int) -> DataFrame:
-    """Common names of the names of a project."""
-    members = project_names({**t, "TaxonName": t["TaxonName"].select("NameID")}, project_id)
-    return balanced_join(t["TaxonCommonName"], members, ["NameID"], "inner", ["CommonName", "LanguageCode"])
+def common_names(t: Tables, project_ids: Sequence[int]) -> DataFrame:
+    """Common names of the names of the projects."""
+    known = project_members(t, project_ids).join(t["TaxonName"].select("NameID"), "NameID", "left_semi")
+    return balanced_join(t["TaxonCommonName"], known, ["NameID"], "inner", ["CommonName", "LanguageCode"])
 
 
-def extract_common_names(t: Tables, source_id: int, project_id: int, db_name: str) -> DataFrame:
+def extract_common_names(t: Tables, source_id: int, project_ids: Sequence[int], db_name: str) -> DataFrame:
     """Distinct common names, cut to the lengths of the target table."""
-    return tag_source(common_names(t, project_id), source_id, project_id, db_name).select(
+    return tag_source(common_names(t, project_ids), source_id, F.col("ProjectID"), db_name).select(
         SOURCE,
         F.col("NameID").alias(TAXON_ID),
         PROJECT,
@@ -245,18 +267,18 @@ def redlist_properties(df: DataFrame) -> DataFrame:
 
 def redlist_values(t: Tables, db_name: str) -> DataFrame:
     """Red-list properties with their references, a bag."""
-    keys = ["NameID", "ProjectID"]
     labels = redlist_properties(t["TaxonNameListAnalysisCategory"])
     values = dimension_join(
         redlist_projects(t["TaxonNameListAnalysis"], db_name), labels, ["AnalysisID"], "inner", ["NameID", "ProjectID"]
     )
     members = redlist_projects(t["TaxonNameList"], db_name)
     references = redlist_projects(t["TaxonNameListReference"], db_name)
-    return values.join(members.join(references, keys), keys)
+    listed = balanced_join(references, members, _MEMBER, "inner", ["TaxonNameListRefText"])
+    return balanced_join(values, listed, _MEMBER, "inner", ["AnalysisID", "AnalysisValue"])
 
 
 def extract_redlist(
-    t: Tables, source_id: int, project_ids: list[int], db_name: str, per_project: bool = True
+    t: Tables, source_id: int, project_ids: Sequence[int], db_name: str, per_project: bool = True
 ) -> DataFrame:
     """Red-list values with term and reference.
 

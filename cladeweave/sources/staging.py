@@ -85,9 +85,10 @@ def number_taxa(
 
     Ids follow the source, the position of the project in ``project_order`` of the
     source (projects not given come last, by number), the taxon id and the parent id. They
-    decide between equally deep copies.
+    decide between equally deep copies. The rows are stored on the way, the result
+    only adds the ids to a scan of them.
     """
-    unique = one_per_key(staged, TAXA_ORIGIN)
+    unique = normalize_ranks(one_per_key(staged, TAXA_ORIGIN), collation)
     places = [
         F.when((F.col(SOURCE) == source) & (F.col(PROJECT) == project), F.lit(place))
         for source, projects in (project_order or {}).items()
@@ -96,10 +97,9 @@ def number_taxa(
     place = F.coalesce(*places, F.lit(1 << 30))
     order = [SOURCE, "_place", PROJECT, TAXON_ID, PARENT_ID, "taxon", "rank", "author", "parent_taxon", "scientificName"]
     numbered = ordered_ids(unique.withColumn("_place", place), order, FIRST_FREE_ID).drop("_place")
-    all_rows = root_rows(staged.sparkSession).unionByName(
+    return normalize_ranks(root_rows(staged.sparkSession), collation).unionByName(
         numbered.withColumn("parent_id", F.lit(None).cast("long"))
     )
-    return normalize_ranks(all_rows, collation)
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> None:

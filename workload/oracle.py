@@ -301,10 +301,8 @@ FINAL: dict[str, str] = {
     "rename_ranks": f"SELECT {_ORIGIN}, rank FROM taxa WHERE s > 0",
     "rank_codes": f"SELECT {_ORIGIN}, rank, code AS rank_code FROM taxa WHERE s > 0",
     "by_project": "SELECT NameID, ProjectID::BIGINT AS ProjectID FROM tnp WHERE ProjectID = 930",
-    "accepted_only": """SELECT NameID, TaxonNameCache FROM tn WHERE NameID IN (SELECT NameID FROM tan WHERE ProjectID = 930
-      AND IgnoreButKeepForReference = 0)""",
-    "not_accepted": """SELECT NameID, TaxonNameCache FROM tn WHERE NameID NOT IN (SELECT NameID FROM tan WHERE ProjectID = 85
-      AND IgnoreButKeepForReference = 0)""",
+    "accepted_only": "SELECT NameID, ProjectID::BIGINT AS ProjectID FROM accepted",
+    "not_accepted": "SELECT NameID, ProjectID::BIGINT AS ProjectID FROM unaccepted",
     "backbone_accepted": """SELECT TaxonID, canonicalName, taxonomicStatus FROM bb
       WHERE (taxonomicStatus = 'accepted' AND canonicalName <> '' AND parentCanonicalName <> '' AND kingdom = 'Animalia')
         OR canonicalName = 'Animalia'""",
@@ -316,8 +314,8 @@ FINAL: dict[str, str] = {
     "rank_band": "SELECT t.id, t.rank, b.band FROM taxa t JOIN band b ON b.id = t.id",
     "drop_parentless": "SELECT id, band, parent_taxon FROM bnd",
     "name_project": "SELECT NameID, TaxonNameCache FROM tn WHERE NameID IN (SELECT NameID FROM tnp WHERE ProjectID = 930)",
-    "name_hierarchy": """SELECT tn.NameID, h.NameParentID FROM tn LEFT JOIN th h ON h.NameID = tn.NameID
-      AND h.ProjectID = 930""",
+    "name_hierarchy": """SELECT p.NameID, p.ProjectID::BIGINT AS ProjectID, h.NameParentID FROM tnp p
+      LEFT JOIN th h ON h.NameID = p.NameID AND h.ProjectID = p.ProjectID""",
     "parent_name": """SELECT n.NameID, h.NameParentID, p.GenusOrSupragenericName AS genus, p.SpeciesEpithet AS species,
         p.TaxonomicRank AS rank
       FROM tn n LEFT JOIN th h ON h.NameID = n.NameID AND h.ProjectID = 85 LEFT JOIN tn p ON p.NameID = h.NameParentID""",

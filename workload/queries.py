@@ -68,8 +68,7 @@ def read_backbone(spark, sf_dir):
 def _extracted_taxa(spark, sf_dir) -> list[DataFrame]:
     t = stages(spark, sf_dir).checklist
     return [
-        checklist.extract_taxa(t, 1, P1),
-        checklist.extract_taxa(t, 1, P2),
+        checklist.extract_taxa(t, 1, fx.PROJECTS),
         backbone.extract_backbone_taxa(fx.backbone(spark, sf_dir), 2),
     ]
 
@@ -142,7 +141,7 @@ def ordered_ids(spark, sf_dir):
 def origin_unique(spark, sf_dir):
     """Origin keys of the synonyms of both projects, taken as one project."""
     t = stages(spark, sf_dir).checklist
-    both = staging.union_sources([checklist.extract_synonyms(t, 1, p) for p in (P1, P2)])
+    both = checklist.extract_synonyms(t, 1, fx.PROJECTS)
     return ids.duplicates(both, [model.TAXON_ID, model.SOURCE, model.ACCEPTED_ID])
 
 
@@ -185,7 +184,7 @@ def authorship(spark, sf_dir):
 @query
 def parent_canonical_name(spark, sf_dir):
     t = stages(spark, sf_dir).checklist
-    own = checklist.with_hierarchy(t["TaxonName"].select("NameID"), t, P1)
+    own = checklist.with_hierarchy(checklist.project_members(t, [P1]), t, [P1])
     parent = {"canonicalName": "parentCanonicalName"}
     return checklist.with_parent_name(own, _names(spark, sf_dir), parent).select(
         "NameID", "NameParentID", "parentCanonicalName"
@@ -242,21 +241,25 @@ def rank_codes(spark, sf_dir):
 
 @query
 def by_project(spark, sf_dir):
-    return checklist.by_project(stages(spark, sf_dir).checklist["TaxonNameProject"], P2).select(
+    return checklist.by_project(stages(spark, sf_dir).checklist["TaxonNameProject"], [P2]).select(
         "NameID", F.col("ProjectID").cast("long").alias("ProjectID")
     )
 
 
+def _members(df: DataFrame) -> DataFrame:
+    return df.select("NameID", F.col("ProjectID").cast("long").alias("ProjectID"))
+
+
 @query
 def accepted_only(spark, sf_dir):
     t = stages(spark, sf_dir).checklist
-    return checklist.accepted_only(t["TaxonName"], t, P2).select("NameID", "TaxonNameCache")
+    return _members(checklist.accepted_only(checklist.project_members(t, fx.PROJECTS), t, fx.PROJECTS))
 
 
 @query
 def not_accepted(spark, sf_dir):
     t = stages(spark, sf_dir).checklist
-    return checklist.not_accepted(t["TaxonName"], t, P1).select("NameID", "TaxonNameCache")
+    return _members(checklist.not_accepted(checklist.project_members(t, fx.PROJECTS), t, fx.PROJECTS))
 
 
 @query
@@ -306,19 +309,23 @@ def drop_parentless(spark, sf_dir):
 
 @query
 def name_project(spark, sf_dir):
-    return checklist.project_names(stages(spark, sf_dir).checklist, P2).select("NameID", "TaxonNameCache")
+    t = stages(spark, sf_dir).checklist
+    return checklist.with_name(checklist.project_members(t, [P2]), t["TaxonName"], ["ProjectID"]).select(
+        "NameID", "TaxonNameCache"
+    )
 
 
 @query
 def name_hierarchy(spark, sf_dir):
     t = stages(spark, sf_dir).checklist
-    return checklist.with_hierarchy(t["TaxonName"].select("NameID"), t, P2)
+    placed = checklist.with_hierarchy(checklist.project_members(t, fx.PROJECTS), t, fx.PROJECTS)
+    return placed.select("NameID", F.col("ProjectID").cast("long").alias("ProjectID"), "NameParentID")
 
 
 @query
 def parent_name(spark, sf_dir):
     t = stages(spark, sf_dir).checklist
-    own = checklist.with_hierarchy(t["TaxonName"].select("NameID"), t, P1)
+    own = checklist.with_hierarchy(checklist.project_members(t, [P1]), t, [P1])
     return checklist.with_parent_name(
         own, t["TaxonName"], {"GenusOrSupragenericName": "genus", "SpeciesEpithet": "species", "TaxonomicRank": "rank"}
     ).select("NameID", "NameParentID", "genus", "species", "rank")
@@ -336,19 +343,21 @@ def rank_lookup(spark, sf_dir):
 def list_fanout(spark, sf_dir):
     """The lists are left out: joining them would only repeat rows."""
     t = stages(spark, sf_dir).checklist
-    return checklist.project_names(t, P1).select("NameID", "TaxonomicRank", "TaxonNameCache").distinct()
+    return checklist.with_name(checklist.project_members(t, [P1]), t["TaxonName"], ["ProjectID"]).select(
+        "NameID", "TaxonomicRank", "TaxonNameCache"
+    ).distinct()
 
 
 @query
 def synonym_target(spark, sf_dir):
     t = stages(spark, sf_dir).checklist
-    own = checklist.not_accepted(checklist.project_names(t, P1), t, P1)
+    own = checklist.not_accepted(checklist.project_members(t, [P1]), t, [P1])
     return checklist.synonym_targets(own, t).select("NameID", "SynNameID")
 
 
 @query
 def common_name_join(spark, sf_dir):
-    return checklist.common_names(stages(spark, sf_dir).checklist, P1).select("NameID", "CommonName", "LanguageCode")
+    return checklist.common_names(stages(spark, sf_dir).checklist, [P1]).select("NameID", "CommonName", "LanguageCode")
 
 
 @query
@@ -436,9 +445,9 @@ def count_rows(spark, sf_dir):
     t = stages(spark, sf_dir).checklist
     sets = {
         "taxa": staging.union_sources(_extracted_taxa(spark, sf_dir)),
-        "synonyms": staging.union_sources([checklist.extract_synonyms(t, 1, p) for p in (P1, P2)]),
-        "common_names": staging.union_sources([checklist.extract_common_names(t, 1, p, DB) for p in (P1, P2)]),
-        "redlist": checklist.extract_redlist(t, 1, [P1, P2], DB),
+        "synonyms": checklist.extract_synonyms(t, 1, fx.PROJECTS),
+        "common_names": checklist.extract_common_names(t, 1, fx.PROJECTS, DB),
+        "redlist": checklist.extract_redlist(t, 1, fx.PROJECTS, DB),
     }
     tagged = [df.select(F.lit(name).alias("dataset"), F.col(model.SOURCE)) for name, df in sets.items()]
     return staging.union_sources(tagged).groupBy("dataset", model.SOURCE).agg(F.count(F.lit(1)).alias("n"))
@@ -680,25 +689,22 @@ def relink_redlist(spark, sf_dir):
 
 @query
 def extract_taxa(spark, sf_dir):
-    t = stages(spark, sf_dir).checklist
-    return staging.union_sources([checklist.extract_taxa(t, 1, p) for p in (P1, P2)])
+    return checklist.extract_taxa(stages(spark, sf_dir).checklist, 1, fx.PROJECTS)
 
 
 @query
 def extract_synonyms(spark, sf_dir):
-    t = stages(spark, sf_dir).checklist
-    return staging.union_sources([checklist.extract_synonyms(t, 1, p) for p in (P1, P2)])
+    return checklist.extract_synonyms(stages(spark, sf_dir).checklist, 1, fx.PROJECTS)
 
 
 @query
 def extract_common_names(spark, sf_dir):
-    t = stages(spark, sf_dir).checklist
-    return staging.union_sources([checklist.extract_common_names(t, 1, p, DB) for p in (P1, P2)])
+    return checklist.extract_common_names(stages(spark, sf_dir).checklist, 1, fx.PROJECTS, DB)
 
 
 @query
 def extract_redlist(spark, sf_dir):
-    return checklist.extract_redlist(stages(spark, sf_dir).checklist, 1, [P1, P2], DB)
+    return checklist.extract_redlist(stages(spark, sf_dir).checklist, 1, fx.PROJECTS, DB)
 
 
 @query
