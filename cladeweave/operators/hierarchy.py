@@ -34,6 +34,15 @@ def _parent_of() -> Column:
     return F.when(F.col(PARENT_ID) != F.col(TAXON_ID), F.col(PARENT_ID))
 
 
+# Numbers of ways saturate here: on a cycle they grow without bound before the guard
+# on the path length stops the loop.
+_MANY = (1 << 63) - 1
+
+
+def _times(a: str, b: str) -> Column:
+    return F.coalesce(F.try_multiply(F.col(a), F.col(b)), F.lit(_MANY))
+
+
 def _is_empty(df: DataFrame) -> bool:
     return df.limit(1).count() == 0
 
@@ -67,7 +76,7 @@ def closure(taxa: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     if repeated:
         ways = edges.groupBy(*KEY, _UP).agg(F.count(F.lit(1)).alias("ways"))
         steps = balanced_join(ways, copies, KEY, "inner", [_UP]).select(
-            *KEY, _UP, (F.col("ways") * F.col("copies")).alias("n")
+            *KEY, _UP, _times("ways", "copies").alias("n")
         )
     else:
         steps = edges.withColumn("n", F.lit(1).cast("long"))
@@ -102,7 +111,7 @@ def closure(taxa: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
             "inner",
             [TAXON_ID],
         ).select(
-            *KEY, "AncestorID", (F.col("PathLength") + covered).alias("PathLength"), (F.col("n0") * F.col("n")).alias("n")
+            *KEY, "AncestorID", (F.col("PathLength") + covered).alias("PathLength"), _times("n0", "n").alias("n")
         )
         next_jump = balanced_join(
             jump.withColumnRenamed("n", "n0"),
@@ -110,10 +119,10 @@ def closure(taxa: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
             [*SCOPE, _UP],
             "inner",
             [TAXON_ID],
-        ).select(*KEY, F.col("_next").alias(_UP), (F.col("n0") * F.col("n")).alias("n"))
+        ).select(*KEY, F.col("_next").alias(_UP), _times("n0", "n").alias("n"))
         if repeated:
-            longer = longer.groupBy(*KEY, "AncestorID", "PathLength").agg(F.sum("n").alias("n"))
-            next_jump = next_jump.groupBy(*KEY, _UP).agg(F.sum("n").alias("n"))
+            longer = longer.groupBy(*KEY, "AncestorID", "PathLength").agg(F.coalesce(F.try_sum("n"), F.lit(_MANY)).alias("n"))
+            next_jump = next_jump.groupBy(*KEY, _UP).agg(F.coalesce(F.try_sum("n"), F.lit(_MANY)).alias("n"))
         reach = reach.unionByName(materialize(longer, "reach"))
         jump = materialize(next_jump, "jump")
         covered *= 2
@@ -138,7 +147,7 @@ def closure(taxa: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
         F.col(TAXON_ID).alias("DescendantID"),
         (F.col("PathLength") + 1).alias("PathLength"),
         *SCOPE,
-        (F.col("n0") * F.col("n")).alias("n"),
+        _times("n0", "n").alias("n"),
     )
     if repeated:
         above = above.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).drop("_copy")
