@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import DEFAULT_COLLATION, is_root, name_key
+from ..runtime import DEFAULT_COLLATION, is_root, materialize, name_key
 from .hierarchy import family_of
 from .skew import balanced_join
 
@@ -95,6 +95,19 @@ def first_copy(banded: DataFrame, collation: str = DEFAULT_COLLATION) -> DataFra
     ).select("band", "taxon", "id")
 
 
+def _winners(groups: DataFrame, keys: list[str]) -> DataFrame:
+    return (
+        groups.filter(_comparable() & (F.col("n") > 1))
+        .groupBy(*keys)
+        .agg(F.min("_order").alias("_order"))
+        .filter(F.col("_order").isNotNull())
+        .select("band", (F.col("_order") % F.lit(_ID_SPACE)).alias("id"))
+    )
+
+
+_WINNER_KEYS = {"taxon": ["band", "_taxon"], "taxon_family": ["band", "_taxon", "_family"]}
+
+
 def pick_winners(
     banded: DataFrame, collation: str = DEFAULT_COLLATION, winner_scope: str = "taxon"
 ) -> DataFrame:
@@ -104,21 +117,18 @@ def pick_winners(
     name; ``winner_scope="taxon_family"`` takes one per name and family. Copies of
     depth 0 never win.
     """
-    doubles = _groups(banded, collation).filter(_comparable() & (F.col("n") > 1))
-    keys = {"taxon": ["band", "_taxon"], "taxon_family": ["band", "_taxon", "_family"]}[winner_scope]
-    return (
-        doubles.groupBy(*keys)
-        .agg(F.min("_order").alias("_order"))
-        .filter(F.col("_order").isNotNull())
-        .select("band", (F.col("_order") % F.lit(_ID_SPACE)).alias("id"))
-    )
+    return _winners(_groups(banded, collation), _WINNER_KEYS[winner_scope])
 
 
 def surviving_ids(
     banded: DataFrame, collation: str = DEFAULT_COLLATION, winner_scope: str = "taxon"
 ) -> DataFrame:
-    """Ids of all rows that stay: rows without double, and the winners."""
-    groups = _groups(banded, collation)
+    """Ids of all rows that stay: rows without double, and the winners.
+
+    The rows are reduced to one per name and family once, and that table is stored;
+    the three kinds of survivors are found on it.
+    """
+    groups = materialize(_groups(banded, collation), "groups")
     singles = groups.filter(_comparable() & (F.col("n") == 1)).select(F.col("first_id").alias("id"))
     unplaced = (
         groups.groupBy("band", "_taxon")
@@ -126,7 +136,7 @@ def surviving_ids(
         .filter((F.col("n") == 1) & F.col("id").isNotNull())
         .select("id")
     )
-    winners = pick_winners(banded, collation, winner_scope).select("id")
+    winners = _winners(groups, _WINNER_KEYS[winner_scope]).select("id")
     return singles.unionByName(unplaced).unionByName(winners)
 
 

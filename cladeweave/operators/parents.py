@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import PARENT_ID, SCOPE, TAXON_ID
-from ..runtime import DEFAULT_COLLATION, name_key
+from ..runtime import DEFAULT_COLLATION, materialize, name_key
 from .skew import balanced_join
 
 
@@ -44,7 +44,7 @@ def parent_same_source(rows: DataFrame) -> DataFrame:
     return balanced_join(rows, found, keys, "left", ["id"]).withColumn("p1", _higher("_c")).drop("_c")
 
 
-def _with_family_matches(df: DataFrame, rows: DataFrame, collation: str, wanted: Column) -> DataFrame:
+def _with_family_matches(df: DataFrame, rows: DataFrame, collation: str) -> DataFrame:
     """Add ``_c``: the entries of ``rows`` with the parent's name and the own family."""
     keys = ["_name", "_family"]
     family = name_key("familyCache", collation)
@@ -56,18 +56,20 @@ def _with_family_matches(df: DataFrame, rows: DataFrame, collation: str, wanted:
         keys,
         "_c",
     )
-    keyed = df.withColumn("_name", F.when(wanted, parent)).withColumn("_family", family)
-    counted = rows.select(parent.alias("_name"), family.alias("_family"))
-    return balanced_join(keyed, found, keys, "left", ["id"], hot_in=counted, null_heavy=True).drop(*keys)
+    keyed = df.withColumn("_name", parent).withColumn("_family", family)
+    return balanced_join(keyed, found, keys, "left", ["id"]).drop(*keys)
 
 
-def _with_name_matches(df: DataFrame, rows: DataFrame, collation: str, wanted: Column) -> DataFrame:
-    """Add ``_c``: the entries of ``rows`` with the parent's name."""
+def _with_name_matches(df: DataFrame, rows: DataFrame, collation: str, stored: DataFrame | None = None) -> DataFrame:
+    """Add ``_c``: the entries of ``rows`` with the parent's name.
+
+    ``stored`` has the same rows as ``df`` if that is expensive to count.
+    """
     parent = name_key("parent_taxon", collation)
     found = _by_rank(rows.select(name_key("taxon", collation).alias("_name"), "rank_code", "id"), ["_name"], "_c")
-    keyed = df.withColumn("_name", F.when(wanted, parent))
-    counted = rows.select(parent.alias("_name"))
-    return balanced_join(keyed, found, ["_name"], "left", ["id"], hot_in=counted, null_heavy=True).drop("_name")
+    keyed = df.withColumn("_name", parent)
+    counted = (df if stored is None else stored).select(parent.alias("_name"))
+    return balanced_join(keyed, found, ["_name"], "left", ["id"], hot_in=counted).drop("_name")
 
 
 def _equal_rank(collation: str) -> Column:
@@ -77,29 +79,33 @@ def _equal_rank(collation: str) -> Column:
 
 def parent_same_family(rows: DataFrame, collation: str = DEFAULT_COLLATION) -> DataFrame:
     """Add ``p2``: a row named as the parent, in the same family, of higher rank."""
-    return _with_family_matches(rows, rows, collation, F.lit(True)).withColumn("p2", _higher("_c")).drop("_c")
+    return _with_family_matches(rows, rows, collation).withColumn("p2", _higher("_c")).drop("_c")
 
 
 def parent_any_family(rows: DataFrame, collation: str = DEFAULT_COLLATION) -> DataFrame:
     """Add ``p3``: a row named as the parent, of higher rank."""
-    return _with_name_matches(rows, rows, collation, F.lit(True)).withColumn("p3", _higher("_c")).drop("_c")
+    return _with_name_matches(rows, rows, collation).withColumn("p3", _higher("_c")).drop("_c")
 
 
 def parent_same_rank(rows: DataFrame, collation: str = DEFAULT_COLLATION) -> DataFrame:
     """Add ``p4``: a row named as the parent but not as the row itself, of equal rank."""
-    return _with_name_matches(rows, rows, collation, F.lit(True)).withColumn("p4", _equal_rank(collation)).drop("_c")
+    return _with_name_matches(rows, rows, collation).withColumn("p4", _equal_rank(collation)).drop("_c")
 
 
 def link_parents(rows: DataFrame, collation: str = DEFAULT_COLLATION) -> DataFrame:
     """Set ``parent_id`` by the first rule that finds a parent.
 
     The parent in the own source replaces an existing ``parent_id``; the other
-    rules only fill gaps. Rows that need no further rule get a null name key and
-    meet nothing in the joins by name.
+    rules only fill gaps, so only rows without parent go through the joins by name.
     """
-    open_ = F.col("parent_id").isNull()
-    linked = parent_same_source(rows).withColumn("parent_id", F.coalesce("p1", "parent_id")).drop("p1")
-    linked = _with_family_matches(linked, rows, collation, open_)
-    linked = linked.withColumn("parent_id", F.coalesce("parent_id", _higher("_c"))).drop("_c")
-    linked = _with_name_matches(linked, rows, collation, open_)
-    return linked.withColumn("parent_id", F.coalesce("parent_id", _higher("_c"), _equal_rank(collation))).drop("_c")
+    columns = rows.columns
+    first = materialize(
+        parent_same_source(rows).withColumn("parent_id", F.coalesce("p1", "parent_id")).select(*columns), "own-parents"
+    )
+    open_ = F.col("parent_id").isNull() & F.col("parent_taxon").isNotNull()
+    open_rows = first.filter(open_)
+    linked = _with_family_matches(open_rows, rows, collation)
+    linked = linked.withColumn("parent_id", _higher("_c")).drop("_c")
+    linked = _with_name_matches(linked, rows, collation, stored=open_rows)
+    linked = linked.withColumn("parent_id", F.coalesce("parent_id", _higher("_c"), _equal_rank(collation)))
+    return first.filter(~open_).unionByName(linked.select(*columns))

@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..runtime import BINARY
+
 _SALT = "_salt"
 _SALTS = "_salts"
 
@@ -69,12 +71,30 @@ def _is_small(df: DataFrame, settings: SkewSettings) -> int | None:
     return None if total <= settings.min_rows else total
 
 
+def _candidates(df: DataFrame, keys: list[str], settings: SkewSettings) -> DataFrame | None:
+    """At most ``share`` keys that include every hot one, found in one scan.
+
+    Frequent items are merged from bounded counters, so no key is shuffled. The
+    counters compare bytes; keys under another collation have no candidates.
+    """
+    fields = [df.schema[k] for k in keys]
+    if any(getattr(f.dataType, "collation", BINARY) != BINARY for f in fields):
+        return None
+    found = df.select(F.struct(*keys).alias("key")).freqItems(["key"], 1 / settings.share).first()[0] or []
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
+    return df.sparkSession.createDataFrame([tuple(k) for k in found], schema)
+
+
 def hot_keys(df: DataFrame, keys: list[str], total: int, settings: SkewSettings) -> DataFrame | None:
     """Hot keys among the ``total`` rows of ``df`` with their number of salts, or None.
 
     The result is a local relation of fewer than ``share`` rows. A hot null key
     is reported as a row of nulls.
     """
+    candidates = _candidates(df, keys, settings)
+    if candidates is not None:
+        same = [df[k].eqNullSafe(candidates[k]) for k in keys]
+        df = df.join(F.broadcast(candidates), reduce(lambda a, b: a & b, same), "left_semi")
     rows = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
