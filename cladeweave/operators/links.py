@@ -12,24 +12,14 @@ from pyspark.sql import functions as F
 
 from ..model import ACCEPTED_ID, KEY, SCOPE, TAXON_ID
 from ..runtime import DEFAULT_COLLATION, name_key
-from .skew import balanced_join
-
-_ROW = "_row"
-
-
-def _numbered(df: DataFrame) -> DataFrame:
-    """Tell equal rows apart, to spread them; the numbers are not kept.
-
-    Stable when tasks are repeated, as the dependents are read from a table.
-    """
-    return df.withColumn(_ROW, F.monotonically_increasing_id())
+from .skew import ROW, balanced_join, numbered
 
 
 def _prepare(df: DataFrame, lineage_df: DataFrame, key: str, name: str) -> DataFrame:
     noted = lineage_df.select(
         *SCOPE, F.col(TAXON_ID).alias(key), F.col("taxon").alias(name), F.col("family").alias("familyCache")
     )
-    return balanced_join(_numbered(df), noted, [*SCOPE, key], "left", [_ROW]).drop(_ROW)
+    return balanced_join(numbered(df), noted, [*SCOPE, key], "left", [ROW]).drop(ROW)
 
 
 def prepare_synonyms(synonyms: DataFrame, lineage_df: DataFrame) -> DataFrame:
@@ -45,7 +35,7 @@ def prepare_redlist(redlist: DataFrame, lineage_df: DataFrame) -> DataFrame:
 def link_by_key(df: DataFrame, merged: DataFrame, key: str, column: str = "by_key") -> DataFrame:
     """Add the merged id of the row's own taxon; the lowest if it has several rows."""
     ids = merged.groupBy(*KEY).agg(F.min("id").alias(column)).withColumnRenamed(TAXON_ID, key)
-    return balanced_join(df, ids, [*SCOPE, key], "left", [_ROW] if _ROW in df.columns else df.columns)
+    return balanced_join(df, ids, [*SCOPE, key], "left", [ROW] if ROW in df.columns else df.columns)
 
 
 def link_by_name(
@@ -73,15 +63,15 @@ def link_by_name(
     if open_column:
         wanted = F.when(F.col(open_column).isNull(), wanted)
     keyed = df.withColumn("_name", wanted).withColumn("_family", family)
-    spread = [_ROW] if _ROW in df.columns else df.columns
+    spread = [ROW] if ROW in df.columns else df.columns
     return balanced_join(keyed, ids, keys, "left", spread, hot_in=counted, null_heavy=True).drop(*keys)
 
 
 def _relink(df: DataFrame, merged: DataFrame, key: str, name: str, column: str, collation: str) -> DataFrame:
     linked = link_by_name(
-        link_by_key(_numbered(df), merged, key), merged, name, collation=collation, open_column="by_key", hot_in=df
+        link_by_key(numbered(df), merged, key), merged, name, collation=collation, open_column="by_key", hot_in=df
     )
-    return linked.withColumn(column, F.coalesce("by_key", "by_name")).drop("by_key", "by_name", _ROW)
+    return linked.withColumn(column, F.coalesce("by_key", "by_name")).drop("by_key", "by_name", ROW)
 
 
 def relink_synonyms(prepared: DataFrame, merged: DataFrame, collation: str = DEFAULT_COLLATION) -> DataFrame:

@@ -25,6 +25,7 @@ from ..runtime import BINARY
 
 _SALT = "_salt"
 _SALTS = "_salts"
+ROW = "_row"
 
 
 @dataclass(frozen=True)
@@ -110,6 +111,15 @@ def hot_keys(df: DataFrame, keys: list[str], total: int, settings: SkewSettings)
     return df.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with ``ROW``, which tells equal rows apart so that they can be spread.
+
+    The numbers are the same when a task is repeated as long as ``df`` is read from
+    tables without a shuffle in between.
+    """
+    return df.withColumn(ROW, F.monotonically_increasing_id())
+
+
 def balanced_join(
     left: DataFrame,
     right: DataFrame,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names
 from ..model import ACCEPTED_ID, PARENT_ID, PROJECT, REDLIST_LABELS, REDLIST_PROJECT_RANGES, SOURCE, TAXON_ID, SourceSpec
-from ..operators.skew import balanced_join, balanced_outer, dimension_join
+from ..operators.skew import ROW, balanced_join, balanced_outer, dimension_join, numbered
 
 # Tables of a checklist database and the columns that are used.
 TABLES = {
@@ -236,22 +236,35 @@ def extract_synonyms(t: Tables, source_id: int, project_ids: Sequence[int]) -> D
     ).distinct()
 
 
+def _known_members(t: Tables, project_ids: Sequence[int]) -> DataFrame:
+    return project_members(t, project_ids).join(t["TaxonName"].select("NameID"), "NameID", "left_semi")
+
+
 def common_names(t: Tables, project_ids: Sequence[int]) -> DataFrame:
     """Common names of the names of the projects."""
-    known = project_members(t, project_ids).join(t["TaxonName"].select("NameID"), "NameID", "left_semi")
-    return balanced_join(t["TaxonCommonName"], known, ["NameID"], "inner", ["CommonName", "LanguageCode"])
+    known = _known_members(t, project_ids)
+    return balanced_join(numbered(t["TaxonCommonName"]), known, ["NameID"], "inner", [ROW]).drop(ROW)
 
 
 def extract_common_names(t: Tables, source_id: int, project_ids: Sequence[int], db_name: str) -> DataFrame:
-    """Distinct common names, cut to the lengths of the target table."""
-    return tag_source(common_names(t, project_ids), source_id, F.col("ProjectID"), db_name).select(
-        SOURCE,
-        F.col("NameID").alias(TAXON_ID),
-        PROJECT,
-        names.truncated(F.col("CommonName"), 255).alias("CommonName"),
-        names.truncated(F.col("LanguageCode"), 2).alias("Code"),
-        "db_name",
-    ).distinct()
+    """Distinct common names, cut to the lengths of the target table.
+
+    Repeated names are removed first; the projects then only add their number.
+    """
+    cut = (
+        t["TaxonCommonName"]
+        .select(
+            "NameID",
+            names.truncated(F.col("CommonName"), 255).alias("CommonName"),
+            names.truncated(F.col("LanguageCode"), 2).alias("Code"),
+        )
+        .distinct()
+    )
+    known = _known_members(t, project_ids).distinct()
+    placed = balanced_join(cut, known, ["NameID"], "inner", ["CommonName", "Code"], hot_in=t["TaxonCommonName"])
+    return tag_source(placed, source_id, F.col("ProjectID"), db_name).select(
+        SOURCE, F.col("NameID").alias(TAXON_ID), PROJECT, "CommonName", "Code", "db_name"
+    )
 
 
 def redlist_projects(df: DataFrame, db_name: str) -> DataFrame:
@@ -268,13 +281,12 @@ def redlist_properties(df: DataFrame) -> DataFrame:
 def redlist_values(t: Tables, db_name: str) -> DataFrame:
     """Red-list properties with their references, a bag."""
     labels = redlist_properties(t["TaxonNameListAnalysisCategory"])
-    values = dimension_join(
-        redlist_projects(t["TaxonNameListAnalysis"], db_name), labels, ["AnalysisID"], "inner", ["NameID", "ProjectID"]
-    )
+    analysis = numbered(redlist_projects(t["TaxonNameListAnalysis"], db_name))
+    values = dimension_join(analysis, labels, ["AnalysisID"], "inner", [ROW])
     members = redlist_projects(t["TaxonNameList"], db_name)
-    references = redlist_projects(t["TaxonNameListReference"], db_name)
-    listed = balanced_join(references, members, _MEMBER, "inner", ["TaxonNameListRefText"])
-    return balanced_join(values, listed, _MEMBER, "inner", ["AnalysisID", "AnalysisValue"])
+    references = numbered(redlist_projects(t["TaxonNameListReference"], db_name))
+    listed = balanced_join(references, members, _MEMBER, "inner", [ROW]).drop(ROW)
+    return balanced_join(values, listed, _MEMBER, "inner", [ROW], hot_in=analysis).drop(ROW)
 
 
 def extract_redlist(
