@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..model import CONSTRAINTS, PROJECT, SOURCE, TAXON_ID
+
 
 def violations(df: DataFrame, rules: list[tuple[str, bool, int | None]], keys: list[str]) -> DataFrame:
     """Rows that break a rule, with one line per broken rule.
@@ -28,3 +30,13 @@ def violations(df: DataFrame, rules: list[tuple[str, bool, int | None]], keys: l
     broken = reduce(lambda a, b: a | b, [c.isNotNull() for c in checks])
     found = F.explode(F.filter(F.array(*checks), lambda c: c.isNotNull())).alias("_v")
     return df.filter(broken).select(*keys, found).select(*keys, "_v.column", "_v.kind")
+
+
+def all_violations(tables: dict[str, DataFrame]) -> DataFrame:
+    """Broken rules of the staged tables given by name, with the origin of each row."""
+    origin = [SOURCE, TAXON_ID, PROJECT]
+    found = [
+        violations(df, CONSTRAINTS[name], origin).select(F.lit(name).alias("dataset"), *origin, "column", "kind")
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, found)

@@ -19,10 +19,19 @@ FAMILY_BAND, GENUS_BAND, SPECIES_BAND = "family", "genus", "species"
 # Inclusive rank codes of the bands.
 BANDS = {FAMILY_BAND: (340, 500), GENUS_BAND: (270, 330), SPECIES_BAND: (150, 260)}
 
-# A winner is the lowest (depth descending, id): both in one long, so that the
-# aggregation stays a hash aggregation. Depths are below 2^14, ids below 2^48.
-_ID_SPACE = 1 << 48
-_DEPTH_SPACE = 1 << 14
+# A winner is the lowest (depth descending, id): both in one number of 37 digits, which
+# has room for every depth and id, so that the aggregation stays a hash aggregation.
+_ID_DIGITS, _DEPTH_DIGITS = 19, 18
+
+
+def _order(depth: Column, id_: Column) -> Column:
+    rest = F.lit(10**_DEPTH_DIGITS - 1) - depth
+    packed = F.concat(F.lpad(rest.cast("string"), _DEPTH_DIGITS, "0"), F.lpad(id_.cast("string"), _ID_DIGITS, "0"))
+    return packed.cast("decimal(38,0)")
+
+
+def _id_of(order: Column) -> Column:
+    return (order % F.lit(str(10**_ID_DIGITS)).cast("decimal(20,0)")).cast("long")
 
 
 def rank_band(code: Column | str = "rank_code") -> Column:
@@ -52,7 +61,7 @@ def _groups(banded: DataFrame, collation: str) -> DataFrame:
         name_key("taxon", collation).alias("_taxon"),
         name_key("family", collation).alias("_family"),
         "id",
-        F.when(F.col("depth") >= 1, (F.lit(_DEPTH_SPACE) - F.col("depth")) * F.lit(_ID_SPACE) + F.col("id")).alias("_order"),
+        F.when(F.col("depth") >= 1, _order(F.col("depth"), F.col("id"))).alias("_order"),
     )
     return keyed.groupBy("band", "_taxon", "_family").agg(
         F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"), F.min("_order").alias("_order")
@@ -101,7 +110,7 @@ def _winners(groups: DataFrame, keys: list[str]) -> DataFrame:
         .groupBy(*keys)
         .agg(F.min("_order").alias("_order"))
         .filter(F.col("_order").isNotNull())
-        .select("band", (F.col("_order") % F.lit(_ID_SPACE)).alias("id"))
+        .select("band", _id_of(F.col("_order")).alias("id"))
     )
 
 

@@ -9,24 +9,37 @@ Each round ends in a stored table.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import FAMILY_RANK, KEY, PARENT_ID, SCOPE, TAXON_ID
-from ..runtime import DEFAULT_COLLATION, is_root, materialize, same_name
+from ..runtime import DEFAULT_COLLATION, is_root, materialize, same_name, store
 from .skew import balanced_join
 
-MAX_DEPTH = 100
 _UP = "_up"
 
 
 class HierarchyError(ValueError):
-    """A path is longer than allowed, which usually means a cycle."""
+    """A path runs into a cycle or is longer than allowed.
+
+    ``path`` is a stored table of all (source, project, taxon) from which one starts.
+    """
+
+    def __init__(self, message: str, path: str):
+        super().__init__(message)
+        self.path = path
+
 
+def _fail(keys: DataFrame, reason: str) -> None:
+    path = store(keys.select(*KEY).distinct(), "bad-paths")
+    shown = [tuple(r) for r in keys.sparkSession.read.parquet(path).limit(20).collect()]
+    raise HierarchyError(f"{reason}; all taxa concerned are in {path}, among them {shown}", path)
 
-def _fail(keys: DataFrame, max_depth: int) -> None:
-    shown = [tuple(r) for r in keys.select(*KEY).limit(20).collect()]
-    raise HierarchyError(f"path longer than {max_depth} from (source, project, taxon): {shown}")
+
+def _fail_beyond(keys: DataFrame, max_depth: int) -> None:
+    _fail(keys, f"path longer than {max_depth}")
 
 
 def _parent_of() -> Column:
@@ -34,9 +47,11 @@ def _parent_of() -> Column:
     return F.when(F.col(PARENT_ID) != F.col(TAXON_ID), F.col(PARENT_ID))
 
 
-# Numbers of ways saturate here: on a cycle they grow without bound before the guard
-# on the path length stops the loop.
+# Numbers of ways saturate here: on a cycle they grow without bound until the lack of
+# progress ends the loop. A saturated number in the result is an error.
 _MANY = (1 << 63) - 1
+# Ways are expanded in two steps of at most so many rows from one.
+_WAYS = 1 << 20
 
 
 def _times(a: str, b: str) -> Column:
@@ -60,12 +75,13 @@ def closure_step(frontier: DataFrame, taxa: DataFrame) -> DataFrame:
     ).select(F.col(_UP).alias("AncestorID"), "DescendantID", (F.col("PathLength") + 1).alias("PathLength"), *SCOPE)
 
 
-def closure(taxa: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def closure(taxa: DataFrame, max_depth: int | None = None) -> DataFrame:
     """All (AncestorID, DescendantID, PathLength) per source and project.
 
     A bag: a taxon that occurs in several rows, or reaches an ancestor in several
     ways, appears once per way. Parents missing from the same source and project
-    end a path. Raises :class:`HierarchyError` beyond ``max_depth``.
+    end a path. Raises :class:`HierarchyError` on a cycle, and beyond ``max_depth``
+    where one is given.
     """
     rows = taxa.select(*KEY, _parent_of().alias(_UP))
     copies = materialize(rows.groupBy(*KEY).agg(F.count(F.lit(1)).alias("copies")), "keys")
@@ -100,10 +116,15 @@ def closure(taxa: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     reach = inner.select(
         *KEY, F.col(TAXON_ID).alias("AncestorID"), F.lit(0).cast("long").alias("PathLength"), F.col("copies").alias("n")
     )
-    covered = 1
-    while not _is_empty(jump):
-        if covered > max_depth:
-            _fail(jump, max_depth)
+    covered, before = 1, None
+    while left := jump.select(*KEY).distinct().count():
+        if max_depth is not None and covered > max_depth:
+            _fail_beyond(jump, max_depth)
+        if left == before:
+            # a path of twice the length has all shorter ones along it, so taxa drop out
+            # in every round as long as some path ends
+            _fail(jump, "path runs into a cycle")
+        before = left
         longer = balanced_join(
             jump.withColumnRenamed("n", "n0"),
             reach.withColumnRenamed(TAXON_ID, _UP),
@@ -126,9 +147,10 @@ def closure(taxa: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
         reach = reach.unionByName(materialize(longer, "reach"))
         jump = materialize(next_jump, "jump")
         covered *= 2
-    too_long = reach.filter(F.col("PathLength") + 1 > max_depth)
-    if not _is_empty(too_long):
-        _fail(too_long, max_depth)
+    if max_depth is not None:
+        too_long = reach.filter(F.col("PathLength") + 1 > max_depth)
+        if not _is_empty(too_long):
+            _fail_beyond(too_long, max_depth)
 
     itself = rows.select(
         F.col(TAXON_ID).alias("AncestorID"),
@@ -150,10 +172,20 @@ def closure(taxa: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
         _times("n0", "n").alias("n"),
     )
     if repeated:
-        above = above.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).drop("_copy")
+        above = _repeated(above)
     return itself.unionByName(above.drop("n"))
 
 
+def _repeated(above: DataFrame) -> DataFrame:
+    """Every row ``n`` times; no array has more than ``_WAYS`` entries below 2^40 ways."""
+    one, most = F.lit(1).cast("long"), F.lit(_WAYS).cast("long")
+    bounded = F.when(F.col("n") < _MANY, F.col("n")).otherwise(F.raise_error("too many ways between two taxa").cast("long"))
+    counted = above.withColumn("n", bounded)
+    parts = counted.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / most))))
+    rest = F.least(most, F.col("n") - F.col("_part") * most)
+    return parts.withColumn("_copy", F.explode(F.sequence(one, rest))).drop("_part", "_copy")
+
+
 def depth(closure_df: DataFrame) -> DataFrame:
     """Longest path of every taxon, from its closure."""
     return closure_df.groupBy(*SCOPE, F.col("DescendantID").alias(TAXON_ID)).agg(F.max("PathLength").alias("depth"))
@@ -170,7 +202,8 @@ def ancestor_families(taxa: DataFrame, closure_df: DataFrame, collation: str = D
 def too_deep(taxa: DataFrame, max_depth: int) -> DataFrame:
     """Taxa from which a path longer than ``max_depth`` starts, for error reports.
 
-    Taxa on or below a cycle are among them. Takes ``max_depth`` + 1 rounds.
+    Taxa on or below a cycle are among them. Takes ``max_depth`` + 1 rounds, or fewer
+    when no path is left.
     """
     rows = materialize(taxa.select(*KEY, _parent_of().alias(_UP)).distinct(), "edges")
     keys = rows.select(*KEY).distinct()
@@ -193,6 +226,8 @@ def too_deep(taxa: DataFrame, max_depth: int) -> DataFrame:
             .distinct(),
             "reaching",
         )
+        if _is_empty(reaching):
+            break
     return reaching
 
 
@@ -209,8 +244,11 @@ def climb(state: DataFrame, scope: list[str], node: str) -> tuple[DataFrame, int
     their chain runs into a cycle.
     """
     pending = state.filter(~F.col("arrived")).count()
+    done: list[DataFrame] = [state.filter("arrived")]
+    moving = state.filter(~F.col("arrived"))
     while pending:
-        ahead = state.select(
+        # a pointer leads to a node that has arrived before, or to one that moves as well
+        ahead = reduce(DataFrame.unionByName, [*done, moving]).select(
             *scope,
             F.col(node).alias("top"),
             F.col("top").alias("_top"),
@@ -218,8 +256,7 @@ def climb(state: DataFrame, scope: list[str], node: str) -> tuple[DataFrame, int
             F.col("arrived").alias("_arrived"),
             F.col("gain").alias("_gain"),
         )
-        moving = state.filter(~F.col("arrived")).drop("arrived")
-        moved = balanced_join(moving, ahead, [*scope, "top"], "inner", [node]).select(
+        moved = balanced_join(moving.drop("arrived"), ahead, [*scope, "top"], "inner", [node]).select(
             *scope,
             node,
             F.col("_top").alias("top"),
@@ -227,13 +264,15 @@ def climb(state: DataFrame, scope: list[str], node: str) -> tuple[DataFrame, int
             F.col("_arrived").alias("arrived"),
             F.coalesce("gain", _shift("_gain", F.col("dist"))).alias("gain"),
         )
-        state = materialize(state.filter("arrived").unionByName(moved), "climb")
-        left = state.filter(~F.col("arrived")).count()
+        moved = materialize(moved, "climb")
+        done.append(moved.filter("arrived"))
+        moving = moved.filter(~F.col("arrived"))
+        left = moving.count()
         if left == pending:
             # chains of every length have shorter ones inside, so no progress means cycles
             break
         pending = left
-    return state, pending
+    return reduce(DataFrame.unionByName, [*done, moving]), pending
 
 
 def _shift(gain: str, steps: Column) -> Column:
@@ -248,7 +287,7 @@ def _shift(gain: str, steps: Column) -> Column:
     )
 
 
-def lineage(taxa: DataFrame, max_depth: int = MAX_DEPTH, collation: str = DEFAULT_COLLATION) -> DataFrame:
+def lineage(taxa: DataFrame, max_depth: int | None = None, collation: str = DEFAULT_COLLATION) -> DataFrame:
     """Name, depth and family of every taxon: one row per (source, project, taxon id).
 
     ``depth`` is the longest path to a taxon without parent; ``family`` the name of
@@ -292,7 +331,7 @@ def lineage(taxa: DataFrame, max_depth: int = MAX_DEPTH, collation: str = DEFAUL
     )
     state, cyclic = climb(materialize(start, "climb"), SCOPE, TAXON_ID)
     if cyclic:
-        _fail(state.filter(~F.col("arrived")), max_depth)
+        _fail(state.filter(~F.col("arrived")), "path runs into a cycle")
     chain = state.select(
         *SCOPE,
         F.col(TAXON_ID).alias("_first"),
@@ -311,7 +350,7 @@ def lineage(taxa: DataFrame, max_depth: int = MAX_DEPTH, collation: str = DEFAUL
     )
     if has_multi:
         reached = materialize(reached, "reached")
-        forks = _fork_values(edges, multi, chain, max_depth)
+        forks = _fork_values(edges, multi, chain)
         reached = balanced_join(
             reached,
             forks.select(*SCOPE, F.col(TAXON_ID).alias("_anchor"), F.col("depth").alias("_d"), F.col("gain").alias("_g")),
@@ -325,51 +364,73 @@ def lineage(taxa: DataFrame, max_depth: int = MAX_DEPTH, collation: str = DEFAUL
             F.coalesce("gain", "_g").alias("gain"),
         )
     result = materialize(reached.select(*KEY, "taxon", "depth", F.col("gain.name").alias("family")), "lineage")
-    too_long = result.filter(F.col("depth") > max_depth)
-    if not _is_empty(too_long):
-        _fail(too_long, max_depth)
+    if max_depth is not None:
+        too_long = result.filter(F.col("depth") > max_depth)
+        if not _is_empty(too_long):
+            _fail_beyond(too_long, max_depth)
     return result
 
 
-def _fork_values(edges: DataFrame, multi: DataFrame, chain: DataFrame, max_depth: int) -> DataFrame:
+def _fork_values(edges: DataFrame, multi: DataFrame, chain: DataFrame) -> DataFrame:
     """Depth and family of the taxa with several parents.
 
     Works on the condensed graph in which a step leads from such a taxon to the end
-    of the chain above one of its parents. Each round takes one more step into
-    account and keeps one row per taxon; it ends when nothing changes.
+    of the chain above one of its parents. A taxon gets its values once all taxa that
+    its steps lead to have theirs, so each is written once; when none gets any, the
+    rest lies on or below a cycle.
     """
     zero = F.lit(0).cast("long")
     none = F.lit(None).cast("struct<dist:bigint,id:bigint,name:string>")
     above = materialize(balanced_join(edges, multi, KEY, "left_semi", [_UP]).distinct(), "forks")
-    steps = materialize(
-        balanced_join(
-            above.withColumnRenamed(_UP, "_first"), chain, [*SCOPE, "_first"], "inner", [TAXON_ID]
-        ).drop("_first"),
+    steps = balanced_join(
+        above.withColumnRenamed(_UP, "_first"), chain, [*SCOPE, "_first"], "inner", [TAXON_ID]
+    ).drop("_first")
+    forks = multi.select(*SCOPE, F.col(TAXON_ID).alias("_anchor"), F.lit(True).alias("_open"))
+    waiting = materialize(
+        balanced_join(steps, forks, [*SCOPE, "_anchor"], "left", [TAXON_ID, "_dist"])
+        .select(
+            *KEY,
+            "_anchor",
+            F.coalesce("_open", F.lit(False)).alias("_open"),
+            F.col("_dist").alias("depth"),
+            F.col("_dist").alias("_below"),
+            F.col("_gain").alias("gain"),
+        ),
         "forks",
     )
-    values = materialize(multi.select(*KEY, zero.alias("depth"), none.alias("gain")), "fork-values")
-    while True:
-        ahead = values.select(*SCOPE, F.col(TAXON_ID).alias("_anchor"), "depth", "gain")
-        best = (
-            balanced_join(steps, ahead, [*SCOPE, "_anchor"], "left", [TAXON_ID, "_dist"])
-            .select(
-                *KEY,
-                (F.col("_dist") + F.coalesce("depth", zero)).alias("_new_depth"),
-                F.coalesce("_gain", _shift("gain", F.col("_dist"))).alias("_new_gain"),
-            )
-            .groupBy(*KEY)
-            .agg(F.max("_new_depth").alias("_new_depth"), F.min("_new_gain").alias("_new_gain"))
+    left = multi.count()
+    stepless = multi.join(waiting.select(*KEY).distinct(), KEY, "left_anti")
+    values = [stepless.select(*KEY, zero.alias("depth"), none.alias("gain"))]
+    left -= stepless.count()
+    while left:
+        ready = materialize(
+            waiting.groupBy(*KEY)
+            .agg(F.max("_open").alias("_open"), F.max("depth").alias("depth"), F.min("gain").alias("gain"))
+            .filter(~F.col("_open"))
+            .drop("_open"),
+            "fork-values",
         )
-        both = materialize(values.join(best, KEY, "left"), "fork-values")
-        changed = both.filter(
-            (F.coalesce("_new_depth", zero) != F.col("depth")) | ~F.col("_new_gain").eqNullSafe(F.col("gain"))
+        done = ready.count()
+        if not done:
+            _fail(waiting, "path runs into a cycle")
+        values.append(ready)
+        left -= done
+        if not left:
+            break
+        ahead = ready.select(*SCOPE, F.col(TAXON_ID).alias("_anchor"), F.col("depth").alias("_d"), F.col("gain").alias("_g"))
+        still = waiting.join(ready.select(*KEY), KEY, "left_anti")
+        waiting = materialize(
+            balanced_join(still, ahead, [*SCOPE, "_anchor"], "left", [TAXON_ID, "_below"]).select(
+                *KEY,
+                "_anchor",
+                (F.col("_open") & F.col("_d").isNull()).alias("_open"),
+                (F.col("depth") + F.coalesce("_d", zero)).alias("depth"),
+                "_below",
+                F.coalesce("gain", _shift("_g", F.col("_below"))).alias("gain"),
+            ),
+            "forks",
         )
-        values = both.select(*KEY, F.coalesce("_new_depth", zero).alias("depth"), F.col("_new_gain").alias("gain"))
-        if _is_empty(changed):
-            return values
-        too_long = values.filter(F.col("depth") > max_depth)
-        if not _is_empty(too_long):
-            _fail(too_long, max_depth)
+    return materialize(reduce(DataFrame.unionByName, values), "fork-values")
 
 
 def family_of(taxa: DataFrame, lineage_df: DataFrame) -> DataFrame:

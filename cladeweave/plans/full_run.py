@@ -5,9 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..model import SCOPE, SOURCE, SourceSpec
-from ..operators.hierarchy import MAX_DEPTH, closure, lineage
+from ..model import SCOPE, SOURCE, SYNONYM_ORIGIN, TAXA_ORIGIN, SourceSpec, rank_dim, redlist_terms
+from ..operators.checks import all_violations
+from ..operators.hierarchy import closure, lineage
+from ..operators.ids import duplicates
 from ..operators.links import prepare_redlist, prepare_synonyms, relink_redlist, relink_synonyms
 from ..runtime import DEFAULT_COLLATION, materialize
 from ..sources import backbone as bb
@@ -32,6 +35,10 @@ class Staged:
     synonyms: DataFrame
     common_names: DataFrame
     redlist: DataFrame
+    #: rows that the target tables would reject: dataset, origin, column, kind
+    violations: DataFrame
+    #: origin keys that occur more than once: dataset, key, n
+    repeated: DataFrame
 
 
 @dataclass
@@ -43,6 +50,10 @@ class Merged:
     redlist: DataFrame
 
     def write(self, path: str) -> None:
+        spark = self.taxa.sparkSession
+        st.write_table(rank_dim(spark), f"{path}/ranks")
+        st.write_table(redlist_terms(spark), f"{path}/redlist_terms")
+        st.write_table(closure_after_merge(self.taxa), f"{path}/relations", [SOURCE])
         st.write_table(self.sources, f"{path}/sources")
         st.write_table(self.taxa, f"{path}/taxa", [SOURCE])
         st.write_table(self.synonyms, f"{path}/synonyms", [SOURCE])
@@ -65,23 +76,34 @@ def extract_all(
         taxa.append(cl.extract_taxa(t, source_id, spec.project_ids))
         synonyms.append(cl.extract_synonyms(t, source_id, spec.project_ids))
         common.append(cl.extract_common_names(t, source_id, spec.project_ids, spec.dbname))
-        red.append(cl.extract_redlist(t, source_id, spec.project_ids, spec.dbname, per_project))
+        red.append(cl.extract_redlist(t, source_id, spec.project_ids, spec.dbname, per_project, collation))
     if backbone:
         table = bb.read_backbone(spark, backbone.location, backbone.fmt)
-        taxa.append(bb.extract_backbone_taxa(table, len(names)))
-        synonyms.append(bb.extract_backbone_synonyms(table, len(names)))
+        taxa.append(bb.extract_backbone_taxa(table, len(names), collation))
+        synonyms.append(bb.extract_backbone_synonyms(table, len(names), collation))
     projects = {i: list(s.project_ids) for i, s in enumerate(specs, start=1)}
+    all_taxa = materialize(st.stage_taxa(st.union_sources(taxa)), "staged-taxa")
+    all_synonyms = materialize(st.union_sources(synonyms), "extracted-synonyms")
+    tables = {
+        "synonyms": materialize(st.stage_synonyms(all_synonyms), "synonyms"),
+        "common_names": materialize(st.stage_common_names(st.union_sources(common)), "common-names"),
+        "redlist": materialize(st.stage_redlist(st.union_sources(red)), "redlist"),
+    }
+    repeated = [
+        duplicates(df, keys).select(F.lit(name).alias("dataset"), F.to_json(F.struct(*keys)).alias("key"), "n")
+        for name, df, keys in (("taxa", all_taxa, TAXA_ORIGIN), ("synonyms", all_synonyms, SYNONYM_ORIGIN))
+    ]
     return Staged(
         sources=st.source_registry(spark, names),
-        taxa=st.number_taxa(st.stage_taxa(st.union_sources(taxa)), projects, collation),
-        synonyms=materialize(st.stage_synonyms(st.union_sources(synonyms)), "synonyms"),
-        common_names=materialize(st.stage_common_names(st.union_sources(common)), "common-names"),
-        redlist=materialize(st.stage_redlist(st.union_sources(red)), "redlist"),
+        taxa=st.number_taxa(all_taxa, projects, collation),
+        violations=materialize(all_violations({"taxa": all_taxa, **tables}), "violations"),
+        repeated=materialize(st.union_sources(repeated), "repeated"),
+        **tables,
     )
 
 
 def merge_all(
-    staged: Staged, collation: str = DEFAULT_COLLATION, winner_scope: str = "taxon", max_depth: int = MAX_DEPTH
+    staged: Staged, collation: str = DEFAULT_COLLATION, winner_scope: str = "taxon", max_depth: int | None = None
 ) -> Merged:
     """Merge the taxa and link the dependent rows.
 
@@ -101,7 +123,7 @@ def merge_all(
     )
 
 
-def closure_after_merge(merged: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def closure_after_merge(merged: DataFrame, max_depth: int | None = None) -> DataFrame:
     """The closure rebuilt on the merged rows, as other applications may want it.
 
     It stays in source coordinates: paths lie inside one source and project.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..operators.doubles import survivors, with_band, with_lineage
-from ..operators.hierarchy import MAX_DEPTH, lineage, prune_unconnected
+from ..operators.hierarchy import lineage, prune_unconnected
 from ..operators.parents import link_parents
 from ..operators.repair import repair_ranks
 from ..operators.skew import at_most
@@ -28,7 +28,7 @@ def merge_taxonomy(
     lineage_df: DataFrame | None = None,
     collation: str = DEFAULT_COLLATION,
     winner_scope: str = "taxon",
-    max_depth: int = MAX_DEPTH,
+    max_depth: int | None = None,
 ) -> DataFrame:
     """Merge numbered taxa into one tree.
 

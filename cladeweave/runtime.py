@@ -34,16 +34,20 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/cladeweave/{app}"
 
 
+def store(df: DataFrame, name: str) -> str:
+    """Write ``df`` as an intermediate table and give its path."""
+    path = f"{scratch_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table and read it back: lineage ends here.
 
     Unlike cached blocks the table survives lost executors, and its file sizes
     give the optimizer true statistics for the joins that follow.
     """
-    spark = df.sparkSession
-    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(store(df, name))
 
 
 def release(spark: SparkSession) -> None:
@@ -64,4 +68,5 @@ def same_name(left: Column | str, right: Column | str, collation: str = DEFAULT_
 
 
 def is_root(collation: str = DEFAULT_COLLATION) -> Column:
-    return same_name("taxon", F.lit(ROOT_NAME), collation)
+    """Whether a row is a root; a row without name is none."""
+    return F.coalesce(same_name("taxon", F.lit(ROOT_NAME), collation), F.lit(False))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..model import ACCEPTED_ID, PARENT_ID, PROJECT, SOURCE, TAXON_ID
+from ..runtime import DEFAULT_COLLATION, same_name
 from .checklist import tag_source
 
 # The columns of the table, and the kingdom that is taken.
@@ -39,30 +40,30 @@ def _filled(column: str) -> Column:
     return F.col(column).isNotNull() & (F.rtrim(F.col(column)) != "")
 
 
-def backbone_accepted(df: DataFrame) -> DataFrame:
+def backbone_accepted(df: DataFrame, collation: str = DEFAULT_COLLATION) -> DataFrame:
     """Accepted names of the kingdom that have a name and a parent name.
 
     The kingdom's own row is taken whatever its status.
     """
     usable = (
-        (F.col("taxonomicStatus") == "accepted")
+        same_name("taxonomicStatus", F.lit("accepted"), collation)
         & _filled("canonicalName")
         & _filled("parentCanonicalName")
-        & (F.col("kingdom") == KINGDOM)
+        & same_name("kingdom", F.lit(KINGDOM), collation)
     )
-    return df.filter(usable | (F.col("canonicalName") == KINGDOM))
+    return df.filter(usable | same_name("canonicalName", F.lit(KINGDOM), collation))
 
 
-def backbone_synonyms(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("taxonomicStatus") == "synonym")
+def backbone_synonyms(df: DataFrame, collation: str = DEFAULT_COLLATION) -> DataFrame:
+    return df.filter(same_name("taxonomicStatus", F.lit("synonym"), collation))
 
 
 def has_accepted_id(df: DataFrame) -> DataFrame:
     return df.filter(F.col("acceptedNameUsageID").isNotNull())
 
 
-def extract_backbone_taxa(df: DataFrame, source_id: int) -> DataFrame:
-    return tag_source(backbone_accepted(df), source_id, 0).select(
+def extract_backbone_taxa(df: DataFrame, source_id: int, collation: str = DEFAULT_COLLATION) -> DataFrame:
+    return tag_source(backbone_accepted(df, collation), source_id, 0).select(
         SOURCE,
         F.col("TaxonID").alias(TAXON_ID),
         F.col("parentNameUsageID").alias(PARENT_ID),
@@ -75,8 +76,8 @@ def extract_backbone_taxa(df: DataFrame, source_id: int) -> DataFrame:
     ).distinct()
 
 
-def extract_backbone_synonyms(df: DataFrame, source_id: int) -> DataFrame:
-    return tag_source(has_accepted_id(backbone_synonyms(df)), source_id, 0).select(
+def extract_backbone_synonyms(df: DataFrame, source_id: int, collation: str = DEFAULT_COLLATION) -> DataFrame:
+    return tag_source(has_accepted_id(backbone_synonyms(df, collation)), source_id, 0).select(
         SOURCE,
         F.col("TaxonID").alias(TAXON_ID),
         PROJECT,

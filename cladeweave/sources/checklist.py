@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import names
 from ..model import ACCEPTED_ID, PARENT_ID, PROJECT, REDLIST_LABELS, REDLIST_PROJECT_RANGES, SOURCE, TAXON_ID, SourceSpec
 from ..operators.skew import ROW, balanced_join, balanced_outer, dimension_join, numbered
+from ..runtime import DEFAULT_COLLATION, materialize, name_key
 
 # Tables of a checklist database and the columns that are used.
 TABLES = {
@@ -48,6 +49,9 @@ TABLES = {
 
 Tables = dict[str, DataFrame]
 
+#: ranges of NameID that a table of a database is read in
+JDBC_PARTITIONS = 32
+
 #: a name in a project
 _MEMBER = ["NameID", "ProjectID"]
 
@@ -56,7 +60,7 @@ def read_checklist(spark: SparkSession, spec: SourceSpec) -> Tables:
     """The tables of one source, reduced to the columns in use.
 
     File formats are read from ``location/<table>``. Over JDBC, tables with a NameID
-    are read in parallel ranges of it; the option ``numPartitions`` says how many.
+    are read in parallel ranges of it, ``JDBC_PARTITIONS`` or the option ``numPartitions``.
     """
     if spec.fmt == "jdbc":
         return {name: _read_jdbc(spark, spec, name, columns) for name, columns in TABLES.items()}
@@ -64,17 +68,30 @@ def read_checklist(spark: SparkSession, spec: SourceSpec) -> Tables:
     return {name: reader.load(f"{spec.location}/{name}").select(*columns) for name, columns in TABLES.items()}
 
 
+def jdbc_options(spec: SourceSpec, table: str, columns: list[str], ends: tuple[int, int] | None) -> dict[str, str]:
+    """Reader options of a table; with the least and greatest NameID it is read in ranges."""
+    options = {"numPartitions": str(JDBC_PARTITIONS), **spec.options, "url": spec.location, "dbtable": table}
+    if ends is None or "NameID" not in columns:
+        del options["numPartitions"]
+        return options
+    low, high = map(str, ends)
+    return options | {"partitionColumn": "NameID", "lowerBound": low, "upperBound": high}
+
+
+def jdbc_ends_options(spec: SourceSpec, table: str) -> dict[str, str]:
+    """Reader options of the query for the least and greatest NameID."""
+    query = f"SELECT MIN(NameID) AS lo, MAX(NameID) AS hi FROM {table}"
+    return {k: v for k, v in spec.options.items() if k != "numPartitions"} | {"url": spec.location, "query": query}
+
+
 def _read_jdbc(spark: SparkSession, spec: SourceSpec, table: str, columns: list[str]) -> DataFrame:
-    options = {**spec.options, "url": spec.location}
-    reader = spark.read.format("jdbc").options(**options)
-    parts = int(spec.options.get("numPartitions", "1"))
-    if parts > 1 and "NameID" in columns:
-        ends = reader.option("query", f"SELECT MIN(NameID) AS lo, MAX(NameID) AS hi FROM {table}").load().first()
-        if ends["lo"] is not None:
-            reader = reader.options(
-                partitionColumn="NameID", lowerBound=str(ends["lo"]), upperBound=str(ends["hi"]), numPartitions=str(parts)
-            )
-    return reader.option("dbtable", table).load().select(*columns)
+    """A table, read once in parallel and stored: later scans and counts spare the database."""
+    ends = None
+    if "NameID" in columns:
+        found = spark.read.format("jdbc").options(**jdbc_ends_options(spec, table)).load().first()
+        ends = None if found["lo"] is None else (found["lo"], found["hi"])
+    read = spark.read.format("jdbc").options(**jdbc_options(spec, table, columns, ends)).load()
+    return materialize(read.select(*columns), f"jdbc-{table}")
 
 
 # --- filters and joins --------------------------------------------------------------
@@ -210,6 +227,12 @@ def extract_taxa(t: Tables, source_id: int, project_ids: Sequence[int]) -> DataF
     ).distinct()
 
 
+def list_members(named: DataFrame, t: Tables) -> DataFrame:
+    """Rows of ``named`` once per list of their name, with the list's project."""
+    lists = t["TaxonNameList"].select("NameID", F.col("ProjectID").alias("ListProjectID"))
+    return balanced_join(lists, named, ["NameID"], "inner", ["ListProjectID"])
+
+
 def synonym_targets(members: DataFrame, t: Tables) -> DataFrame:
     """Add ``SynNameID``: what the name is a synonym of, in any project."""
     return balanced_join(t["TaxonSynonymy"], members, ["NameID"], "inner", ["SynNameID"])
@@ -273,14 +296,14 @@ def redlist_projects(df: DataFrame, db_name: str) -> DataFrame:
     return df if bounds is None else df.filter(F.col("ProjectID").between(*bounds))
 
 
-def redlist_properties(df: DataFrame) -> DataFrame:
+def redlist_properties(df: DataFrame, collation: str = DEFAULT_COLLATION) -> DataFrame:
     """Rows whose property label belongs to a red list."""
-    return df.filter(F.col("DisplayText").isin(REDLIST_LABELS))
+    return df.filter(name_key("DisplayText", collation).isin(*[name_key(F.lit(x), collation) for x in REDLIST_LABELS]))
 
 
-def redlist_values(t: Tables, db_name: str) -> DataFrame:
+def redlist_values(t: Tables, db_name: str, collation: str = DEFAULT_COLLATION) -> DataFrame:
     """Red-list properties with their references, a bag."""
-    labels = redlist_properties(t["TaxonNameListAnalysisCategory"])
+    labels = redlist_properties(t["TaxonNameListAnalysisCategory"], collation)
     analysis = numbered(redlist_projects(t["TaxonNameListAnalysis"], db_name))
     values = dimension_join(analysis, labels, ["AnalysisID"], "inner", [ROW])
     members = redlist_projects(t["TaxonNameList"], db_name)
@@ -290,7 +313,12 @@ def redlist_values(t: Tables, db_name: str) -> DataFrame:
 
 
 def extract_redlist(
-    t: Tables, source_id: int, project_ids: Sequence[int], db_name: str, per_project: bool = True
+    t: Tables,
+    source_id: int,
+    project_ids: Sequence[int],
+    db_name: str,
+    per_project: bool = True,
+    collation: str = DEFAULT_COLLATION,
 ) -> DataFrame:
     """Red-list values with term and reference.
 
@@ -298,7 +326,7 @@ def extract_redlist(
     them all. ``per_project=False`` gives them once, under the first project.
     """
     projects = list(project_ids) if per_project else list(project_ids)[:1]
-    return redlist_values(t, db_name).select(
+    return redlist_values(t, db_name, collation).select(
         F.lit(source_id).cast("long").alias(SOURCE),
         F.col("NameID").alias(TAXON_ID),
         F.explode(F.array(*[F.lit(p).cast("long") for p in projects])).alias(PROJECT),

@@ -244,10 +244,8 @@ def staged_taxa(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staged_synonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
     first = F.col("o_orderstatus") == "P"
-    second = (F.col("o_orderstatus") == "O") & (F.col("o_orderkey") % 2 == 0)
-    return orders.filter(first | second).select(
+    return table(spark, sf_dir, "orders").select(
         F.when(first, _long(1)).otherwise(_long(2)).alias("TaxonomySourceID"),
         (F.col("o_orderkey") + 5000000).alias("SourceTaxonID"),
         _long(PROJECT).alias("SourceProjectID"),
@@ -260,9 +258,7 @@ def staged_synonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def staged_redlist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        table(spark, sf_dir, "lineitem")
-        .filter("l_returnflag = 'R' AND l_linenumber = 1")
-        .select(
+        table(spark, sf_dir, "lineitem").select(
             (F.col("l_orderkey") % 2 + 1).alias("TaxonomySourceID"),
             (F.col("l_suppkey") * 3 + 1000000).alias("SourceTaxonID"),
             _long(PROJECT).alias("SourceProjectID"),
@@ -279,7 +275,7 @@ def staged_common_names(spark: SparkSession, sf_dir: str) -> DataFrame:
         _long(1).alias("TaxonomySourceID"),
         (F.col("doc_id") % n_customers + 1000000).alias("SourceTaxonID"),
         _long(PROJECT).alias("SourceProjectID"),
-        F.substring("text", 1, 255).alias("name"),
+        F.col("text").alias("name"),
         F.col("lang").alias("code"),
         F.lit("customer").alias("db_name"),
     )

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import re
 
-from cladeweave.model import RANK_CODES, RANK_RENAMES, REDLIST_LABELS, REDLIST_TERMS
+from cladeweave.model import CONSTRAINTS, RANK_CODES, RANK_RENAMES, REDLIST_LABELS, REDLIST_TERMS
+from cladeweave.sources.checklist import TABLES
 
 _RANKS = ", ".join(f"('{r}', {c})" for r, c in RANK_CODES)
 _TERMS = ", ".join(f"({i}, '{t}', '{c}', '{lang}')" for i, t, c, lang in REDLIST_TERMS)
@@ -236,9 +237,9 @@ CTES: dict[str, str] = {
     # --- dependents
     "syn": """SELECT CASE o_orderstatus WHEN 'P' THEN 1 ELSE 2 END::BIGINT AS s, 5000000 + o_orderkey AS sid, 1::BIGINT AS prj,
         1000000 + CASE o_orderstatus WHEN 'P' THEN o_custkey ELSE 3 * (o_custkey // 3) END AS acc, 'Syn' || o_orderkey AS taxon
-      FROM orders WHERE o_orderstatus = 'P' OR o_orderstatus = 'O' AND o_orderkey % 2 = 0""",
+      FROM orders""",
     "red": """SELECT (1 + l_orderkey % 2)::BIGINT AS s, 1000000 + 3 * l_suppkey AS sid, 1::BIGINT AS prj, 'RL-Kategorie' AS term,
-        l_returnflag || l_linestatus AS value FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber = 1""",
+        l_returnflag || l_linestatus AS value FROM lineitem""",
     "firstname": """SELECT t.s, t.prj, t.sid, t.taxon, f.family FROM taxa t
       LEFT JOIN fam f ON f.s = t.s AND f.prj = t.prj AND f.sid = t.sid""",
     "psyn": """SELECT y.*, f.taxon AS acc_taxon, f.family FROM syn y
@@ -248,10 +249,62 @@ CTES: dict[str, str] = {
     "mname": "SELECT taxon, fc, min(id) AS id FROM merged WHERE fc IS NOT NULL GROUP BY ALL",
 }
 
+#: CTEs of the tables of a checklist
+_CHECKLIST = {
+    "TaxonName": "tn",
+    "TaxonNameProject": "tnp",
+    "TaxonHierarchy": "th",
+    "TaxonAcceptedName": "tan",
+    "TaxonSynonymy": "tsyn",
+    "TaxonCommonName": "tcn",
+    "TaxonNameList": "tnl",
+    "TaxonNameListReference": "tnlr",
+    "TaxonNameListAnalysis": "tnla",
+    "TaxonNameListAnalysisCategory": "tnlac",
+}
+
+
+def _all_rows() -> str:
+    """Every row of every checklist table as (table, row)."""
+    parts = ["SELECT 'TaxonNameTaxonomicRank_Enum' AS \"table\", rank || '|' || rank_code AS \"row\" FROM ranks"]
+    for name, cte in _CHECKLIST.items():
+        columns = ", ".join(f"coalesce({c}::VARCHAR, '-')" for c in TABLES[name])
+        parts.append(f"SELECT '{name}', concat_ws('|', {columns}) FROM {cte}")
+    return " UNION ALL ".join(parts)
+
+
+#: extracted rows by table, with the names of the staged columns
+_EXTRACTED = {
+    "taxa": """SELECT TaxonomySourceID, SourceTaxonID, SourceProjectID, canonicalName AS taxon,
+        scientificNameAuthorShip AS author, parentCanonicalName AS parent_taxon, taxonRank AS rank, scientificName FROM (FROM xtaxa UNION ALL FROM bbtaxa)""",
+    "synonyms": """SELECT TaxonomySourceID, SourceTaxonID, SourceProjectID, SourceAcceptedTaxonID, canonicalName AS taxon,
+        scientificNameAuthorShip AS author, taxonRank AS rank FROM (FROM xsyn UNION ALL FROM bbsyn)""",
+    "common_names": """SELECT 1::BIGINT AS TaxonomySourceID, NameID AS SourceTaxonID, 85::BIGINT AS SourceProjectID,
+        CommonName AS name, LanguageCode AS code, 'Vertebrata' AS db_name FROM tcn""",
+    "redlist": """SELECT TaxonomySourceID, SourceTaxonID, SourceProjectID, Term AS term, Value AS value, Reference AS reference
+        FROM xred""",
+}
+
+
+def _broken() -> str:
+    """Rows that break a rule, one line per rule."""
+    parts = []
+    for dataset, rules in CONSTRAINTS.items():
+        for column, nullable, longest in rules:
+            tests = [] if nullable else [("null", f"{column} IS NULL")]
+            tests += [] if longest is None else [("length", f"length({column}) > {longest}")]
+            for kind, test in tests:
+                parts.append(
+                    f"""SELECT '{dataset}' AS dataset, TaxonomySourceID, SourceTaxonID, SourceProjectID,
+                      '{column}' AS "column", '{kind}' AS kind FROM ({_EXTRACTED[dataset]}) WHERE {test}"""
+                )
+    return " UNION ALL ".join(parts)
+
+
 _ORIGIN = "s AS TaxonomySourceID, prj AS SourceProjectID, sid AS SourceTaxonID"
 
 FINAL: dict[str, str] = {
-    "read_checklist": "SELECT * FROM tn",
+    "read_checklist": _all_rows(),
     "read_backbone": "SELECT * FROM bb",
     "union_sources": """SELECT TaxonomySourceID, SourceTaxonID, SourceParentTaxonID, SourceProjectID, canonicalName AS taxon,
         scientificNameAuthorShip AS author, parentCanonicalName AS parent_taxon, taxonRank AS rank, scientificName
@@ -271,23 +324,25 @@ FINAL: dict[str, str] = {
       FROM syn""",
     "write_common_names": """SELECT 1::BIGINT AS TaxonomySourceID,
         1000000 + doc_id % (SELECT count(*) FROM customer) AS SourceTaxonID, 1::BIGINT AS SourceProjectID,
-        left(text, 255) AS name, lang AS code, 'customer' AS db_name FROM documents""",
+        text AS name, lang AS code, 'customer' AS db_name FROM documents""",
     "write_redlist": f"SELECT {_ORIGIN}, term, value, NULL::VARCHAR AS reference FROM red",
     "write_closure": """SELECT anc AS AncestorID, des AS DescendantID, len AS PathLength, s AS TaxonomySourceID,
       prj AS SourceProjectID FROM clo""",
     "ordered_ids": "SELECT id, s AS TaxonomySourceID, sid AS SourceTaxonID, psid AS SourceParentTaxonID FROM taxa WHERE s > 0",
-    "origin_unique": """SELECT SourceTaxonID, TaxonomySourceID, SourceAcceptedTaxonID, count(*) AS n FROM xsyn
-      GROUP BY ALL HAVING count(*) > 1""",
-    "constraint_violations": """SELECT NameID, 'name' AS "column", 'length' AS kind FROM tcn WHERE length(CommonName) > 255
-      UNION ALL SELECT NameID, 'code', 'length' FROM tcn WHERE length(LanguageCode) > 2
-      UNION ALL SELECT NameID, 'name', 'null' FROM tcn WHERE CommonName IS NULL
-      UNION ALL SELECT NameID, 'code', 'null' FROM tcn WHERE LanguageCode IS NULL""",
+    "origin_unique": """SELECT 'synonyms' AS dataset, SourceTaxonID, TaxonomySourceID, SourceAcceptedTaxonID AS other, n
+      FROM (SELECT SourceTaxonID, TaxonomySourceID, SourceAcceptedTaxonID, count(*) AS n FROM xsyn GROUP BY ALL HAVING n > 1)
+      UNION ALL SELECT 'taxa', SourceTaxonID, TaxonomySourceID, SourceParentTaxonID, n
+      FROM (SELECT SourceTaxonID, TaxonomySourceID, SourceParentTaxonID, count(*) AS n FROM xtaxa
+        WHERE SourceParentTaxonID IS NOT NULL GROUP BY ALL HAVING n > 1)""",
+    "constraint_violations": _broken(),
     "canonical_name": "SELECT NameID, canonicalName FROM named",
     "zoo_authorship": f"SELECT NameID, {_ZOO} AS authorship FROM named",
     "botanical_authorship": f"SELECT NameID, {_BOT} AS authorship FROM named",
     "authorship": f"SELECT NameID, {_AUTHORSHIP} AS scientificNameAuthorShip FROM named",
-    "parent_canonical_name": """SELECT n.NameID, h.NameParentID, p.canonicalName AS parentCanonicalName FROM tn n
-      LEFT JOIN th h ON h.NameID = n.NameID AND h.ProjectID = 85 LEFT JOIN named p ON p.NameID = h.NameParentID""",
+    "parent_canonical_name": """SELECT n.NameID, n.ProjectID::BIGINT AS ProjectID, h.NameParentID,
+        p.canonicalName AS parentCanonicalName
+      FROM tnp n LEFT JOIN th h ON h.NameID = n.NameID AND h.ProjectID = n.ProjectID
+        LEFT JOIN named p ON p.NameID = h.NameParentID""",
     "null_or_empty": """SELECT NameID, coalesce(trim(BasionymAuthors), '') = '' AS BasionymAuthors,
         coalesce(trim(CombiningAuthors), '') = '' AS CombiningAuthors,
         coalesce(trim(SanctioningAuthor), '') = '' AS SanctioningAuthor,
@@ -313,23 +368,25 @@ FINAL: dict[str, str] = {
     "redlist_projects": "SELECT NameID, ProjectID::BIGINT AS ProjectID FROM tnl WHERE ProjectID BETWEEN 923 AND 927",
     "rank_band": "SELECT t.id, t.rank, b.band FROM taxa t JOIN band b ON b.id = t.id",
     "drop_parentless": "SELECT id, band, parent_taxon FROM bnd",
-    "name_project": "SELECT NameID, TaxonNameCache FROM tn WHERE NameID IN (SELECT NameID FROM tnp WHERE ProjectID = 930)",
+    "name_project": "SELECT NameID, ProjectID::BIGINT AS ProjectID, TaxonNameCache FROM tn JOIN tnp USING (NameID)",
     "name_hierarchy": """SELECT p.NameID, p.ProjectID::BIGINT AS ProjectID, h.NameParentID FROM tnp p
       LEFT JOIN th h ON h.NameID = p.NameID AND h.ProjectID = p.ProjectID""",
-    "parent_name": """SELECT n.NameID, h.NameParentID, p.GenusOrSupragenericName AS genus, p.SpeciesEpithet AS species,
-        p.TaxonomicRank AS rank
-      FROM tn n LEFT JOIN th h ON h.NameID = n.NameID AND h.ProjectID = 85 LEFT JOIN tn p ON p.NameID = h.NameParentID""",
+    "parent_name": """SELECT n.NameID, n.ProjectID::BIGINT AS ProjectID, h.NameParentID,
+        p.GenusOrSupragenericName AS genus, p.SpeciesEpithet AS species, p.TaxonomicRank AS rank
+      FROM tnp n LEFT JOIN th h ON h.NameID = n.NameID AND h.ProjectID = n.ProjectID
+        LEFT JOIN tn p ON p.NameID = h.NameParentID""",
     "rank_lookup": """SELECT NameID, r.rank_code::BIGINT AS DisplayOrder FROM tn
       LEFT JOIN ranks r ON r.rank = tn.TaxonomicRank""",
-    "list_fanout": """SELECT DISTINCT n.NameID, n.TaxonomicRank, n.TaxonNameCache FROM tn n
-      JOIN tnp p ON p.NameID = n.NameID LEFT JOIN tnl l ON l.NameID = n.NameID WHERE p.ProjectID = 85""",
-    "synonym_target": """SELECT u.NameID, s.SynNameID FROM unaccepted u JOIN tsyn s ON s.NameID = u.NameID
-      WHERE u.ProjectID = 85""",
-    "common_name_join": """SELECT c.NameID, c.CommonName, c.LanguageCode FROM tcn c JOIN tn ON tn.NameID = c.NameID
-      LEFT JOIN tnp p ON p.NameID = c.NameID WHERE p.ProjectID = 85""",
+    "list_fanout": """SELECT l.ProjectID::BIGINT AS ListProjectID, p.ProjectID::BIGINT AS ProjectID, n.NameID, n.TaxonomicRank,
+        n.TaxonNameCache
+      FROM tnl l JOIN tn n ON n.NameID = l.NameID JOIN tnp p ON p.NameID = n.NameID""",
+    "synonym_target": """SELECT u.NameID, u.ProjectID::BIGINT AS ProjectID, s.SynNameID
+      FROM unaccepted u JOIN tsyn s ON s.NameID = u.NameID""",
+    "common_name_join": """SELECT c.NameID, p.ProjectID::BIGINT AS ProjectID, c.CommonName, c.LanguageCode
+      FROM tcn c JOIN tn ON tn.NameID = c.NameID JOIN tnp p ON p.NameID = c.NameID""",
     "redlist_join": "SELECT * FROM rlvalues",
     "closure_step": """SELECT anc AS AncestorID, des AS DescendantID, len AS PathLength, s AS TaxonomySourceID,
-      prj AS SourceProjectID FROM clo WHERE len = 2""",
+      prj AS SourceProjectID FROM clo WHERE len > 0""",
     "self_doubles": """SELECT t.id, t.band, EXISTS (SELECT 1 FROM bnd o WHERE o.band = t.band AND o.taxon = t.taxon
       AND o.id <> t.id) AS is_double FROM bnd t""",
     "ancestor_family": """SELECT s AS TaxonomySourceID, prj AS SourceProjectID, des AS DescendantID, len AS PathLength, family,
@@ -347,7 +404,8 @@ FINAL: dict[str, str] = {
       LEFT JOIN mname m ON m.taxon = y.acc_taxon AND m.fc = y.family""",
     "count_rows": """SELECT 'taxa' AS dataset, TaxonomySourceID, count(*) AS n FROM (SELECT TaxonomySourceID FROM xtaxa
         UNION ALL SELECT TaxonomySourceID FROM bbtaxa) GROUP BY ALL
-      UNION ALL SELECT 'synonyms', TaxonomySourceID, count(*) FROM xsyn GROUP BY ALL
+      UNION ALL SELECT 'synonyms', TaxonomySourceID, count(*) FROM (SELECT TaxonomySourceID FROM xsyn
+        UNION ALL SELECT TaxonomySourceID FROM bbsyn) GROUP BY ALL
       UNION ALL SELECT 'common_names', TaxonomySourceID, count(*) FROM xnames GROUP BY ALL
       UNION ALL SELECT 'redlist', TaxonomySourceID, count(*) FROM xred GROUP BY ALL""",
     "max_path_length": "SELECT max(depth) AS max_path_length FROM dep",
@@ -403,22 +461,67 @@ FINAL: dict[str, str] = {
     "extract_redlist": "SELECT * FROM xred",
     "extract_backbone_taxa": "SELECT * FROM bbtaxa",
     "extract_backbone_synonyms": "SELECT * FROM bbsyn",
+    "backbone_accepted_collated": """SELECT TaxonID, canonicalName FROM (
+        SELECT * REPLACE (CASE WHEN TaxonID % 2 = 1 THEN upper(taxonomicStatus) ELSE taxonomicStatus END AS taxonomicStatus,
+          CASE WHEN TaxonID % 2 = 1 THEN replace(kingdom, 'a', chr(225)) ELSE kingdom END AS kingdom) FROM bb)
+      WHERE (strip_accents(lower(taxonomicStatus)) = 'accepted' AND canonicalName <> '' AND parentCanonicalName <> ''
+          AND strip_accents(lower(kingdom)) = 'animalia')
+        OR strip_accents(lower(canonicalName)) = 'animalia'""",
+}
+
+#: A whole run merges the extracted rows instead of the staged ones.
+_RUN_CTES = {
+    "stg": """SELECT TaxonomySourceID AS s, SourceTaxonID AS sid, SourceParentTaxonID AS psid, SourceProjectID AS prj,
+        canonicalName AS taxon, scientificNameAuthorShip AS author, parentCanonicalName AS parent_taxon, taxonRank AS rank,
+        scientificName FROM (FROM xtaxa UNION ALL FROM bbtaxa)""",
+    "taxa": f"""SELECT t.*, coalesce(r.rank_code, 0)::BIGINT AS code FROM (
+        SELECT 4 + row_number() OVER (ORDER BY s, prj, sid, psid NULLS FIRST) AS id, s, sid, psid, prj, taxon, parent_taxon,
+          {_RENAME} AS rank, NULL::BIGINT AS parent_id FROM stg
+        UNION ALL SELECT * FROM (VALUES (1, 0, 1, NULL, 0, 'root', NULL, 'root', NULL),
+          (2, 0, 2, 1, 0, 'Animalia', 'root', 'reg.', 1), (3, 0, 3, 1, 0, 'Plantae', 'root', 'reg.', 1),
+          (4, 0, 4, 1, 0, 'Fungi', 'root', 'reg.', 1))) t
+      LEFT JOIN ranks r ON r.rank = t.rank""",
+    "syn": """SELECT TaxonomySourceID AS s, SourceTaxonID AS sid, SourceProjectID AS prj, SourceAcceptedTaxonID AS acc,
+        canonicalName AS taxon, scientificNameAuthorShip AS author FROM (FROM xsyn UNION ALL FROM bbsyn)""",
+    "red": """SELECT TaxonomySourceID AS s, SourceTaxonID AS sid, SourceProjectID AS prj, Term AS term, Value AS value,
+        Reference AS reference FROM xred""",
+}
+
+_RUN_FINAL = {
+    "full_run_taxa": f"""SELECT m.id, m.s AS TaxonomySourceID, m.prj AS SourceProjectID, m.sid AS SourceTaxonID,
+        m.psid AS SourceParentTaxonID, m.taxon, x.author, m.parent_taxon, x.scientificName, m.parent_id, m.rank,
+        m.fc AS "familyCache"
+      FROM merged m LEFT JOIN stg x ON x.s = m.s AND x.prj = m.prj AND x.sid = m.sid
+        AND x.psid IS NOT DISTINCT FROM m.psid""",
+    "full_run_synonyms": """SELECT y.s AS TaxonomySourceID, y.prj AS SourceProjectID, y.sid AS SourceTaxonID,
+        y.acc AS SourceAcceptedTaxonID, y.taxon, y.author, coalesce(k.id, m.id) AS syn_taxon_id
+      FROM psyn y LEFT JOIN mkey k ON k.s = y.s AND k.prj = y.prj AND k.sid = y.acc
+        LEFT JOIN mname m ON m.taxon = y.acc_taxon AND m.fc = y.family""",
+    "full_run_redlist": """SELECT y.s AS TaxonomySourceID, y.prj AS SourceProjectID, y.sid AS SourceTaxonID, y.term, y.value,
+        y.reference, coalesce(k.id, m.id) AS taxon_id
+      FROM pred y LEFT JOIN mkey k ON k.s = y.s AND k.prj = y.prj AND k.sid = y.sid
+        LEFT JOIN mname m ON m.taxon = y.taxon AND m.fc = y.family""",
+    "full_run_common_names": """SELECT TaxonomySourceID, SourceTaxonID, SourceProjectID, CommonName AS name, Code AS code, db_name
+      FROM xnames""",
 }
 
 
-def _needed(text: str, seen: dict[str, None], name: str = "") -> None:
+def _needed(text: str, ctes: dict[str, str], seen: dict[str, None], name: str = "") -> None:
     for word in re.findall(r"(?:FROM|JOIN)\s+(\w+)", text):
-        if word in CTES and word != name and word not in seen:
-            _needed(CTES[word], seen, word)
+        if word in ctes and word != name and word not in seen:
+            _needed(ctes[word], ctes, seen, word)
             seen[word] = None
 
 
 def oracle_queries() -> dict[str, str]:
     """SQL per query: the final select with the common table expressions it needs."""
     out = {}
-    for name, final in FINAL.items():
-        seen: dict[str, None] = {}
-        _needed(final, seen)
-        ctes = ",\n".join(f"{c} AS MATERIALIZED ({CTES[c]})" if c not in ("clo", "conn", "mclo") else f"{c} AS ({CTES[c]})" for c in seen)
-        out[name] = f"WITH RECURSIVE {ctes}\n{final}" if seen else final
+    for finals, ctes in ((FINAL, CTES), (_RUN_FINAL, CTES | _RUN_CTES)):
+        for name, final in finals.items():
+            seen: dict[str, None] = {}
+            _needed(final, ctes, seen)
+            parts = [
+                f"{c} AS {'' if c in ('clo', 'conn', 'mclo') else 'MATERIALIZED '}({ctes[c]})" for c in seen
+            ]
+            out[name] = f"WITH RECURSIVE {', '.join(parts)}\n{final}" if seen else final
     return out

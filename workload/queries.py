@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cladeweave import model
 from cladeweave.functions import names, ranks
 from cladeweave.operators import checks, doubles, hierarchy, ids, links, parents, repair
+from cladeweave.operators.skew import dimension_join
 from cladeweave.plans import full_run, merge
 from cladeweave.runtime import BINARY, scratch_root
 from cladeweave.sources import backbone, checklist, staging
@@ -55,7 +56,14 @@ def read_checklist(spark, sf_dir):
     for name, df in stages(spark, sf_dir).checklist.items():
         df.write.parquet(f"{path}/{name}")
     spec = model.SourceSpec("first", DB, path, fx.PROJECTS)
-    return checklist.read_checklist(spark, spec)["TaxonName"]
+    rows = [
+        df.select(
+            F.lit(name).alias("table"),
+            F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in checklist.TABLES[name]]).alias("row"),
+        )
+        for name, df in checklist.read_checklist(spark, spec).items()
+    ]
+    return staging.union_sources(rows)
 
 
 @query
@@ -139,18 +147,35 @@ def ordered_ids(spark, sf_dir):
 
 @query
 def origin_unique(spark, sf_dir):
-    """Origin keys of the synonyms of both projects, taken as one project."""
+    """Origin keys that repeat when the projects of a source are taken as one."""
     t = stages(spark, sf_dir).checklist
-    both = checklist.extract_synonyms(t, 1, fx.PROJECTS)
-    return ids.duplicates(both, [model.TAXON_ID, model.SOURCE, model.ACCEPTED_ID])
+    found = []
+    for dataset, df, other in (
+        ("synonyms", checklist.extract_synonyms(t, 1, fx.PROJECTS), model.ACCEPTED_ID),
+        ("taxa", checklist.extract_taxa(t, 1, fx.PROJECTS), model.PARENT_ID),
+    ):
+        repeated = ids.duplicates(df, [model.TAXON_ID, model.SOURCE, other])
+        found.append(repeated.withColumnRenamed(other, "other").withColumn("dataset", F.lit(dataset)))
+    return staging.union_sources(found)
 
 
 @query
 def constraint_violations(spark, sf_dir):
-    t = stages(spark, sf_dir).checklist
-    raw = t["TaxonCommonName"].select("NameID", F.col("CommonName").alias("name"), F.col("LanguageCode").alias("code"))
-    rules = [r for r in model.CONSTRAINTS["common_names"] if r[0] in ("name", "code")]
-    return checks.violations(raw, rules, ["NameID"])
+    """All rules on the rows of all four tables; common names before they are cut."""
+    s = stages(spark, sf_dir)
+    t, table = s.checklist, fx.backbone(spark, sf_dir)
+    raw = checklist.tag_source(t["TaxonCommonName"], 1, P1, DB)
+    rows = {
+        "taxa": staging.stage_taxa(staging.union_sources(_extracted_taxa(spark, sf_dir))),
+        "synonyms": staging.stage_synonyms(
+            checklist.extract_synonyms(t, 1, fx.PROJECTS).unionByName(backbone.extract_backbone_synonyms(table, 2))
+        ),
+        "common_names": staging.stage_common_names(
+            raw.withColumnsRenamed({"NameID": model.TAXON_ID, "LanguageCode": "Code"})
+        ),
+        "redlist": staging.stage_redlist(checklist.extract_redlist(t, 1, fx.PROJECTS, DB)),
+    }
+    return checks.all_violations(rows)
 
 
 # --- projections ----------------------------------------------------------------------
@@ -184,10 +209,10 @@ def authorship(spark, sf_dir):
 @query
 def parent_canonical_name(spark, sf_dir):
     t = stages(spark, sf_dir).checklist
-    own = checklist.with_hierarchy(checklist.project_members(t, [P1]), t, [P1])
+    own = checklist.with_hierarchy(checklist.project_members(t, fx.PROJECTS), t, fx.PROJECTS)
     parent = {"canonicalName": "parentCanonicalName"}
     return checklist.with_parent_name(own, _names(spark, sf_dir), parent).select(
-        "NameID", "NameParentID", "parentCanonicalName"
+        "NameID", F.col("ProjectID").cast("long").alias("ProjectID"), "NameParentID", "parentCanonicalName"
     )
 
 
@@ -215,7 +240,9 @@ def truncate_cast(spark, sf_dir):
 @query
 def redlist_term(spark, sf_dir):
     t = stages(spark, sf_dir).checklist
-    return t["TaxonNameListAnalysis"].join(F.broadcast(t["TaxonNameListAnalysisCategory"]), "AnalysisID").select(
+    return dimension_join(
+        t["TaxonNameListAnalysis"], t["TaxonNameListAnalysisCategory"], ["AnalysisID"], "inner", ["NameID", "ProjectID"]
+    ).select(
         "NameID", F.col("ProjectID").cast("long").alias("ProjectID"), "AnalysisValue", names.redlist_term(F.col("DisplayText")).alias("Term")
     )
 
@@ -280,7 +307,8 @@ def has_accepted_id(spark, sf_dir):
 @query
 def redlist_properties(spark, sf_dir):
     t = stages(spark, sf_dir).checklist
-    labelled = t["TaxonNameListAnalysis"].join(F.broadcast(t["TaxonNameListAnalysisCategory"]), "AnalysisID")
+    categories = t["TaxonNameListAnalysisCategory"]
+    labelled = dimension_join(t["TaxonNameListAnalysis"], categories, ["AnalysisID"], "inner", ["NameID", "ProjectID"])
     return checklist.redlist_properties(labelled).select(
         "NameID", F.col("ProjectID").cast("long").alias("ProjectID"), "DisplayText", "AnalysisValue"
     )
@@ -310,8 +338,8 @@ def drop_parentless(spark, sf_dir):
 @query
 def name_project(spark, sf_dir):
     t = stages(spark, sf_dir).checklist
-    return checklist.with_name(checklist.project_members(t, [P2]), t["TaxonName"], ["ProjectID"]).select(
-        "NameID", "TaxonNameCache"
+    return checklist.with_name(checklist.project_members(t, fx.PROJECTS), t["TaxonName"], ["ProjectID"]).select(
+        "NameID", F.col("ProjectID").cast("long").alias("ProjectID"), "TaxonNameCache"
     )
 
 
@@ -325,10 +353,10 @@ def name_hierarchy(spark, sf_dir):
 @query
 def parent_name(spark, sf_dir):
     t = stages(spark, sf_dir).checklist
-    own = checklist.with_hierarchy(checklist.project_members(t, [P1]), t, [P1])
+    own = checklist.with_hierarchy(checklist.project_members(t, fx.PROJECTS), t, fx.PROJECTS)
     return checklist.with_parent_name(
         own, t["TaxonName"], {"GenusOrSupragenericName": "genus", "SpeciesEpithet": "species", "TaxonomicRank": "rank"}
-    ).select("NameID", "NameParentID", "genus", "species", "rank")
+    ).select("NameID", F.col("ProjectID").cast("long").alias("ProjectID"), "NameParentID", "genus", "species", "rank")
 
 
 @query
@@ -341,23 +369,26 @@ def rank_lookup(spark, sf_dir):
 
 @query
 def list_fanout(spark, sf_dir):
-    """The lists are left out: joining them would only repeat rows."""
+    """A name once per list that it stands on, whatever the list's project."""
     t = stages(spark, sf_dir).checklist
-    return checklist.with_name(checklist.project_members(t, [P1]), t["TaxonName"], ["ProjectID"]).select(
-        "NameID", "TaxonomicRank", "TaxonNameCache"
-    ).distinct()
+    named = checklist.with_name(checklist.project_members(t, fx.PROJECTS), t["TaxonName"], ["ProjectID"])
+    return checklist.list_members(named, t).select(
+        F.col("ListProjectID").cast("long").alias("ListProjectID"), F.col("ProjectID").cast("long").alias("ProjectID"), "NameID", "TaxonomicRank", "TaxonNameCache"
+    )
 
 
 @query
 def synonym_target(spark, sf_dir):
     t = stages(spark, sf_dir).checklist
-    own = checklist.not_accepted(checklist.project_members(t, [P1]), t, [P1])
-    return checklist.synonym_targets(own, t).select("NameID", "SynNameID")
+    own = checklist.not_accepted(checklist.project_members(t, fx.PROJECTS), t, fx.PROJECTS)
+    return checklist.synonym_targets(own, t).select("NameID", F.col("ProjectID").cast("long").alias("ProjectID"), "SynNameID")
 
 
 @query
 def common_name_join(spark, sf_dir):
-    return checklist.common_names(stages(spark, sf_dir).checklist, [P1]).select("NameID", "CommonName", "LanguageCode")
+    return checklist.common_names(stages(spark, sf_dir).checklist, fx.PROJECTS).select(
+        "NameID", F.col("ProjectID").cast("long").alias("ProjectID"), "CommonName", "LanguageCode"
+    )
 
 
 @query
@@ -370,7 +401,7 @@ def redlist_join(spark, sf_dir):
 @query
 def closure_step(spark, sf_dir):
     s = stages(spark, sf_dir)
-    return hierarchy.closure_step(s.closure.filter("PathLength = 1"), s.taxa).select(
+    return hierarchy.closure_step(s.closure, s.taxa).select(
         "AncestorID", "DescendantID", "PathLength", *model.SCOPE
     )
 
@@ -445,7 +476,15 @@ def count_rows(spark, sf_dir):
     t = stages(spark, sf_dir).checklist
     sets = {
         "taxa": staging.union_sources(_extracted_taxa(spark, sf_dir)),
-        "synonyms": checklist.extract_synonyms(t, 1, fx.PROJECTS),
+        "synonyms": staging.union_sources(
+            [
+                df.select(model.SOURCE)
+                for df in (
+                    checklist.extract_synonyms(t, 1, fx.PROJECTS),
+                    backbone.extract_backbone_synonyms(fx.backbone(spark, sf_dir), 2),
+                )
+            ]
+        ),
         "common_names": checklist.extract_common_names(t, 1, fx.PROJECTS, DB),
         "redlist": checklist.extract_redlist(t, 1, fx.PROJECTS, DB),
     }
@@ -715,3 +754,46 @@ def extract_backbone_taxa(spark, sf_dir):
 @query
 def extract_backbone_synonyms(spark, sf_dir):
     return backbone.extract_backbone_synonyms(fx.backbone(spark, sf_dir), 2)
+
+
+# --- a whole run -------------------------------------------------------------------------------
+
+
+def _full_run(spark, sf_dir) -> full_run.Merged:
+    return stages(spark, sf_dir).full_run
+
+
+@query
+def full_run_taxa(spark, sf_dir):
+    return _full_run(spark, sf_dir).taxa.select(
+        "id", *KEY, model.PARENT_ID, "taxon", "author", "parent_taxon", "scientificName", "parent_id", "rank", "familyCache"
+    )
+
+
+@query
+def full_run_synonyms(spark, sf_dir):
+    return _full_run(spark, sf_dir).synonyms.select(*KEY, model.ACCEPTED_ID, "taxon", "author", "syn_taxon_id")
+
+
+@query
+def full_run_redlist(spark, sf_dir):
+    return _full_run(spark, sf_dir).redlist.select(*KEY, "term", "value", "reference", "taxon_id")
+
+
+@query
+def full_run_common_names(spark, sf_dir):
+    return _full_run(spark, sf_dir).common_names
+
+
+@query
+def backbone_accepted_collated(spark, sf_dir):
+    """The backbone with the case of status and kingdom changed in some rows."""
+    table = fx.backbone(spark, sf_dir)
+    odd = F.col("TaxonID") % 2 == 1
+    mixed = table.withColumns(
+        {
+            "taxonomicStatus": F.when(odd, F.upper("taxonomicStatus")).otherwise(F.col("taxonomicStatus")),
+            "kingdom": F.when(odd, F.regexp_replace("kingdom", "a", "\u00e1")).otherwise(F.col("kingdom")),
+        }
+    )
+    return backbone.backbone_accepted(mixed).select("TaxonID", "canonicalName")

@@ -6,13 +6,15 @@ shared folder.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cladeweave.model import SourceSpec
 from cladeweave.operators import doubles, hierarchy, links, parents, repair
-from cladeweave.plans import merge
-from cladeweave.runtime import BINARY, materialize
+from cladeweave.plans import full_run, merge
+from cladeweave.runtime import BINARY, materialize, scratch_root
 from cladeweave.sources import staging
 
 from . import fixtures
@@ -37,6 +39,17 @@ class Stages:
     def checklist(self) -> dict[str, DataFrame]:
         return fixtures.checklist(self.spark, self.sf_dir)
 
+    @cached_property
+    def full_run(self) -> full_run.Merged:
+        """Extraction from stored source tables, merge and links."""
+        root = f"{scratch_root(self.spark)}/sources-{uuid.uuid4().hex}"
+        for name, df in self.checklist.items():
+            df.write.parquet(f"{root}/checklist/{name}")
+        fixtures.backbone(self.spark, self.sf_dir).write.parquet(f"{root}/backbone")
+        spec = SourceSpec("checklist", fixtures.SPECIES_LIST_DB, f"{root}/checklist", fixtures.PROJECTS)
+        backbone = full_run.Backbone("backbone", f"{root}/backbone")
+        return full_run.merge_all(full_run.extract_all(self.spark, [spec], backbone, BINARY), BINARY)
+
     @cached_property
     def taxa(self) -> DataFrame:
         return materialize(
