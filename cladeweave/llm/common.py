@@ -35,6 +35,14 @@ def utf8(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 
 
+def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``batches`` in slices of about ``STEP_BYTES``."""
+    for batch in batches:
+        rows = max(1, min(batch.num_rows, batch.num_rows * STEP_BYTES // max(1, batch.nbytes)))
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def map_batches(
     df: DataFrame,
     fn: Callable[[dict[str, list]], dict[str, list]],
@@ -50,11 +58,8 @@ def map_batches(
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = max(1, min(batch.num_rows, batch.num_rows * STEP_BYTES // max(1, batch.nbytes)))
-            for at in range(0, batch.num_rows, rows):
-                out = fn(batch.slice(at, rows).to_pydict())
-                yield pa.RecordBatch.from_pydict(out, schema=arrow)
+        for batch in steps(batches):
+            yield pa.RecordBatch.from_pydict(fn(batch.to_pydict()), schema=arrow)
 
     return df.mapInArrow(run, schema)
 

@@ -7,9 +7,11 @@ from functools import lru_cache
 
 import numpy as np
 
-from .tokens import Memo
+from .tokens import Memo, pieces
 
 END_ID = 2
+#: fixed by byte-level vocabularies: the letter that stands for a space
+SPACE = "\u0120"
 
 
 class Encoder:
@@ -26,14 +28,48 @@ class Encoder:
         self.dtype = np.dtype("<u4" if self.wide else "<u2")
         self._end = np.array([END_ID], self.dtype).tobytes()
         self._memo = Memo(self._piece)
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
+        self._spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._spaced[[i for token, i in vocabulary.items() if token.startswith(SPACE)]] = True
+        self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
 
     def _piece(self, text: str) -> bytes:
         ids = self._tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, self.dtype).tobytes()
 
+    def _learn(self, parts: list[list[str]]) -> None:
+        """Encode the new pieces of some texts in one call.
+
+        Each begins with the only space it has, so its first token is the only one that
+        begins with a space, which tells the pieces apart in the result.
+        """
+        wanted: set[str] = set()
+        for part in parts:
+            wanted.update(part[1:])
+        new = [p for p in self._memo.unknown(wanted) if p and " " not in p]
+        text = " " + " ".join(new)
+        if any(a in text for a in self._added):  # such pieces are encoded one by one
+            new = [p for p in new if not any(a in p for a in self._added)]
+            text = " " + " ".join(new)
+        if not new:
+            return
+        (encoded,) = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        ids = np.array(encoded.ids, self.dtype)
+        starts = np.flatnonzero(self._spaced[ids])
+        if len(starts) == len(new) and starts[0] == 0:
+            edges = (np.append(starts, len(ids)) * self.dtype.itemsize).tolist()
+            packed = ids.tobytes()
+            self._memo.make_room(len(new))
+            self._memo.update(zip(new, [packed[a:b] for a, b in zip(edges, edges[1:])]))
+
+    def documents(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of every text and the end id."""
+        parts = [pieces(t or "") for t in texts]
+        self._learn(parts)
+        return [np.frombuffer(b"".join([*self._memo.all(p), self._end]), self.dtype) for p in parts]
+
     def document(self, text: str | None) -> np.ndarray:
-        """Ids of ``text`` and the end id."""
-        return np.frombuffer(b"".join([*self._memo.all(text), self._end]), self.dtype)
+        return self.documents([text])[0]
 
 
 @lru_cache(maxsize=2)

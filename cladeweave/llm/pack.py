@@ -165,8 +165,8 @@ def cut(docs: DataFrame, tokenizer: str, tokens: int) -> DataFrame:
 
     def batch(rows: dict[str, list]) -> dict[str, list]:
         e, out = encoder(tokenizer), []
-        for doc_id, text in zip(rows["doc_id"], rows["text"]):
-            ids = e.document(text).astype("<u4")
+        for doc_id, ids in zip(rows["doc_id"], e.documents(rows["text"])):
+            ids = ids.astype("<u4")
             edges = [0, *range((len(ids) - 1) % tokens + 1, len(ids) + 1, tokens)]
             for piece, (a, b) in enumerate(zip(edges, edges[1:])):
                 out.append((doc_id, piece, a, b - a, zlib.crc32(ids[a:b].tobytes())))

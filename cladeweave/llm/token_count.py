@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_batches, utf8
-from .tokens import Memo
+from .tokens import Memo, pieces
 
 SCHEMA = "doc_id long, n_bytes long, n_tokens long"
 
@@ -90,7 +90,7 @@ class Counter:
         return sum(map(self._plain, self._special.split(text))) + len(self._special.findall(text))
 
     def count(self, text: str | None) -> int:
-        return sum(self.memo.all(text))
+        return sum(self.memo.all(pieces(text or "")))
 
 
 @lru_cache(maxsize=2)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import fields, record
+from .common import fields, record, steps
 from .encoder import encoder
 
 SEGMENT_TOKENS = 1 << 20
@@ -150,9 +150,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, segment_tokens: int
             row = [[part], [number], [first], [len(ids)], [size], [pack_segment(doc_ids, ids)]]
             return record(row, arrow)
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                doc = e.document(text.as_py())
+        for batch in steps(batches):
+            for doc_id, doc in zip(batch.column(0), e.documents(batch.column(1).to_pylist())):
                 if ids and size + len(doc) > segment_tokens:
                     yield full()
                     number, first, doc_ids, ids, size = number + 1, first + size, [], [], 0

@@ -11,8 +11,8 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-#: entries after which a memo starts anew
-MEMO = 400_000
+#: entries of a generation of a memo
+MEMO = 500_000
 #: longer pieces are not remembered
 MEMO_LENGTH = 64
 
@@ -35,24 +35,39 @@ def pieces(text: str) -> list[str]:
 
 
 class Memo(dict):
-    """Results by piece, the leading space being understood."""
+    """Results by piece, the leading space being understood.
+
+    There are two generations of at most ``limit`` entries each: when the young one is
+    full it becomes the old one, whose entries move on as they are met again.
+    """
 
     def __init__(self, fn: Callable[[str], object], limit: int = MEMO):
         super().__init__()
-        self._fn, self._limit = fn, limit
+        self._fn, self._limit, self._old = fn, limit, {}
 
     def __missing__(self, piece: str):
-        result = self._fn(" " + piece)
+        result = self._old.get(piece)
+        if result is None:
+            result = self._fn(" " + piece)
+        self.add(piece, result)
+        return result
+
+    def add(self, piece: str, result) -> None:
         if len(piece) <= MEMO_LENGTH:
-            if len(self) >= self._limit:
-                self.clear()
+            self.make_room(1)
             self[piece] = result
-        return result
 
-    def all(self, text: str | None) -> list:
-        """Results of all pieces of ``text`` in order."""
-        if not text:
-            return []
-        first, *rest = pieces(text)
-        found = list(map(self.__getitem__, rest))
-        return [self._fn(first), *found] if first else found
+    def make_room(self, n: int) -> None:
+        if len(self) + n > self._limit:
+            self._old = dict(self)
+            self.clear()
+
+    def unknown(self, wanted: set[str]) -> list[str]:
+        """Those of ``wanted`` that are worth remembering and not known."""
+        old = self._old
+        return [p for p in wanted if p not in self and p not in old and len(p) <= MEMO_LENGTH]
+
+    def all(self, parts: list[str]) -> list:
+        """Results of the :func:`pieces` of a text in order."""
+        found = list(map(self.__getitem__, parts[1:]))
+        return [self._fn(parts[0]), *found] if parts[0] else found

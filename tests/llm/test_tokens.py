@@ -1,3 +1,4 @@
+import bisect
 import random
 import zlib
 
@@ -7,7 +8,7 @@ import pytest
 from cladeweave.llm import pack, token_file
 from cladeweave.llm.encoder import END_ID, encoder
 from cladeweave.llm.token_count import count_symbols, count_tokens, counter
-from cladeweave.llm.tokens import Memo
+from cladeweave.llm.tokens import Memo, pieces
 
 from .conftest import ODD
 
@@ -24,6 +25,14 @@ def test_random_texts_like_the_library(library, tokenizer):
         assert e.document(text).tolist() == [*want, END_ID]
 
 
+def test_many_texts_at_once_like_the_library(library, tokenizer):
+    rnd, e = random.Random(2), encoder(tokenizer)
+    for special in ("", "<|endoftext|>"):
+        texts = ["".join(rnd.choice([*PARTS[:10], *PARTS[11:], special]) for _ in range(rnd.randint(0, 30))) for _ in range(300)]
+        want = [[*library.encode(t, add_special_tokens=False).ids, END_ID] for t in [*texts, *map(str, ODD[1:])]]
+        assert [x.tolist() for x in e.documents([*texts, *ODD[1:]])] == want
+
+
 def test_merging_takes_the_lowest_rank_and_then_the_leftmost():
     ranks = {(b"a", b"a"): 1, (b"aa", b"b"): 0, (b"b", b"c"): 2}
     assert count_symbols(b"aaa", ranks) == 2
@@ -33,7 +42,7 @@ def test_merging_takes_the_lowest_rank_and_then_the_leftmost():
 
 def test_memo_is_bounded():
     memo = Memo(len, limit=3)
-    assert memo.all("a bb ccc dddd eeeee") == [1, 3, 4, 5, 6] and len(memo) <= 3
+    assert memo.all(pieces("a bb ccc dddd eeeee")) == [1, 3, 4, 5, 6] and len(memo) <= 3
 
 
 def test_count_tokens(docs_of, library, tokenizer):
@@ -132,13 +141,28 @@ def test_packing_rows_without_id_and_none(docs_of, tokenizer):
     assert pack.pack(docs_of([]), tokenizer).collect() == []
 
 
-def test_plan_is_near_the_bound_and_independent_of_numbers():
-    rnd = random.Random(4)
-    counts = {n: rnd.randint(1, 1000) for n in range(1, 1025)}
-    used = pack.plan(counts).sequences
-    assert used <= 1.001 * sum(n * c for n, c in counts.items()) / 1024
-    many = pack.plan({n: 1000 * c for n, c in counts.items()})
-    assert len(many.rank) < 20_000
+def best_fit_one_by_one(counts, capacity=1024):
+    """Sequences that best fit with decreasing lengths takes, piece by piece."""
+    left = []
+    for n in sorted(counts, reverse=True):
+        for _ in range(counts[n]):
+            at = bisect.bisect_left(left, n)
+            rest = left.pop(at) - n if at < len(left) else capacity - n
+            bisect.insort(left, rest)
+    return len(left)
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_plan_takes_as_few_sequences_as_one_by_one(seed):
+    rnd = random.Random(seed)
+    counts = {n: rnd.randint(1, 9) for n in range(1, 1025) if rnd.random() < 0.8}
+    assert pack.plan(counts).sequences <= best_fit_one_by_one(counts)
+
+
+def test_plan_does_not_grow_with_the_documents():
+    counts = {n: 1 + n % 7 for n in range(1, 1025)}
+    few, many = pack.plan(counts), pack.plan({n: 10**6 * c for n, c in counts.items()})
+    assert len(many.rank) < 3 * len(few.rank) + 20_000
 
 
 def test_plan_refuses_what_cannot_fit():
