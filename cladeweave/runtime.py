@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,27 +37,54 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/cladeweave/{app}"
 
 
-def store(df: DataFrame, name: str) -> str:
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables stored within this block when it ends.
+
+    What is stored with ``keep`` belongs to the block around it, or lasts.
+    """
+    outer = _scopes.get()
+    made: list[str] = []
+    token = _scopes.set((*outer, made))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        for path in made:
+            _delete(spark, path)
+
+
+def store(df: DataFrame, name: str, keep: bool = False) -> str:
     """Write ``df`` as an intermediate table and give its path."""
     path = f"{scratch_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    scopes = _scopes.get()
+    scopes = scopes[:-1] if keep else scopes
+    if scopes:
+        scopes[-1].append(path)
     df.write.parquet(path)
     return path
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as a table and read it back: lineage ends here.
 
     Unlike cached blocks the table survives lost executors, and its file sizes
     give the optimizer true statistics for the joins that follow.
     """
-    return df.sparkSession.read.schema(df.schema).parquet(store(df, name))
+    return df.sparkSession.read.schema(df.schema).parquet(store(df, name, keep))
 
 
 def release(spark: SparkSession) -> None:
     """Delete all intermediate tables of this application."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, scratch_root(spark))
 
 
 def name_key(column: Column | str, collation: str = DEFAULT_COLLATION) -> Column:
