@@ -1,23 +1,23 @@
 """Toxicity by a factorization machine over hashed terms.
 
 Terms are the words of a text in lower case and the first letters of longer words, each
-hashed into 2**20 buckets. A text is the set of its buckets. On Spark, the labelled
-documents of the training fold are counted per bucket and label; the buckets that tell the
-labels apart best (by likelihood ratio, all training rows counted, ``TERMS`` at most) are
-the terms of the model. The machine has a weight and a vector of ``FACTORS`` numbers
-per term:
+hashed into 2**20 buckets. A text is the set of its buckets. The model is fitted on a
+bounded sample, at most ``ROWS`` labelled documents of the training fold, those with the
+least hashes of their ids. On Spark, their buckets are counted per label; the buckets that
+tell the labels apart best (by likelihood ratio, ``TERMS`` at most) are the terms of the
+model. The machine has a weight and a vector of ``FACTORS`` numbers per term:
 
     logit = w0 + sum_i w_i + sum_{i<j} <v_i, v_j>,
 
-so pairs of terms count beyond their sum. It is fitted by minibatch gradients on at most
-``ROWS`` labelled documents of the training fold, the least by the hash of their id, of
-which only the numbers of their terms (``TERMS`` at most a row) reach the driver. The
-model has ``TERMS * (FACTORS + 1)`` numbers and goes to the tasks as a broadcast.
+so pairs of terms count beyond their sum. It is fitted by minibatch gradients on the
+sample, of which only the numbers of the terms reach the driver. The model has
+``TERMS * (FACTORS + 1)`` numbers and goes to the tasks as a broadcast.
 
 Nulls and odd cases: a null or empty text has no terms and scores the model's bias;
 labels that are null or neither 0 nor 1 are ignored, and so are documents whose labels
-contradict each other; repeated documents each give a row; without labelled documents
-of both kinds every score is the share of label 1, or 0 when there are none.
+contradict each other; repeated documents each give a row, and one of them is learned
+from; without labelled documents of both kinds every score is the share of label 1, or 0
+when there are none.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import materialize
+from ..runtime import materialize, temporary
 from .common import map_batches, utf8
 
 BUCKETS = 1 << 20
@@ -94,18 +94,24 @@ def _logit(bias: float, w: np.ndarray, v: np.ndarray) -> float:
     return bias + w.sum() + 0.5 * float((total * total).sum() - (v * v).sum())
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """Training rows: doc_id, terms, y."""
+def labelled(docs: DataFrame, labels: DataFrame, label: str, max_rows: int = ROWS) -> DataFrame:
+    """Training rows: doc_id, y, terms, of at most ``max_rows`` labels of the training fold.
+
+    The labels are chosen before the texts are looked up, so what is broadcast has at most
+    ``max_rows`` rows and no other text is shuffled. Of rows that share a doc_id the least
+    text counts.
+    """
     y = (
         labels.select(F.col("doc_id").cast("long"), F.col(label).cast("int").alias("y"))
-        .filter(F.col("y").isin(0, 1))
+        .filter(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
         .groupBy("doc_id")
         .agg(F.min("y").alias("y"), F.max("y").alias("_most"))
         .filter(F.col("y") == F.col("_most"))
         .drop("_most")
     )
+    chosen = materialize(y.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows), "labels")
     known = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows = known.filter(~held_out("doc_id")).join(y, "doc_id")
+    rows = known.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
 
     def batch(rows: dict[str, list]) -> dict[str, list]:
         return {"doc_id": rows["doc_id"], "y": rows["y"], "terms": [sorted(terms(t)) for t in rows["text"]]}
@@ -171,7 +177,12 @@ def _fit(x: list[np.ndarray], y: np.ndarray, n_terms: int) -> tuple[float, np.nd
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = ROWS) -> Machine:
     """Learn ``label`` from the training fold."""
-    rows = materialize(labelled(docs, labels, label), "terms")
+    with temporary(docs.sparkSession):
+        return _fitted(docs, labels, label, max_rows)
+
+
+def _fitted(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> Machine:
+    rows = materialize(labelled(docs, labels, label, max_rows), "terms")
     n, positive = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
     key = uuid.uuid4().hex
     if not positive or positive == n:
@@ -183,10 +194,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
 
     def batch(rows: dict[str, list]) -> dict[str, list]:
         known = wanted.value
-        return {"y": rows["y"], "x": [[known[t] for t in found if t in known] for found in rows["terms"]]}
+        return {"doc_id": rows["doc_id"], "y": rows["y"], "x": [[known[t] for t in found if t in known] for found in rows["terms"]]}
 
-    sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows).select("y", "terms")
-    got = map_batches(sample, batch, "y int, x array<int>").collect()  # at most max_rows
+    sample = map_batches(rows.select("doc_id", "y", "terms"), batch, "doc_id long, y int, x array<int>")
+    got = sorted(sample.collect(), key=lambda r: r["doc_id"])  # at most max_rows
     x = [np.array(r["x"], np.int64) for r in got]
     bias, weights, vectors = _fit(x, np.array([r["y"] for r in got], float), len(chosen))
     return Machine(term, bias, weights, vectors, key)

@@ -34,9 +34,11 @@ def test_pairs_are_learned(spark, docs_of):
     got = {r.doc_id: r.score for r in tx.score(frame, machine).collect()}
     held = [i for i in truth if zlib.crc32(str(i).encode()) % 5 == 0]
     assert np.mean([(got[i] >= 0.5) == truth[i] for i in held]) > 0.97
-    # additive weights alone do not tell "both" from "one of them" as far apart
-    both, one = machine.score(tx.terms("vermin folk")), machine.score(tx.terms("vermin"))
-    assert both > 0.8 > 0.4 > one
+    score = lambda text: machine.score(tx.terms(text))
+    assert score("vermin folk") > 0.5 > max(score("vermin"), score("folk"))
+    # the pair counts beyond the sum of its parts
+    logit = lambda text: np.log(score(text) / (1 - score(text)))
+    assert logit("vermin folk") + machine.bias > logit("vermin") + logit("folk") + 0.5
 
 
 def test_scores_do_not_depend_on_held_out_labels(spark, docs_of):
