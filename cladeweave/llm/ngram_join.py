@@ -14,18 +14,23 @@ blocks are bounded by their count vectors and the rest is verified on the whole
 
 1. A scan counts the tokens that repeat within a task; sums over all tasks give the most
    frequent ones (``FREQUENT`` at most; which ones only changes the order).
-2. A second scan makes per document its size, fingerprint, point and first tokens. Equal
-   sets of a task are one node. Tokens travel packed by bucket of their hash, tokens that
-   are estimated above ``SPLIT`` in several buckets.
-3. Per bucket, tokens with two nodes or more stay, and each node is paired with the first
-   node of its token. These pairs, as many as places in blocks, are bounded and verified;
-   their components usually are whole groups of copies.
-4. Only tokens whose nodes lie in different components are left. Each is a block with an
-   R-tree of its nodes' points; pairs from different components that the tree cannot rule
-   out are verified. Blocks above ``BLOCK`` nodes are cut into parts that meet pairwise.
-
-A pair that shares a first token thus is in one component after step 3 or is looked at in
-step 4; no link between different sets is lost, and copies are never expanded.
+2. A second scan makes per document its size, fingerprint and first tokens, at least all
+   infrequent ones whose hash lies in the first ``SAMPLE`` of the range. Equal sets of a
+   task are one node. Tokens travel packed by bucket of their hash, tokens that are
+   estimated above ``SPLIT`` in several buckets.
+3. Per bucket, tokens with two nodes or more stay. Of the sampled tokens of a linked set,
+   all but (100 - percent)% of its size are tokens of another set, so nodes with fewer
+   such tokens go, twice over. What is left is mostly groups of copies; their whole sets
+   and points are made.
+4. Each node is paired with the first node of its token. These pairs, as many as places
+   in blocks, are bounded and verified; their components usually are whole groups.
+5. Only tokens whose nodes lie in different components are left, one for each set of nodes.
+   Each is a block with an R-tree of its nodes' points; pairs from different components
+   that the tree cannot rule out are verified. Blocks of one leaf are joined without a
+   tree, and blocks above ``BLOCK`` nodes are cut into parts that meet pairwise.
+
+A pair that shares a first token thus is in one component after step 4 or is looked at in
+step 5; no link between different sets is lost, and copies are never expanded.
 
 Nulls and odd cases: null or wordless texts have an empty set, link with nothing and are
 their own component; documents of fewer words than a shingle have one; rows without
@@ -46,10 +51,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..runtime import materialize
-from .common import STEP_BYTES, fields, identified, record
+from .common import fields, identified, record, steps
 from .components import components
-from .count_rtree import GROUPS, CountTree, may_link
-from .count_rtree import group_counts
+from .count_rtree import FANOUT, CountTree, group_counts, may_link, overlap_bound, read_points
 from .shingles import fingerprint, shingles
 
 PERCENT = 75
@@ -60,24 +64,23 @@ REPEATED = 8
 WINDOW = 1 << 22
 #: first tokens a bucket should hold, nodes of a token from which it is split, of a block
 BUCKET, SPLIT, BLOCK = 500_000, 200_000, 4096
+#: share of the range of hashes whose tokens are all compared
+SAMPLE = 3 / 8
 
 _COUNTS = fields("token long, n long")
 _SIGNED = fields(
-    "node long, doc_id long, row long, size int, hi long, lo long, point binary, "
+    "node long, doc_id long, row long, size int, hi long, lo long, sampled int, "
     "bucket long, base long, tokens binary, nodes binary"
 )
-_MET = fields("token long, node long, first long")
+_MET = fields("token long, node long, sampled int")
 _PAIR = fields("a long, b long")
-_SET = fields("node long, tokens binary")
+_SET = fields("node long, size int, point binary, tokens binary")
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list]]:
     """doc_ids, hashes of the row and texts in steps of bounded size."""
-    for batch in batches:
-        rows = max(1, min(batch.num_rows, batch.num_rows * STEP_BYTES // max(1, batch.nbytes)))
-        for at in range(0, batch.num_rows, rows):
-            part = batch.slice(at, rows)
-            yield tuple(part.column(name).to_pylist() for name in ("doc_id", "row", "text"))
+    for batch in steps(batches):
+        yield tuple(batch.column(name).to_pylist() for name in ("doc_id", "row", "text"))
 
 
 def prefix_length(size: int, percent: int = PERCENT) -> int:
@@ -110,6 +113,10 @@ def _repeated(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(count, _COUNTS).groupBy("token").agg(F.sum("n").alias("n"))
 
 
+def _sample_end() -> np.uint64:
+    return np.uint64(int(SAMPLE * 2**64))
+
+
 class Order:
     """The common order of tokens: rare ones by hash, then frequent ones by count."""
 
@@ -118,13 +125,15 @@ class Order:
         self._tokens = np.array([t for t, _ in pairs], np.uint64)
         self._counts = np.array([n for _, n in pairs], np.int64)
 
-    def first(self, tokens: np.ndarray, n: int) -> np.ndarray:
+    def first(self, tokens: np.ndarray, n: int) -> tuple[np.ndarray, int]:
+        """The first ``n`` tokens or all sampled ones if more, and the number of the latter."""
         count = self.counts(tokens)
-        rare = tokens[count == 0][:n]
-        if len(rare) == n:
-            return rare
+        rare = tokens[count == 0]
+        sampled = int(np.searchsorted(rare, _sample_end()))
+        if len(rare) >= n:
+            return rare[: max(n, sampled)], sampled
         often = tokens[count > 0]
-        return np.concatenate([rare, often[np.lexsort((often, count[count > 0]))][: n - len(rare)]])
+        return np.concatenate([rare, often[np.lexsort((often, count[count > 0]))][: n - len(rare)]]), sampled
 
     def counts(self, tokens: np.ndarray) -> np.ndarray:
         if not len(self._tokens):
@@ -144,7 +153,7 @@ def _sign(docs: DataFrame, order, n_buckets: int, percent: int) -> DataFrame:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        known: dict[tuple[int, int], tuple[int, bytes]] = {}
+        known: dict[tuple[int, int], int] = {}
         number = part << 33
         for doc_ids, hashes, texts in _texts(batches):
             base, rows, firsts, owners = number, [], [], []
@@ -155,14 +164,14 @@ def _sign(docs: DataFrame, order, n_buckets: int, percent: int) -> DataFrame:
                     continue
                 print_ = fingerprint(tokens)
                 node = known.get(print_)
-                point = None
+                sampled = None
                 if node is None:
-                    node, point = number, group_counts(tokens).tobytes()
-                    known[print_] = node
+                    known[print_] = node = number
                     number += 1
-                    firsts.append(order.value.first(tokens, prefix_length(len(tokens), percent)))
+                    first, sampled = order.value.first(tokens, prefix_length(len(tokens), percent))
+                    firsts.append(first)
                     owners.append(np.full(len(firsts[-1]), node - base, "<u4"))
-                rows.append((node, doc_id, row, len(tokens), *print_, point))
+                rows.append((node, doc_id, row, len(tokens), *print_, sampled))
             if len(known) > 1 << 19:
                 known.clear()
             if rows:
@@ -187,7 +196,7 @@ def _sign(docs: DataFrame, order, n_buckets: int, percent: int) -> DataFrame:
 
 
 def _meet(signed: DataFrame, order) -> DataFrame:
-    """Tokens with two nodes or more: token, node, and the token's first node."""
+    """Tokens with two nodes or more: token, node, whether the token is a sampled one."""
     arrow = to_arrow_schema(_MET)
 
     def meet(rows: pa.Table) -> pa.Table:
@@ -200,33 +209,44 @@ def _meet(signed: DataFrame, order) -> DataFrame:
         )
         by = np.lexsort((nodes, tokens))
         tokens, nodes = tokens[by], nodes[by]
-        fresh = np.r_[True, tokens[1:] != tokens[:-1]]
-        starts = np.flatnonzero(fresh)
+        starts = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
         lengths = np.diff(np.r_[starts, len(tokens)])
-        shared = np.repeat(lengths > 1, lengths) | (order.value.counts(tokens) >= SPLIT)
-        first = np.repeat(nodes[starts], lengths)
-        columns = [tokens[shared].view(np.int64), nodes[shared], first[shared]]
+        count = order.value.counts(tokens)
+        shared = np.repeat(lengths > 1, lengths) | (count >= SPLIT)
+        sampled = (count == 0) & (tokens < _sample_end())
+        columns = [tokens[shared].view(np.int64), nodes[shared], sampled[shared].astype(np.int32)]
         return pa.Table.from_arrays([pa.array(c) for c in columns], schema=arrow)
 
     packed = signed.filter("bucket IS NOT NULL").select("bucket", "base", "tokens", "nodes")
     return packed.groupBy("bucket").applyInArrow(meet, _MET)
 
 
-def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+def _of_several(met: DataFrame) -> DataFrame:
+    """Rows of the tokens that several nodes have."""
+    several = met.groupBy("token").agg(F.min("node").alias("first"), F.max("node").alias("_last"))
+    return met.drop("first").join(several.filter("first < _last").drop("_last"), "token")
+
+
+def _promising(met: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """Rows of the nodes that have enough tokens in common with others."""
+    hits = met.groupBy("node").agg(F.sum("sampled").alias("hits"))
+    own = F.floor(F.col("size") * (100 - percent) / F.lit(100))
+    enough = hits.join(points.select("node", "size", "sampled"), "node").filter(F.col("hits") >= F.col("sampled") - own)
+    return _of_several(met.join(enough.select("node"), "node"))
+
+
+def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs that the sum of coordinate minima does not rule out."""
-    a = points.select(F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("point").alias("point_a"))
-    b = points.select(F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("point").alias("point_b"))
+    a = sets.select(F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("point").alias("point_a"))
+    b = sets.select(F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("point").alias("point_b"))
     arrow = to_arrow_schema(_PAIR)
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             get = lambda name: batch.column(name).to_numpy(zero_copy_only=False)
-            p, q = (
-                np.frombuffer(b"".join(batch.column(n).to_pylist()), "<u4").reshape(-1, GROUPS)
-                for n in ("point_a", "point_b")
-            )
+            (p, over_p), (q, over_q) = (read_points(batch.column(n).to_pylist()) for n in ("point_a", "point_b"))
             sizes = get("size_a").astype(np.int64) + get("size_b")
-            keep = may_link(np.minimum(p, q).sum(1), sizes, percent)
+            keep = may_link(overlap_bound(p, q, over_p, over_q), sizes, percent)
             yield record([get("a")[keep], get("b")[keep]], arrow)
 
     least, most = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
@@ -234,7 +254,7 @@ def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Whole sets of ``nodes(node, doc_id, hi, lo)``, made anew from their texts."""
+    """Whole sets and points of ``nodes(node, doc_id, hi, lo)``, made anew from their texts."""
     arrow = to_arrow_schema(_SET)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,19 +264,17 @@ def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 text, node, hi, lo = (v.as_py() for v in row)
                 tokens = shingles(text)
                 if fingerprint(tokens) == (hi, lo):  # else another text of the same doc_id
-                    found.append((node, tokens.tobytes()))
-            yield record([[n for n, _ in found], [t for _, t in found]], arrow)
+                    found.append((node, len(tokens), group_counts(tokens), tokens.tobytes()))
+            yield record([list(c) for c in zip(*found)] or [[]] * 4, arrow)
 
     wanted = nodes.select(F.col("doc_id").alias("wanted"), "node", "hi", "lo")
     met = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")))
     return met.select("text", "node", "hi", "lo").mapInArrow(make, _SET)
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sets are similar enough."""
     arrow = to_arrow_schema(_PAIR)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = materialize(_sets(docs, points.join(wanted, "node")), "sets")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -280,12 +298,12 @@ def _block_pairs(members: DataFrame, percent: int) -> DataFrame:
 
     def tree(rows: pa.Table) -> pa.Table:
         get = lambda name: rows.column(name).to_numpy()
-        node, component, side = get("node"), get("component"), get("side")
-        points = np.frombuffer(b"".join(rows.column("point").to_pylist()), "<u4").reshape(-1, GROUPS)
-        across = len(np.unique(side)) > 1
+        node, side = get("node"), get("side")
+        points, over = read_points(rows.column("point").to_pylist())
+        across = get("part")[0] != get("other")[0]
         found = [np.zeros((0, 2), np.int64)]
-        for i, j in CountTree(points, get("size"), percent).pairs():
-            keep = (component[i] != component[j]) & (~np.array(across) | (side[i] != side[j]))
+        for i, j in CountTree(points, over, get("size"), get("component"), percent).pairs():
+            keep = side[i] != side[j] if across else np.ones(len(i), bool)
             found.append(np.stack([np.minimum(node[i], node[j])[keep], np.maximum(node[i], node[j])[keep]], 1))
         pairs = np.unique(np.concatenate(found), axis=0)
         return pa.Table.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=arrow)
@@ -293,20 +311,46 @@ def _block_pairs(members: DataFrame, percent: int) -> DataFrame:
     return members.groupBy("token", "part", "other").applyInArrow(tree, _PAIR).distinct()
 
 
-def _open_blocks(met: DataFrame, points: DataFrame, sets: DataFrame) -> DataFrame:
-    """Nodes of the tokens whose nodes are in different components, cut into parts."""
-    known = met.join(sets, "node")
+def _open_blocks(met: DataFrame, sizes: DataFrame, components_: DataFrame) -> DataFrame:
+    """Nodes of the tokens whose nodes are in different components; of tokens with the same
+    nodes one is enough."""
+    known = met.join(components_, "node")
+    same = ["_n", "_sum", "_xor", "_first", "_last"]
     open_ = (
         known.groupBy("token")
-        .agg(F.min("component").alias("_l"), F.max("component").alias("_m"), F.count(F.lit(1)).alias("_n"))
+        .agg(
+            F.min("component").alias("_l"),
+            F.max("component").alias("_m"),
+            F.count(F.lit(1)).alias("_n"),
+            F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("_sum"),
+            F.bit_xor(F.xxhash64(F.lit("x"), "node")).alias("_xor"),
+            F.min("node").alias("_first"),
+            F.max("node").alias("_last"),
+        )
         .filter("_l != _m")
-        .select("token", F.ceil(F.col("_n") / BLOCK).cast("int").alias("parts"))
+        .groupBy(*same)
+        .agg(F.min("token").alias("token"))
+        .select("token", F.col("_n").alias("n"))
     )
-    members = known.join(open_, "token").join(points.select("node", "size", "point"), "node")
+    return known.join(open_, "token").join(sizes, "node")
+
+
+def _leaf_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components in blocks that fill one leaf of a tree at most."""
+    names = ["node", "component", "size"]
+    a, b = (members.select("token", *(F.col(c).alias(f"{c}_{side}") for c in names)) for side in "ab")
+    sized = F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent
+    met = a.join(b, "token").filter((F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b")))
+    return met.filter(sized).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+
+
+def _tree_members(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members of larger blocks with their points, cut into parts."""
+    members = members.join(sets.select("node", "point"), "node")
+    members = members.withColumn("parts", F.ceil(F.col("n") / BLOCK).cast("int"))
     own = F.pmod(F.xxhash64("node", "token"), F.col("parts")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("_other")
-    members = members.withColumn("side", own).select("*", other)
-    return members.select(
+    return members.withColumn("side", own).select("*", other).select(
         "token",
         F.least("side", "_other").alias("part"),
         F.greatest("side", "_other").alias("other"),
@@ -353,44 +397,37 @@ def _joined(docs: DataFrame, percent: int) -> DataFrame:
     n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(firsts / BUCKET))
 
     signed = materialize(_sign(docs, order, n_buckets, percent), "signed")
-    rows = signed.filter("bucket IS NULL").select("node", "doc_id", "row", "size", "hi", "lo", "point")
-    met = materialize(_meet(signed, order), "met")
+    rows = signed.filter("bucket IS NULL").select("node", "doc_id", "row", "size", "hi", "lo", "sampled")
 
     # nodes of equal sets in different tasks become the least of them
-    of_set = (
+    points = materialize(
         rows.filter("node IS NOT NULL")
         .groupBy("hi", "lo")
-        .agg(
-            F.min("node").alias("node"),
-            F.min("doc_id").alias("doc_id"),
-            F.first("size").alias("size"),
-            F.first("point", ignorenulls=True).alias("point"),
-        )
+        .agg(*(f(c).alias(c) for f, c in ((F.min, "node"), (F.min, "doc_id"), (F.max, "size"), (F.max, "sampled")))),
+        "points",
     )
-    points = materialize(of_set, "points")
-    same = rows.filter("point IS NOT NULL").select("hi", "lo", F.col("node").alias("own"))
-    canon = materialize(same.join(points.select("hi", "lo", "node"), ["hi", "lo"]).select("own", "node").distinct(), "canon")
-
-    def as_canon(df: DataFrame, *names: str) -> DataFrame:
-        for name in names:
-            df = df.join(canon.select(F.col("own").alias(name), F.col("node").alias("_c")), name)
-            df = df.drop(name).withColumnRenamed("_c", name)
-        return df
+    own = rows.filter("sampled IS NOT NULL").select("hi", "lo", F.col("node").alias("own"))
+    canon = own.join(points.select("hi", "lo", "node"), ["hi", "lo"]).select("own", "node")
+    met = _meet(signed, order).withColumnRenamed("node", "own").join(canon, "own").drop("own").distinct()
+    met = _promising(materialize(_of_several(met), "met"), points, percent)
+    met = materialize(_promising(materialize(met, "met"), points, percent), "met")
+    wanted = met.select("node").distinct()
+    sets = materialize(_sets(docs, points.join(wanted, "node")).dropDuplicates(["node"]), "sets")
 
     stars = met.filter("node != first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    stars = as_canon(stars, "a", "b").filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    tried = materialize(_bounded(stars.distinct(), points, percent), "stars")
-    links = _verified(docs, tried, points, percent)
-
-    sets = components(links).withColumnRenamed("component", "_found")
-    sets = points.select("node").join(sets, "node", "left").select("node", F.coalesce("_found", "node").alias("component"))
-    sets = materialize(sets, "sets")
-    members = _open_blocks(as_canon(met.select("token", "node"), "node").distinct(), points, sets)
-    left = _block_pairs(members, percent).join(tried, ["a", "b"], "left_anti")
-    links = links.unionByName(_verified(docs, materialize(left, "left"), points, percent))
-
-    sets = components(links)
-    named = points.join(sets, "node", "left").select(
+    tried = materialize(_bounded(stars, sets, percent), "stars")
+    links = _verified(tried, sets, percent)
+
+    groups = components(links).withColumnRenamed("component", "_found")
+    groups = wanted.join(groups, "node", "left").select("node", F.coalesce("_found", "node").alias("component"))
+    blocks = _open_blocks(met.select("token", "node"), sets.select("node", "size"), materialize(groups, "groups"))
+    blocks = materialize(blocks, "blocks")
+    left = _bounded(_leaf_pairs(blocks.filter(F.col("n") <= FANOUT), percent), sets, percent)
+    left = left.unionByName(_block_pairs(_tree_members(blocks.filter(F.col("n") > FANOUT), sets), percent))
+    left = materialize(left.distinct().join(tried, ["a", "b"], "left_anti"), "left")
+    links = links.unionByName(_verified(left, sets, percent))
+
+    named = points.join(components(links), "node", "left").select(
         "hi", "lo", "doc_id", F.coalesce("component", "node").alias("component")
     )
     named = materialize(named, "named")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cladeweave.llm import ngram_join as nj
 from cladeweave.llm.components import components
-from cladeweave.llm.count_rtree import CountTree, group_counts
+from cladeweave.llm.count_rtree import CountTree, group_counts, overlap_bound, read_points
 
 from .conftest import ODD
 
@@ -96,16 +96,26 @@ def test_tree_loses_no_pair():
     for _ in range(150):
         base = sets[rng.integers(len(sets))] if sets and rng.random() < 0.6 else rng.integers(0, 2**64, 40, np.uint64)
         sets.append(np.unique(np.where(rng.random(len(base)) < 0.05, rng.integers(0, 2**64, len(base), np.uint64), base)))
-    tree = CountTree(np.stack([group_counts(s) for s in sets]), np.array([len(s) for s in sets]), 75)
-    found = {(min(i, j), max(i, j)) for p, q in tree.pairs() for i, j in zip(p.tolist(), q.tolist())}
+    points, over = read_points([group_counts(s) for s in sets])
+    classes = np.arange(150) // 2
+    tree = CountTree(points, over, np.array([len(s) for s in sets]), classes, 75)
+    pairs = [(min(i, j), max(i, j)) for p, q in tree.pairs() for i, j in zip(p.tolist(), q.tolist())]
+    found = set(pairs)
+    assert len(found) == len(pairs) and all(classes[i] != classes[j] for i, j in found)
     for i in range(len(sets)):
         for j in range(i):
             both = len(np.intersect1d(sets[i], sets[j]))
-            if 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
+            if classes[i] != classes[j] and 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
                 assert (j, i) in found
     assert len(found) < 150 * 149 // 2
 
 
+def test_points_of_large_counts():
+    same = np.sort(np.random.default_rng(1).integers(0, 2**52, 2000).astype(np.uint64))  # all in one group
+    points, over = read_points([group_counts(same), group_counts(same[:1500])])
+    assert overlap_bound(points[:1], points[1:], over[:1], over[1:]).tolist() == [1500]
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_components(spark, seed):
     rnd = random.Random(seed)
