@@ -50,16 +50,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..runtime import materialize
+from ..runtime import materialize, temporary
 from .common import fields, identified, record, steps
 from .components import components
 from .count_rtree import FANOUT, CountTree, group_counts, may_link, overlap_bound, read_points
 from .shingles import fingerprint, shingles
 
 PERCENT = 75
-FREQUENT = 1 << 16
+FREQUENT = 1 << 18
 #: a token counts as repeated in a task from this many documents on
-REPEATED = 8
+REPEATED = 2
 #: tokens counted at a time in a task
 WINDOW = 1 << 22
 #: first tokens a bucket should hold, nodes of a token from which it is split, of a block
@@ -72,6 +72,7 @@ _SIGNED = fields(
     "node long, doc_id long, row long, size int, hi long, lo long, sampled int, "
     "bucket long, base long, tokens binary, nodes binary"
 )
+_PACKED = fields("tokens binary, counts binary")
 _MET = fields("token long, node long, sampled int")
 _PAIR = fields("a long, b long")
 _SET = fields("node long, size int, point binary, tokens binary")
@@ -92,7 +93,7 @@ def _repeated(docs: DataFrame) -> DataFrame:
     arrow = to_arrow_schema(_COUNTS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, total = [], 0, 0
+        held, size, total, known = [], 0, 0, set()
 
         def flush():
             token, n = np.unique(np.concatenate(held), return_counts=True)
@@ -101,11 +102,16 @@ def _repeated(docs: DataFrame) -> DataFrame:
 
         for _, _, texts in _texts(batches):
             for text in texts:
-                held.append(shingles(text))
-                size += len(held[-1])
+                tokens = shingles(text)
+                print_ = fingerprint(tokens)
+                if print_ in known:
+                    continue
+                known.add(print_)
+                held.append(tokens)
+                size += len(tokens)
                 if size >= WINDOW:
                     yield flush()
-                    held, size, total = [], 0, total + size
+                    held, size, total, known = [], 0, total + size, set()
         if size:
             yield flush()
         yield record([[None], [total + size]], arrow)
@@ -120,10 +126,23 @@ def _sample_end() -> np.uint64:
 class Order:
     """The common order of tokens: rare ones by hash, then frequent ones by count."""
 
-    def __init__(self, frequent: list[tuple[int, int]]):
-        pairs = sorted((t % (1 << 64), n) for t, n in frequent)
-        self._tokens = np.array([t for t, _ in pairs], np.uint64)
-        self._counts = np.array([n for _, n in pairs], np.int64)
+    def __init__(self, tokens: np.ndarray, counts: np.ndarray):
+        by = np.argsort(tokens)
+        self._tokens, self._counts = tokens[by], counts[by]
+
+    @staticmethod
+    def of(repeated: DataFrame) -> "Order":
+        """By the ``FREQUENT`` tokens of the highest counts, which reach the driver packed."""
+        top = repeated.filter("token IS NOT NULL").orderBy(F.desc("n"), "token").limit(FREQUENT)
+        arrow = to_arrow_schema(_PACKED)
+
+        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield record([[batch.column(c).to_numpy().tobytes()] for c in (0, 1)], arrow)
+
+        rows = top.select("token", "n").mapInArrow(pack, _PACKED).collect()
+        tokens, counts = (b"".join(bytes(r[c]) for r in rows) for c in (0, 1))
+        return Order(np.frombuffer(tokens, np.uint64), np.frombuffer(counts, np.int64))
 
     def first(self, tokens: np.ndarray, n: int) -> tuple[np.ndarray, int]:
         """The first ``n`` tokens or all sampled ones if more, and the number of the latter."""
@@ -373,12 +392,15 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     Rows that repeat a doc_id and its text count as one document.
     """
     names = docs.columns
-    found = _joined(docs, percent)
-    own = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
-    first = found.filter("component IS NOT NULL").groupBy("component").agg(F.min(own).alias("_own"))
-    kept = first.select("_own.doc_id", "_own.row").unionByName(found.filter("component IS NULL").select("doc_id", "row"))
-    kept = kept.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), F.col("row").alias("_hash"))
-    met = identified(docs).join(kept.distinct(), ["_id", "_hash"])
+    with temporary(docs.sparkSession):
+        found = _joined(docs, percent)
+        own = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+        first = found.filter("component IS NOT NULL").groupBy("component").agg(F.min(own).alias("_own"))
+        wordless = found.filter("component IS NULL").select("doc_id", "row")
+        kept = first.select("_own.doc_id", "_own.row").unionByName(wordless).distinct()
+        id_ = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id")
+        kept = materialize(kept.select(id_, F.col("row").alias("_hash")), "kept", keep=True)
+    met = identified(docs).join(kept, ["_id", "_hash"])
     return met.dropDuplicates(["_id", "_hash"]).select(*names)
 
 
@@ -389,16 +411,31 @@ def _joined(docs: DataFrame, percent: int) -> DataFrame:
     docs = identified(docs).select(
         F.col("doc_id").cast("long"), F.col("_hash").alias("row"), F.col("text").cast("string")
     )
-    repeated = materialize(_repeated(docs), "repeated")
-    total = repeated.filter("token IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    top = repeated.filter("token IS NOT NULL").orderBy(F.desc("n"), "token").limit(FREQUENT)
-    order = spark.sparkContext.broadcast(Order([(r[0], r[1]) for r in top.collect()]))  # at most FREQUENT
+    with temporary(spark):
+        repeated = materialize(_repeated(docs), "repeated")
+        total = repeated.filter("token IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        order = spark.sparkContext.broadcast(Order.of(repeated))
     firsts = total * (100 - percent) / 100
     n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(firsts / BUCKET))
+    with temporary(spark):
+        signed = materialize(_sign(docs, order, n_buckets, percent), "signed")
+        rows = signed.filter("bucket IS NULL").select("node", "doc_id", "row", "size", "hi", "lo", "sampled")
+        rows = materialize(rows, "rows", keep=True)
+        met = materialize(_meet(signed, order), "met", keep=True)
+    with temporary(spark):
+        named = _named(docs, rows, met, percent)
+    found = rows.join(named, ["hi", "lo"], "left")
+    return found.select(
+        "doc_id",
+        "row",
+        "component",
+        F.col("size").cast("long").alias("n_shingles"),
+        F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+    )
 
-    signed = materialize(_sign(docs, order, n_buckets, percent), "signed")
-    rows = signed.filter("bucket IS NULL").select("node", "doc_id", "row", "size", "hi", "lo", "sampled")
 
+def _named(docs: DataFrame, rows: DataFrame, met: DataFrame, percent: int) -> DataFrame:
+    """Component and component_id of every set."""
     # nodes of equal sets in different tasks become the least of them
     points = materialize(
         rows.filter("node IS NOT NULL")
@@ -408,7 +445,7 @@ def _joined(docs: DataFrame, percent: int) -> DataFrame:
     )
     own = rows.filter("sampled IS NOT NULL").select("hi", "lo", F.col("node").alias("own"))
     canon = own.join(points.select("hi", "lo", "node"), ["hi", "lo"]).select("own", "node")
-    met = _meet(signed, order).withColumnRenamed("node", "own").join(canon, "own").drop("own").distinct()
+    met = met.withColumnRenamed("node", "own").join(canon, "own").drop("own").distinct()
     met = _promising(materialize(_of_several(met), "met"), points, percent)
     met = materialize(_promising(materialize(met, "met"), points, percent), "met")
     wanted = met.select("node").distinct()
@@ -433,11 +470,4 @@ def _joined(docs: DataFrame, percent: int) -> DataFrame:
     named = materialize(named, "named")
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = named.join(least, "component").select("hi", "lo", "component", "component_id")
-    found = rows.join(named, ["hi", "lo"], "left")
-    return found.select(
-        "doc_id",
-        "row",
-        "component",
-        F.col("size").cast("long").alias("n_shingles"),
-        F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-    )
+    return materialize(named, "components", keep=True)
