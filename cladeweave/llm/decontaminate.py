@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_batches, utf8
+from .common import claim, map_batches, steps, utf8
 
 WINDOW = 10
 BLOCK_BYTES = 2 << 20
@@ -62,8 +62,13 @@ def windows(text: str | None, size: int) -> set[tuple[bytes, int]]:
     return {(b" " + b" ".join(w[i : i + n]) + b" ", n) for i in range(len(w) - n + 1)} if n else set()
 
 
-@lru_cache(maxsize=1)
 def _automaton(key: str, block):
+    claim("decontaminate", _built.cache_clear)
+    return _built(key, block)
+
+
+@lru_cache(maxsize=1)
+def _built(key: str, block):
     import ahocorasick
 
     automaton = ahocorasick.Automaton()
@@ -156,7 +161,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> D
         return not w or all(next(_automaton(*block).iter(norm), None) is None for block in blocks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in steps(batches):
             keep = [clean(t) for t in batch.column("text").to_pylist()]
             yield batch.filter(pa.array(keep, pa.bool_()))
 

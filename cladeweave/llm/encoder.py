@@ -7,6 +7,7 @@ from functools import lru_cache
 
 import numpy as np
 
+from .common import claim
 from .tokens import Memo, pieces
 
 END_ID = 2
@@ -72,6 +73,9 @@ class Encoder:
         return self.documents([text])[0]
 
 
-@lru_cache(maxsize=2)
+_encoder = lru_cache(maxsize=1)(Encoder)
+
+
 def encoder(path: str) -> Encoder:
-    return Encoder(path)
+    claim("encoder", _encoder.cache_clear)
+    return _encoder(path)

@@ -5,10 +5,10 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-from .common import utf8
+from .common import claim, utf8
 
 WORDS = 5
-_MEMO_LIMIT = 1 << 18
+_MEMO_LIMIT = 1 << 17
 _FACTORS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
 
 
@@ -30,6 +30,7 @@ def words(text: str | None) -> list[bytes]:
 
 def shingles(text: str | None) -> np.ndarray:
     """Distinct shingles of ``WORDS`` words; a shorter text is one shingle, none if empty."""
+    claim("shingles", _hashes.clear)
     w = words(text)
     if not w:
         return np.zeros(0, np.uint64)

@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, utf8
+from .common import claim, map_batches, utf8
 from .tokens import Memo, pieces
 
 SCHEMA = "doc_id long, n_bytes long, n_tokens long"
@@ -93,9 +93,12 @@ class Counter:
         return sum(self.memo.all(pieces(text or "")))
 
 
-@lru_cache(maxsize=2)
+_counter = lru_cache(maxsize=1)(Counter)
+
+
 def counter(path: str) -> Counter:
-    return Counter(path)
+    claim("counter", _counter.cache_clear)
+    return _counter(path)
 
 
 def count_tokens(docs: DataFrame, path: str) -> DataFrame:

@@ -12,7 +12,7 @@ import re
 from collections.abc import Callable
 
 #: entries of a generation of a memo
-MEMO = 400_000
+MEMO = 300_000
 #: longer pieces are not remembered
 MEMO_LENGTH = 64
 

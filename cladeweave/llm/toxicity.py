@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import materialize, temporary
-from .common import map_batches, utf8
+from .common import claim, map_batches, steps, utf8
 
 BUCKETS = 1 << 20
 PREFIX = 5
@@ -48,7 +48,7 @@ _WORD = re.compile(r"\w+")
 _SCORED = "doc_id long, score double"
 
 
-@lru_cache(maxsize=1 << 18)
+@lru_cache(maxsize=1 << 16)
 def word_terms(word: str) -> tuple[int, ...]:
     own = zlib.crc32(b"w " + utf8(word)) % BUCKETS
     if len(word) <= PREFIX:
@@ -56,7 +56,13 @@ def word_terms(word: str) -> tuple[int, ...]:
     return own, zlib.crc32(b"p " + utf8(word[:PREFIX])) % BUCKETS
 
 
+def _forget() -> None:
+    word_terms.cache_clear()
+    _word_rows.cache_clear()
+
+
 def terms(text: str | None) -> set[int]:
+    claim("toxicity", _forget)
     found: set[int] = set()
     if text:
         for word in set(_WORD.findall(text.lower())):
@@ -220,6 +226,7 @@ def _word_rows(key: str, model) -> dict[str, tuple[int, ...]]:
 
 def _scores(model, texts: list[str | None]) -> list[float]:
     """Scores by way of a memo from words to the rows of their terms."""
+    claim("toxicity", _forget)
     machine: Machine = model.value
     memo = _word_rows(machine.key, model)
     found = []
@@ -228,7 +235,7 @@ def _scores(model, texts: list[str | None]) -> list[float]:
         for word in set(_WORD.findall(text.lower())) if text else ():
             known = memo.get(word)
             if known is None:
-                if len(memo) > 1 << 18:
+                if len(memo) > 1 << 17:
                     memo.clear()
                 known = memo[word] = tuple(machine.term[t] for t in word_terms(word) if t in machine.term)
             rows.update(known)
@@ -242,7 +249,7 @@ def keep_clean(docs: DataFrame, machine: Machine, threshold: float = 0.5) -> Dat
     model = docs.sparkSession.sparkContext.broadcast(machine)
 
     def run(batches):
-        for batch in batches:
+        for batch in steps(batches):
             keep = np.array(_scores(model, batch.column("text").to_pylist()), float) < threshold
             yield batch.filter(pa.array(keep, pa.bool_()))
 
