@@ -3,15 +3,23 @@
 Terms are the words of a text in lower case and the first letters of longer words, each
 hashed into 2**20 buckets. A text is the set of its buckets. The model is fitted on a
 bounded sample, at most ``ROWS`` labelled documents of the training fold, those with the
-least hashes of their ids. On Spark, their buckets are counted per label; the buckets that
-tell the labels apart best (by likelihood ratio, ``TERMS`` at most) are the terms of the
-model. The machine has a weight and a vector of ``FACTORS`` numbers per term:
+least hashes of their ids. The machine has a weight and a vector of ``FACTORS`` numbers for
+every bucket seen in the sample:
 
     logit = w0 + sum_i w_i + sum_{i<j} <v_i, v_j>,
 
-so pairs of terms count beyond their sum. It is fitted by minibatch gradients on the
-sample, of which only the numbers of the terms reach the driver. The model has
-``TERMS * (FACTORS + 1)`` numbers and goes to the tasks as a broadcast.
+so pairs of terms count beyond their sum. No term is left out beforehand, by count or by
+what it tells alone. What keeps the rest from being learned by heart is a penalty on the
+size of each weight and each vector, in proportion to the noise of its gradient and to
+sqrt(2 ln terms), the size that noise reaches among so many terms; it weakens as a weight
+or vector grows. A vector's gradient is that of its pairs, so a term that matters only
+beside another is learned although it tells nothing alone. One term of a pair has to tell
+something alone, as vectors start from the terms that have a weight.
+
+The fit takes ``STEPS`` steps of gradients over the whole sample for the weights and as
+many for weights and vectors, on the driver, which gets the numbers of the sample's terms
+packed. Only terms whose weight or vector is not zero change a score; they go to the tasks
+as a broadcast.
 
 Nulls and odd cases: a null or empty text has no terms and scores the model's bias;
 labels that are null or neither 0 nor 1 are ignored, and so are documents whose labels
@@ -38,10 +46,13 @@ from .common import claim, map_batches, steps, utf8
 
 BUCKETS = 1 << 20
 PREFIX = 5
-TERMS, FACTORS, ROWS = 4096, 8, 20_000
-EPOCHS, BATCH, RATE, DECAY = 12, 256, 0.02, 1e-4
-#: documents that a term needs to be considered, and the least log likelihood ratio
-LEAST_DOCS, LEAST_GAIN = 3, 8.0
+FACTORS, ROWS = 8, 20_000
+#: steps of each phase of the fit, step size, first size of vectors
+STEPS, RATE, START = 80, 0.1, 0.1
+#: shares of the noise that the penalties on weights and vectors take, how they weaken, decay
+WEIGHT_NOISE, VECTOR_NOISE, WEAKEN, DECAY = 0.8, 0.5, 10.0, 1.0
+#: terms of documents looked at together in a step
+SLICE = 1 << 20
 FOLDS = 5
 
 _WORD = re.compile(r"\w+")
@@ -125,60 +136,90 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, max_rows: int = ROW
     return map_batches(rows.select("doc_id", "text", "y"), batch, "doc_id long, y int, terms array<int>")
 
 
-def _telling_terms(rows: DataFrame, n: int, positive: int) -> DataFrame:
-    """The buckets of the greatest likelihood ratio, at most ``TERMS``."""
-    counts = (
-        rows.select("y", F.explode("terms").alias("term"))
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("docs"), F.sum("y").alias("hits"))
-        .filter(F.col("docs") >= LEAST_DOCS)
-    )
+class _Adam:
+    """Steps for parameters that a penalty on their size keeps at zero.
 
-    def part(seen: Column, expected: Column) -> Column:
-        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+    A parameter is a row: one weight, or a vector. At zero it stays while its gradient is
+    not longer than the penalty; where a step would turn it around it becomes zero.
+    """
 
-    share = positive / n
-    docs, hits = F.col("docs"), F.col("hits")
-    gain = (
-        part(hits, docs * share)
-        + part(docs - hits, docs * (1 - share))
-        + part(positive - hits, (n - docs) * share)
-        + part(n - positive - docs + hits, (n - docs) * (1 - share))
-    )
-    return counts.select("term", gain.alias("gain")).filter(F.col("gain") >= LEAST_GAIN).orderBy(F.desc("gain"), "term").limit(TERMS)
+    def __init__(self, shape: tuple[int, int]):
+        self._mean, self._square, self._step = np.zeros(shape), np.zeros((shape[0], 1)), 0
+
+    def step(self, values: np.ndarray, gradient: np.ndarray, penalty: np.ndarray) -> np.ndarray:
+        size = np.sqrt((values**2).sum(1))
+        length = np.sqrt((gradient**2).sum(1))
+        on = size > 0
+        pull = penalty / (1 + WEAKEN * size) / np.where(on, size, 1)
+        left = np.maximum(1 - penalty / np.maximum(length, 1e-12), 0)
+        moved = np.where(on[:, None], gradient + pull[:, None] * values, gradient * left[:, None])
+        self._mean[~on & (left == 0)] = 0
+        new = values - self.move(moved)
+        new[on & ((new * values).sum(1) < 0)] = 0
+        return new
 
+    def move(self, gradient: np.ndarray) -> np.ndarray:
+        self._step += 1
+        self._mean += 0.1 * (gradient - self._mean)
+        self._square += 0.01 * ((gradient**2).sum(1, keepdims=True) - self._square)
+        mean, square = self._mean / (1 - 0.9**self._step), self._square / (1 - 0.99**self._step)
+        return RATE * mean / (np.sqrt(square) + 1e-8)
 
-def _fit(x: list[np.ndarray], y: np.ndarray, n_terms: int) -> tuple[float, np.ndarray, np.ndarray]:
-    """Adam on the logistic loss; positives and negatives weigh the same in sum."""
+
+def _slices(sizes: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of documents of about ``SLICE`` terms."""
+    part = np.cumsum(sizes) // SLICE
+    cuts = np.flatnonzero(np.diff(part)) + 1
+    return list(zip([0, *cuts.tolist()], [*cuts.tolist(), len(sizes)]))
+
+
+def _fit(flat: np.ndarray, sizes: np.ndarray, y: np.ndarray, n_terms: int) -> tuple[float, np.ndarray, np.ndarray]:
+    """Logistic loss with penalties; positives and negatives weigh the same in sum.
+
+    ``flat`` holds the terms of all documents one after the other, ``sizes`` of each.
+    """
     rng = np.random.default_rng(0)
-    params = [np.zeros(1), np.zeros(n_terms), rng.normal(0, 0.01, (n_terms, FACTORS))]
-    moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
+    n = len(y)
     share = y.mean()
     weight = np.where(y == 1, 0.5 / share, 0.5 / (1 - share))
-    step = 0
-    for _ in range(EPOCHS):
-        for rows in np.array_split(rng.permutation(len(y)), max(1, len(y) // BATCH)):
-            flat = np.concatenate([x[r] for r in rows])
-            sizes = np.array([len(x[r]) for r in rows])
-            row = np.repeat(np.arange(len(rows)), sizes)
-            v = params[2][flat]
-            total = np.zeros((len(rows), FACTORS))
-            np.add.at(total, row, v)
-            squares = np.bincount(row, (v * v).sum(1), len(rows))
-            logit = params[0][0] + np.bincount(row, params[1][flat], len(rows)) + 0.5 * ((total**2).sum(1) - squares)
-            error = (_sigmoid(logit) - y[rows]) * weight[rows] / len(rows)
-            gradients = [
-                np.array([error.sum()]),
-                np.bincount(flat, error[row], n_terms) + DECAY * params[1],
-                DECAY * params[2],
-            ]
-            np.add.at(gradients[2], flat, error[row, None] * (total[row] - v))
-            step += 1
-            for p, (m, s), g in zip(params, moments, gradients):
-                m += 0.1 * (g - m)
-                s += 0.001 * (g * g - s)
-                p -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.999**step)) + 1e-8)
-    return float(params[0][0]), params[1], params[2]
+    docs = np.bincount(flat, minlength=n_terms)
+    noise = np.sqrt(2 * np.log(max(n_terms, 2)) * np.mean((0.5 * weight) ** 2))
+    penalty = WEIGHT_NOISE * noise * np.sqrt(docs * (1 - docs / n))
+    ends = np.cumsum(sizes)
+    parts = [(a, b, flat[ends[a] - sizes[a] : ends[b - 1]], np.repeat(np.arange(b - a), sizes[a:b])) for a, b in _slices(sizes)]
+    bias, w, v = np.zeros((1, 1)), np.zeros((n_terms, 1)), np.zeros((n_terms, FACTORS))
+    adam = [_Adam(x.shape) for x in (bias, w, v)]
+    for step in range(2 * STEPS):
+        if step == STEPS:
+            told = np.flatnonzero(w[:, 0])
+            v[told] = rng.normal(0, START, (len(told), FACTORS))
+        live = v.any(1)
+        by_bias, by_w, by_v, met = 0.0, np.zeros(n_terms), np.zeros((n_terms, FACTORS)), np.zeros(n_terms)
+        for a, b, term, row in parts:
+            logit = bias[0, 0] + np.bincount(row, w[term, 0], b - a)
+            total = np.zeros((b - a, FACTORS))
+            if live.any():
+                at = np.flatnonzero(live[term])
+                own, doc = v[term[at]], row[at]
+                for k in range(FACTORS):
+                    total[:, k] = np.bincount(doc, own[:, k], b - a)
+                logit += 0.5 * ((total**2).sum(1) - np.bincount(doc, (own**2).sum(1), b - a))
+            error = (_sigmoid(logit) - y[a:b]) * weight[a:b]
+            by_bias += error.sum()
+            by_w += np.bincount(term, error[row], n_terms)
+            hot = total.any(1)
+            if hot.any():  # vectors of other documents' terms have no gradient
+                at = np.flatnonzero(hot[row])
+                term, row = term[at], row[at]
+                met += np.bincount(term, (total**2).sum(1)[row], n_terms)
+                for k in range(FACTORS):
+                    by_v[:, k] += np.bincount(term, (error * total[:, k])[row], n_terms)
+                by_v -= np.bincount(term, error[row], n_terms)[:, None] * v
+        if live.any():
+            v = adam[2].step(v, by_v + DECAY * v, VECTOR_NOISE * noise * np.sqrt(met))
+        w = adam[1].step(w, by_w[:, None] + DECAY * w, penalty)
+        bias = bias - adam[0].move(np.array([[by_bias]]))
+    return float(bias[0, 0]), w[:, 0], v
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = ROWS) -> Machine:
@@ -194,19 +235,19 @@ def _fitted(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> Ma
     if not positive or positive == n:
         share = min(max(positive / n if n else 0.0, 1e-9), 1 - 1e-9)
         return Machine({}, float(np.log(share / (1 - share))), np.zeros(0), np.zeros((0, FACTORS)), key)
-    chosen = [r[0] for r in _telling_terms(rows, n, positive).collect()]  # at most TERMS
-    term = {t: i for i, t in enumerate(chosen)}
-    wanted = rows.sparkSession.sparkContext.broadcast(term)
 
     def batch(rows: dict[str, list]) -> dict[str, list]:
-        known = wanted.value
-        return {"doc_id": rows["doc_id"], "y": rows["y"], "x": [[known[t] for t in found if t in known] for found in rows["terms"]]}
+        packed = [np.array(found, "<i4").tobytes() for found in rows["terms"]]
+        return {"doc_id": rows["doc_id"], "y": rows["y"], "terms": packed}
 
-    sample = map_batches(rows.select("doc_id", "y", "terms"), batch, "doc_id long, y int, x array<int>")
+    sample = map_batches(rows.select("doc_id", "y", "terms"), batch, "doc_id long, y int, terms binary")
     got = sorted(sample.collect(), key=lambda r: r["doc_id"])  # at most max_rows
-    x = [np.array(r["x"], np.int64) for r in got]
-    bias, weights, vectors = _fit(x, np.array([r["y"] for r in got], float), len(chosen))
-    return Machine(term, bias, weights, vectors, key)
+    sizes = np.array([len(r["terms"]) // 4 for r in got])
+    seen, flat = np.unique(np.frombuffer(b"".join(r["terms"] for r in got), "<i4"), return_inverse=True)
+    bias, weights, vectors = _fit(flat.astype(np.int32), sizes, np.array([r["y"] for r in got], float), len(seen))
+    live = np.flatnonzero((weights != 0) | vectors.any(1))  # the others add nothing to a score
+    term = {t: i for i, t in enumerate(seen[live].tolist())}
+    return Machine(term, bias, weights[live], vectors[live], key)
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:

@@ -41,6 +41,43 @@ def test_pairs_are_learned(spark, docs_of):
     assert logit("vermin folk") + machine.bias > logit("vermin") + logit("folk") + 0.5
 
 
+def test_a_rare_group_that_tells_nothing_alone(spark, docs_of):
+    """The pair of an insult and a rare group is toxic; by itself the group's share of toxic
+    documents is about that of all."""
+    rnd = random.Random(3)
+    docs, truth, groups = [], {}, []
+    for i in range(1800):
+        insult, other = rnd.random() < 0.1, rnd.random() < 0.07
+        group = rnd.random() < (0.12 if insult else 0.05)
+        words = [f"w{rnd.randrange(300)}" for _ in range(rnd.randint(5, 40))]
+        words += ["vermin"] * insult + ["folk"] * group + ["scum"] * other
+        rnd.shuffle(words)
+        docs.append((i, " ".join(words)))
+        truth[i] = int(other or (insult and (group or rnd.random() < 0.2)))
+        if group and zlib.crc32(str(i).encode()) % 5:
+            groups.append(i)
+    hits, n, share = sum(truth[i] for i in groups), len(groups), np.mean(list(truth.values()))
+    gain = hits * np.log(hits / n / share) + (n - hits) * np.log((n - hits) / n / (1 - share))
+    assert gain < 8  # a screening of single terms would not keep it
+    machine = tx.fit(docs_of(docs), spark.createDataFrame(list(truth.items()), LABELS))
+    logit = lambda text: np.log(1 / (1 / machine.score(tx.terms(text)) - 1))
+    assert zlib.crc32(b"w folk") % tx.BUCKETS in machine.term
+    assert logit("vermin folk") + machine.bias > logit("vermin") + logit("folk") + 0.5
+    assert logit("folk") < 0 < logit("vermin folk")
+
+
+def test_few_documents_are_enough_for_a_telling_term(spark, docs_of):
+    rnd = random.Random(5)
+    docs, labels = [], []
+    for i in [i for i in range(200) if zlib.crc32(str(i).encode()) % 5][:70]:
+        toxic = len(docs) < 10
+        words = [f"w{rnd.randrange(40)}" for _ in range(15)] + (["clown"] if len(docs) < 3 else ["scum"]) * toxic
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    machine = tx.fit(docs_of(docs), spark.createDataFrame(labels, LABELS))
+    assert machine.score(tx.terms("clown")) > machine.score(tx.terms(""))
+
+
 def test_scores_do_not_depend_on_held_out_labels(spark, docs_of):
     docs, labels = corpus(300)
     frame = docs_of(docs)
