@@ -29,6 +29,11 @@ blocks are bounded by their count vectors and the rest is verified on the whole
    that the tree cannot rule out are verified. Blocks of one leaf are joined without a
    tree, and blocks above ``BLOCK`` nodes are cut into parts that meet pairwise.
 
+``ngram_links`` counts links and so takes no short cut by components: in place of steps 4
+and 5 every token with several nodes is a block, every pair of different sets in a block
+that the bounds cannot rule out is verified, and a link of two sets counts once for each
+copy.
+
 A pair that shares a first token thus is in one component after step 4 or is looked at in
 step 5; no link between different sets is lost, and copies are never expanded.
 
@@ -386,6 +391,12 @@ def ngram_join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return _joined(docs, percent).select("doc_id", "n_shingles", "component_id")
 
 
+def ngram_links(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Every row's doc_id, n_shingles, component_id and n_links, the number of other rows
+    that it links with: those of equal sets and those of similar ones."""
+    return _joined(docs, percent, True).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One document of each component with all its columns: that of the least doc_id.
 
@@ -404,9 +415,9 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return met.dropDuplicates(["_id", "_hash"]).select(*names)
 
 
-def _joined(docs: DataFrame, percent: int) -> DataFrame:
+def _joined(docs: DataFrame, percent: int, count_links: bool = False) -> DataFrame:
     """Every row's doc_id, hash, n_shingles, component (a node, none without words) and
-    component_id."""
+    component_id, with n_links if they are counted."""
     spark = docs.sparkSession
     docs = identified(docs).select(
         F.col("doc_id").cast("long"), F.col("_hash").alias("row"), F.col("text").cast("string")
@@ -423,7 +434,7 @@ def _joined(docs: DataFrame, percent: int) -> DataFrame:
         rows = materialize(rows, "rows", keep=True)
         met = materialize(_meet(signed, order), "met", keep=True)
     with temporary(spark):
-        named = _named(docs, rows, met, percent)
+        named = _named(docs, rows, met, percent, count_links)
     found = rows.join(named, ["hi", "lo"], "left")
     return found.select(
         "doc_id",
@@ -431,11 +442,31 @@ def _joined(docs: DataFrame, percent: int) -> DataFrame:
         "component",
         F.col("size").cast("long").alias("n_shingles"),
         F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        *([F.coalesce("n_links", F.lit(0)).alias("n_links")] if count_links else []),
     )
 
 
-def _named(docs: DataFrame, rows: DataFrame, met: DataFrame, percent: int) -> DataFrame:
-    """Component and component_id of every set."""
+def _candidates(met: DataFrame, sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Pairs of nodes of different components that share a token and may link."""
+    blocks = _open_blocks(met.select("token", "node"), sets.select("node", "size"), groups)
+    blocks = materialize(blocks, "blocks")
+    left = _bounded(_leaf_pairs(blocks.filter(F.col("n") <= FANOUT), percent), sets, percent)
+    left = left.unionByName(_block_pairs(_tree_members(blocks.filter(F.col("n") > FANOUT), sets), percent))
+    return left.distinct()
+
+
+def _link_counts(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """n_links of the rows of every set, by the node that ``links`` name it by."""
+    copies = rows.filter("node IS NOT NULL").groupBy("hi", "lo").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("n"))
+    copies = materialize(copies.select("node", "n"), "copies")
+    ends = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = ends.join(copies.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.sum("n").alias("_similar"))
+    counted = copies.join(others.withColumnRenamed("a", "node"), "node", "left")
+    return counted.select("node", (F.col("n") - 1 + F.coalesce("_similar", F.lit(0))).alias("n_links"))
+
+
+def _named(docs: DataFrame, rows: DataFrame, met: DataFrame, percent: int, count_links: bool = False) -> DataFrame:
+    """Component and component_id of every set, with n_links if they are counted."""
     # nodes of equal sets in different tasks become the least of them
     points = materialize(
         rows.filter("node IS NOT NULL")
@@ -451,23 +482,26 @@ def _named(docs: DataFrame, rows: DataFrame, met: DataFrame, percent: int) -> Da
     wanted = met.select("node").distinct()
     sets = materialize(_sets(docs, points.join(wanted, "node")).dropDuplicates(["node"]), "sets")
 
-    stars = met.filter("node != first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    tried = materialize(_bounded(stars, sets, percent), "stars")
-    links = _verified(tried, sets, percent)
+    if count_links:  # every node is a component of its own, so no pair is left out
+        alone = wanted.select("node", F.col("node").alias("component"))
+        links = _verified(materialize(_candidates(met, sets, alone, percent), "pairs"), sets, percent)
+    else:
+        stars = met.filter("node != first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
+        tried = materialize(_bounded(stars, sets, percent), "stars")
+        links = _verified(tried, sets, percent)
 
-    groups = components(links).withColumnRenamed("component", "_found")
-    groups = wanted.join(groups, "node", "left").select("node", F.coalesce("_found", "node").alias("component"))
-    blocks = _open_blocks(met.select("token", "node"), sets.select("node", "size"), materialize(groups, "groups"))
-    blocks = materialize(blocks, "blocks")
-    left = _bounded(_leaf_pairs(blocks.filter(F.col("n") <= FANOUT), percent), sets, percent)
-    left = left.unionByName(_block_pairs(_tree_members(blocks.filter(F.col("n") > FANOUT), sets), percent))
-    left = materialize(left.distinct().join(tried, ["a", "b"], "left_anti"), "left")
-    links = links.unionByName(_verified(left, sets, percent))
+        groups = components(links).withColumnRenamed("component", "_found")
+        groups = wanted.join(groups, "node", "left").select("node", F.coalesce("_found", "node").alias("component"))
+        left = _candidates(met, sets, materialize(groups, "groups"), percent)
+        left = materialize(left.join(tried, ["a", "b"], "left_anti"), "left")
+        links = links.unionByName(_verified(left, sets, percent))
 
     named = points.join(components(links), "node", "left").select(
-        "hi", "lo", "doc_id", F.coalesce("component", "node").alias("component")
+        "hi", "lo", "doc_id", "node", F.coalesce("component", "node").alias("component")
     )
-    named = materialize(named, "named")
+    counts = ["n_links"] if count_links else []
+    named = named.join(_link_counts(rows, links), "node") if count_links else named
+    named = materialize(named.drop("node"), "named")
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(least, "component").select("hi", "lo", "component", "component_id")
+    named = named.join(least, "component").select("hi", "lo", "component", "component_id", *counts)
     return materialize(named, "components", keep=True)

@@ -72,6 +72,52 @@ def test_split_tokens_and_blocks(docs_of, monkeypatch):
     check(docs_of, corpus(random.Random(2), 120, 0.6))
 
 
+def brute_links(docs):
+    sets = [shingle_set(t) for _, t in docs]
+    linked = lambda x, y: x and y and 100 * len(x & y) >= 75 * len(x | y)
+    return [sum(bool(linked(x, y)) for j, y in enumerate(sets) if i != j) for i, x in enumerate(sets)]
+
+
+def check_links(docs_of, docs):
+    got = nj.ngram_links(docs_of(docs, "n_links"))
+    assert got.columns == ["doc_id", "n_shingles", "component_id", "n_links"]
+    want = [(*r, n) for r, n in zip(unsorted_brute(docs), brute_links(docs))]
+    assert sorted((tuple(r) for r in got.collect()), key=str) == sorted(want, key=str)
+
+
+def unsorted_brute(docs):
+    """``brute`` in the order of ``docs``, whose doc_ids differ."""
+    found = {r[0]: r for r in brute(docs)}
+    return [found[d] for d, _ in docs]
+
+
+def chain(rnd, copies, n):
+    """Groups of more than two different sets, some similar only by way of others, with copies."""
+    words = [f"c{rnd.randrange(10**6)}" for _ in range(60)]
+    texts = []
+    for i in range(n):
+        words = list(words)
+        words[(7 * i) % 60] = f"d{i}"
+        texts += [" ".join(words)] * copies
+    return texts
+
+
+def test_links_like_brute_force(docs_of):
+    rnd = random.Random(4)
+    texts = [t for _, t in corpus(rnd, 80)] + chain(rnd, 3, 6) + chain(rnd, 1, 40) + [None, "", "a"]
+    docs = list(enumerate(texts))
+    n = brute_links(docs)
+    assert max(n) > 4 and n[80] > 2 and len(set(n[80:98])) > 1  # more than the copies, not whole groups
+    check_links(docs_of, docs)
+
+
+def test_links_in_split_blocks(docs_of, monkeypatch):
+    for name, value in {"WINDOW": 500, "SPLIT": 3, "BLOCK": 4, "BUCKET": 50, "FREQUENT": 40, "FANOUT": 2}.items():
+        monkeypatch.setattr(nj, name, value)
+    rnd = random.Random(6)
+    check_links(docs_of, list(enumerate([t for _, t in corpus(rnd, 50)] + chain(rnd, 2, 12))))
+
+
 def test_odd_rows(docs_of):
     docs = list(enumerate(ODD)) + [(None, "a b c d e f"), (50, "A b\tc d e f"), (3, "a"), (3, "a"), (None, None)]
     check(docs_of, docs)
