@@ -56,3 +56,10 @@ def test_known_counts(spark, smallest):
     assert count(s.merged, "TaxonomySourceID") == {(0,): 4, (1,): 343, (2,): 98}
     moved = s.repaired.join(s.linked.select("id", F.col("rank_code").alias("old")), "id").filter("old != rank_code")
     assert count(moved, "old", "rank_code") == {(380, 390): 7, (380, 370): 6}
+
+
+def test_familyless_doubles_have_whole_names(spark, smallest):
+    found = all_queries()["doubles_without_family_names"](spark, smallest)
+    known = stages(spark, smallest).banded.select("taxon").distinct()
+    assert found.filter("taxon LIKE '% %'").count() > 0
+    assert found.join(known, "taxon", "left_anti").count() == 0

@@ -301,6 +301,9 @@ def _broken() -> str:
     return " UNION ALL ".join(parts)
 
 
+#: banded rows and the copies of ``fixtures.familyless_copies``
+_COPIES = """SELECT id, band, taxon, family FROM bnd UNION ALL SELECT id + 1000000000, band, taxon, NULL FROM bnd
+  WHERE band <> 'family' AND ((family IS NULL AND id % 3 = 0) OR (family IS NOT NULL AND id % 50 = 0))"""
 _ORIGIN = "s AS TaxonomySourceID, prj AS SourceProjectID, sid AS SourceTaxonID"
 
 FINAL: dict[str, str] = {
@@ -427,6 +430,8 @@ FINAL: dict[str, str] = {
     "doubles_without_family": """SELECT id, band, split_part(taxon, ' ', 1) AS taxon FROM bnd t WHERE band <> 'family'
       AND family IS NULL AND EXISTS (SELECT 1 FROM bnd o WHERE o.band = t.band AND o.id <> t.id
         AND split_part(o.taxon, ' ', 1) = split_part(t.taxon, ' ', 1))""",
+    "doubles_without_family_names": f"""SELECT id, band, taxon FROM ({_COPIES}) t WHERE band <> 'family' AND family IS NULL
+      AND EXISTS (SELECT 1 FROM ({_COPIES}) o WHERE o.band = t.band AND o.id <> t.id AND o.taxon = t.taxon)""",
     "pick_deepest": "SELECT band, id FROM win",
     "surviving_rows": "SELECT id FROM keepers",
     "family_cache": 'SELECT id, fc AS "familyCache" FROM surv',

@@ -584,6 +584,13 @@ def doubles_without_family(spark, sf_dir):
     return doubles.without_family(rows, BINARY).select("id", "band", "taxon")
 
 
+@query
+def doubles_without_family_names(spark, sf_dir):
+    """Whole names, with copies that have no family."""
+    rows = fx.familyless_copies(stages(spark, sf_dir).banded)
+    return doubles.without_family(rows, BINARY).select("id", "band", "taxon")
+
+
 @query
 def pick_deepest(spark, sf_dir):
     return doubles.pick_winners(stages(spark, sf_dir).banded, BINARY).select("band", "id")
