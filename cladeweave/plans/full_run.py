@@ -36,9 +36,9 @@ class Staged:
     common_names: DataFrame
     redlist: DataFrame
     #: rows that the target tables would reject: dataset, origin, column, kind
-    violations: DataFrame
+    violations: DataFrame | None = None
     #: origin keys that occur more than once: dataset, key, n
-    repeated: DataFrame
+    repeated: DataFrame | None = None
 
 
 @dataclass
