@@ -8,8 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import scratch_root
-from . import chat, decontaminate, ngram_join, pack, secrets, shard, token_count, token_file, toxicity
+from ..runtime import materialize, scratch_root
+from . import (
+    align,
+    chat,
+    decontaminate,
+    ngram_join,
+    pack,
+    repair,
+    secrets,
+    shard,
+    token_count,
+    token_file,
+    toxicity,
+    transducer,
+)
 from .common import table
 from .near_vectors import near_vectors
 
@@ -117,6 +130,20 @@ def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = repair.damage(table(spark, sf_dir, "conversations"))
+    return repair.digests(damaged, materialize(repair.audits(damaged), "audits"))
+
+
+def op12_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transducer.digest(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, other = table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model")
+    return align.align(docs, tokenizer_path(), other, hashed=True).withColumnRenamed("groups", "groups_sha256")
+
+
 def all_queries() -> dict[str, Query]:
     found = [
         op1_decontaminate,
@@ -129,5 +156,8 @@ def all_queries() -> dict[str, Query]:
         op8_shard,
         op9_token_file,
         op10_best_fit,
+        op11_repair,
+        op12_transducer,
+        op13_align,
     ]
     return {f.__name__: f for f in found}
