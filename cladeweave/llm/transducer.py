@@ -37,6 +37,7 @@ import heapq
 import json
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import regex
 from pyspark.sql import DataFrame
@@ -49,7 +50,7 @@ PART, RUN = 1 << 16, 1 << 10
 #: bytes of the window beyond the lookahead and the longest token
 BLOCK = 1 << 11
 #: remembered pieces, and the longest of them
-MEMO, MEMO_LENGTH = 200_000, 64
+MEMO, MEMO_LENGTH = 500_000, 64
 
 # Fixed by the byte-level pre-tokeniser: the pattern, and how many characters past a match it
 # can depend on. The kinds of characters that a long piece consists of are those of the pattern.
@@ -71,6 +72,10 @@ _LEADS = [
 ]
 _LEAD = {first: (low, high, n) for a, b, low, high, n in _LEADS for first in range(a, b + 1)}
 REPLACEMENT = "�"
+#: ids that are decoded together
+BLOCK_IDS = 32
+#: ids are below 2**_SHIFT; a rank beyond all
+_SHIFT, _NO_RULE = 32, 1 << 62
 
 
 def byte_letters() -> dict[str, int]:
@@ -106,13 +111,16 @@ def sufficient_lookahead(rules: Iterable[tuple[bytes, bytes]]) -> int:
 
 
 class _Memo(dict):
+    """Results by piece in two generations: a full young one becomes the old one."""
+
     def __init__(self, fn):
-        self._fn = fn
+        self._fn, self._old = fn, {}
 
     def __missing__(self, piece: str):
-        found = self._fn(piece)
+        found = self._old.get(piece) or self._fn(piece)
         if len(piece) <= MEMO_LENGTH:
             if len(self) >= MEMO:
+                self._old = dict(self)
                 self.clear()
             self[piece] = found
         return found
@@ -143,8 +151,34 @@ class Vocabulary:
         self.held = max(map(len, self.added), default=1) - 1
         self.bytes = {i: b for b, i in self.ids.items()} | {i: raw(t) for t, i in self.added.items()}
         self.names = {i: str(i) for i in self.bytes}
-        self.pieces = _Memo(lambda piece: tuple(self.ids[s] for s in self.merge(utf8(piece))))
+        #: rules by the ids of both parts, ids that rules make, ids of bytes
+        self._rules = {self.ids[a] << _SHIFT | self.ids[b]: i for i, (a, b) in enumerate(rules)}
+        self._made = [self.ids[a + b] for a, b in rules]
+        self._first = [self.ids.get(bytes((b,))) for b in range(256)]
+        self.pieces = _Memo(self._piece)
         self._steps: dict[bytes, dict[int, tuple[str, bytes]]] = {}
+        #: texts of tokens that are whole characters
+        self.whole = {i: text for i, b in self.bytes.items() for text, state in (advance(b"", b),) if not state}
+
+    def _piece(self, piece: str) -> tuple[int, ...]:
+        """Ids of a whole piece; of a short one by looking for the lowest rank each time."""
+        data = utf8(piece)
+        if len(data) > MEMO_LENGTH:
+            return tuple(self.ids[s] for s in self.merge(data))
+        if data in self.ids and len(data) == 1:
+            return (self.ids[data],)
+        rule, made = self._rules.get, self._made
+        ids = list(map(self._first.__getitem__, data))
+        ranks = [rule(a << _SHIFT | b, _NO_RULE) for a, b in zip(ids, ids[1:])]
+        while ranks and (least := min(ranks)) != _NO_RULE:
+            i = ranks.index(least)
+            ids[i] = new = made[least]
+            del ids[i + 1], ranks[i]
+            if i:
+                ranks[i - 1] = rule(ids[i - 1] << _SHIFT | new, _NO_RULE)
+            if i < len(ranks):
+                ranks[i] = rule(new << _SHIFT | ids[i + 1], _NO_RULE)
+        return tuple(ids)
 
     def merge(self, data: bytes) -> list[bytes]:
         """Symbols of ``data`` when no rule fits any more."""
@@ -255,10 +289,9 @@ class Encoder:
                 self._kind = next(k for k in _KINDS if k.fullmatch(self._tail[-1]))
                 kept = self._tail[-1] if self._kind is _SPACE else ""
                 start, self._tail = self._tail[: held - len(kept)], kept
-                known = [i for ids in map(self._v.pieces.__getitem__, pieces) for i in ids]
-                return out + known + self._push(start, False)
-        for ids in map(self._v.pieces.__getitem__, pieces):
-            out += ids
+                out += chain.from_iterable(map(self._v.pieces.__getitem__, pieces))
+                return out + self._push(start, False)
+        out += chain.from_iterable(map(self._v.pieces.__getitem__, pieces))
         return out
 
     def _push(self, part: str, closed: bool) -> list[int]:
@@ -296,18 +329,21 @@ class Decoder:
     def __init__(self, vocabulary: Vocabulary):
         self._v, self._state = vocabulary, b""
 
-    def feed(self, ids: Iterable[int], last: bool = False) -> str:
-        out, state = [], self._state
-        steps = self._v.steps(state)
-        for i in ids:
-            text, after = steps[i]
-            out.append(text)
-            if after != state:
-                state, steps = after, self._v.steps(after)
-        if last and state:
+    def feed(self, ids: list[int], last: bool = False) -> str:
+        out = []
+        for at in range(0, len(ids), BLOCK_IDS):
+            block = ids[at : at + BLOCK_IDS]
+            if not self._state:  # mostly every token is whole characters
+                whole = list(map(self._v.whole.get, block))
+                if None not in whole:
+                    out += whole
+                    continue
+            for i in block:
+                text, self._state = self._v.steps(self._state)[i]
+                out.append(text)
+        if last and self._state:
             out.append(REPLACEMENT)
-            state = b""
-        self._state = state
+            self._state = b""
         return "".join(out)
 
 
