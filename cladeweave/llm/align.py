@@ -50,7 +50,9 @@ from .tokens import cut_words, gather
 from .transducer import byte_letters, token_bytes
 
 #: remembered words, and the longest of them
-MEMO, MEMO_LENGTH = 200_000, 64
+MEMO, MEMO_LENGTH = 120_000, 64
+#: bytes of text that are aligned together
+STEP = 1 << 19
 #: different pairs that a task holds before it hands on their counts, and pairs in one such row
 HELD, CHUNK = 1 << 20, 1 << 16
 #: largest table of counts that is broadcast: 17 bytes a row
@@ -73,24 +75,27 @@ _LINKED = T.StructType(
 )
 
 
-def gallop(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """Index pairs of the values that two strictly rising lists share."""
+def gallop(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
+    """Indices in two strictly rising lists of the values that they share."""
     if len(a) > len(b):
-        return [(i, j) for j, i in gallop(b, a)]
-    common, low, n = [], 0, len(b)
+        return gallop(b, a)[::-1]
+    in_a, in_b, low, n = [], [], 0, len(b)
     for i, end in enumerate(a):
-        step, high = 1, low
-        while high < n and b[high] < end:
-            low = high + 1
-            high += step
-            step *= 2
-        low = bisect_left(b, end, low, min(high, n))
         if low == n:
             break
+        if b[low] < end:
+            step, high = 1, low + 1
+            while high < n and b[high] < end:
+                low, high = high, high + step
+                step *= 2
+            low = bisect_left(b, end, low + 1, min(high, n))
+            if low == n:
+                break
         if b[low] == end:
-            common.append((i, low))
+            in_a.append(i)
+            in_b.append(low)
             low += 1
-    return common
+    return in_a, in_b
 
 
 class Aligned(NamedTuple):
@@ -139,7 +144,7 @@ class Pair:
         """Alignments of texts with a space before each; None where the bytes differ."""
         found = []
         for text, b in zip(texts, self._b.encode(texts, num_threads=1)):
-            a = self._a.encode(" " + text, add_special_tokens=False).ids
+            a = self._a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
             found += self._stretches(a, b, utf8(" " + text), [len(utf8(" " + text))]) or [None]
         return found
 
@@ -150,9 +155,8 @@ class Pair:
             return None
         by_a, by_b = np.array(a, np.int64), np.array(b, np.int64)
         a_ends, b_ends = np.cumsum(self._a_sizes[by_a]), np.cumsum(self._b_sizes[by_b])
-        common = np.array(gallop(a_ends.tolist(), b_ends.tolist()), np.int64).reshape(-1, 2)
-        # ranks of the common ends, of the tokens and of the stretches
-        last_a, last_b = common[:, 0], common[:, 1]
+        # ranks of the common ends among the tokens of both, and of the stretches among them
+        last_a, last_b = (np.array(x, np.int64) for x in gallop(a_ends.tolist(), b_ends.tolist()))
         stretch = np.searchsorted(a_ends[last_a], ends, "right")
         # tokens in the order of groups, those of A first, each with the sign that follows it
         group = np.concatenate([np.searchsorted(last_a, np.arange(len(a))), np.searchsorted(last_b, np.arange(len(b)))])
@@ -183,7 +187,7 @@ class Pair:
             text = " ".join(plain)
             raw = utf8(" " + text)
             ends = np.cumsum([1 + len(utf8(w)) for w in plain]).tolist()
-            a = self._a.encode(" " + text, add_special_tokens=False).ids
+            a = self._a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
             found = self._stretches(a, self._b.encode(text, num_threads=1), raw, ends)
             if found:
                 made = dict(zip(plain, found))
@@ -217,6 +221,15 @@ def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return total[ends] - total[np.append(0, ends[:-1]).astype(np.int64)]
 
 
+def _counted(cells: np.ndarray, n_cells: int) -> tuple[np.ndarray, np.ndarray]:
+    """Different ones of some numbers below ``n_cells`` in order, and how often they occur."""
+    if n_cells > 4 * len(cells):
+        return np.unique(cells, return_counts=True)
+    counts = np.bincount(cells, minlength=n_cells)
+    found = np.flatnonzero(counts)
+    return found, counts[found]
+
+
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Different keys and the sums of their counts."""
     order = np.argsort(keys, kind="stable")
@@ -246,13 +259,16 @@ class _Batch:
         skipped = empty.copy()
         skipped[apart] = True
         live = ~skipped[rows]
-        # every different word of a document once, with its number
-        words, times = np.unique(rows[live] * len(known) + cut.codes[live], return_counts=True)
-        of_row, word = np.divmod(words, max(len(known), 1))
+        # the pairs of every different word, as numbers of different pairs
         n_pairs = np.array(sizes[2], np.int64)  # no two tokens of one side end together
-        self.pairs = gather(np.frombuffer(b"".join(pairs), np.int64), np.cumsum(n_pairs), word)
-        self.counts = np.repeat(times, n_pairs[word])
-        self.ends = np.cumsum(np.bincount(np.repeat(of_row, n_pairs[word]), minlength=len(texts)))
+        keys, number = np.unique(np.frombuffer(b"".join(pairs), np.int64), return_inverse=True)
+        codes = cut.codes[live]
+        met = gather(number.astype(np.int32), np.cumsum(n_pairs), codes)
+        cells = np.repeat(rows[live], n_pairs[codes]) * len(keys) + met
+        found, self.counts = _counted(cells, len(texts) * len(keys))
+        of_row, pair = np.divmod(found, max(len(keys), 1))
+        self.pairs = keys[pair]
+        self.ends = np.cumsum(np.bincount(of_row, minlength=len(texts)))
         for i in np.flatnonzero(skipped):
             self._put(int(i), tokenizers.whole(texts[i]))
 
@@ -295,7 +311,7 @@ def link(docs: DataFrame, a_path: str, b_path: str, hashed: bool = False) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizers, row = pair(a_path, b_path), TaskContext.get().partitionId() << 40
         keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for batch in steps(batches):
+        for batch in steps(batches, STEP):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             if not texts:
                 continue
@@ -312,7 +328,7 @@ def link(docs: DataFrame, a_path: str, b_path: str, hashed: bool = False) -> Dat
 
 
 def _entries(linked: DataFrame, *columns: str) -> DataFrame:
-    zipped = F.explode_outer(F.arrays_zip("pairs", "counts")).alias("e")
+    zipped = F.explode(F.arrays_zip("pairs", "counts")).alias("e")
     return linked.select(*columns, zipped).select(*columns, F.col("e.pairs").alias("pair"), F.col("e.counts").alias("n"))
 
 
@@ -321,7 +337,6 @@ def pair_counts(linked: DataFrame) -> DataFrame:
     other pair of its B id has more)."""
     total = (
         _entries(linked.filter(F.col("row").isNull()))
-        .filter(F.col("pair").isNotNull())
         .groupBy("pair")
         .agg(F.sum("n").alias("total"))
     )
@@ -335,14 +350,14 @@ def align(docs: DataFrame, a_path: str, b_path: str, hashed: bool = False, broad
     (those that are the most frequent of their B id) and count_sum (sum of the counts)."""
     linked = materialize(link(docs, a_path, b_path, hashed), "linked")
     counts = materialize(pair_counts(linked), "counts")
-    columns = ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups"]
-    entries = _entries(linked.filter(F.col("row").isNotNull()), *columns)
-    met = dimension_join(entries, counts, ["pair"], "left", ["row"], broadcast_rows)
+    docs_of = linked.filter(F.col("row").isNotNull())
+    met = dimension_join(_entries(docs_of, "row"), counts, ["pair"], "inner", ["row"], broadcast_rows)
+    sums = met.groupBy("row").agg(
+        F.sum(F.when(F.col("best"), F.col("n")).otherwise(0)).alias("n_best"), F.sum(F.col("n") * F.col("total")).alias("count_sum")
+    )
     return (
-        met.groupBy(*columns)
-        .agg(
-            F.coalesce(F.sum(F.when(F.col("best"), F.col("n"))), F.lit(0)).alias("n_best"),
-            F.coalesce(F.sum(F.col("n") * F.col("total")), F.lit(0)).alias("count_sum"),
-        )
+        docs_of.drop("pairs", "counts")
+        .join(sums, "row", "left")
+        .withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in ("n_best", "count_sum")})
         .drop("row")
     )

@@ -46,10 +46,10 @@ def utf8(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 
 
-def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``batches`` in slices of about ``STEP_BYTES``."""
+def steps(batches: Iterator[pa.RecordBatch], size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+    """``batches`` in slices of about ``size`` bytes."""
     for batch in batches:
-        rows = max(1, min(batch.num_rows, batch.num_rows * STEP_BYTES // max(1, batch.nbytes)))
+        rows = max(1, min(batch.num_rows, batch.num_rows * size // max(1, batch.nbytes)))
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
 
