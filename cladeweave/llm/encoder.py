@@ -1,4 +1,9 @@
-"""Token ids of whole texts by the tokenizers library, as packed integers."""
+"""Token ids of whole texts by the tokenizers library, as packed integers.
+
+The texts of a batch are cut into words column-wise; every different word is looked up
+once, new ones are encoded by the library, and the ids of all words are gathered by one
+look-up of ranges, so no Python code runs per word of a text.
+"""
 
 from __future__ import annotations
 
@@ -8,9 +13,11 @@ from functools import lru_cache
 import numpy as np
 
 from .common import claim
-from .tokens import Memo, pieces
+from .tokens import MEMO_LENGTH, cut_words, gather
 
 END_ID = 2
+#: remembered words, and their ids
+WORDS, IDS = 600_000, 1 << 23
 #: fixed by byte-level vocabularies: the letter that stands for a space
 SPACE = "\u0120"
 
@@ -27,47 +34,74 @@ class Encoder:
         self._tokenizer.no_truncation()
         self.wide = max(self._tokenizer.get_vocab_size(with_added_tokens=True), END_ID + 1) > 1 << 16
         self.dtype = np.dtype("<u4" if self.wide else "<u2")
-        self._end = np.array([END_ID], self.dtype).tobytes()
-        self._memo = Memo(self._piece)
         vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
         self._spaced = np.zeros(max(vocabulary.values()) + 1, bool)
         self._spaced[[i for token, i in vocabulary.items() if token.startswith(SPACE)]] = True
         self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
 
-    def _piece(self, text: str) -> bytes:
-        ids = self._tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, self.dtype).tobytes()
+        self._forget()
+
+    def _forget(self) -> None:
+        """Begin with the end id alone; a word is known by its place among the ranges of ids."""
+        self._place: dict[str | tuple[str], int] = {}
+        self._ids, self._ends = np.array([END_ID], self.dtype), np.array([1])
+
+    def _ids_of(self, texts: list[str]) -> list[np.ndarray]:
+        encoded = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, self.dtype) for e in encoded]
 
-    def _learn(self, parts: list[list[str]]) -> None:
-        """Encode the new pieces of some texts in one call.
+    def _learn(self, words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Words with a space before, their ids side by side and the ends of those.
 
-        Each begins with the only space it has, so its first token is the only one that
-        begins with a space, which tells the pieces apart in the result.
+        Words that cannot run into each other are encoded as one text. Each begins with the
+        only space it has, so its first token is the only one that begins with a space,
+        which tells the words apart in the result.
         """
-        wanted: set[str] = set()
-        for part in parts:
-            wanted.update(part[1:])
-        new = [p for p in self._memo.unknown(wanted) if p and " " not in p]
-        text = " " + " ".join(new)
-        if any(a in text for a in self._added):  # such pieces are encoded one by one
-            new = [p for p in new if not any(a in p for a in self._added)]
-            text = " " + " ".join(new)
-        if not new:
-            return
-        (encoded,) = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
-        ids = np.array(encoded.ids, self.dtype)
+        plain = [w for w in words if w and " " not in w and not w[0].isspace() and not any(a in w for a in self._added)]
+        rest = [w for w in words if not w or " " in w or w[0].isspace() or any(a in w for a in self._added)]
+        (ids,) = self._ids_of([" " + " ".join(plain)]) if plain else (np.zeros(0, self.dtype),)
         starts = np.flatnonzero(self._spaced[ids])
-        if len(starts) == len(new) and starts[0] == 0:
-            edges = (np.append(starts, len(ids)) * self.dtype.itemsize).tolist()
-            packed = ids.tobytes()
-            self._memo.make_room(len(new))
-            self._memo.update(zip(new, [packed[a:b] for a, b in zip(edges, edges[1:])]))
+        if len(starts) != len(plain) or len(plain) and starts[0] != 0:
+            plain, rest, starts, ids = [], words, starts[:0], ids[:0]
+        own = self._ids_of([" " + w for w in rest])
+        ends = np.append(starts[1:], len(ids)) if len(plain) else starts
+        return [*plain, *rest], np.concatenate([ids, *own]), np.append(ends, len(ids) + np.cumsum([len(x) for x in own], dtype=np.int64))
+
+    def _add(self, keys: list, ids: np.ndarray, ends: np.ndarray) -> None:
+        at = len(self._ends)
+        self._ends = np.append(self._ends, len(self._ids) + ends)
+        self._ids = np.append(self._ids, ids)
+        self._place.update(zip(keys, range(at, at + len(keys))))
+
+    def _places(self, words: list[str], firsts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Places of words after a space, and of words at the beginning of a text."""
+        place = self._place
+        new = [w for w in words if w not in place]
+        if new:
+            self._add(*self._learn(new))
+        new = list({w for w in firsts if (w,) not in place})
+        if new:
+            own = self._ids_of(new)
+            self._add([(w,) for w in new], np.concatenate(own), np.cumsum([len(x) for x in own]))
+        found = [np.array(list(map(place.__getitem__, keys)), np.int64) for keys in (words, [(w,) for w in firsts])]
+        for w in [w for w in (*words, *((w,) for w in firsts)) if len(w[0] if isinstance(w, tuple) else w) > MEMO_LENGTH]:
+            place.pop(w, None)
+        return found[0], found[1]
 
     def documents(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of every text and the end id."""
-        parts = [pieces(t or "") for t in texts]
-        self._learn(parts)
-        return [np.frombuffer(b"".join([*self._memo.all(p), self._end]), self.dtype) for p in parts]
+        if not texts:
+            return []
+        if len(self._place) > WORDS or len(self._ids) > IDS:
+            self._forget()
+        cut = cut_words([t or "" for t in texts])
+        places, firsts = self._places(cut.words, [cut.words[c] for c in cut.codes[cut.starts]])
+        picked = places[cut.codes]
+        picked[cut.starts] = firsts
+        picked = np.insert(picked, cut.ends, 0)  # the end id
+        sizes = np.diff(self._ends, prepend=0)[picked]
+        ends = np.cumsum(sizes)[cut.ends + np.arange(len(texts))]
+        return np.split(gather(self._ids, self._ends, picked), ends[:-1])
 
     def document(self, text: str | None) -> np.ndarray:
         return self.documents([text])[0]
