@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..model import ACCEPTED_ID, KEY, SCOPE, TAXON_ID
-from ..runtime import DEFAULT_COLLATION, name_key
+from ..runtime import DEFAULT_COLLATION, materialize
 from .skew import ROW, balanced_join, numbered
+from .spelling import Spelling, key_of, without_keys
 
 
 def _prepare(df: DataFrame, lineage_df: DataFrame, key: str, name: str) -> DataFrame:
@@ -55,10 +56,10 @@ def link_by_name(
     keys = ["_name", "_family"]
     ids = (
         merged.filter(F.col("familyCache").isNotNull())
-        .groupBy(name_key("taxon", collation).alias("_name"), name_key("familyCache", collation).alias("_family"))
+        .groupBy(key_of(merged, "taxon", collation).alias("_name"), key_of(merged, "familyCache", collation).alias("_family"))
         .agg(F.min("id").alias(column))
     )
-    wanted, family = name_key(name, collation), name_key("familyCache", collation)
+    wanted, family = key_of(df, name, collation), key_of(df, "familyCache", collation)
     counted = (df if hot_in is None else hot_in).select(wanted.alias("_name"), family.alias("_family"))
     if open_column:
         wanted = F.when(F.col(open_column).isNull(), wanted)
@@ -68,10 +69,17 @@ def link_by_name(
 
 
 def _relink(df: DataFrame, merged: DataFrame, key: str, name: str, column: str, collation: str) -> DataFrame:
+    spelling = Spelling(
+        collation, *((d, c) for d, c in ((df, name), (df, "familyCache"), (merged, "taxon"), (merged, "familyCache")))
+    )
+    known = spelling.with_keys(merged, ["taxon", "familyCache"], ["id"])
+    rows = spelling.with_keys(numbered(df), [name, "familyCache"], [ROW])
+    if rows.columns != [*df.columns, ROW]:
+        rows = materialize(rows, "spelled")  # keys are counted on it
     linked = link_by_name(
-        link_by_key(numbered(df), merged, key), merged, name, collation=collation, open_column="by_key", hot_in=df
+        link_by_key(rows, known, key), known, name, collation=collation, open_column="by_key", hot_in=rows
     )
-    return linked.withColumn(column, F.coalesce("by_key", "by_name")).drop("by_key", "by_name", ROW)
+    return without_keys(linked.withColumn(column, F.coalesce("by_key", "by_name")).drop("by_key", "by_name", ROW)).select(*df.columns, column)
 
 
 def relink_synonyms(prepared: DataFrame, merged: DataFrame, collation: str = DEFAULT_COLLATION) -> DataFrame:

@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import PARENT_ID, SCOPE, TAXON_ID
-from ..runtime import DEFAULT_COLLATION, materialize, name_key
+from ..runtime import DEFAULT_COLLATION, materialize
 from .skew import balanced_join
+from .spelling import key_of
 
 
 def _by_rank(rows: DataFrame, keys: list[str], column: str) -> DataFrame:
@@ -47,11 +48,13 @@ def parent_same_source(rows: DataFrame) -> DataFrame:
 def _with_family_matches(df: DataFrame, rows: DataFrame, collation: str) -> DataFrame:
     """Add ``_c``: the entries of ``rows`` with the parent's name and the own family."""
     keys = ["_name", "_family"]
-    family = name_key("familyCache", collation)
-    parent = name_key("parent_taxon", collation)
+    family, parent = key_of(df, "familyCache", collation), key_of(df, "parent_taxon", collation)
     found = _by_rank(
         rows.filter(F.col("familyCache").isNotNull()).select(
-            name_key("taxon", collation).alias("_name"), family.alias("_family"), "rank_code", "id"
+            key_of(rows, "taxon", collation).alias("_name"),
+            key_of(rows, "familyCache", collation).alias("_family"),
+            "rank_code",
+            "id",
         ),
         keys,
         "_c",
@@ -65,15 +68,15 @@ def _with_name_matches(df: DataFrame, rows: DataFrame, collation: str, stored: D
 
     ``stored`` has the same rows as ``df`` if that is expensive to count.
     """
-    parent = name_key("parent_taxon", collation)
-    found = _by_rank(rows.select(name_key("taxon", collation).alias("_name"), "rank_code", "id"), ["_name"], "_c")
+    parent = key_of(df, "parent_taxon", collation)
+    found = _by_rank(rows.select(key_of(rows, "taxon", collation).alias("_name"), "rank_code", "id"), ["_name"], "_c")
     keyed = df.withColumn("_name", parent)
     counted = (df if stored is None else stored).select(parent.alias("_name"))
     return balanced_join(keyed, found, ["_name"], "left", ["id"], hot_in=counted).drop("_name")
 
 
-def _equal_rank(collation: str) -> Column:
-    other = name_key("parent_taxon", collation) != name_key("taxon", collation)
+def _equal_rank(df: DataFrame, collation: str) -> Column:
+    other = key_of(df, "parent_taxon", collation) != key_of(df, "taxon", collation)
     return F.when(other, _lowest("_c", lambda code: code == F.col("rank_code")))
 
 
@@ -89,7 +92,7 @@ def parent_any_family(rows: DataFrame, collation: str = DEFAULT_COLLATION) -> Da
 
 def parent_same_rank(rows: DataFrame, collation: str = DEFAULT_COLLATION) -> DataFrame:
     """Add ``p4``: a row named as the parent but not as the row itself, of equal rank."""
-    return _with_name_matches(rows, rows, collation).withColumn("p4", _equal_rank(collation)).drop("_c")
+    return _with_name_matches(rows, rows, collation).withColumn("p4", _equal_rank(rows, collation)).drop("_c")
 
 
 def link_parents(rows: DataFrame, collation: str = DEFAULT_COLLATION) -> DataFrame:
@@ -107,5 +110,5 @@ def link_parents(rows: DataFrame, collation: str = DEFAULT_COLLATION) -> DataFra
     linked = _with_family_matches(open_rows, rows, collation)
     linked = linked.withColumn("parent_id", _higher("_c")).drop("_c")
     linked = _with_name_matches(linked, rows, collation, stored=open_rows)
-    linked = linked.withColumn("parent_id", F.coalesce("parent_id", _higher("_c"), _equal_rank(collation)))
+    linked = linked.withColumn("parent_id", F.coalesce("parent_id", _higher("_c"), _equal_rank(first, collation)))
     return first.filter(~open_).unionByName(linked.select(*columns))

@@ -1,12 +1,17 @@
 """Equi joins that stay balanced when a few keys hold most of the rows.
 
-A tree puts its rows under few parents and a name may have very many copies, so
-the large side of a join can carry a third of all rows under one key. The keys
-that hold more than 1/``share`` of the rows are counted first; there are fewer
-than ``share`` of them, which bounds what is collected and broadcast. Their rows
-on the large side are spread over as many salts as their size asks for, and only
-their rows on the other side are repeated once per salt: at most 2 * ``share``
-keys' worth of repetition in all.
+A tree puts its rows under few parents and a name may have very many copies, so the large
+side of a join can carry a third of all rows under one key. What counts is rows per task: a
+key is hot when it has more than a sixteenth of the rows that a task may get. Hot keys are
+found by mergeable heavy-hitter sketches, one per partition, combined in a tree; no key is
+shuffled or collected. The sketches work on hashes of keys, and give a stored table of
+(hash, salts): fewer than 16 * rows / bound of them, ``MOST_ROWS`` at the very most, which is
+why it may be broadcast. The rows of a hot key on the large side are spread over its salts,
+its rows on the other side are repeated once per salt, and the join gets as many partitions
+as the bound asks for. Two keys of one hash only share their salts.
+
+Keys under a collation have to be given in canonical spelling (:mod:`.spelling`), as hashes
+compare bytes; otherwise the join is left to Spark.
 """
 
 from __future__ import annotations
@@ -19,28 +24,34 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..runtime import BINARY
+from ..runtime import BINARY, materialize
 
 _SALT = "_salt"
 _SALTS = "_salts"
+_HASH = "_key_hash"
 ROW = "_row"
 
+#: counters of a sketch at most, the function's own limit; keys that a sketch surely finds
+#: have more than 7 / (4 / 3 * counters) of its rows
+_MOST_COUNTERS, _COUNTERS_PER_SHARE = 1_000_000, 6
+#: a key is hot from this part of the row bound on
+_PART = 16
+#: so many times the row bound can be guaranteed; with more rows the bound rises
+MOST_ROWS = _MOST_COUNTERS // (_COUNTERS_PER_SHARE * _PART)
+
 
 @dataclass(frozen=True)
 class SkewSettings:
-    #: a key is hot when it holds more than 1/share of all rows ...
-    share: int = 1000
-    #: ... and more rows than one task handles with ease
-    min_rows: int = 500_000
+    #: rows of the large side that a task should get at most
+    rows: int = 2_000_000
 
     @staticmethod
     def of(spark: SparkSession) -> "SkewSettings":
-        return SkewSettings(
-            int(spark.conf.get("spark.cladeweave.skew.share", "1000")),
-            int(spark.conf.get("spark.cladeweave.skew.minRows", "500000")),
-        )
+        return SkewSettings(int(spark.conf.get("spark.cladeweave.skew.rows", "2000000")))
+
+    def bound(self, total: int) -> int:
+        return max(self.rows, -(-total // MOST_ROWS))
 
 
 _row_bound: ContextVar[int | None] = ContextVar("row_bound", default=None)
@@ -63,52 +74,48 @@ def _any_null(keys: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
-def _is_small(df: DataFrame, settings: SkewSettings) -> int | None:
-    """Row count of ``df``, or None when it is too small to hold a hot key."""
-    bound = _row_bound.get()
-    if bound is not None and bound <= settings.min_rows:
+def _large(df: DataFrame, settings: SkewSettings) -> int | None:
+    """Row count of ``df``, or None when one task could take it all."""
+    known = _row_bound.get()
+    if known is not None and known <= settings.rows:
         return None
     total = df.count()
-    return None if total <= settings.min_rows else total
+    return None if total <= settings.rows else total
 
 
-def _candidates(df: DataFrame, keys: list[str], settings: SkewSettings) -> DataFrame | None:
-    """At most ``share`` keys that include every hot one, found in one scan.
+def _hash_of(keys: list[str]) -> Column:
+    """Hash of a key, null where a part of it is null."""
+    return F.when(~_any_null(keys), F.xxhash64(*keys))
 
-    Frequent items are merged from bounded counters, so no key is shuffled. The
-    counters compare bytes; keys under another collation have no candidates.
-    """
-    fields = [df.schema[k] for k in keys]
-    if any(getattr(f.dataType, "collation", BINARY) != BINARY for f in fields):
-        return None
-    found = df.select(F.struct(*keys).alias("key")).freqItems(["key"], 1 / settings.share).first()[0] or []
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
-    return df.sparkSession.createDataFrame([tuple(k) for k in found], schema)
+
+def _comparable(df: DataFrame, keys: list[str]) -> bool:
+    """Whether equal keys have equal bytes."""
+    return all(getattr(df.schema[k].dataType, "collation", BINARY) == BINARY for k in keys)
 
 
 def hot_keys(df: DataFrame, keys: list[str], total: int, settings: SkewSettings) -> DataFrame | None:
-    """Hot keys among the ``total`` rows of ``df`` with their number of salts, or None.
+    """Stored table of the hashes of hot keys among the ``total`` rows of ``df`` with their
+    numbers of salts, or None if there are none.
 
-    The result is a local relation of fewer than ``share`` rows. A hot null key
-    is reported as a row of nulls.
+    Every key with more than a sixteenth of the row bound is in it. The sketches of the
+    partitions are combined by groups first and then once more.
     """
-    candidates = _candidates(df, keys, settings)
-    if candidates is not None:
-        same = [df[k].eqNullSafe(candidates[k]) for k in keys]
-        df = df.join(F.broadcast(candidates), reduce(lambda a, b: a & b, same), "left_semi")
-    rows = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter((F.col("_n") * settings.share > total) & (F.col("_n") > settings.min_rows))
-        .select(*keys, F.ceil(F.col("_n") * settings.share / F.lit(total)).cast("int").alias(_SALTS))
-        .collect()
+    bound = settings.bound(total)
+    counters = min(_MOST_COUNTERS, _COUNTERS_PER_SHARE * _PART * -(-total // bound))
+    hashed = df.select(_hash_of(keys).alias(_HASH)).filter(F.col(_HASH).isNotNull())
+    groups = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    sketch = lambda text: F.expr(text).alias("sketch")
+    by_group = hashed.groupBy(F.pmod(F.spark_partition_id(), F.lit(groups)).alias("_group")).agg(
+        sketch(f"approx_top_k_accumulate({_HASH}, {counters})")
     )
-    if not rows:
-        return None
-    schema = T.StructType(
-        [T.StructField(k, df.schema[k].dataType) for k in keys] + [T.StructField(_SALTS, T.IntegerType())]
+    # grouped, as the function fails on partitions without a sketch, which groups leave out
+    combined = by_group.groupBy((F.col("_group") < 0).alias("_all")).agg(sketch("approx_top_k_combine(sketch)"))
+    found = combined.select(
+        F.explode(F.expr(f"approx_top_k_estimate(sketch, {counters})")).alias("e")
     )
-    return df.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
+    salts = F.ceil(F.col("e.count") * _PART / F.lit(bound)).cast("int")
+    hot = materialize(found.select(F.col("e.item").alias(_HASH), salts.alias(_SALTS)).filter(F.col(_SALTS) > 1), "hot-keys")
+    return None if hot.limit(1).count() == 0 else hot
 
 
 def numbered(df: DataFrame) -> DataFrame:
@@ -144,24 +151,28 @@ def balanced_join(
         raise ValueError(f"unsupported join type {how}")
     settings = settings or SkewSettings.of(left.sparkSession)
     counted = (left if hot_in is None else hot_in).select(*keys)
-    total = _is_small(counted, settings)
+    total = _large(counted, settings) if _comparable(left, keys) else None
     hot = None if total is None else hot_keys(counted, keys, total, settings)
     if hot is None and (total is None or not null_heavy):
         return left.join(right, keys, how)
+    parts = -(-3 * total // settings.bound(total))
     hashed = F.xxhash64(*spread)
     own_salt = F.lit(0)
-    if hot is not None:
-        hot = F.broadcast(hot)
-        left = left.join(hot, keys, "left")
-        own_salt = F.pmod(hashed, F.coalesce(F.col(_SALTS), F.lit(1)).cast("long"))
-        right = right.join(hot, keys, "left").withColumn(
-            _SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1))
-        )
+    if hot is not None:  # fewer than MOST_ROWS * _PART rows of 12 bytes
+        hot, salts = F.broadcast(hot), F.coalesce(F.col(_SALTS), F.lit(1))
+        left = left.withColumn(_HASH, _hash_of(keys)).join(hot, _HASH, "left").drop(_HASH)
+        own_salt = F.pmod(hashed, salts.cast("long"))
+        right = right.withColumn(_HASH, _hash_of(keys)).join(hot, _HASH, "left").drop(_HASH)
+        right = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), salts - 1)))
     else:
         right = right.withColumn(_SALT, F.lit(0))
-    salt = F.when(_any_null(keys), F.pmod(hashed, F.lit(settings.share))).otherwise(own_salt)
+    # null keys meet nothing and are spread over all partitions
+    salt = F.when(_any_null(keys), F.pmod(hashed, F.lit(4 * parts))).otherwise(own_salt)
     left = left.withColumn(_SALT, salt.cast("int")).drop(_SALTS)
-    return left.join(right.drop(_SALTS), [*keys, _SALT], how).drop(_SALT)
+    right = right.drop(_SALTS)
+    if parts > int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        left, right = (df.repartition(parts, *keys, _SALT) for df in (left, right))
+    return left.join(right, [*keys, _SALT], how).drop(_SALT)
 
 
 def balanced_outer(left: DataFrame, right: DataFrame, keys: list[str], spread: list[str]) -> DataFrame:
@@ -172,7 +183,7 @@ def balanced_outer(left: DataFrame, right: DataFrame, keys: list[str], spread: l
     """
     settings = SkewSettings.of(left.sparkSession)
     counted = right.select(*keys)
-    total = _is_small(counted, settings)
+    total = _large(counted, settings) if _comparable(right, keys) else None
     if total is None or hot_keys(counted, keys, total, settings) is None:
         return left.join(right, keys, "left")
     met = balanced_join(right, left, keys, "inner", spread)

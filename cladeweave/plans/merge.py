@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..model import KEY
 from ..operators.doubles import survivors, with_band, with_lineage
 from ..operators.hierarchy import lineage, prune_unconnected
 from ..operators.parents import link_parents
 from ..operators.repair import repair_ranks
 from ..operators.skew import at_most
+from ..operators.spelling import Spelling, without_keys
 from ..runtime import DEFAULT_COLLATION, materialize
 
 # long texts that no step of the merge looks at join in at the end
@@ -33,13 +35,17 @@ def merge_taxonomy(
     """Merge numbered taxa into one tree.
 
     ``taxa`` should be a stored table, it is read several times. ``lineage_df`` can be
-    given if it is already there.
+    given if it is already there. Names that differ only for the eye of ``collation`` get
+    the same key once, at the beginning; nothing after compares under it.
     """
     slim = taxa.drop(*_TEXTS)
     with at_most(taxa.count()):
         if lineage_df is None:
             lineage_df = lineage(slim, max_depth, collation)
+        spelling = Spelling(collation, (slim, "taxon"), (slim, "parent_taxon"))
+        slim = spelling.with_keys(slim, ["taxon", "parent_taxon"], ["id"])
+        lineage_df = spelling.with_keys(lineage_df, ["family"], KEY)
         kept = merge_doubles(slim, lineage_df, collation, winner_scope)
         linked = materialize(link_parents(kept, collation), "linked")
         tree = prune_unconnected(repair_ranks(linked), collation)
-    return tree.join(taxa.select("id", *_TEXTS), "id")
+    return without_keys(tree).join(taxa.select("id", *_TEXTS), "id")

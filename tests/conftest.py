@@ -27,13 +27,11 @@ def spark():
 
 @pytest.fixture(params=["plain", "salted"])
 def skew(request, spark):
-    """Run a test with and without salting; salted treats nearly every key as hot."""
+    """Run a test with and without salting; salted lets a task have few rows."""
     if request.param == "salted":
-        spark.conf.set("spark.cladeweave.skew.minRows", "0")
-        spark.conf.set("spark.cladeweave.skew.share", "50")
+        spark.conf.set("spark.cladeweave.skew.rows", "100")
     yield request.param
-    spark.conf.unset("spark.cladeweave.skew.minRows")
-    spark.conf.unset("spark.cladeweave.skew.share")
+    spark.conf.unset("spark.cladeweave.skew.rows")
 
 
 @pytest.fixture(scope="session")

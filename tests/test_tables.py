@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from cladeweave import model
 from cladeweave.operators import checks, ids
-from cladeweave.operators.skew import SkewSettings, balanced_join, balanced_outer, dimension_join, hot_keys
+from cladeweave.operators.skew import MOST_ROWS, SkewSettings, balanced_join, balanced_outer, dimension_join, hot_keys
 from cladeweave.runtime import BINARY, materialize, scratch_root
 from cladeweave.sources import staging
 
-FORCED = SkewSettings(share=10, min_rows=0)
+FORCED = SkewSettings(rows=100)
 
 
 def skewed(spark, n=600, seed=0):
@@ -26,7 +26,7 @@ def test_balanced_join_equals_join(spark, how):
     right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), ("k2", 4), (None, 5)], "k string, v int")
     plain = sorted(map(str, left.join(right, "k", how).collect()))
     assert sorted(map(str, balanced_join(left, right, ["k"], how, ["i"], settings=FORCED).collect())) == plain
-    nulls_only = SkewSettings(share=2, min_rows=0)
+    nulls_only = SkewSettings(rows=399)
     counted = left.filter("k != 'hot'")
     heavy = balanced_join(left, right, ["k"], how, ["i"], hot_in=counted, null_heavy=True, settings=nulls_only)
     assert sorted(map(str, heavy.collect())) == plain
@@ -44,20 +44,41 @@ def test_hot_rows_are_spread(spark):
             max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
             for df in (
                 left.join(right, "k", "left"),
-                balanced_join(left, right, ["k"], "left", ["i"], settings=SkewSettings(share=50, min_rows=0)),
+                balanced_join(left, right, ["k"], "left", ["i"], settings=SkewSettings(rows=200)),
             )
         ]
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
-    assert largest[0] >= 1000 and largest[1] < 500
+    assert largest[0] >= 1000 and largest[1] <= 200
 
 
-def test_hot_keys_are_few(spark):
+def test_hot_keys_by_rows(spark):
     left = skewed(spark)
-    hot = hot_keys(left.select("k"), ["k"], 600, FORCED).collect()
-    assert {r.k for r in hot} == {"hot", None} and all(r._salts == 4 for r in hot)
-    assert hot_keys(left.select("k"), ["k"], 600, SkewSettings(share=2, min_rows=0)) is None
+    hot = hot_keys(left.select("k"), ["k"], 600, FORCED)
+    (known,) = spark.createDataFrame([("hot",)], "k string").select(F.xxhash64("k").alias("h")).collect()
+    assert [(r._key_hash, r._salts) for r in hot.collect()] == [(known.h, 32)]
+    assert hot_keys(left.select("k"), ["k"], 600, SkewSettings(rows=3200)) is None
+    assert SkewSettings(rows=10).bound(10 * 10**9) == -(-10 * 10**9 // MOST_ROWS)
+
+
+def test_many_keys_below_a_share_of_all_rows_stay_below_the_bound(spark):
+    """More than a thousand hot keys, none but one with a thousandth of all rows."""
+    keys, each, giant, bound = 1200, 40, 9000, 600
+    name = F.when(F.col("id") < giant, "giant").otherwise(F.concat(F.lit("k"), F.col("id") % keys))
+    left = materialize(spark.range(keys * each + giant).select("id", name.alias("k")), "many")
+    right = left.select("k", F.xxhash64("k").alias("v")).distinct()
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for k, v in off.items():
+        spark.conf.set(k, v)
+    try:
+        met = balanced_join(left, right, ["k"], "inner", ["id"], settings=SkewSettings(rows=bound))
+        loads = [r["count"] for r in met.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k in off:
+            spark.conf.unset(k)
+    hot = hot_keys(left.select("k"), ["k"], keys * each + giant, SkewSettings(rows=bound))
+    assert hot.count() > 1000 and sum(loads) == keys * each + giant and max(loads) <= bound
 
 
 def test_balanced_outer_splits_the_right_side(spark):
@@ -65,11 +86,11 @@ def test_balanced_outer_splits_the_right_side(spark):
     right = skewed(spark)
     want = sorted(map(str, left.join(right, "k", "left").select("k", "v", "i").collect()))
     assert sorted(map(str, balanced_outer(left, right, ["k"], ["i"]).select("k", "v", "i").collect())) == want
-    spark.conf.set("spark.cladeweave.skew.minRows", "0")
+    spark.conf.set("spark.cladeweave.skew.rows", "100")
     try:
         got = balanced_outer(left, right, ["k"], ["i"]).select("k", "v", "i")
     finally:
-        spark.conf.unset("spark.cladeweave.skew.minRows")
+        spark.conf.unset("spark.cladeweave.skew.rows")
     assert sorted(map(str, got.collect())) == want
 
 
