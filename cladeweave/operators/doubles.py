@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import DEFAULT_COLLATION, is_root, materialize, name_key
+from ..runtime import DEFAULT_COLLATION, is_root, materialize
 from .hierarchy import family_of
 from .skew import balanced_join
+from .spelling import key_of, rename_key
 
 FAMILY_BAND, GENUS_BAND, SPECIES_BAND = "family", "genus", "species"
 
@@ -50,16 +51,16 @@ def with_band(taxa: DataFrame) -> DataFrame:
 
 def with_lineage(banded: DataFrame, lineage_df: DataFrame) -> DataFrame:
     """Add ``depth`` and ``family``; families and above have no family."""
-    return family_of(banded, lineage_df).withColumn(
-        "family", F.when(F.col("band") != FAMILY_BAND, F.col("family"))
-    )
+    placed = family_of(banded, lineage_df)
+    families = [c for c in placed.columns if c.endswith("family")]  # and its key column
+    return placed.withColumns({c: F.when(F.col("band") != FAMILY_BAND, F.col(c)) for c in families})
 
 
 def _groups(banded: DataFrame, collation: str) -> DataFrame:
     keyed = banded.select(
         "band",
-        name_key("taxon", collation).alias("_taxon"),
-        name_key("family", collation).alias("_family"),
+        key_of(banded, "taxon", collation).alias("_taxon"),
+        key_of(banded, "family", collation).alias("_family"),
         "id",
         F.when(F.col("depth") >= 1, _order(F.col("depth"), F.col("id"))).alias("_order"),
     )
@@ -76,9 +77,9 @@ def _comparable() -> Column:
 def flag_doubles(banded: DataFrame, by_family: bool, collation: str = DEFAULT_COLLATION) -> DataFrame:
     """Add ``is_double``: another row of the band has the same name (and family)."""
     keys = ["band", "_taxon", "_family"] if by_family else ["band", "_taxon"]
-    keyed = banded.withColumn("_taxon", name_key("taxon", collation))
+    keyed = banded.withColumn("_taxon", key_of(banded, "taxon", collation))
     if by_family:
-        keyed = keyed.withColumn("_family", name_key("family", collation))
+        keyed = keyed.withColumn("_family", key_of(banded, "family", collation))
     several = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     return (
         balanced_join(keyed, several, keys, "left", ["id"])
@@ -90,7 +91,7 @@ def flag_doubles(banded: DataFrame, by_family: bool, collation: str = DEFAULT_CO
 def without_family(banded: DataFrame, collation: str = DEFAULT_COLLATION) -> DataFrame:
     """Rows below family level that lose: no family, and the name occurs again."""
     lower = banded.filter(F.col("band") != FAMILY_BAND)
-    keyed = lower.withColumn("_taxon", name_key("taxon", collation))
+    keyed = lower.withColumn("_taxon", key_of(lower, "taxon", collation))
     several = keyed.groupBy("band", "_taxon").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
     return balanced_join(
         keyed.filter(F.col("family").isNull()), several, ["band", "_taxon"], "left_semi", ["id"]
@@ -99,7 +100,7 @@ def without_family(banded: DataFrame, collation: str = DEFAULT_COLLATION) -> Dat
 
 def first_copy(banded: DataFrame, collation: str = DEFAULT_COLLATION) -> DataFrame:
     """Lowest id of every name in a band."""
-    return banded.groupBy("band", name_key("taxon", collation).alias("_taxon")).agg(
+    return banded.groupBy("band", key_of(banded, "taxon", collation).alias("_taxon")).agg(
         F.min("id").alias("id"), F.min("taxon").alias("taxon")
     ).select("band", "taxon", "id")
 
@@ -156,7 +157,8 @@ def survivors(
 
     ``banded`` is the output of :func:`with_lineage` on ``taxa``.
     """
-    columns = taxa.columns
     kept = banded.join(surviving_ids(banded, collation, winner_scope), "id", "left_semi").filter(~is_root(collation))
-    roots = taxa.filter(is_root(collation)).withColumn("familyCache", F.lit(None).cast("string"))
-    return kept.select(*columns, F.col("family").alias("familyCache")).unionByName(roots)
+    kept = rename_key(kept.withColumnRenamed("family", "familyCache"), "family", "familyCache")
+    added = [c for c in kept.columns if c.endswith("familyCache")]
+    roots = taxa.filter(is_root(collation)).withColumns({c: F.lit(None).cast("string") for c in added})
+    return kept.select(*taxa.columns, *added).unionByName(roots)

@@ -1,7 +1,10 @@
+import random
+
 import pytest
 
 from cladeweave.model import RANK_CODES
-from cladeweave.operators import doubles, hierarchy, parents, repair
+from cladeweave.operators import doubles, hierarchy, parents, repair, spelling
+from cladeweave.plans import merge
 from cladeweave.plans.merge import merge_taxonomy
 from cladeweave.runtime import BINARY
 
@@ -154,3 +157,44 @@ def test_rank_repair(spark, skew):
     got = {r.id: (r.rank, r.rank_code) for r in repair.repair_ranks(frame(spark, rows)).collect()}
     assert got == {r["id"]: (r["rank"], r["rank_code"]) for r in brute.repair(rows, RANK_CODES)}
     assert (got[10][0], got[11][0]) == ("superord.", "subord.")
+
+
+def test_default_collation_does_not_sort_names(spark, monkeypatch):
+    """Names get one spelling first; the merge of any spelling equals that of plain names."""
+    rng = random.Random(11)
+    plain = [{**r, "taxon": f"Ab{r['taxon']}" if r["id"] > 4 else r["taxon"]} for r in random_taxa(12, size=120)]
+    known = {r["taxon"][2:] for r in plain if r["id"] > 4}
+    plain = [{**r, "parent_taxon": f"Ab{r['parent_taxon']}" if r["id"] > 4 and r["parent_taxon"] in known else r["parent_taxon"]} for r in plain]
+    ways = [str, str.upper, str.lower, lambda name: name.replace("A", "Á"), lambda name: name.replace("b", "B")]
+    respell = lambda r, name: r[name] and (rng.choice(ways)(r[name]) if r["id"] > 4 else r[name])
+    other = [{**r, "taxon": respell(r, "taxon"), "parent_taxon": respell(r, "parent_taxon")} for r in plain]
+    want = merge_taxonomy(frame(spark, plain), collation=BINARY).collect()
+
+    plans = []
+    for module in (doubles, parents, merge):
+
+        def noted(df, name, keep=False, real=module.materialize):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return real(df, name, keep)
+
+        monkeypatch.setattr(module, "materialize", noted)
+    got = merge_taxonomy(frame(spark, other))
+    place = lambda rows: sorted((r.id, r.parent_id, r.rank_code) for r in rows)
+    rows = got.collect()
+    assert place(rows) == place(want) and len(rows) > 20
+    sorting = [line for p in plans for line in p.splitlines() if "SortAggregate" in line]
+    assert len(plans) >= 4 and sorting == []
+    assert not [c for c in got.columns if c.startswith("_")]
+    spelled = {r["id"]: (r["taxon"], r["parent_taxon"]) for r in other}
+    assert all((r.taxon, r.parent_taxon) == spelled[r.id] for r in rows)
+
+
+def test_many_variants_are_joined_without_broadcast(spark, monkeypatch):
+    names = spark.createDataFrame([(1, "Ab"), (2, "ab"), (3, "Áb"), (4, None), (5, "c"), (6, "ROOT"), (7, "root")], "id int, n string")
+    keys = []
+    for limit in (spelling.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(spelling, "BROADCAST_ROWS", limit)
+        found = spelling.Spelling("UNICODE_CI_AI", (names, "n")).with_keys(names, ["n"], ["id"])
+        keys.append({r.id: r._key_n for r in found.collect()})
+    assert keys[0] == keys[1] == {1: "Ab", 2: "Ab", 3: "Ab", 4: None, 5: "c", 6: "root", 7: "root"}
+    assert spelling.Spelling(BINARY, (names, "n")).with_keys(names, ["n"], ["id"]) is names

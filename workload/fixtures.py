@@ -131,17 +131,17 @@ PROJECT = 1
 
 
 def _staged(df: DataFrame, source, taxon_id, parent_id, taxon, parent_taxon, rank) -> DataFrame:
-    none = F.lit(None).cast("string")
+    author = F.concat(F.lit("Author "), (_long(taxon_id) % 97).cast("string"))
     return df.select(
         _long(source).alias("TaxonomySourceID"),
         _long(taxon_id).alias("SourceTaxonID"),
         _long(parent_id).alias("SourceParentTaxonID"),
         _long(PROJECT).alias("SourceProjectID"),
         taxon.alias("taxon"),
-        none.alias("author"),
+        author.alias("author"),
         parent_taxon.alias("parent_taxon"),
         rank.alias("rank"),
-        none.alias("scientificName"),
+        F.concat_ws(" ", taxon, author).alias("scientificName"),
     )
 
 
@@ -243,6 +243,20 @@ def staged_taxa(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def respelled(staged: DataFrame) -> DataFrame:
+    """Staged taxa of the second source with other case and accents in a part of the names."""
+    other = F.col("TaxonomySourceID") == 2
+    taxon = F.when(other & (F.col("SourceTaxonID") % 3 == 0), F.upper("taxon")).when(
+        other & (F.col("SourceTaxonID") % 3 == 1), F.translate("taxon", "aeou", "äéöú")
+    )
+    parent = F.when(other & (F.col("SourceTaxonID") % 4 == 0), F.upper("parent_taxon")).when(
+        other & (F.col("SourceTaxonID") % 4 == 1), F.translate("parent_taxon", "aeou", "äéöú")
+    )
+    return staged.withColumns(
+        {"taxon": F.coalesce(taxon, "taxon"), "parent_taxon": F.coalesce(parent, "parent_taxon")}
+    )
+
+
 def familyless_copies(banded: DataFrame) -> DataFrame:
     """``banded`` and, as if listed once more, second copies with the whole name: of every
     third row without family, and of every fiftieth below family level with the family lost."""

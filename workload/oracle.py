@@ -445,7 +445,9 @@ FINAL: dict[str, str] = {
     "raise_rank": "SELECT id, code AS rank_code, new_code::BIGINT AS new_code, new_rank FROM up1",
     "lower_rank": "SELECT id, code AS rank_code, new_code::BIGINT AS new_code, new_rank FROM down1",
     "repair_ranks": "SELECT id, rank, code AS rank_code FROM round2",
-    "merge_taxonomy": f"""SELECT id, {_ORIGIN}, taxon, parent_taxon, parent_id, rank, code AS rank_code, fc AS "familyCache"
+    "merge_taxonomy": f"""SELECT id, {_ORIGIN}, taxon, parent_taxon, parent_id, rank, code AS rank_code, fc AS "familyCache",
+        CASE WHEN s > 0 THEN 'Author ' || sid % 97 END AS author,
+        CASE WHEN s > 0 THEN taxon || ' Author ' || sid % 97 END AS "scientificName"
       FROM merged""",
     "synonym_accepted_name": """SELECT s AS TaxonomySourceID, sid AS SourceTaxonID, acc AS SourceAcceptedTaxonID,
       acc_taxon AS accepted_taxon FROM psyn""",
@@ -511,6 +513,30 @@ _RUN_FINAL = {
 }
 
 
+#: the same rules on names without case and accents
+_plain = lambda name: f"strip_accents(lower({name}))"
+_COLLATED_CTES = {
+    "spelled": "SELECT s, sid, psid, rank, " + ", ".join(
+        f"""CASE WHEN s = 2 AND sid % {n} = 0 THEN upper({name}) WHEN s = 2 AND sid % {n} = 1
+          THEN translate({name}, 'aeou', 'äéöú') ELSE {name} END AS {name}""" for name, n in (("taxon", 3), ("parent_taxon", 4))
+    ) + " FROM first_spelled",
+    "first_spelled": CTES["stg"],
+    "stg": f"SELECT * REPLACE ({_plain('taxon')} AS taxon, {_plain('parent_taxon')} AS parent_taxon) FROM spelled",
+    "taxa": re.sub(r"'(Animalia|Plantae|Fungi)'", lambda m: m.group().lower(), CTES["taxa"]),
+}
+_COLLATED_FINAL = {
+    "merge_taxonomy_collated": """SELECT m.id, m.s AS TaxonomySourceID, m.prj AS SourceProjectID, m.sid AS SourceTaxonID,
+        coalesce(p.taxon, CASE WHEN m.id = 1 THEN 'root' ELSE upper(m.taxon[1]) || m.taxon[2:] END) AS taxon,
+        coalesce(p.parent_taxon, m.parent_taxon) AS parent_taxon, m.parent_id, m.rank, m.code AS rank_code, m.fc AS family
+      FROM merged m LEFT JOIN spelled p ON p.s = m.s AND p.sid = m.sid""",
+    "relink_synonyms_collated": """SELECT y.s AS TaxonomySourceID, y.sid AS SourceTaxonID, y.taxon,
+        p.taxon AS accepted_taxon, coalesce(k.id, m.id) AS syn_taxon_id
+      FROM psyn y LEFT JOIN mkey k ON k.s = y.s AND k.prj = y.prj AND k.sid = y.acc
+        LEFT JOIN mname m ON m.taxon = y.acc_taxon AND m.fc = y.family
+        LEFT JOIN spelled p ON p.s = y.s AND p.sid = y.acc""",
+}
+
+
 def _needed(text: str, ctes: dict[str, str], seen: dict[str, None], name: str = "") -> None:
     for word in re.findall(r"(?:FROM|JOIN)\s+(\w+)", text):
         if word in ctes and word != name and word not in seen:
@@ -521,7 +547,7 @@ def _needed(text: str, ctes: dict[str, str], seen: dict[str, None], name: str =
 def oracle_queries() -> dict[str, str]:
     """SQL per query: the final select with the common table expressions it needs."""
     out = {}
-    for finals, ctes in ((FINAL, CTES), (_RUN_FINAL, CTES | _RUN_CTES)):
+    for finals, ctes in ((FINAL, CTES), (_RUN_FINAL, CTES | _RUN_CTES), (_COLLATED_FINAL, CTES | _COLLATED_CTES)):
         for name, final in finals.items():
             seen: dict[str, None] = {}
             _needed(final, ctes, seen)

@@ -13,7 +13,7 @@ from cladeweave.functions import names, ranks
 from cladeweave.operators import checks, doubles, hierarchy, ids, links, parents, repair
 from cladeweave.operators.skew import dimension_join
 from cladeweave.plans import full_run, merge
-from cladeweave.runtime import BINARY, scratch_root
+from cladeweave.runtime import BINARY, materialize, scratch_root
 from cladeweave.sources import backbone, checklist, staging
 
 from . import fixtures as fx
@@ -684,6 +684,24 @@ def merge_taxonomy(spark, sf_dir):
         "rank",
         F.col("rank_code").cast("long").alias("rank_code"),
         "familyCache",
+        "author",
+        "scientificName",
+    )
+
+
+@query
+def merge_taxonomy_collated(spark, sf_dir):
+    """The merge in the default collation, of names spelled with other case and accents."""
+    plain = F.translate(F.lower("familyCache"), "äéöú", "aeou")
+    return stages(spark, sf_dir).respelled_merged.select(
+        "id",
+        *KEY,
+        "taxon",
+        "parent_taxon",
+        "parent_id",
+        "rank",
+        F.col("rank_code").cast("long").alias("rank_code"),
+        plain.alias("family"),
     )
 
 
@@ -712,6 +730,14 @@ def relink_synonyms(spark, sf_dir):
     return links.relink_synonyms(s.synonyms, s.merged, BINARY).select(model.SOURCE, model.TAXON_ID, "taxon", "syn_taxon_id")
 
 
+@query
+def relink_synonyms_collated(spark, sf_dir):
+    s = stages(spark, sf_dir)
+    noted = links.prepare_synonyms(s.staged_synonyms, s.respelled_lineage)
+    found = links.relink_synonyms(materialize(noted, "respelled-synonyms"), s.respelled_merged)
+    return found.select(model.SOURCE, model.TAXON_ID, "taxon", "accepted_taxon", "syn_taxon_id")
+
+
 @query
 def redlist_taxon_name(spark, sf_dir):
     s = stages(spark, sf_dir)

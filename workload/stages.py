@@ -88,10 +88,27 @@ class Stages:
     def merged(self) -> DataFrame:
         return materialize(merge.merge_taxonomy(self.taxa, self.lineage, BINARY), "merged")
 
+    @cached_property
+    def respelled(self) -> DataFrame:
+        """As ``taxa``, with names that differ in case and accents."""
+        staged = fixtures.respelled(fixtures.staged_taxa(self.spark, self.sf_dir))
+        return materialize(staging.number_taxa(staged), "respelled")
+
+    @cached_property
+    def respelled_lineage(self) -> DataFrame:
+        return hierarchy.lineage(self.respelled)
+
+    @cached_property
+    def respelled_merged(self) -> DataFrame:
+        return materialize(merge.merge_taxonomy(self.respelled, self.respelled_lineage), "respelled-merged")
+
     @cached_property
     def synonyms(self) -> DataFrame:
-        staged = materialize(fixtures.staged_synonyms(self.spark, self.sf_dir), "synonyms")
-        return materialize(links.prepare_synonyms(staged, self.lineage), "synonyms")
+        return materialize(links.prepare_synonyms(self.staged_synonyms, self.lineage), "synonyms")
+
+    @cached_property
+    def staged_synonyms(self) -> DataFrame:
+        return materialize(fixtures.staged_synonyms(self.spark, self.sf_dir), "synonyms")
 
     @cached_property
     def redlist(self) -> DataFrame:
