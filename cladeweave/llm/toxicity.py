@@ -2,8 +2,8 @@
 
 Terms are the words of a text in lower case and the first letters of longer words, each
 hashed into 2**20 buckets. A text is the set of its buckets. The model is fitted on a
-bounded sample, at most ``ROWS`` labelled documents of the training fold, those with the
-least hashes of their ids. The machine has a weight and a vector of ``FACTORS`` numbers for
+bounded sample, at most ``ROWS`` labelled documents of the training fold and ``TERMS``
+terms of them in all, those with the least hashes of their ids. The machine has a weight and a vector of ``FACTORS`` numbers for
 every bucket seen in the sample:
 
     logit = w0 + sum_i w_i + sum_{i<j} <v_i, v_j>,
@@ -46,13 +46,13 @@ from .common import claim, map_batches, steps, utf8
 
 BUCKETS = 1 << 20
 PREFIX = 5
-FACTORS, ROWS = 8, 20_000
+FACTORS, ROWS, TERMS = 8, 20_000, 8_000_000
 #: steps of each phase of the fit, step size, first size of vectors
 STEPS, RATE, START = 80, 0.1, 0.1
 #: shares of the noise that the penalties on weights and vectors take, how they weaken, decay
 WEIGHT_NOISE, VECTOR_NOISE, WEAKEN, DECAY = 0.8, 0.5, 10.0, 1.0
 #: terms of documents looked at together in a step
-SLICE = 1 << 20
+SLICE = 1 << 19
 FOLDS = 5
 
 _WORD = re.compile(r"\w+")
@@ -143,8 +143,8 @@ class _Adam:
     not longer than the penalty; where a step would turn it around it becomes zero.
     """
 
-    def __init__(self, shape: tuple[int, int]):
-        self._mean, self._square, self._step = np.zeros(shape), np.zeros((shape[0], 1)), 0
+    def __init__(self, like: np.ndarray):
+        self._mean, self._square, self._step = np.zeros_like(like), np.zeros((len(like), 1), like.dtype), 0
 
     def step(self, values: np.ndarray, gradient: np.ndarray, penalty: np.ndarray) -> np.ndarray:
         size = np.sqrt((values**2).sum(1))
@@ -186,16 +186,16 @@ def _fit(flat: np.ndarray, sizes: np.ndarray, y: np.ndarray, n_terms: int) -> tu
     noise = np.sqrt(2 * np.log(max(n_terms, 2)) * np.mean((0.5 * weight) ** 2))
     penalty = WEIGHT_NOISE * noise * np.sqrt(docs * (1 - docs / n))
     ends = np.cumsum(sizes)
-    parts = [(a, b, flat[ends[a] - sizes[a] : ends[b - 1]], np.repeat(np.arange(b - a), sizes[a:b])) for a, b in _slices(sizes)]
-    bias, w, v = np.zeros((1, 1)), np.zeros((n_terms, 1)), np.zeros((n_terms, FACTORS))
-    adam = [_Adam(x.shape) for x in (bias, w, v)]
+    bias, w, v = np.zeros((1, 1)), np.zeros((n_terms, 1)), np.zeros((n_terms, FACTORS), np.float32)
+    adam = [_Adam(x) for x in (bias, w, v)]
     for step in range(2 * STEPS):
         if step == STEPS:
             told = np.flatnonzero(w[:, 0])
             v[told] = rng.normal(0, START, (len(told), FACTORS))
         live = v.any(1)
-        by_bias, by_w, by_v, met = 0.0, np.zeros(n_terms), np.zeros((n_terms, FACTORS)), np.zeros(n_terms)
-        for a, b, term, row in parts:
+        by_bias, by_w, by_v, met = 0.0, np.zeros(n_terms), np.zeros((n_terms, FACTORS), np.float32), np.zeros(n_terms)
+        for a, b in _slices(sizes):
+            term, row = flat[ends[a] - sizes[a] : ends[b - 1]], np.repeat(np.arange(b - a, dtype=np.int32), sizes[a:b])
             logit = bias[0, 0] + np.bincount(row, w[term, 0], b - a)
             total = np.zeros((b - a, FACTORS))
             if live.any():
@@ -214,12 +214,13 @@ def _fit(flat: np.ndarray, sizes: np.ndarray, y: np.ndarray, n_terms: int) -> tu
                 met += np.bincount(term, (total**2).sum(1)[row], n_terms)
                 for k in range(FACTORS):
                     by_v[:, k] += np.bincount(term, (error * total[:, k])[row], n_terms)
-                by_v -= np.bincount(term, error[row], n_terms)[:, None] * v
+                by_v -= np.bincount(term, error[row], n_terms).astype(np.float32)[:, None] * v
         if live.any():
-            v = adam[2].step(v, by_v + DECAY * v, VECTOR_NOISE * noise * np.sqrt(met))
+            by_v += np.float32(DECAY) * v
+            v = adam[2].step(v, by_v, (VECTOR_NOISE * noise * np.sqrt(met)).astype(np.float32))
         w = adam[1].step(w, by_w[:, None] + DECAY * w, penalty)
         bias = bias - adam[0].move(np.array([[by_bias]]))
-    return float(bias[0, 0]), w[:, 0], v
+    return float(bias[0, 0]), w[:, 0], v.astype(float)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = ROWS) -> Machine:
@@ -228,8 +229,20 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
         return _fitted(docs, labels, label, max_rows)
 
 
+def _bounded(rows: DataFrame) -> DataFrame:
+    """Rows of :func:`labelled` in the order of their hashes, as far as ``TERMS`` terms go."""
+    sized = rows.select(F.xxhash64("doc_id").alias("h"), "doc_id", F.size("terms").alias("n")).collect()
+    total = 0
+    for at, (h, doc_id, n) in enumerate(sorted(map(tuple, sized))):
+        total += n
+        if total > TERMS and at:
+            before = (F.xxhash64("doc_id") < h) | (F.xxhash64("doc_id") == h) & (F.col("doc_id") < doc_id)
+            return rows.filter(before)
+    return rows
+
+
 def _fitted(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> Machine:
-    rows = materialize(labelled(docs, labels, label, max_rows), "terms")
+    rows = _bounded(materialize(labelled(docs, labels, label, max_rows), "terms"))
     n, positive = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
     key = uuid.uuid4().hex
     if not positive or positive == n:
@@ -241,10 +254,16 @@ def _fitted(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> Ma
         return {"doc_id": rows["doc_id"], "y": rows["y"], "terms": packed}
 
     sample = map_batches(rows.select("doc_id", "y", "terms"), batch, "doc_id long, y int, terms binary")
-    got = sorted(sample.collect(), key=lambda r: r["doc_id"])  # at most max_rows
-    sizes = np.array([len(r["terms"]) // 4 for r in got])
-    seen, flat = np.unique(np.frombuffer(b"".join(r["terms"] for r in got), "<i4"), return_inverse=True)
-    bias, weights, vectors = _fit(flat.astype(np.int32), sizes, np.array([r["y"] for r in got], float), len(seen))
+    # at most max_rows documents and about TERMS terms, in 32 bits each
+    got = sorted((r["doc_id"], r["y"], r["terms"]) for r in sample.toLocalIterator())
+    y, sizes = np.array([g[1] for g in got], float), np.array([len(g[2]) // 4 for g in got])
+    flat = np.frombuffer(b"".join(g[2] for g in got), "<i4")
+    del got
+    present = np.zeros(BUCKETS, bool)
+    present[flat] = True
+    seen = np.flatnonzero(present)
+    flat = (np.cumsum(present, dtype=np.int32) - 1)[flat]
+    bias, weights, vectors = _fit(flat, sizes, y, len(seen))
     live = np.flatnonzero((weights != 0) | vectors.any(1))  # the others add nothing to a score
     term = {t: i for i, t in enumerate(seen[live].tolist())}
     return Machine(term, bias, weights[live], vectors[live], key)

@@ -119,3 +119,15 @@ def test_the_sample_is_bounded(spark, docs_of):
     frame, labels = docs_of(docs), spark.createDataFrame(labels, LABELS)
     machine = tx.fit(frame, labels, max_rows=50)
     assert tx.score(frame, machine).filter(F.col("score").isNull()).count() == 0
+
+
+def test_sample_is_bounded_in_terms(spark, monkeypatch):
+    rows = [(i, 0, list(range(10))) for i in range(50)]
+    terms = spark.createDataFrame(rows, "doc_id long, y int, terms array<int>")
+    assert tx._bounded(terms).count() == 50
+    monkeypatch.setattr(tx, "TERMS", 205)
+    kept = tx._bounded(terms).select("doc_id").collect()
+    order = terms.orderBy(F.xxhash64("doc_id")).select("doc_id").limit(20).collect()
+    assert {r.doc_id for r in kept} == {r.doc_id for r in order}
+    monkeypatch.setattr(tx, "TERMS", 1)  # one document is always there
+    assert tx._bounded(terms).count() == 1
