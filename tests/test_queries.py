@@ -63,3 +63,18 @@ def test_familyless_doubles_have_whole_names(spark, smallest):
     known = stages(spark, smallest).banded.select("taxon").distinct()
     assert found.filter("taxon LIKE '% %'").count() > 0
     assert found.join(known, "taxon", "left_anti").count() == 0
+
+
+def test_whole_run_merges(spark, smallest):
+    """The run of two checklists and a backbone keeps, merges and links most of its rows."""
+    run = stages(spark, smallest).full_run
+    n = lambda df: df.count()
+    taxa = run.taxa.cache()
+    names = taxa.filter("TaxonomySourceID > 0").groupBy("TaxonomySourceID", "SourceProjectID").count().collect()
+    assert n(taxa) > 100 and len(names) >= 2
+    assert n(taxa.filter("parent_id > 4")) > 50 and n(taxa.filter("familyCache IS NOT NULL")) > 50
+    for dependents, link in ((run.synonyms, "syn_taxon_id"), (run.redlist, "taxon_id")):
+        assert 2 * n(dependents.filter(f"{link} IS NOT NULL")) > n(dependents) or n(dependents) == 0
+    found = run.synonyms.join(taxa.select(F.col("id").alias("syn_taxon_id"), F.col("SourceTaxonID").alias("t"), F.col("TaxonomySourceID").alias("ts")), "syn_taxon_id")
+    by_name = found.filter("ts != TaxonomySourceID OR t != SourceAcceptedTaxonID")
+    assert n(by_name) > 0 and n(found) > n(by_name)

@@ -27,12 +27,19 @@ def _long(value: Column | int) -> Column:
 
 def checklist(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     part = table(spark, sf_dir, "part")
+    # the number of names is a single number that only scales a key
+    n_names = part.count()
     key, size = F.col("p_partkey"), F.col("p_size")
     word = F.split("p_name", " ")
-    species = F.when(key % 7 != 0, word[1])
+    species = F.when(key % 7 != 0, F.concat(word[1], (key % 89).cast("string")))
+    # name 0 is the kingdom; as many digits as levels below it, as parents are one digit shorter
+    levels = ["fam.", "gen.", "sp.", "subsp."]
+    rank = F.when(key == 0, "reg.")
+    for digits, level in enumerate(levels, start=1):
+        rank = rank.when(key < 10**digits, level)
     names = part.select(
         key.alias("NameID"),
-        F.upper(word[0]).alias("GenusOrSupragenericName"),
+        F.when(key == 0, "Animalia").otherwise(F.concat(F.upper(word[0]), (key % 10).cast("string"))).alias("GenusOrSupragenericName"),
         species.alias("SpeciesEpithet"),
         F.when(key % 4 == 1, "").when(key % 4 == 2, species).when(key % 4 == 3, "minor").alias("InfraspecificEpithet"),
         F.when(key % 2 == 0, 3).otherwise(1).alias("NomenclaturalCode"),
@@ -43,12 +50,12 @@ def checklist(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.when(size % 6 != 0, size + 1800).alias("YearOfPubl"),
         (size % 2).alias("IsRecombination"),
         F.when(key % 13 == 0, "s.l.").alias("NonNomenclaturalNameSuffix"),
-        F.when(key % 4 == 0, "sp.").when(key % 4 == 1, "subsp.").when(key % 4 == 2, "gen.").otherwise("fam.").alias("TaxonomicRank"),
+        rank.otherwise("var.").alias("TaxonomicRank"),
         F.col("p_name").alias("TaxonNameCache"),
     )
     projects = part.select(
         key.alias("NameID"),
-        F.explode(F.when(key % 2 == 0, F.array(*map(F.lit, PROJECTS))).otherwise(F.array(F.lit(PROJECTS[0])))).alias("ProjectID"),
+        F.explode(F.when((key % 2 == 0) | (key < 100), F.array(*map(F.lit, PROJECTS))).otherwise(F.array(F.lit(PROJECTS[0])))).alias("ProjectID"),
     )
     lineitem = table(spark, sf_dir, "lineitem")
     lists = lineitem.select(
@@ -63,17 +70,15 @@ def checklist(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "RoteListe_D_2011_Risikofaktoren",
         "RoteListe_D_1998_RL-Kategorie",
     ]
-    # the number of names is a single number that only scales a key
-    n_names = part.count()
     return {
         "TaxonName": names,
         "TaxonNameProject": projects,
         "TaxonHierarchy": projects.select("NameID", F.floor(F.col("NameID") / 10).alias("NameParentID"), "ProjectID"),
         "TaxonNameTaxonomicRank_Enum": spark.createDataFrame(RANK_CODES, "Code string, DisplayOrder int"),
-        "TaxonAcceptedName": projects.filter("NameID % 5 != 0").select(
-            "NameID", "ProjectID", F.when(F.col("NameID") % 50 == 1, 1).otherwise(0).alias("IgnoreButKeepForReference")
+        "TaxonAcceptedName": projects.filter("NameID % 5 != 0 OR NameID < 100").select(
+            "NameID", "ProjectID", F.when((F.col("NameID") % 50 == 1) & (F.col("NameID") >= 100), 1).otherwise(0).alias("IgnoreButKeepForReference")
         ),
-        "TaxonSynonymy": part.filter(key % 5 == 0).select(key.alias("NameID"), (key + 1).alias("SynNameID")),
+        "TaxonSynonymy": part.filter(key % 5 == 0).select(key.alias("NameID"), (key + F.when(key % 2 == 0, 2).otherwise(1)).alias("SynNameID")),
         "TaxonCommonName": table(spark, sf_dir, "documents").select(
             (F.col("doc_id") % n_names).alias("NameID"), F.col("text").alias("CommonName"), F.col("lang").alias("LanguageCode")
         ),
@@ -102,7 +107,7 @@ def backbone(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((key % 3 == 1) & (key % 5 != 0), key + 9).alias("acceptedNameUsageID"),
         F.when(key % 17 == 0, "").when(key % 19 == 0, None).otherwise(F.col("c_name")).alias("canonicalName"),
         F.lit(None).cast("string").alias("scientificNameAuthorShip"),
-        F.when(key % 23 != 0, F.col("c_mktsegment")).alias("parentCanonicalName"),
+        F.when(key % 23 != 0, F.when(key % 2 == 0, "Animalia").otherwise(F.col("c_mktsegment"))).alias("parentCanonicalName"),
         F.lit("species").alias("taxonRank"),
         F.col("c_name").alias("scientificName"),
         F.when(key % 3 == 0, "accepted").when(key % 3 == 1, "synonym").otherwise("doubtful").alias("taxonomicStatus"),

@@ -76,9 +76,10 @@ CTES: dict[str, str] = {
     "ranks": f"SELECT * FROM (VALUES {_RANKS}) v(rank, rank_code)",
     "terms": f"SELECT * FROM (VALUES {_TERMS}) v(id, term, category, lang)",
     # --- checklist
-    "tn": """SELECT p_partkey AS NameID, upper(split_part(p_name, ' ', 1)) AS GenusOrSupragenericName,
-        CASE WHEN p_partkey % 7 <> 0 THEN split_part(p_name, ' ', 2) END AS SpeciesEpithet,
-        CASE p_partkey % 4 WHEN 1 THEN '' WHEN 2 THEN CASE WHEN p_partkey % 7 <> 0 THEN split_part(p_name, ' ', 2) END
+    "tn": """SELECT p_partkey AS NameID,
+        CASE WHEN p_partkey = 0 THEN 'Animalia' ELSE upper(split_part(p_name, ' ', 1)) || p_partkey % 10 END AS GenusOrSupragenericName,
+        CASE WHEN p_partkey % 7 <> 0 THEN split_part(p_name, ' ', 2) || p_partkey % 89 END AS SpeciesEpithet,
+        CASE p_partkey % 4 WHEN 1 THEN '' WHEN 2 THEN CASE WHEN p_partkey % 7 <> 0 THEN split_part(p_name, ' ', 2) || p_partkey % 89 END
           WHEN 3 THEN 'minor' END AS InfraspecificEpithet,
         CASE WHEN p_partkey % 2 = 0 THEN 3 ELSE 1 END AS NomenclaturalCode,
         CASE WHEN p_size % 7 = 0 THEN NULL WHEN p_size % 5 = 0 THEN '' ELSE p_brand END AS BasionymAuthors,
@@ -88,13 +89,15 @@ CTES: dict[str, str] = {
         CASE WHEN p_size % 6 <> 0 THEN 1800 + p_size END AS YearOfPubl,
         p_size % 2 AS IsRecombination,
         CASE WHEN p_partkey % 13 = 0 THEN 's.l.' END AS NonNomenclaturalNameSuffix,
-        ['sp.', 'subsp.', 'gen.', 'fam.'][p_partkey % 4 + 1] AS TaxonomicRank, p_name AS TaxonNameCache
+        CASE WHEN p_partkey = 0 THEN 'reg.' WHEN p_partkey < 10 THEN 'fam.' WHEN p_partkey < 100 THEN 'gen.'
+          WHEN p_partkey < 1000 THEN 'sp.' WHEN p_partkey < 10000 THEN 'subsp.' ELSE 'var.' END AS TaxonomicRank,
+        p_name AS TaxonNameCache
       FROM part""",
-    "tnp": "SELECT NameID, 85 AS ProjectID FROM tn UNION ALL SELECT NameID, 930 FROM tn WHERE NameID % 2 = 0",
+    "tnp": "SELECT NameID, 85 AS ProjectID FROM tn UNION ALL SELECT NameID, 930 FROM tn WHERE NameID % 2 = 0 OR NameID < 100",
     "th": "SELECT NameID, NameID // 10 AS NameParentID, ProjectID FROM tnp",
-    "tan": """SELECT NameID, ProjectID, CASE WHEN NameID % 50 = 1 THEN 1 ELSE 0 END AS IgnoreButKeepForReference
-      FROM tnp WHERE NameID % 5 <> 0""",
-    "tsyn": "SELECT NameID, NameID + 1 AS SynNameID FROM tn WHERE NameID % 5 = 0",
+    "tan": """SELECT NameID, ProjectID, CASE WHEN NameID % 50 = 1 AND NameID >= 100 THEN 1 ELSE 0 END AS IgnoreButKeepForReference
+      FROM tnp WHERE NameID % 5 <> 0 OR NameID < 100""",
+    "tsyn": "SELECT NameID, NameID + CASE WHEN NameID % 2 = 0 THEN 2 ELSE 1 END AS SynNameID FROM tn WHERE NameID % 5 = 0",
     "tcn": """SELECT doc_id % (SELECT count(*) FROM part) AS NameID, text AS CommonName, lang AS LanguageCode
       FROM documents""",
     "li": "SELECT l_partkey AS NameID, 900 + l_suppkey % 50 AS ProjectID, l_returnflag, l_linenumber FROM lineitem",
@@ -136,7 +139,7 @@ CTES: dict[str, str] = {
         CASE WHEN c_custkey % 3 = 1 AND c_custkey % 5 <> 0 THEN c_custkey + 9 END AS acceptedNameUsageID,
         CASE WHEN c_custkey % 17 = 0 THEN '' WHEN c_custkey % 19 = 0 THEN NULL ELSE c_name END AS canonicalName,
         NULL::VARCHAR AS scientificNameAuthorShip,
-        CASE WHEN c_custkey % 23 <> 0 THEN c_mktsegment END AS parentCanonicalName, 'species' AS taxonRank,
+        CASE WHEN c_custkey % 23 <> 0 THEN CASE WHEN c_custkey % 2 = 0 THEN 'Animalia' ELSE c_mktsegment END END AS parentCanonicalName, 'species' AS taxonRank,
         c_name AS scientificName, ['accepted', 'synonym', 'doubtful'][c_custkey % 3 + 1] AS taxonomicStatus,
         ['Animalia', 'Plantae'][c_nationkey % 2 + 1] AS kingdom FROM customer
       UNION ALL SELECT 1, NULL, NULL, 'Animalia', NULL, NULL, 'kingdom', 'Animalia', 'doubtful', 'Animalia'""",
@@ -276,9 +279,11 @@ def _all_rows() -> str:
 #: extracted rows by table, with the names of the staged columns
 _EXTRACTED = {
     "taxa": """SELECT TaxonomySourceID, SourceTaxonID, SourceProjectID, canonicalName AS taxon,
-        scientificNameAuthorShip AS author, parentCanonicalName AS parent_taxon, taxonRank AS rank, scientificName FROM (FROM xtaxa UNION ALL FROM bbtaxa)""",
+        scientificNameAuthorShip AS author, parentCanonicalName AS parent_taxon, taxonRank AS rank, scientificName
+        FROM (FROM xtaxa UNION ALL FROM bbtaxa)""",
     "synonyms": """SELECT TaxonomySourceID, SourceTaxonID, SourceProjectID, SourceAcceptedTaxonID, canonicalName AS taxon,
-        scientificNameAuthorShip AS author, taxonRank AS rank FROM (FROM xsyn UNION ALL FROM bbsyn)""",
+        scientificNameAuthorShip AS author, taxonRank AS rank
+        FROM (FROM xsyn UNION ALL FROM bbsyn)""",
     "common_names": """SELECT 1::BIGINT AS TaxonomySourceID, NameID AS SourceTaxonID, 85::BIGINT AS SourceProjectID,
         CommonName AS name, LanguageCode AS code, 'Vertebrata' AS db_name FROM tcn""",
     "redlist": """SELECT TaxonomySourceID, SourceTaxonID, SourceProjectID, Term AS term, Value AS value, Reference AS reference
@@ -478,9 +483,17 @@ FINAL: dict[str, str] = {
 
 #: A whole run merges the extracted rows instead of the staged ones.
 _RUN_CTES = {
+    # two checklists, the second with one of the projects of the first, and the backbone
+    **{
+        run: f"SELECT * FROM {rows} UNION ALL SELECT * REPLACE (2 AS TaxonomySourceID) FROM {rows} WHERE SourceProjectID = 930"
+        + (f" UNION ALL SELECT * REPLACE (3 AS TaxonomySourceID) FROM {backbone}" if backbone else "")
+        for run, rows, backbone in (
+            ("runtaxa", "xtaxa", "bbtaxa"), ("runsyn", "xsyn", "bbsyn"), ("runred", "xred", ""), ("runnames", "xnames", "")
+        )
+    },
     "stg": """SELECT TaxonomySourceID AS s, SourceTaxonID AS sid, SourceParentTaxonID AS psid, SourceProjectID AS prj,
         canonicalName AS taxon, scientificNameAuthorShip AS author, parentCanonicalName AS parent_taxon, taxonRank AS rank,
-        scientificName FROM (FROM xtaxa UNION ALL FROM bbtaxa)""",
+        scientificName FROM runtaxa""",
     "taxa": f"""SELECT t.*, coalesce(r.rank_code, 0)::BIGINT AS code FROM (
         SELECT 4 + row_number() OVER (ORDER BY s, prj, sid, psid NULLS FIRST) AS id, s, sid, psid, prj, taxon, parent_taxon,
           {_RENAME} AS rank, NULL::BIGINT AS parent_id FROM stg
@@ -489,9 +502,9 @@ _RUN_CTES = {
           (4, 0, 4, 1, 0, 'Fungi', 'root', 'reg.', 1))) t
       LEFT JOIN ranks r ON r.rank = t.rank""",
     "syn": """SELECT TaxonomySourceID AS s, SourceTaxonID AS sid, SourceProjectID AS prj, SourceAcceptedTaxonID AS acc,
-        canonicalName AS taxon, scientificNameAuthorShip AS author FROM (FROM xsyn UNION ALL FROM bbsyn)""",
+        canonicalName AS taxon, scientificNameAuthorShip AS author FROM runsyn""",
     "red": """SELECT TaxonomySourceID AS s, SourceTaxonID AS sid, SourceProjectID AS prj, Term AS term, Value AS value,
-        Reference AS reference FROM xred""",
+        Reference AS reference FROM runred""",
 }
 
 _RUN_FINAL = {
@@ -509,7 +522,7 @@ _RUN_FINAL = {
       FROM pred y LEFT JOIN mkey k ON k.s = y.s AND k.prj = y.prj AND k.sid = y.sid
         LEFT JOIN mname m ON m.taxon = y.taxon AND m.fc = y.family""",
     "full_run_common_names": """SELECT TaxonomySourceID, SourceTaxonID, SourceProjectID, CommonName AS name, Code AS code, db_name
-      FROM xnames""",
+      FROM runnames""",
 }
 
 

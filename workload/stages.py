@@ -46,9 +46,12 @@ class Stages:
         for name, df in self.checklist.items():
             df.write.parquet(f"{root}/checklist/{name}")
         fixtures.backbone(self.spark, self.sf_dir).write.parquet(f"{root}/backbone")
-        spec = SourceSpec("checklist", fixtures.SPECIES_LIST_DB, f"{root}/checklist", fixtures.PROJECTS)
+        specs = [
+            SourceSpec(name, fixtures.SPECIES_LIST_DB, f"{root}/checklist", projects)
+            for name, projects in (("checklist", fixtures.PROJECTS), ("second", fixtures.PROJECTS[1:]))
+        ]
         backbone = full_run.Backbone("backbone", f"{root}/backbone")
-        return full_run.merge_all(full_run.extract_all(self.spark, [spec], backbone, BINARY), BINARY)
+        return full_run.merge_all(full_run.extract_all(self.spark, specs, backbone, BINARY), BINARY)
 
     @cached_property
     def taxa(self) -> DataFrame:
