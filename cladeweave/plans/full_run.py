@@ -16,6 +16,7 @@ from ..runtime import DEFAULT_COLLATION, materialize
 from ..sources import backbone as bb
 from ..sources import checklist as cl
 from ..sources import staging as st
+from ..sources.publish import publish
 from .merge import merge_taxonomy
 
 
@@ -49,16 +50,20 @@ class Merged:
     common_names: DataFrame
     redlist: DataFrame
 
-    def write(self, path: str) -> None:
+    def write(self, path: str) -> int:
+        """Publish all tables as the next run below ``path`` (see :mod:`..sources.publish`)."""
         spark = self.taxa.sparkSession
-        st.write_table(rank_dim(spark), f"{path}/ranks")
-        st.write_table(redlist_terms(spark), f"{path}/redlist_terms")
-        st.write_table(closure_after_merge(self.taxa), f"{path}/relations", [SOURCE])
-        st.write_table(self.sources, f"{path}/sources")
-        st.write_table(self.taxa, f"{path}/taxa", [SOURCE])
-        st.write_table(self.synonyms, f"{path}/synonyms", [SOURCE])
-        st.write_table(self.common_names, f"{path}/common_names", [SOURCE])
-        st.write_table(self.redlist, f"{path}/redlist", [SOURCE])
+        tables = {
+            "ranks": (rank_dim(spark), None),
+            "redlist_terms": (redlist_terms(spark), None),
+            "relations": (closure_after_merge(self.taxa), [SOURCE]),
+            "sources": (self.sources, None),
+            "taxa": (self.taxa, [SOURCE]),
+            "synonyms": (self.synonyms, [SOURCE]),
+            "common_names": (self.common_names, [SOURCE]),
+            "redlist": (self.redlist, [SOURCE]),
+        }
+        return publish(spark, path, tables)
 
 
 def extract_all(

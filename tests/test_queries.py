@@ -59,7 +59,7 @@ def test_known_counts(spark, smallest):
 
 
 def test_familyless_doubles_have_whole_names(spark, smallest):
-    found = all_queries()["doubles_without_family_names"](spark, smallest)
+    found = all_queries()["doubles_without_family"](spark, smallest)
     known = stages(spark, smallest).banded.select("taxon").distinct()
     assert found.filter("taxon LIKE '% %'").count() > 0
     assert found.join(known, "taxon", "left_anti").count() == 0

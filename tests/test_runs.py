@@ -1,9 +1,10 @@
+import pytest
 from pyspark.sql import functions as F
 
-from cladeweave import Backbone, SourceSpec, extract_all, merge_all, model
+from cladeweave import Backbone, SourceSpec, extract_all, merge_all, model, read_run
 from cladeweave.operators import links
 from cladeweave.runtime import BINARY
-from cladeweave.sources import backbone, checklist
+from cladeweave.sources import backbone, checklist, publish
 
 from tests.trees import frame, row
 
@@ -101,8 +102,9 @@ def test_whole_run(spark, tmp_path):
     assert staged.taxa.groupBy(model.SOURCE).count().orderBy(model.SOURCE).collect() == [(0, 4), (1, 4), (2, 5), (3, 4)]
 
     result = merge_all(staged)
-    result.write(str(tmp_path / "out"))
-    taxa = {r.id: r for r in spark.read.parquet(str(tmp_path / "out" / "taxa")).collect()}
+    assert result.write(str(tmp_path / "out")) == 1
+    out = read_run(spark, str(tmp_path / "out"))
+    taxa = {r.id: r for r in out["taxa"].collect()}
     by_name = {r.taxon: r for r in taxa.values()}
 
     # exactly one root, every parent exists, ids are unique, one row per name here
@@ -121,15 +123,15 @@ def test_whole_run(spark, tmp_path):
     assert by_name["Genus alba"].author == "L., 1758" and by_name["Genus alba"].familyCache == "Familidae"
     assert "Planta" not in by_name
 
-    synonyms = {r.taxon: r for r in spark.read.parquet(str(tmp_path / "out" / "synonyms")).collect()}
+    synonyms = {r.taxon: r for r in out["synonyms"].collect()}
     # an ignored acceptance does not count as accepted
     assert set(synonyms) == {"Genus nigra", "Genus rubra", "Genus virens"}
     assert synonyms["Genus nigra"].syn_taxon_id == by_name["Genus alba"].id  # by name and family
     assert synonyms["Genus virens"].syn_taxon_id == by_name["Genus viridis"].id  # by key
 
-    common = spark.read.parquet(str(tmp_path / "out" / "common_names")).collect()
+    common = out["common_names"].collect()
     assert [(r.name, r.code, r.db_name) for r in common] == [("Weisse Gattung", "de", "Vertebrata")]
-    redlist = spark.read.parquet(str(tmp_path / "out" / "redlist")).collect()
+    redlist = out["redlist"].collect()
     # name 3 has the value in both databases
     assert sorted((r.TaxonomySourceID, r.term, r.value, r.reference, r.taxon_id) for r in redlist) == [
         (s, "RL-Kategorie", "2", "Ref", by_name["Genus"].id) for s in (1, 2)
@@ -178,3 +180,38 @@ def test_links_prefer_the_key(spark, skew):
     ).coalesce(2)
     got = {r.SourceTaxonID: r.syn_taxon_id for r in links.relink_synonyms(dependents, merged, BINARY).collect()}
     assert got == {1: 5, 2: 5, 3: None, 4: None, 5: 6}
+
+
+def test_run_appears_as_a_whole(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "runs")
+    one, two = (spark.range(n).withColumn("part", F.col("id") % 2) for n in (5, 7))
+    tables = lambda df: {"a": (df, ["part"]), "b": (df, None), "c": (df, None), "none": (df.filter("false"), ["part"])}
+    count = lambda **which: {name: df.count() for name, df in publish.read_run(spark, root, **which).items()}
+    with pytest.raises(FileNotFoundError):
+        publish.read_run(spark, root)
+    assert publish.publish(spark, root, tables(one)) == 1 and count() == {"a": 5, "b": 5, "c": 5, "none": 0}
+
+    real, written = publish.staging.write_table, []
+
+    def failing(df, path, *args, **kwargs):
+        written.append(path)
+        if len(written) == 2:
+            raise OSError("lost")
+        real(df, path, *args, **kwargs)
+
+    monkeypatch.setattr(publish.staging, "write_table", failing)
+    with pytest.raises(OSError):
+        publish.publish(spark, root, tables(two))
+    assert publish.versions(spark, root) == [1] and count() == {"a": 5, "b": 5, "c": 5, "none": 0}
+    monkeypatch.setattr(publish.staging, "write_table", real)
+
+    assert publish.publish(spark, root, tables(two)) == 2
+    assert count() == {"a": 7, "b": 7, "c": 7, "none": 0} and count(version=1) == {"a": 5, "b": 5, "c": 5, "none": 0}
+    # the next run may be made from the last one, and a number is given once
+    last = publish.read_run(spark, root)["a"].select("id", "part")
+    monkeypatch.setattr(publish, "versions", lambda *_: [1])
+    with pytest.raises(publish.PublishError):
+        publish.publish(spark, root, tables(last))
+    monkeypatch.undo()
+    assert publish.versions(spark, root) == [1, 2]
+    assert publish.publish(spark, root, tables(last)) == 3 and count()["b"] == 7

@@ -327,7 +327,9 @@ FINAL: dict[str, str] = {
       FROM ranks r LEFT JOIN taxa t ON t.rank = r.rank GROUP BY ALL""",
     "redlist_terms": """SELECT t.id::BIGINT AS id, t.term, t.category, t.lang, r.value, nullif(count(r.value), 0) AS n
       FROM terms t LEFT JOIN red r ON r.term = t.term GROUP BY ALL""",
-    "write_taxa": f"SELECT id, {_ORIGIN}, psid AS SourceParentTaxonID, taxon, parent_taxon, rank FROM taxa",
+    "write_taxa": f"""SELECT id, {_ORIGIN}, psid AS SourceParentTaxonID, taxon, parent_taxon, rank, parent_id,
+      code AS rank_code, CASE WHEN s > 0 THEN 'Author ' || sid % 97 END AS author,
+      CASE WHEN s > 0 THEN taxon || ' Author ' || sid % 97 END AS "scientificName" FROM taxa""",
     "write_synonyms": f"""SELECT {_ORIGIN}, acc AS SourceAcceptedTaxonID, taxon, NULL::VARCHAR AS author, 'species' AS rank
       FROM syn""",
     "write_common_names": """SELECT 1::BIGINT AS TaxonomySourceID,
@@ -432,10 +434,7 @@ FINAL: dict[str, str] = {
     "split_bands": "SELECT band, s AS TaxonomySourceID, count(*) AS n FROM bnd GROUP BY ALL",
     "doubles_by_name": "SELECT id, taxon FROM cand WHERE band = 'family'",
     "doubles_by_family": "SELECT id, band, taxon, family FROM cand WHERE band <> 'family'",
-    "doubles_without_family": """SELECT id, band, split_part(taxon, ' ', 1) AS taxon FROM bnd t WHERE band <> 'family'
-      AND family IS NULL AND EXISTS (SELECT 1 FROM bnd o WHERE o.band = t.band AND o.id <> t.id
-        AND split_part(o.taxon, ' ', 1) = split_part(t.taxon, ' ', 1))""",
-    "doubles_without_family_names": f"""SELECT id, band, taxon FROM ({_COPIES}) t WHERE band <> 'family' AND family IS NULL
+    "doubles_without_family": f"""SELECT id, band, taxon FROM ({_COPIES}) t WHERE band <> 'family' AND family IS NULL
       AND EXISTS (SELECT 1 FROM ({_COPIES}) o WHERE o.band = t.band AND o.id <> t.id AND o.taxon = t.taxon)""",
     "pick_deepest": "SELECT band, id FROM win",
     "surviving_rows": "SELECT id FROM keepers",
@@ -508,6 +507,13 @@ _RUN_CTES = {
 }
 
 _RUN_FINAL = {
+    "write_run": " UNION ALL ".join(
+        f"""SELECT '{name}' AS "table", count(*) AS n FROM {rows}"""
+        for name, rows in (
+            ("ranks", "ranks"), ("redlist_terms", "terms"), ("relations", "mclo"), ("sources", "(VALUES (1), (2), (3))"),
+            ("taxa", "merged"), ("synonyms", "syn"), ("common_names", "runnames"), ("redlist", "red"),
+        )
+    ),
     "full_run_taxa": f"""SELECT m.id, m.s AS TaxonomySourceID, m.prj AS SourceProjectID, m.sid AS SourceTaxonID,
         m.psid AS SourceParentTaxonID, m.taxon, x.author, m.parent_taxon, x.scientificName, m.parent_id, m.rank,
         m.fc AS "familyCache"

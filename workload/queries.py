@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from cladeweave.operators.skew import dimension_join
 from cladeweave.plans import full_run, merge
 from cladeweave.runtime import BINARY, materialize, scratch_root
 from cladeweave.sources import backbone, checklist, staging
+from cladeweave.sources.publish import read_run
 
 from . import fixtures as fx
 from .stages import stages
@@ -115,7 +117,7 @@ def redlist_terms(spark, sf_dir):
 def write_taxa(spark, sf_dir):
     taxa = stages(spark, sf_dir).taxa
     return _written(
-        taxa.select("id", *KEY, model.PARENT_ID, "taxon", "parent_taxon", "rank"), "out-taxa", [model.SOURCE]
+        taxa.withColumn("rank_code", F.col("rank_code").cast("long")), "out-taxa", [model.SOURCE]
     )
 
 
@@ -578,14 +580,6 @@ def doubles_by_family(spark, sf_dir):
 
 @query
 def doubles_without_family(spark, sf_dir):
-    """On the fixture no name without family occurs twice, so ranks and epithets are
-    taken off: the genus stands for the name."""
-    rows = stages(spark, sf_dir).banded.withColumn("taxon", F.split("taxon", " ")[0])
-    return doubles.without_family(rows, BINARY).select("id", "band", "taxon")
-
-
-@query
-def doubles_without_family_names(spark, sf_dir):
     """Whole names, with copies that have no family."""
     rows = fx.familyless_copies(stages(spark, sf_dir).banded)
     return doubles.without_family(rows, BINARY).select("id", "band", "taxon")
@@ -813,6 +807,17 @@ def full_run_redlist(spark, sf_dir):
     return _full_run(spark, sf_dir).redlist.select(*KEY, "term", "value", "reference", "taxon_id")
 
 
+@query
+def write_run(spark, sf_dir):
+    """All tables of the whole run published together and read back."""
+    root = f"{scratch_root(spark)}/published-{uuid.uuid4().hex}"
+    _full_run(spark, sf_dir).write(root)
+    return reduce(
+        DataFrame.unionByName,
+        [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table"), "n") for name, df in read_run(spark, root).items()],
+    )
+
+
 @query
 def full_run_common_names(spark, sf_dir):
     return _full_run(spark, sf_dir).common_names
