@@ -3,8 +3,8 @@
 Terms are the words of a text in lower case and the first letters of longer words, each
 hashed into 2**20 buckets. A text is the set of its buckets. The model is fitted on a
 bounded sample, at most ``ROWS`` labelled documents of the training fold and ``TERMS``
-terms of them in all, those with the least hashes of their ids. The machine has a weight and a vector of ``FACTORS`` numbers for
-every bucket seen in the sample:
+terms of them in all, those with the least hashes of their ids. The machine has a weight
+and a vector of ``FACTORS`` numbers for every bucket seen in the sample:
 
     logit = w0 + sum_i w_i + sum_{i<j} <v_i, v_j>,
 
@@ -12,9 +12,9 @@ so pairs of terms count beyond their sum. No term is left out beforehand, by cou
 what it tells alone. What keeps the rest from being learned by heart is a penalty on the
 size of each weight and each vector, in proportion to the noise of its gradient and to
 sqrt(2 ln terms), the size that noise reaches among so many terms; it weakens as a weight
-or vector grows. A vector's gradient is that of its pairs, so a term that matters only
-beside another is learned although it tells nothing alone. One term of a pair has to tell
-something alone, as vectors start from the terms that have a weight.
+or vector grows. A vector's gradient is that of its pairs, and all vectors start at
+random, so a pair is learned although neither of its terms tells anything alone. Only terms
+that no gradient could move against the penalty keep zero from the start, which is exact.
 
 The fit takes ``STEPS`` steps of gradients over the whole sample for the weights and as
 many for weights and vectors, on the driver, which gets the numbers of the sample's terms
@@ -33,6 +33,7 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -48,11 +49,11 @@ BUCKETS = 1 << 20
 PREFIX = 5
 FACTORS, ROWS, TERMS = 8, 20_000, 8_000_000
 #: steps of each phase of the fit, step size, first size of vectors
-STEPS, RATE, START = 80, 0.1, 0.1
+STEPS, RATE, START = 50, 0.1, 0.1
 #: shares of the noise that the penalties on weights and vectors take, how they weaken, decay
 WEIGHT_NOISE, VECTOR_NOISE, WEAKEN, DECAY = 0.8, 0.5, 10.0, 1.0
-#: terms of documents looked at together in a step
-SLICE = 1 << 19
+#: entries summed together by a thread, and threads of the driver
+SLICE, THREADS = 1 << 17, 4
 FOLDS = 5
 
 _WORD = re.compile(r"\w+")
@@ -166,60 +167,117 @@ class _Adam:
         return RATE * mean / (np.sqrt(square) + 1e-8)
 
 
-def _slices(sizes: np.ndarray) -> list[tuple[int, int]]:
-    """Ranges of documents of about ``SLICE`` terms."""
+class _Incidence:
+    """Which term is in which document, ordered by document and by term.
+
+    Sums over the terms of every document, or over the documents of every term, go by
+    ranges of ``SLICE`` entries, so what they hold beside the sums does not grow with them.
+    """
+
+    def __init__(self, flat: np.ndarray, sizes: np.ndarray, n_terms: int):
+        doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        self.docs = np.bincount(flat, minlength=n_terms)
+        self._flat, self._sizes, self._by_term = flat, sizes, doc[np.argsort(flat, kind="stable")]
+        self._cuts = _cuts(self.docs)
+        self._live = self._members = None
+
+    def by_term(self, values: np.ndarray) -> np.ndarray:
+        """Sums of a row of ``values`` per document over the documents of every term."""
+        return _sums(values, self._by_term, self.docs, self._cuts)
+
+    def by_doc(self, values: np.ndarray, live: np.ndarray) -> np.ndarray:
+        """Sums of a row of ``values`` per term over the terms of every document, those that
+        are ``live``, as the others are zero."""
+        if self._live is None or (live != self._live).any():
+            at = live[self._flat]
+            ends = np.cumsum(self._sizes)
+            sizes = np.diff(np.append(0, np.cumsum(at, dtype=np.int64))[np.append(0, ends)])
+            self._live, self._members = live, (self._flat[at], sizes, _cuts(sizes))
+        return _sums(values, *self._members)
+
+
+def _cuts(sizes: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of groups of about ``SLICE`` entries."""
     part = np.cumsum(sizes) // SLICE
     cuts = np.flatnonzero(np.diff(part)) + 1
     return list(zip([0, *cuts.tolist()], [*cuts.tolist(), len(sizes)]))
 
 
+def _sums(values: np.ndarray, at: np.ndarray, sizes: np.ndarray, cuts: list[tuple[int, int]]) -> np.ndarray:
+    """Sums of ``values[at]`` over consecutive groups of ``sizes`` entries."""
+    sums = np.zeros((len(sizes), values.shape[1]), values.dtype)
+    ends = np.cumsum(sizes, dtype=np.int64)
+
+    def add(cut: tuple[int, int]) -> None:
+        a, b = cut
+        some = a + np.flatnonzero(sizes[a:b])  # reduceat takes no empty group
+        if len(some):
+            first = ends[a] - sizes[a]
+            picked = values.take(at[first : ends[b - 1]], axis=0)
+            sums[some] = np.add.reduceat(picked, (ends - sizes)[some] - first, axis=0)
+
+    with ThreadPoolExecutor(THREADS) as pool:
+        list(pool.map(add, cuts))
+    return sums
+
+
+def _movable(flat: np.ndarray, sizes: np.ndarray, weight: np.ndarray, noise: float, n_terms: int) -> np.ndarray:
+    """Which terms some gradient could move away from zero; leaving out the others is exact.
+
+    The error of a document is at most its weight. So the gradient of a weight is at most
+    the sum of them, and that of a vector at most the root of the sum of their squares
+    times the root of what the penalty on it is in proportion to.
+    """
+    doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    docs = np.bincount(flat, minlength=n_terms)
+    most, square = (np.bincount(flat, x[doc], n_terms) for x in (weight, weight**2))
+    penalty = WEIGHT_NOISE * noise * np.sqrt(docs * (1 - docs / len(sizes)))
+    return (most > penalty) | (np.sqrt(square) > VECTOR_NOISE * noise)
+
+
 def _fit(flat: np.ndarray, sizes: np.ndarray, y: np.ndarray, n_terms: int) -> tuple[float, np.ndarray, np.ndarray]:
     """Logistic loss with penalties; positives and negatives weigh the same in sum.
 
     ``flat`` holds the terms of all documents one after the other, ``sizes`` of each.
     """
-    rng = np.random.default_rng(0)
-    n = len(y)
     share = y.mean()
     weight = np.where(y == 1, 0.5 / share, 0.5 / (1 - share))
-    docs = np.bincount(flat, minlength=n_terms)
-    noise = np.sqrt(2 * np.log(max(n_terms, 2)) * np.mean((0.5 * weight) ** 2))
-    penalty = WEIGHT_NOISE * noise * np.sqrt(docs * (1 - docs / n))
-    ends = np.cumsum(sizes)
+    noise = float(np.sqrt(2 * np.log(max(n_terms, 2)) * np.mean((0.5 * weight) ** 2)))
+    movable = _movable(flat, sizes, weight, noise, n_terms)
+    stays = movable[flat]
+    flat = (np.cumsum(movable, dtype=np.int32) - 1)[flat[stays]]
+    sizes = np.diff(np.append(0, np.cumsum(stays, dtype=np.int64))[np.append(0, np.cumsum(sizes))])
+    w, v = np.zeros(n_terms), np.zeros((n_terms, FACTORS))
+    bias, w[movable], v[movable] = _descend(_Incidence(flat, sizes, int(movable.sum())), y, weight, noise)
+    return bias, w, v
+
+
+def _descend(terms_of: _Incidence, y: np.ndarray, weight: np.ndarray, noise: float) -> tuple[float, np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(0)
+    n, n_terms = len(y), len(terms_of.docs)
+    penalty = WEIGHT_NOISE * noise * np.sqrt(terms_of.docs * (1 - terms_of.docs / n))
     bias, w, v = np.zeros((1, 1)), np.zeros((n_terms, 1)), np.zeros((n_terms, FACTORS), np.float32)
     adam = [_Adam(x) for x in (bias, w, v)]
     for step in range(2 * STEPS):
         if step == STEPS:
-            told = np.flatnonzero(w[:, 0])
-            v[told] = rng.normal(0, START, (len(told), FACTORS))
+            # pairs of first vectors that mean nothing add about 1 to a text of usual length
+            usual = max(terms_of.docs.sum() / n, 1)
+            first = np.full((n_terms, 1), min(START, 1 / np.sqrt(2 * usual)), np.float32)
+            first[w[:, 0] != 0] = START
+            v = first * rng.standard_normal((n_terms, FACTORS), np.float32)
         live = v.any(1)
-        by_bias, by_w, by_v, met = 0.0, np.zeros(n_terms), np.zeros((n_terms, FACTORS), np.float32), np.zeros(n_terms)
-        for a, b in _slices(sizes):
-            term, row = flat[ends[a] - sizes[a] : ends[b - 1]], np.repeat(np.arange(b - a, dtype=np.int32), sizes[a:b])
-            logit = bias[0, 0] + np.bincount(row, w[term, 0], b - a)
-            total = np.zeros((b - a, FACTORS))
-            if live.any():
-                at = np.flatnonzero(live[term])
-                own, doc = v[term[at]], row[at]
-                for k in range(FACTORS):
-                    total[:, k] = np.bincount(doc, own[:, k], b - a)
-                logit += 0.5 * ((total**2).sum(1) - np.bincount(doc, (own**2).sum(1), b - a))
-            error = (_sigmoid(logit) - y[a:b]) * weight[a:b]
-            by_bias += error.sum()
-            by_w += np.bincount(term, error[row], n_terms)
-            hot = total.any(1)
-            if hot.any():  # vectors of other documents' terms have no gradient
-                at = np.flatnonzero(hot[row])
-                term, row = term[at], row[at]
-                met += np.bincount(term, (total**2).sum(1)[row], n_terms)
-                for k in range(FACTORS):
-                    by_v[:, k] += np.bincount(term, (error * total[:, k])[row], n_terms)
-                by_v -= np.bincount(term, error[row], n_terms).astype(np.float32)[:, None] * v
+        of_docs = terms_of.by_doc(np.hstack([w, v, (v * v).sum(1, keepdims=True)]), live | (w[:, 0] != 0))
+        total = of_docs[:, 1:-1]
+        logit = bias[0, 0] + of_docs[:, 0] + 0.5 * ((total**2).sum(1) - of_docs[:, -1])
+        error = ((_sigmoid(logit) - y) * weight)[:, None]
+        known = [error, error * total, (total**2).sum(1, keepdims=True)] if live.any() else [error]
+        sums = terms_of.by_term(np.hstack(known).astype(np.float32))
+        by_w = sums[:, :1].astype(float)
         if live.any():
-            by_v += np.float32(DECAY) * v
-            v = adam[2].step(v, by_v, (VECTOR_NOISE * noise * np.sqrt(met)).astype(np.float32))
-        w = adam[1].step(w, by_w[:, None] + DECAY * w, penalty)
-        bias = bias - adam[0].move(np.array([[by_bias]]))
+            by_v = sums[:, 1:-1] + (np.float32(DECAY) - sums[:, :1]) * v
+            v = adam[2].step(v, by_v, (VECTOR_NOISE * noise * np.sqrt(sums[:, -1])).astype(np.float32))
+        w = adam[1].step(w, by_w + DECAY * w, penalty)
+        bias = bias - adam[0].move(np.array([[error.sum()]]))
     return float(bias[0, 0]), w[:, 0], v.astype(float)
 
 

@@ -66,6 +66,58 @@ def test_a_rare_group_that_tells_nothing_alone(spark, docs_of):
     assert logit("folk") < 0 < logit("vermin folk")
 
 
+def test_a_pair_whose_terms_tell_nothing_alone(spark, docs_of):
+    """Toxic where exactly one of two words stands: neither word changes the share."""
+    rnd = random.Random(11)
+    docs, truth = [], {}
+    for i in range(3000):
+        insult, group = rnd.random() < 0.5, rnd.random() < 0.5
+        words = [f"w{rnd.randrange(300)}" for _ in range(rnd.randint(5, 40))] + ["vermin"] * insult + ["folk"] * group
+        rnd.shuffle(words)
+        docs.append((i, " ".join(words)))
+        truth[i] = int(insult != group)
+    frame = docs_of(docs)
+    machine = tx.fit(frame, spark.createDataFrame(list(truth.items()), LABELS))
+    held = {r.doc_id: r.score for r in tx.score(frame, machine).collect() if zlib.crc32(str(r.doc_id).encode()) % 5 == 0}
+    assert np.mean([(s >= 0.5) == truth[i] for i, s in held.items()]) > 0.9
+
+
+def test_scores_follow_the_formula(spark, docs_of):
+    """A double loop over the pairs of a text's terms, with the terms found anew."""
+    docs, labels = corpus(400, seed=2)
+    frame = docs_of(docs)
+    machine = tx.fit(frame, spark.createDataFrame(labels, LABELS))
+    got = {r.doc_id: r.score for r in tx.score(frame, machine).collect()}
+    for i, text in docs[:60]:
+        found = set()
+        for word in text.lower().split():
+            found.add(zlib.crc32(b"w " + word.encode()) % (1 << 20))
+            if len(word) > 5:
+                found.add(zlib.crc32(b"p " + word[:5].encode()) % (1 << 20))
+        rows = [machine.term[t] for t in found if t in machine.term]
+        logit = machine.bias + sum(machine.weights[r] for r in rows)
+        for a in range(len(rows)):
+            for b in range(a):
+                logit += sum(x * y for x, y in zip(machine.vectors[rows[a]], machine.vectors[rows[b]]))
+        assert abs(got[i] - 1 / (1 + np.exp(-logit))) < 1e-9
+
+
+def test_terms_left_out_could_not_move(monkeypatch):
+    rnd = np.random.default_rng(4)
+    sizes = rnd.integers(0, 30, 400)
+    flat, y = rnd.integers(0, 500, sizes.sum()).astype(np.int32), (rnd.random(400) < 0.1).astype(float)
+    keys = np.unique(np.repeat(np.arange(400), sizes) * 500 + flat)  # a text is a set of terms
+    flat, sizes = (keys % 500).astype(np.int32), np.bincount(keys // 500, minlength=400)
+    monkeypatch.setattr(tx, "STEPS", 30)
+    _, w, v = tx._fit(flat, sizes, y, 500)
+    weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
+    noise = float(np.sqrt(2 * np.log(500) * np.mean((0.5 * weight) ** 2)))
+    movable = tx._movable(flat, sizes, weight, noise, 500)
+    assert 0 < movable.sum() < 500 and not w[~movable].any() and not v[~movable].any()
+    _, every, _ = tx._descend(tx._Incidence(flat, sizes, 500), y, weight, noise)
+    assert not every[~movable].any()
+
+
 def test_few_documents_are_enough_for_a_telling_term(spark, docs_of):
     rnd = random.Random(5)
     docs, labels = [], []
