@@ -33,7 +33,6 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -52,8 +51,8 @@ FACTORS, ROWS, TERMS = 8, 20_000, 8_000_000
 STEPS, RATE, START = 50, 0.1, 0.1
 #: shares of the noise that the penalties on weights and vectors take, how they weaken, decay
 WEIGHT_NOISE, VECTOR_NOISE, WEAKEN, DECAY = 0.8, 0.5, 10.0, 1.0
-#: entries summed together by a thread, and threads of the driver
-SLICE, THREADS = 1 << 17, 4
+#: entries summed together
+SLICE = 1 << 16
 FOLDS = 5
 
 _WORD = re.compile(r"\w+")
@@ -207,17 +206,12 @@ def _sums(values: np.ndarray, at: np.ndarray, sizes: np.ndarray, cuts: list[tupl
     """Sums of ``values[at]`` over consecutive groups of ``sizes`` entries."""
     sums = np.zeros((len(sizes), values.shape[1]), values.dtype)
     ends = np.cumsum(sizes, dtype=np.int64)
-
-    def add(cut: tuple[int, int]) -> None:
-        a, b = cut
+    for a, b in cuts:
         some = a + np.flatnonzero(sizes[a:b])  # reduceat takes no empty group
         if len(some):
             first = ends[a] - sizes[a]
             picked = values.take(at[first : ends[b - 1]], axis=0)
-            sums[some] = np.add.reduceat(picked, (ends - sizes)[some] - first, axis=0)
-
-    with ThreadPoolExecutor(THREADS) as pool:
-        list(pool.map(add, cuts))
+            sums[some] = np.add.reduceat(picked, ends[some] - sizes[some] - first, axis=0)
     return sums
 
 
