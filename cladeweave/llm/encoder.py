@@ -57,9 +57,12 @@ class Encoder:
         only space it has, so its first token is the only one that begins with a space,
         which tells the words apart in the result.
         """
-        plain = [w for w in words if w and " " not in w and not w[0].isspace() and not any(a in w for a in self._added)]
-        rest = [w for w in words if not w or " " in w or w[0].isspace() or any(a in w for a in self._added)]
-        (ids,) = self._ids_of([" " + " ".join(plain)]) if plain else (np.zeros(0, self.dtype),)
+        together = " ".join(words)
+        added = [a for a in self._added if a in together]
+        rest = [w for w in words if not w or " " in w or w[0].isspace() or added and any(a in w for a in added)]
+        apart = set(rest)
+        plain = [w for w in words if w not in apart] if rest else words
+        (ids,) = self._ids_of([" " + (" ".join(plain) if rest else together)]) if plain else (np.zeros(0, self.dtype),)
         starts = np.flatnonzero(self._spaced[ids])
         if len(starts) != len(plain) or len(plain) and starts[0] != 0:
             plain, rest, starts, ids = [], words, starts[:0], ids[:0]
@@ -83,10 +86,12 @@ class Encoder:
         if new:
             own = self._ids_of(new)
             self._add([(w,) for w in new], np.concatenate(own), np.cumsum([len(x) for x in own]))
-        found = [np.array(list(map(place.__getitem__, keys)), np.int64) for keys in (words, [(w,) for w in firsts])]
-        for w in [w for w in (*words, *((w,) for w in firsts)) if len(w[0] if isinstance(w, tuple) else w) > MEMO_LENGTH]:
+        after = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+        at_start = np.fromiter((place[(w,)] for w in firsts), np.int64, len(firsts))
+        for w in [w for w in words if len(w) > MEMO_LENGTH]:  # a first word is one of the words
             place.pop(w, None)
-        return found[0], found[1]
+            place.pop((w,), None)
+        return after, at_start
 
     def documents(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of every text and the end id."""
