@@ -71,17 +71,17 @@ def extract_all(
     specs: list[SourceSpec],
     backbone: Backbone | None = None,
     collation: str = DEFAULT_COLLATION,
-    per_project: bool = True,
 ) -> Staged:
     """Extract all sources in priority order and store the staged tables."""
     taxa, synonyms, common, red = [], [], [], []
     names = [s.name for s in specs] + ([backbone.name] if backbone else [])
     for source_id, spec in enumerate(specs, start=1):
         t = cl.read_checklist(spark, spec)
-        taxa.append(cl.extract_taxa(t, source_id, spec.project_ids))
-        synonyms.append(cl.extract_synonyms(t, source_id, spec.project_ids))
+        texts = cl.name_texts(t, spec.project_ids)
+        taxa.append(cl.extract_taxa(t, source_id, spec.project_ids, texts))
+        synonyms.append(cl.extract_synonyms(t, source_id, spec.project_ids, texts))
         common.append(cl.extract_common_names(t, source_id, spec.project_ids, spec.dbname))
-        red.append(cl.extract_redlist(t, source_id, spec.project_ids, spec.dbname, per_project, collation))
+        red.append(cl.extract_redlist(t, source_id, spec.project_ids, spec.dbname, collation))
     if backbone:
         table = bb.read_backbone(spark, backbone.location, backbone.fmt)
         taxa.append(bb.extract_backbone_taxa(table, len(names), collation))

@@ -49,7 +49,7 @@ TABLES = {
 
 Tables = dict[str, DataFrame]
 
-#: ranges of NameID that a table of a database is read in
+#: ranges of NameID, of about as many rows each, that a table of a database is read in
 JDBC_PARTITIONS = 32
 
 #: a name in a project
@@ -60,7 +60,8 @@ def read_checklist(spark: SparkSession, spec: SourceSpec) -> Tables:
     """The tables of one source, reduced to the columns in use.
 
     File formats are read from ``location/<table>``. Over JDBC, tables with a NameID
-    are read in parallel ranges of it, ``JDBC_PARTITIONS`` or the option ``numPartitions``.
+    are read in parallel ranges of it that hold about as many rows each, however the ids lie;
+    there are ``JDBC_PARTITIONS`` of them, or the option ``numPartitions`` says.
     """
     if spec.fmt == "jdbc":
         return {name: _read_jdbc(spark, spec, name, columns) for name, columns in TABLES.items()}
@@ -68,29 +69,40 @@ def read_checklist(spark: SparkSession, spec: SourceSpec) -> Tables:
     return {name: reader.load(f"{spec.location}/{name}").select(*columns) for name, columns in TABLES.items()}
 
 
-def jdbc_options(spec: SourceSpec, table: str, columns: list[str], ends: tuple[int, int] | None) -> dict[str, str]:
-    """Reader options of a table; with the least and greatest NameID it is read in ranges."""
-    options = {"numPartitions": str(JDBC_PARTITIONS), **spec.options, "url": spec.location, "dbtable": table}
-    if ends is None or "NameID" not in columns:
-        del options["numPartitions"]
-        return options
-    low, high = map(str, ends)
-    return options | {"partitionColumn": "NameID", "lowerBound": low, "upperBound": high}
+def jdbc_options(spec: SourceSpec) -> dict[str, str]:
+    """Options of every reader of a source."""
+    return {k: v for k, v in spec.options.items() if k != "numPartitions"} | {"url": spec.location}
 
 
-def jdbc_ends_options(spec: SourceSpec, table: str) -> dict[str, str]:
-    """Reader options of the query for the least and greatest NameID."""
-    query = f"SELECT MIN(NameID) AS lo, MAX(NameID) AS hi FROM {table}"
-    return {k: v for k, v in spec.options.items() if k != "numPartitions"} | {"url": spec.location, "query": query}
+def jdbc_quantiles(spec: SourceSpec, table: str) -> str:
+    """The query for the least NameID of each of the parts that hold as many rows."""
+    parts = int(spec.options.get("numPartitions", JDBC_PARTITIONS))
+    tiles = f"SELECT NameID, NTILE({parts}) OVER (ORDER BY NameID) AS part FROM {table} WHERE NameID IS NOT NULL"
+    return f"SELECT MIN(NameID) AS low FROM ({tiles}) tiles GROUP BY part"
+
+
+def jdbc_predicates(lows: Sequence[int]) -> list[str]:
+    """Conditions that put every row into one range, the first of which has the rows without
+    NameID too. Parts that begin with the same NameID fall together."""
+    cuts = sorted(set(lows))[1:]
+    if not cuts:
+        return ["1 = 1"]
+    between = [f"NameID >= {low} AND NameID < {high}" for low, high in zip(cuts, cuts[1:])]
+    return [f"NameID < {cuts[0]} OR NameID IS NULL", *between, f"NameID >= {cuts[-1]}"]
 
 
 def _read_jdbc(spark: SparkSession, spec: SourceSpec, table: str, columns: list[str]) -> DataFrame:
-    """A table, read once in parallel and stored: later scans and counts spare the database."""
-    ends = None
+    """A table, read once in parallel and stored: later scans and counts spare the database.
+
+    The driver gets one number per range.
+    """
+    options = jdbc_options(spec)
+    lows = []
     if "NameID" in columns:
-        found = spark.read.format("jdbc").options(**jdbc_ends_options(spec, table)).load().first()
-        ends = None if found["lo"] is None else (found["lo"], found["hi"])
-    read = spark.read.format("jdbc").options(**jdbc_options(spec, table, columns, ends)).load()
+        found = spark.read.format("jdbc").options(**options, query=jdbc_quantiles(spec, table)).load()
+        lows = [int(r["low"]) for r in found.collect()]
+    properties = {k: v for k, v in options.items() if k != "url"}
+    read = spark.read.jdbc(spec.location, table, predicates=jdbc_predicates(lows), properties=properties)
     return materialize(read.select(*columns), f"jdbc-{table}")
 
 
@@ -198,17 +210,29 @@ def tag_source(df: DataFrame, source_id: int, project: Column | int, db_name: st
 # --- extractions --------------------------------------------------------------------
 
 
-def extract_taxa(t: Tables, source_id: int, project_ids: Sequence[int]) -> DataFrame:
+#: what the extractions take from a name
+_TEXTS = ["NameID", "canonicalName", "scientificNameAuthorShip", "TaxonomicRank", "TaxonNameCache"]
+
+
+def name_texts(t: Tables, project_ids: Sequence[int]) -> DataFrame:
+    """Canonical name, authorship and rank of the names in the projects and of the parents
+    there, a stored table: other names of the database get no texts, and these get them once."""
+    members = project_members(t, project_ids).select("NameID")
+    parents = by_project(t["TaxonHierarchy"], project_ids).select(F.col("NameParentID").alias("NameID"))
+    needed = members.union(parents).filter(F.col("NameID").isNotNull()).distinct()
+    found = t["TaxonName"].join(needed, "NameID", "left_semi")
+    return materialize(with_authorship(with_canonical_name(found, t)).select(*_TEXTS), "name-texts")
+
+
+def extract_taxa(t: Tables, source_id: int, project_ids: Sequence[int], texts: DataFrame | None = None) -> DataFrame:
     """Accepted names of the projects with authorship, parent and rank.
 
-    All projects of a source go through together. The texts are made once per name,
-    so that the joins carry few columns and the parent's name needs no rank lookup
-    of its own. List membership gives no column and would only repeat rows, so it is
-    not joined.
+    All projects of a source go through together. ``texts`` are the :func:`name_texts` of the
+    projects, made here if not given, so that the joins carry few columns and the parent's
+    name needs no rank lookup of its own. List membership gives no column and would only
+    repeat rows, so it is not joined.
     """
-    texts = with_authorship(with_canonical_name(t["TaxonName"], t)).select(
-        "NameID", "canonicalName", "scientificNameAuthorShip", "TaxonomicRank", "TaxonNameCache"
-    )
+    texts = name_texts(t, project_ids) if texts is None else texts
     accepted = accepted_only(project_members(t, project_ids), t, project_ids)
     placed = with_hierarchy(accepted, t, project_ids)
     edges = by_project(t["TaxonHierarchy"], project_ids)
@@ -238,14 +262,13 @@ def synonym_targets(members: DataFrame, t: Tables) -> DataFrame:
     return balanced_join(t["TaxonSynonymy"], members, ["NameID"], "inner", ["SynNameID"])
 
 
-def extract_synonyms(t: Tables, source_id: int, project_ids: Sequence[int]) -> DataFrame:
+def extract_synonyms(t: Tables, source_id: int, project_ids: Sequence[int], texts: DataFrame | None = None) -> DataFrame:
     """Names of the projects that are not accepted, one row per accepted name.
 
-    The hierarchy gives no column here and would only repeat rows.
+    The hierarchy gives no column here and would only repeat rows. ``texts`` as in
+    :func:`extract_taxa`.
     """
-    texts = with_authorship(with_canonical_name(t["TaxonName"], t)).select(
-        "NameID", "canonicalName", "scientificNameAuthorShip", "TaxonomicRank"
-    )
+    texts = (name_texts(t, project_ids) if texts is None else texts).drop("TaxonNameCache")
     own = synonym_targets(not_accepted(project_members(t, project_ids), t, project_ids), t)
     named = with_name(own, texts, ["ProjectID", "SynNameID"], hot_in=t["TaxonSynonymy"])
     return tag_source(named, source_id, F.col("ProjectID")).select(
@@ -317,19 +340,17 @@ def extract_redlist(
     source_id: int,
     project_ids: Sequence[int],
     db_name: str,
-    per_project: bool = True,
     collation: str = DEFAULT_COLLATION,
 ) -> DataFrame:
     """Red-list values with term and reference.
 
-    The values do not depend on a project, but each project of the source carries
-    them all. ``per_project=False`` gives them once, under the first project.
+    The values do not depend on a project; each project of the source carries them all, so
+    that they link to the taxa of any.
     """
-    projects = list(project_ids) if per_project else list(project_ids)[:1]
     return redlist_values(t, db_name, collation).select(
         F.lit(source_id).cast("long").alias(SOURCE),
         F.col("NameID").alias(TAXON_ID),
-        F.explode(F.array(*[F.lit(p).cast("long") for p in projects])).alias(PROJECT),
+        F.explode(F.array(*[F.lit(p).cast("long") for p in project_ids])).alias(PROJECT),
         names.redlist_term(F.col("DisplayText")).alias("Term"),
         F.col("AnalysisValue").alias("Value"),
         F.col("TaxonNameListRefText").alias("Reference"),

@@ -1,5 +1,6 @@
 """Sizes that nothing may cap, cycles without a depth limit, and reader options."""
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,15 +57,20 @@ def test_row_without_name_is_no_root_and_stays(spark):
     assert {r.id for r in h.prune_unconnected(taxa).collect()} >= {1, 9}
 
 
-def test_jdbc_options():
+def test_jdbc_ranges_hold_as_many_rows():
+    """The SQL that goes to the database, on ids with gaps, repeats and nulls."""
     spec = SourceSpec("s", "db", "jdbc:x", (1,), fmt="jdbc", options={"user": "u", "numPartitions": "4"})
-    got = checklist.jdbc_options(spec, "TaxonName", ["NameID"], (3, 90))
-    assert got == {
-        "user": "u", "url": "jdbc:x", "dbtable": "TaxonName", "numPartitions": "4",
-        "partitionColumn": "NameID", "lowerBound": "3", "upperBound": "90",
-    }
-    assert "query" not in got and "dbtable" not in checklist.jdbc_ends_options(spec, "TaxonName")
-    for columns, ends in ((["Code"], (1, 2)), (["NameID"], None)):
-        assert checklist.jdbc_options(spec, "T", columns, ends) == {"user": "u", "url": "jdbc:x", "dbtable": "T"}
+    assert checklist.jdbc_options(spec) == {"user": "u", "url": "jdbc:x"}
+    db = duckdb.connect()
+    for ids in ([*range(1000), 10**12, 10**12 + 5, None], [7] * 50 + [None] * 3, [], [None], [5] * 300 + list(range(-100, 0))):
+        db.execute("CREATE OR REPLACE TABLE T (NameID BIGINT)")
+        if ids:
+            db.executemany("INSERT INTO T VALUES (?)", [(i,) for i in ids])
+        lows = [r[0] for r in db.execute(checklist.jdbc_quantiles(spec, "T")).fetchall()]
+        sizes = [db.execute(f"SELECT count(*) FROM T WHERE {p}").fetchone()[0] for p in checklist.jdbc_predicates(lows)]
+        assert sum(sizes) == len(ids) and len(sizes) <= 4
+        most = max((ids.count(i) for i in set(ids)), default=0)
+        assert all(n <= len(ids) // 4 + 1 + most + ids.count(None) for n in sizes)
     plain = SourceSpec("s", "db", "jdbc:x", (1,), fmt="jdbc")
-    assert checklist.jdbc_options(plain, "T", ["NameID"], (1, 2))["numPartitions"] == str(checklist.JDBC_PARTITIONS)
+    assert f"NTILE({checklist.JDBC_PARTITIONS})" in checklist.jdbc_quantiles(plain, "T")
+

@@ -143,7 +143,24 @@ def test_redlist_per_project(spark, tmp_path):
     t = checklist.read_checklist(spark, SourceSpec("s", "Vertebrata", str(tmp_path), (85, 930)))
     each = checklist.extract_redlist(t, 1, [85, 930], "Vertebrata")
     assert sorted(r.SourceProjectID for r in each.collect()) == [85, 930]
-    assert [r.SourceProjectID for r in checklist.extract_redlist(t, 1, [85, 930], "Vertebrata", per_project=False).collect()] == [85]
+
+
+def test_texts_are_made_once_and_for_the_projects_only(spark, tmp_path, skew):
+    names = [name(1, "A", None, "fam."), name(2, "B", None, "gen."), name(3, "C", None, "gen."), name(4, "D", None, "gen.")]
+    write(spark, tmp_path, tables(names, [(2, 1), (2, None)], [2, 3]))
+    t = checklist.read_checklist(spark, SourceSpec("s", "x", str(tmp_path), (85,)))
+    members = spark.createDataFrame([(2, 85), (3, 85), (4, 86)], "NameID long, ProjectID long")
+    t["TaxonNameProject"] = members
+    texts = checklist.name_texts(t, [85])
+    # the members 2 and 3, and the parent 1, which is no member
+    assert sorted(r.NameID for r in texts.collect()) == [1, 2, 3]
+    whole = checklist.with_authorship(checklist.with_canonical_name(t["TaxonName"], t)).select(*texts.columns)
+    for extract in (checklist.extract_taxa, checklist.extract_synonyms):
+        given = extract(t, 1, [85], texts)
+        rows = sorted(map(repr, given.collect()))
+        assert rows == sorted(map(repr, extract(t, 1, [85]).collect())) == sorted(map(repr, extract(t, 1, [85], whole).collect()))
+        assert "TaxonName]" not in given._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.SourceTaxonID, r.parentCanonicalName) for r in checklist.extract_taxa(t, 1, [85], texts).collect() if r.parentCanonicalName) == [(2, "A")]
 
 
 def test_several_parents_give_several_rows(spark, tmp_path, skew):
