@@ -1,7 +1,8 @@
 """Chat formatting with typed content parts.
 
-A message has parts of a type each: text, image, audio or document. One visitor per
-type turns a part into text: a text part into its escaped text, any other into a
+A message has parts of a type each: text, image, audio or document. The visitor turns a
+run of adjacent text parts into its escaped text, so that no control string can be made
+of the end of one part and the beginning of the next, and any other part into a
 placeholder ``<|image:3|>`` numbered in order through the conversation, of which the
 reference, the message and the number of tokens it expands to are recorded.
 
@@ -58,12 +59,29 @@ EXPANSIONS: dict[str, Callable[[Column], Column]] = {
 }
 
 
-def visit(part: Column, number: Column) -> Column:
-    """Text of a part; ``number`` counts the attachments of the conversation."""
-    placeholder = F.concat(F.lit("<|"), part["type"], F.lit(":"), number.cast("string"), F.lit("|>"))
-    return F.when(part["type"].isin(*EXPANSIONS), placeholder).otherwise(
-        escape(F.coalesce(part["text"], F.lit("")))
+def visit_texts(parts: Column) -> Column:
+    """Text of a run of parts without attachments."""
+    return escape(F.array_join(F.transform(parts, lambda p: F.coalesce(p["text"], F.lit(""))), ""))
+
+
+def visit_attachment(part: Column, number: Column) -> Column:
+    """Placeholder of a part; ``number`` counts the attachments of the conversation."""
+    return F.concat(F.lit("<|"), part["type"], F.lit(":"), number.cast("string"), F.lit("|>"))
+
+
+def visit(parts: Column, first: Column) -> Column:
+    """Text of a message whose first attachment has the number ``first``."""
+    places = F.filter(
+        F.transform(parts, lambda p, i: F.when(p["type"].isin(*EXPANSIONS), i + 1)), lambda i: i.isNotNull()
+    )
+    runs = F.zip_with(
+        F.concat(F.array(F.lit(0)), places),
+        F.concat(places, F.array(F.size(parts) + 1)),
+        lambda a, b: visit_texts(F.slice(parts, a + 1, b - a - 1)),
     )
+    placeholders = F.transform(places, lambda at, i: visit_attachment(F.element_at(parts, at), first + i))
+    # one run more than placeholders
+    return F.array_join(F.zip_with(runs, placeholders, lambda r, p: F.concat(r, F.coalesce(p, F.lit("")))), "")
 
 
 def expanded(part: Column) -> Column:
@@ -101,17 +119,7 @@ def format_chat(messages: DataFrame) -> DataFrame:
     by_order = Window.partitionBy("conv_id").orderBy("_order")
     before = by_order.rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("_first", F.coalesce(F.sum(F.size(own)).over(before), F.lit(0)))
-    # the number of an attachment: those of earlier messages, then those of earlier parts
-    content = F.array_join(
-        F.transform(
-            "parts",
-            lambda p, i: visit(
-                p, F.col("_first") + F.size(F.filter(F.slice("parts", 1, i), lambda q: q["type"].isin(*EXPANSIONS)))
-            ),
-        ),
-        "",
-    )
-    rows = rows.withColumn("_content", content)
+    rows = rows.withColumn("_content", visit(F.col("parts"), F.col("_first")))
     rows = rows.withColumn("_head", F.concat(F.lit(TURN), escape(F.col("role")), F.lit(TEXT)))
     rows = rows.withColumn("_line", F.concat("_head", "_content", F.lit(END)))
     rows = rows.withColumn("_start", F.coalesce(F.sum(F.length("_line")).over(before), F.lit(0)))
