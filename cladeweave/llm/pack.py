@@ -177,12 +177,15 @@ def cut(docs: DataFrame, tokenizer: str, tokens: int) -> DataFrame:
 
 
 def ranked(pieces: DataFrame, buckets: int) -> DataFrame:
-    """``pieces`` with ``rank``, a number from 0 on among those of the same length."""
-    spread = pieces.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int"))
+    """``pieces`` with ``rank``, a number from 0 on among those of the same length.
+
+    ``salt`` is a stored number that differs between equal rows, which it spreads.
+    """
+    spread = pieces.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "salt"), F.lit(buckets)).cast("int"))
     counts = spread.groupBy("length", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select("length", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
-    within = Window.partitionBy("length", "_bucket").orderBy("doc_id", "piece", "start", "ids_crc32")
+    within = Window.partitionBy("length", "_bucket").orderBy("doc_id", "piece", "start", "ids_crc32", "salt")
     return (
         spread.withColumn("_n", F.row_number().over(within) - 1)
         .join(first, ["length", "_bucket"])
@@ -194,7 +197,8 @@ def ranked(pieces: DataFrame, buckets: int) -> DataFrame:
 def pack(docs: DataFrame, tokenizer: str, capacity: Capacity = Capacity()) -> DataFrame:
     """Every piece with its ``sequence_id`` and ``offset`` there."""
     spark = docs.sparkSession
-    pieces = materialize(cut(docs, tokenizer, capacity.tokens), "pieces")
+    pieces = cut(docs, tokenizer, capacity.tokens).withColumn("salt", F.monotonically_increasing_id())
+    pieces = materialize(pieces, "pieces")
     counts = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}  # at most one row a length
     made = spark.sparkContext.broadcast(plan(counts, capacity))
 
