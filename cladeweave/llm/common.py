@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -75,12 +75,35 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
-def identified(df: DataFrame) -> DataFrame:
-    """``df`` with ``_id`` and ``_hash``, which tell documents apart: no nulls, and the
-    same for rows that repeat a doc_id and its text."""
-    return df.withColumns(
-        {
-            "_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
-            "_hash": F.xxhash64(F.col("text").cast("string"), F.col("doc_id").isNull()),
-        }
+def keep_texts(docs: DataFrame, decide: Callable[[list[str | None]], list[bool]]) -> DataFrame:
+    """The rows of ``docs`` whose texts ``decide`` keeps, step by step, with all their
+    columns, whatever their names."""
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches):
+            yield batch.filter(pa.array(decide(batch.column(at).to_pylist()), pa.bool_()))
+
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
+
+
+def identity() -> tuple[Column, Column]:
+    """``_id`` and ``_hash``, which tell documents apart: no nulls, and the same for rows
+    that repeat a doc_id and its text."""
+    return (
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"),
+        F.xxhash64(F.col("text").cast("string"), F.col("doc_id").isNull()).alias("_hash"),
     )
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names``, lengthened until ``df`` has no such column in any case."""
+    taken = {c.lower() for c in df.columns}
+    longer = "_" * max((len(c) for c in taken if any(c.endswith(n.lower()) for n in names)), default=0)
+    return [longer + n for n in names]
+
+
+def same_columns(df: DataFrame, like: DataFrame) -> DataFrame:
+    """The columns of ``like`` out of ``df``, whatever their names."""
+    return df.select(*(F.col("`" + c.replace("`", "``") + "`") for c in like.columns))

@@ -19,16 +19,14 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import claim, map_batches, steps, utf8
+from .common import claim, keep_texts, map_batches, utf8
 
 WINDOW = 10
 BLOCK_BYTES = 2 << 20
@@ -155,14 +153,12 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> D
     """The rows of ``docs`` without any hit, with all their columns."""
     blocks = _blocks(benchmark, window)
 
-    def clean(text: str | None) -> bool:
-        w = words(text)
-        norm = (b" " + b" ".join(w) + b" ").decode("latin-1")
-        return not w or all(next(_automaton(*block).iter(norm), None) is None for block in blocks)
+    def decide(texts: list[str | None]) -> list[bool]:
+        norm = [(b" " + b" ".join(words(t)) + b" ").decode("latin-1") for t in texts]
+        clean = [True] * len(texts)
+        for block in blocks:  # each automaton is made once a step
+            automaton = _automaton(*block)
+            clean = [c and next(automaton.iter(t), None) is None for c, t in zip(clean, norm)]
+        return clean
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches):
-            keep = [clean(t) for t in batch.column("text").to_pylist()]
-            yield batch.filter(pa.array(keep, pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+    return keep_texts(docs, decide)

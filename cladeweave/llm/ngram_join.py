@@ -56,7 +56,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..runtime import materialize, temporary
-from .common import fields, identified, record, steps
+from .common import fields, identity, record, same_columns, steps, unused
 from .components import components
 from .count_rtree import FANOUT, CountTree, group_counts, may_link, overlap_bound, read_points
 from .shingles import fingerprint, shingles
@@ -278,7 +278,11 @@ def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Whole sets and points of ``nodes(node, doc_id, hi, lo)``, made anew from their texts."""
+    """Whole sets and points of ``nodes(node, doc_id, row, hi, lo)``, made anew from their texts.
+
+    A text is fetched by doc_id and hash, so rows that share a doc_id or have none meet
+    their own node only.
+    """
     arrow = to_arrow_schema(_SET)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,12 +291,12 @@ def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             for row in zip(*(batch.column(n) for n in ("text", "node", "hi", "lo"))):
                 text, node, hi, lo = (v.as_py() for v in row)
                 tokens = shingles(text)
-                if fingerprint(tokens) == (hi, lo):  # else another text of the same doc_id
+                if fingerprint(tokens) == (hi, lo):  # else another text of the same hash
                     found.append((node, len(tokens), group_counts(tokens), tokens.tobytes()))
             yield record([list(c) for c in zip(*found)] or [[]] * 4, arrow)
 
-    wanted = nodes.select(F.col("doc_id").alias("wanted"), "node", "hi", "lo")
-    met = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")))
+    wanted = nodes.select(F.col("doc_id").alias("wanted"), F.col("row").alias("wanted_row"), "node", "hi", "lo")
+    met = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")) & (F.col("row") == F.col("wanted_row")))
     return met.select("text", "node", "hi", "lo").mapInArrow(make, _SET)
 
 
@@ -402,26 +406,24 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     Rows that repeat a doc_id and its text count as one document.
     """
-    names = docs.columns
+    id_, hash_ = unused(docs, "_id", "_hash")
     with temporary(docs.sparkSession):
         found = _joined(docs, percent)
         own = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
         first = found.filter("component IS NOT NULL").groupBy("component").agg(F.min(own).alias("_own"))
         wordless = found.filter("component IS NULL").select("doc_id", "row")
         kept = first.select("_own.doc_id", "_own.row").unionByName(wordless).distinct()
-        id_ = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id")
-        kept = materialize(kept.select(id_, F.col("row").alias("_hash")), "kept", keep=True)
-    met = identified(docs).join(kept, ["_id", "_hash"])
-    return met.dropDuplicates(["_id", "_hash"]).select(*names)
+        named = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(id_)
+        kept = materialize(kept.select(named, F.col("row").alias(hash_)), "kept", keep=True)
+    met = docs.withColumns(dict(zip((id_, hash_), identity()))).join(kept, [id_, hash_])
+    return same_columns(met.dropDuplicates([id_, hash_]), docs)
 
 
 def _joined(docs: DataFrame, percent: int, count_links: bool = False) -> DataFrame:
     """Every row's doc_id, hash, n_shingles, component (a node, none without words) and
     component_id, with n_links if they are counted."""
     spark = docs.sparkSession
-    docs = identified(docs).select(
-        F.col("doc_id").cast("long"), F.col("_hash").alias("row"), F.col("text").cast("string")
-    )
+    docs = docs.select(F.col("doc_id").cast("long"), identity()[1].alias("row"), F.col("text").cast("string"))
     with temporary(spark):
         repeated = materialize(_repeated(docs), "repeated")
         total = repeated.filter("token IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -471,7 +473,11 @@ def _named(docs: DataFrame, rows: DataFrame, met: DataFrame, percent: int, count
     points = materialize(
         rows.filter("node IS NOT NULL")
         .groupBy("hi", "lo")
-        .agg(*(f(c).alias(c) for f, c in ((F.min, "node"), (F.min, "doc_id"), (F.max, "size"), (F.max, "sampled")))),
+        .agg(
+            *(f(c).alias(c) for f, c in ((F.min, "node"), (F.min, "doc_id"), (F.max, "size"), (F.max, "sampled"))),
+            # the hash of a row that has this doc_id, or of one without any
+            F.coalesce(F.min_by("row", "doc_id"), F.min("row")).alias("row"),
+        ),
         "points",
     )
     own = rows.filter("sampled IS NOT NULL").select("hi", "lo", F.col("node").alias("own"))

@@ -21,12 +21,13 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import materialize
-from .common import identified, map_batches
+from .common import identity, map_batches, same_columns, unused
 
 #: kinds in the order in which equal starts are listed; the last one needs its owners
 KINDS = ("assign", "access", "hex", "loose")
@@ -59,6 +60,18 @@ def _hash(value: str) -> int:
     return int.from_bytes(hashlib.blake2b(value.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
 
+def _union(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the disjoint spans that cover the same as the sorted ``spans``."""
+    starts, ends = [], []
+    for a, b in spans:
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
 def candidates(text: str | None) -> list[tuple]:
     """(kind, start, end, start and end of the value, its hash) by start and kind."""
     if not text:
@@ -79,9 +92,10 @@ def candidates(text: str | None) -> list[tuple]:
                 add(1, m, 0)
     for m in HEX_LONG.finditer(text):
         add(2, m, 0)
-    taken = sorted(f[1:3] for f in found)
+    starts, ends = _union(sorted(f[1:3] for f in found))
     for m in LOOSE_TOKEN.finditer(text):
-        if not any(a < m.end() and m.start() < b for a, b in taken):
+        before = bisect_left(starts, m.end())
+        if not before or ends[before - 1] <= m.start():
             add(3, m, 0)
     return sorted(found, key=lambda f: (f[1], f[0]))
 
@@ -96,12 +110,11 @@ def find_candidates(docs: DataFrame, owner: Column, repo: Column) -> DataFrame:
         found = [[dict(zip(names, c)) for c in candidates(t)] for t in rows["text"]]
         return {k: v for k, v in rows.items() if k != "text"} | {"found": found}
 
-    picked = identified(docs).select(
+    picked = docs.select(
         F.coalesce(owner.cast("string"), F.lit("")).alias("owner"),
         F.coalesce(repo.cast("string"), F.lit("")).alias("repo"),
         F.col("doc_id").cast("long"),
-        "_id",
-        "_hash",
+        *identity(),
         F.monotonically_increasing_id().alias("row"),
         F.col("text").cast("string"),
     )
@@ -119,7 +132,7 @@ def ownership(found: DataFrame) -> DataFrame:
 def scan_secrets(
     docs: DataFrame, owner: Column | str = "source", repo: Column | None = None, most_owners: int = MOST_OWNERS
 ) -> DataFrame:
-    """Per row: doc_id, ``_id`` and ``_hash`` as in ``identified``, ``spans`` by start and kind.
+    """Per row: doc_id, ``_id`` and ``_hash`` as in ``identity``, ``spans`` by start and kind.
 
     A span has kind, start, end, the bounds of its value, n_owners, n_repos and live.
     """
@@ -173,10 +186,12 @@ def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
 def mask(docs: DataFrame, owner: Column | str = "source") -> DataFrame:
     """``docs`` with the values of all spans masked in ``text`` and ``n_chars`` counted anew."""
     spans = scan_secrets(docs, owner).filter(F.size("spans") > 0).dropDuplicates(["_id", "_hash"])
-    names = docs.columns
-    met = identified(docs).join(spans.select("_id", "_hash", F.col("spans").alias("_spans")), ["_id", "_hash"], "left")
-    masked = met.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(redact(F.col("text"), F.col("_spans"))))
-    if "n_chars" in names:
+    id_, hash_, own = unused(docs, "_id", "_hash", "_spans")
+    spans = spans.select(F.col("_id").alias(id_), F.col("_hash").alias(hash_), F.col("spans").alias(own))
+    met = docs.withColumns(dict(zip((id_, hash_), identity()))).join(spans, [id_, hash_], "left")
+    untouched = F.col(own).isNull()
+    masked = met.withColumn("text", F.when(untouched, F.col("text")).otherwise(redact(F.col("text"), F.col(own))))
+    if "n_chars" in docs.columns:
         counted = F.length("text").cast(docs.schema["n_chars"].dataType)
-        masked = masked.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(counted))
-    return masked.select(*names)
+        masked = masked.withColumn("n_chars", F.when(untouched, F.col("n_chars")).otherwise(counted))
+    return same_columns(masked, docs)

@@ -37,12 +37,11 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import materialize, temporary
-from .common import claim, map_batches, steps, utf8
+from .common import claim, keep_texts, map_batches, utf8
 
 BUCKETS = 1 << 20
 PREFIX = 5
@@ -360,9 +359,7 @@ def keep_clean(docs: DataFrame, machine: Machine, threshold: float = 0.5) -> Dat
     """The rows of ``docs`` that score below ``threshold``, with all their columns."""
     model = docs.sparkSession.sparkContext.broadcast(machine)
 
-    def run(batches):
-        for batch in steps(batches):
-            keep = np.array(_scores(model, batch.column("text").to_pylist()), float) < threshold
-            yield batch.filter(pa.array(keep, pa.bool_()))
+    def decide(texts: list[str | None]) -> np.ndarray:
+        return np.array(_scores(model, texts), float) < threshold
 
-    return docs.mapInArrow(run, docs.schema)
+    return keep_texts(docs, decide)

@@ -5,11 +5,12 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parents[2]))
 
 import corpus_pipeline
-from cladeweave.llm import decontaminate, toxicity
+from cladeweave.llm import decontaminate, ngram_join, secrets, toxicity
 from cladeweave.llm.common import table
 from cladeweave.llm.oracle import all_sql
 from cladeweave.llm.queries import all_queries
@@ -59,3 +60,60 @@ def test_pipeline(spark, smallest):
         assert df.schema == docs.schema
     packed = corpus_pipeline.run(spark, smallest).collect()
     assert {r.doc_id for r in packed} == free_ids
+
+
+CLASHING = ["_id", "_hash", "_spans", "row", "found", "spans", "node", "_ID2", "a.b", "`q`"]
+
+
+def clashing(df):
+    for i, name in enumerate(CLASHING):
+        df = df.withColumn(name, F.concat(F.lit(f"mine {i} "), F.col("source")))
+    return df
+
+
+SIMILAR = " ".join(f"word{i}" for i in range(60))
+ODD_ROWS = [
+    (1, SIMILAR), (2, SIMILAR + " more"), (2, SIMILAR + " more"), (None, SIMILAR), (None, None), (None, None), (3, ""),
+    (4, 'password = "hunter22xyz" ' + "b " * 30), (None, "token: abcdef123456 " + "c " * 40), (5, None),
+    (6, "long text " * 20_000), (7, "x"), (7, "y"),
+]
+
+
+def test_operators_leave_columns_of_clashing_names(spark, docs_of):
+    docs = clashing(docs_of(ODD_ROWS))
+    one, masked = ngram_join.keep_one(docs), secrets.mask(docs)
+    assert one.schema == docs.schema and masked.schema == docs.schema
+    assert masked.count() == len(ODD_ROWS)
+    for r in [*one.collect(), *masked.collect()]:
+        assert [r[n] for n in CLASHING] == [f"mine {i} src" for i in range(len(CLASHING))]
+    texts = [r["text"] for r in masked.collect() if r["text"]]
+    assert not any("hunter22xyz" in t or "abcdef123456" in t for t in texts)
+    assert sum("[SECRET]" in t for t in texts) == 2
+    # copies with and without id are one group, of which the least id stays
+    assert sorted(r["doc_id"] for r in one.collect() if r["text"] and r["text"].startswith("word0")) == [1]
+
+
+def test_rows_without_id_meet_their_own_set_only(spark, docs_of):
+    """Near copies without doc_id: every text is fetched for its own node."""
+    rows = [(None, SIMILAR + f" w{i}") for i in range(40)] + [(9, SIMILAR)]
+    docs = docs_of(rows).select(F.col("doc_id"), ngram_join.identity()[1].alias("row"), "text")
+    nodes = docs.select(F.monotonically_increasing_id().alias("node"), "doc_id", "row", F.lit(0).alias("hi"), F.lit(0).alias("lo"))
+    met = docs.join(nodes.select(F.col("doc_id").alias("d"), F.col("row").alias("r")), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r")))
+    assert met.count() == len(rows)
+    found = ngram_join.ngram_join(docs_of(rows)).collect()
+    assert len(found) == len(rows) and {r.component_id for r in found} == {9}
+
+
+@pytest.mark.parametrize("rows", [ODD_ROWS, []], ids=["odd", "empty"])
+def test_pipeline_on_odd_documents(spark, smallest, docs_of, tmp_path, rows):
+    clashing(docs_of(rows)).write.parquet(str(tmp_path / "documents.parquet"))
+    for name in ("labels", "benchmark"):
+        table(spark, smallest, name).write.parquet(str(tmp_path / f"{name}.parquet"))
+    docs = table(spark, str(tmp_path), "documents")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == [*docs_of([]).columns, *CLASHING]
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    # 4 (3 with empty or no text, each ending in one id) + the others, each once
+    ids = [r.doc_id for r in packed if r.piece == 0]
+    assert sorted(str(i) for i in ids) == (sorted("1 3 4 5 6 7 7 None None".split()) if rows else [])
