@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..model import FAMILY_RANK, KEY, PARENT_ID, SCOPE, TAXON_ID
 from ..runtime import DEFAULT_COLLATION, is_root, materialize, same_name, store
+from .cycles import cycles
 from .skew import balanced_join
 
 _UP = "_up"
@@ -24,12 +25,14 @@ _UP = "_up"
 class HierarchyError(ValueError):
     """A path runs into a cycle or is longer than allowed.
 
-    ``path`` is a stored table of all (source, project, taxon) from which one starts.
+    ``path`` is a stored table of all (source, project, taxon) from which one starts,
+    ``cycles`` one of the taxa on cycles, as :func:`cycles` gives it, if there are any.
     """
 
-    def __init__(self, message: str, path: str):
+    def __init__(self, message: str, path: str, cycles: str | None = None):
         super().__init__(message)
         self.path = path
+        self.cycles = cycles
 
 
 def _fail(keys: DataFrame, reason: str) -> None:
@@ -38,6 +41,17 @@ def _fail(keys: DataFrame, reason: str) -> None:
     raise HierarchyError(f"{reason}; all taxa concerned are in {path}, among them {shown}", path)
 
 
+def _fail_cycle(keys: DataFrame, taxa: DataFrame) -> None:
+    path = store(keys.select(*KEY).distinct(), "bad-paths")
+    members = store(cycles(taxa), "cycles")
+    shown = [tuple(r) for r in taxa.sparkSession.read.parquet(members).select(*KEY).limit(20).collect()]
+    raise HierarchyError(
+        f"path runs into a cycle; the taxa of cycles are in {members}, among them {shown}, all that lead to one in {path}",
+        path,
+        members,
+    )
+
+
 def _fail_beyond(keys: DataFrame, max_depth: int) -> None:
     _fail(keys, f"path longer than {max_depth}")
 
@@ -123,7 +137,7 @@ def closure(taxa: DataFrame, max_depth: int | None = None) -> DataFrame:
         if left == before:
             # a path of twice the length has all shorter ones along it, so taxa drop out
             # in every round as long as some path ends
-            _fail(jump, "path runs into a cycle")
+            _fail_cycle(jump, taxa)
         before = left
         longer = balanced_join(
             jump.withColumnRenamed("n", "n0"),
@@ -331,7 +345,7 @@ def lineage(taxa: DataFrame, max_depth: int | None = None, collation: str = DEFA
     )
     state, cyclic = climb(materialize(start, "climb"), SCOPE, TAXON_ID)
     if cyclic:
-        _fail(state.filter(~F.col("arrived")), "path runs into a cycle")
+        _fail_cycle(state.filter(~F.col("arrived")), taxa)
     chain = state.select(
         *SCOPE,
         F.col(TAXON_ID).alias("_first"),
@@ -350,7 +364,7 @@ def lineage(taxa: DataFrame, max_depth: int | None = None, collation: str = DEFA
     )
     if has_multi:
         reached = materialize(reached, "reached")
-        forks = _fork_values(edges, multi, chain)
+        forks = _fork_values(taxa, edges, multi, chain)
         reached = balanced_join(
             reached,
             forks.select(*SCOPE, F.col(TAXON_ID).alias("_anchor"), F.col("depth").alias("_d"), F.col("gain").alias("_g")),
@@ -371,66 +385,62 @@ def lineage(taxa: DataFrame, max_depth: int | None = None, collation: str = DEFA
     return result
 
 
-def _fork_values(edges: DataFrame, multi: DataFrame, chain: DataFrame) -> DataFrame:
+def _fork_values(taxa: DataFrame, edges: DataFrame, multi: DataFrame, chain: DataFrame) -> DataFrame:
     """Depth and family of the taxa with several parents.
 
     Works on the condensed graph in which a step leads from such a taxon to the end
-    of the chain above one of its parents. A taxon gets its values once all taxa that
-    its steps lead to have theirs, so each is written once; when none gets any, the
-    rest lies on or below a cycle.
+    of the chain above one of its parents. Paths double in every round: ``values`` knows
+    the longest way and the nearest family within ``covered`` steps, ``jump`` the ends of
+    all paths of exactly so many steps, with the longest way there and the shortest one
+    that meets no family. Taxa with such a path get fewer in every round unless the rest
+    lies on or below a cycle.
     """
     zero = F.lit(0).cast("long")
-    none = F.lit(None).cast("struct<dist:bigint,id:bigint,name:string>")
     above = materialize(balanced_join(edges, multi, KEY, "left_semi", [_UP]).distinct(), "forks")
     steps = balanced_join(
         above.withColumnRenamed(_UP, "_first"), chain, [*SCOPE, "_first"], "inner", [TAXON_ID]
     ).drop("_first")
     forks = multi.select(*SCOPE, F.col(TAXON_ID).alias("_anchor"), F.lit(True).alias("_open"))
-    waiting = materialize(
-        balanced_join(steps, forks, [*SCOPE, "_anchor"], "left", [TAXON_ID, "_dist"])
-        .select(
-            *KEY,
-            "_anchor",
-            F.coalesce("_open", F.lit(False)).alias("_open"),
-            F.col("_dist").alias("depth"),
-            F.col("_dist").alias("_below"),
-            F.col("_gain").alias("gain"),
-        ),
-        "forks",
-    )
-    left = multi.count()
-    stepless = multi.join(waiting.select(*KEY).distinct(), KEY, "left_anti")
-    values = [stepless.select(*KEY, zero.alias("depth"), none.alias("gain"))]
-    left -= stepless.count()
-    while left:
-        ready = materialize(
-            waiting.groupBy(*KEY)
-            .agg(F.max("_open").alias("_open"), F.max("depth").alias("depth"), F.min("gain").alias("gain"))
-            .filter(~F.col("_open"))
-            .drop("_open"),
-            "fork-values",
+    steps = materialize(balanced_join(steps, forks, [*SCOPE, "_anchor"], "left", [TAXON_ID, "_dist"]), "forks")
+    none = F.lit(None).cast(steps.schema["_gain"].dataType)
+    first = steps.select(*KEY, F.col("_dist").alias("depth"), F.col("_gain").alias("gain"))
+    stepless = multi.select(*KEY, zero.alias("depth"), none.alias("gain"))
+    values = materialize(_best(first.unionByName(stepless)), "fork-values")
+    near = F.when(F.col("_gain").isNull(), F.col("_dist")).alias("near")
+    jump = _ends(steps.filter("_open").select(*KEY, "_anchor", F.col("_dist").alias("far"), near))
+    jump, before = materialize(jump, "forks"), None
+    while left := jump.select(*KEY).distinct().count():
+        if left == before:
+            _fail_cycle(jump, taxa)
+        before = left
+        ahead = values.select(*SCOPE, F.col(TAXON_ID).alias("_anchor"), F.col("depth").alias("_d"), F.col("gain").alias("_g"))
+        reached = balanced_join(jump, ahead, [*SCOPE, "_anchor"], "inner", [TAXON_ID])
+        gain = F.when(F.col("near").isNotNull(), _shift("_g", F.col("near"))).alias("gain")
+        longer = reached.select(*KEY, (F.col("far") + F.col("_d")).alias("depth"), gain)
+        values = materialize(_best(values.unionByName(longer)), "fork-values")
+        onward = jump.select(
+            *SCOPE,
+            F.col(TAXON_ID).alias("_anchor"),
+            F.col("_anchor").alias("_next"),
+            F.col("far").alias("_far"),
+            F.col("near").alias("_near"),
         )
-        done = ready.count()
-        if not done:
-            _fail(waiting, "path runs into a cycle")
-        values.append(ready)
-        left -= done
-        if not left:
-            break
-        ahead = ready.select(*SCOPE, F.col(TAXON_ID).alias("_anchor"), F.col("depth").alias("_d"), F.col("gain").alias("_g"))
-        still = waiting.join(ready.select(*KEY), KEY, "left_anti")
-        waiting = materialize(
-            balanced_join(still, ahead, [*SCOPE, "_anchor"], "left", [TAXON_ID, "_below"]).select(
-                *KEY,
-                "_anchor",
-                (F.col("_open") & F.col("_d").isNull()).alias("_open"),
-                (F.col("depth") + F.coalesce("_d", zero)).alias("depth"),
-                "_below",
-                F.coalesce("gain", _shift("_g", F.col("_below"))).alias("gain"),
-            ),
-            "forks",
+        twice = balanced_join(jump, onward, [*SCOPE, "_anchor"], "inner", [TAXON_ID]).select(
+            *KEY,
+            F.col("_next").alias("_anchor"),
+            (F.col("far") + F.col("_far")).alias("far"),
+            (F.col("near") + F.col("_near")).alias("near"),
         )
-    return materialize(reduce(DataFrame.unionByName, values), "fork-values")
+        jump = materialize(_ends(twice), "forks")
+    return values
+
+
+def _best(values: DataFrame) -> DataFrame:
+    return values.groupBy(*KEY).agg(F.max("depth").alias("depth"), F.min("gain").alias("gain"))
+
+
+def _ends(paths: DataFrame) -> DataFrame:
+    return paths.groupBy(*KEY, "_anchor").agg(F.max("far").alias("far"), F.min("near").alias("near"))
 
 
 def family_of(taxa: DataFrame, lineage_df: DataFrame) -> DataFrame:
