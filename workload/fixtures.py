@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cladeweave.model import RANK_CODES
+from cladeweave.model import PARENT_ID, RANK_CODES, SCOPE, TAXON_ID
 
 SPECIES_LIST_DB = "Vertebrata"
 PROJECTS = (85, 930)
@@ -307,3 +307,16 @@ def staged_common_names(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("lang").alias("code"),
         F.lit("customer").alias("db_name"),
     )
+
+
+def winding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Taxa whose parents wind into cycles: one per customer, squared and folded back, and
+    a second parent for those of one nation."""
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("long").alias("k"), "c_nationkey")
+    n = customers.agg(F.coalesce(F.max("k"), F.lit(1)).alias("n")).first()["n"]
+    first = customers.select("k", (F.col("k") * F.col("k") + 1) % n + 1)
+    second = customers.filter("c_nationkey = 0").select("k", (3 * F.col("k") + 2) % n + 1)
+    one = F.lit(1).cast("long")
+    return first.union(second).toDF(TAXON_ID, PARENT_ID).select(
+        *(one.alias(c) for c in SCOPE), TAXON_ID, PARENT_ID
+    )

@@ -431,6 +431,13 @@ FINAL: dict[str, str] = {
     "closure_after_merge": """SELECT anc AS AncestorID, des AS DescendantID, len AS PathLength, s AS TaxonomySourceID,
       prj AS SourceProjectID FROM mclo""",
     "cycle_guard": f"SELECT {_ORIGIN} FROM dep WHERE depth > 4",
+    "cycle_members": """WITH RECURSIVE size AS (SELECT max(c_custkey) AS n FROM customer),
+      e AS (SELECT c_custkey AS a, (c_custkey * c_custkey + 1) % n + 1 AS b FROM customer, size
+        UNION SELECT c_custkey, (3 * c_custkey + 2) % n + 1 FROM customer, size WHERE c_nationkey = 0),
+      x AS (SELECT a, b FROM e WHERE a <> b AND b IN (SELECT c_custkey FROM customer)),
+      r AS (SELECT a, b FROM x UNION SELECT r.a, x.b FROM r JOIN x ON r.b = x.a)
+      SELECT min(p.b) AS cycle, 1::BIGINT AS TaxonomySourceID, 1::BIGINT AS SourceProjectID, p.a AS SourceTaxonID
+      FROM r p JOIN r q ON p.a = q.b AND p.b = q.a GROUP BY p.a""",
     "split_bands": "SELECT band, s AS TaxonomySourceID, count(*) AS n FROM bnd GROUP BY ALL",
     "doubles_by_name": "SELECT id, taxon FROM cand WHERE band = 'family'",
     "doubles_by_family": "SELECT id, band, taxon, family FROM cand WHERE band <> 'family'",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from cladeweave import model
 from cladeweave.functions import names, ranks
 from cladeweave.operators import checks, doubles, hierarchy, ids, links, parents, repair
+from cladeweave.operators.cycles import cycles
 from cladeweave.operators.skew import dimension_join
 from cladeweave.plans import full_run, merge
 from cladeweave.runtime import BINARY, materialize, scratch_root
@@ -558,6 +559,12 @@ def cycle_guard(spark, sf_dir):
     return hierarchy.too_deep(stages(spark, sf_dir).taxa, 4).select(*KEY)
 
 
+@query
+def cycle_members(spark, sf_dir):
+    """The cycles of a graph with tails and forks over all customers."""
+    return cycles(fx.winding(spark, sf_dir))
+
+
 # --- merge -----------------------------------------------------------------------------------------
 
 
