@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import materialize, scratch_root
@@ -97,13 +97,15 @@ def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def _spans_of_kind(kind: int) -> Column:
+    # the function may have no second parameter: it would be given the index of the span
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"] != secrets.KINDS.index(secrets.LOOSE))
-    counts = [
-        F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{secrets.KINDS[k]}")
-        for k in range(3)
-    ]
+    counts = [_spans_of_kind(k).alias(f"n_{secrets.KINDS[k]}") for k in range(3)]
     return found.select(
         "doc_id",
         *counts,

@@ -1,8 +1,9 @@
+import hashlib
 import re
 
 from pyspark.sql import functions as F
 
-from cladeweave.llm import secrets
+from cladeweave.llm import queries, secrets
 
 from .conftest import ODD
 
@@ -86,3 +87,23 @@ def test_span_text(docs_of):
     df = secrets.scan_secrets(docs_of([(1, "x password=abcdef " + "0a" * 12)]))
     (row,) = df.select(secrets.span_text("spans").alias("s")).collect()
     assert row.s == "assign:2:17,hex:18:42" and re.fullmatch(r"[a-z]+:\d+:\d+(,[a-z]+:\d+:\d+)*", row.s)
+
+
+def test_query_counts_the_spans_of_each_kind(docs_of, tmp_path):
+    """Several spans of one kind, and kinds at other places than their own number."""
+    texts = [
+        "token=abcdef secret=abcdef password=abcdef",
+        f"AKIA{'A' * 16} AKIA{'B' * 16} token=abcdef",
+        " ".join(["0a" * 12] * 4) + " passwd:abcdef",
+        f"{'f' * 24} key {MIXED} AKIA{'C' * 16}",
+        None,
+        "",
+    ]
+    docs_of(list(enumerate(texts))).write.parquet(str(tmp_path / "documents.parquet"))
+    found = queries.op7_secrets(docs_of([]).sparkSession, str(tmp_path)).collect()
+    for r in found:
+        spans = base(texts[r.doc_id] or "")
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == n for _, n, _ in spans) for k in range(3)]
+        named = ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+        assert r.base_sha256 == hashlib.sha256(named.encode()).hexdigest()
+    assert len(found) == len(texts)
