@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import KEY, PARENT_ID, SCOPE, TAXON_ID
-from ..runtime import materialize
+from ..runtime import materialize, shuffled
 from .skew import balanced_join
 
 _UP = "_up"
@@ -155,4 +155,4 @@ def cycles(taxa: DataFrame) -> DataFrame:
 
     members = materialize(ring.unionByName(core).unionByName(passed).distinct(), "members")
     least = members.groupBy(*SCOPE, "name").agg(F.min(TAXON_ID).alias("cycle"))
-    return members.join(least, [*SCOPE, "name"]).select("cycle", *KEY)
+    return members.join(shuffled(least), [*SCOPE, "name"]).select("cycle", *KEY)

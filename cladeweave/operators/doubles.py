@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import DEFAULT_COLLATION, is_root, materialize
+from ..runtime import DEFAULT_COLLATION, is_root, materialize, shuffled
 from .hierarchy import family_of
 from .skew import balanced_join
 from .spelling import key_of, rename_key
@@ -157,7 +157,7 @@ def survivors(
 
     ``banded`` is the output of :func:`with_lineage` on ``taxa``.
     """
-    kept = banded.join(surviving_ids(banded, collation, winner_scope), "id", "left_semi").filter(~is_root(collation))
+    kept = banded.join(shuffled(surviving_ids(banded, collation, winner_scope)), "id", "left_semi").filter(~is_root(collation))
     kept = rename_key(kept.withColumnRenamed("family", "familyCache"), "family", "familyCache")
     added = [c for c in kept.columns if c.endswith("familyCache")]
     roots = taxa.filter(is_root(collation)).withColumns({c: F.lit(None).cast("string") for c in added})

@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import FAMILY_RANK, KEY, PARENT_ID, SCOPE, TAXON_ID
-from ..runtime import DEFAULT_COLLATION, is_root, materialize, same_name, store
+from ..runtime import DEFAULT_COLLATION, is_root, materialize, same_name, shuffled, store
 from .cycles import cycles
-from .skew import balanced_join
+from .skew import balanced_join, dimension_join
 
 _UP = "_up"
 
@@ -113,11 +113,11 @@ def closure(taxa: DataFrame, max_depth: int | None = None) -> DataFrame:
     steps = materialize(steps, "steps")
 
     parents = steps.select(*SCOPE, F.col(_UP).alias(TAXON_ID)).distinct()
-    inner = materialize(copies.join(parents, KEY, "left_semi"), "inner")
+    inner = materialize(copies.join(shuffled(parents), KEY, "left_semi"), "inner")
     up_exists = inner.select(*SCOPE, F.col(TAXON_ID).alias(_UP))
     jump = materialize(
         balanced_join(
-            steps.join(inner.select(*KEY), KEY, "left_semi"),
+            dimension_join(steps, inner.select(*KEY), KEY, "left_semi", [_UP]),
             up_exists,
             [*SCOPE, _UP],
             "inner",
@@ -331,9 +331,9 @@ def lineage(taxa: DataFrame, max_depth: int | None = None, collation: str = DEFA
     has_multi = not _is_empty(multi)
 
     # inner nodes: chains of single parents end at a taxon without parent or with several
-    parents = edges.select(*SCOPE, F.col(_UP).alias(TAXON_ID)).distinct()
+    parents = materialize(edges.select(*SCOPE, F.col(_UP).alias(TAXON_ID)).distinct(), "parents")
     inner = materialize(
-        nodes.join(parents, KEY, "left_semi").select(*KEY, F.when(single, F.col("lo")).alias("top"), "gain"), "inner"
+        dimension_join(nodes, parents, KEY, "left_semi", [TAXON_ID]).select(*KEY, F.when(single, F.col("lo")).alias("top"), "gain"), "inner"
     )
     known = inner.select(*SCOPE, F.col(TAXON_ID).alias("top"), F.lit(True).alias("found"))
     start = balanced_join(inner, known, [*SCOPE, "top"], "left", [TAXON_ID]).select(
@@ -355,7 +355,7 @@ def lineage(taxa: DataFrame, max_depth: int | None = None, collation: str = DEFA
     )
 
     own = nodes.select(*KEY, "taxon", "gain", F.when(single, F.col("lo")).alias("_first"))
-    reached = balanced_join(own, chain, [*SCOPE, "_first"], "left", [TAXON_ID]).select(
+    reached = dimension_join(own, chain, [*SCOPE, "_first"], "left", [TAXON_ID]).select(
         *KEY,
         "taxon",
         F.coalesce("_anchor", F.col(TAXON_ID)).alias("_anchor"),
@@ -465,7 +465,7 @@ def prune_unconnected(tree: DataFrame, collation: str = DEFAULT_COLLATION) -> Da
     """
     links = tree.select("id", F.when(~is_root(collation), F.col("parent_id")).alias("top"), is_root(collation).alias("root"))
     parents = links.filter(F.col("top").isNotNull()).select(F.col("top").alias("id")).distinct()
-    inner = materialize(links.join(parents, "id", "left_semi"), "inner")
+    inner = materialize(dimension_join(links, materialize(parents, "parents"), ["id"], "left_semi", ["id"]), "inner")
     known = inner.select(F.col("id").alias("top"), F.lit(True).alias("found"))
     none = F.lit(None).cast("struct<dist:bigint,id:bigint,name:string>")
     start = balanced_join(inner, known, ["top"], "left", ["id"]).select(
@@ -478,10 +478,10 @@ def prune_unconnected(tree: DataFrame, collation: str = DEFAULT_COLLATION) -> Da
     state, _ = climb(materialize(start, "climb"), [], "id")
     ends = inner.filter("root").select(F.col("id").alias("top"), F.lit(True).alias("root"))
     good = (
-        balanced_join(state, ends, ["top"], "left", ["id"])
+        dimension_join(state, ends, ["top"], "left", ["id"])
         .filter(F.coalesce("root", F.lit(False)) | ~F.col("arrived"))
         .select(F.col("id").alias("parent_id"))
     )
-    return balanced_join(tree.filter(~is_root(collation)), good, ["parent_id"], "left_semi", ["id"]).unionByName(
+    return dimension_join(tree.filter(~is_root(collation)), good, ["parent_id"], "left_semi", ["id"]).unionByName(
         tree.filter(is_root(collation))
     )

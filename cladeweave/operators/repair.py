@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import rank_dim
-from ..runtime import materialize
-from .skew import balanced_join
+from ..runtime import materialize, shuffled
+from .skew import balanced_join, dimension_join
 
 # Only codes strictly between these move, by one step.
 LOWEST, HIGHEST, STEP = 280, 490, 10
@@ -38,7 +38,7 @@ def same_rank_flags(tree: DataFrame) -> DataFrame:
     state = (
         F.when(as_parent & as_child, SAME_AS_BOTH).when(as_child, SAME_AS_CHILD).when(as_parent, SAME_AS_PARENT).otherwise(0)
     )
-    return linked.join(with_child, "id", "left").withColumn("state", state).drop("_child")
+    return linked.join(shuffled(with_child), "id", "left").withColumn("state", state).drop("_child")
 
 
 def _movable() -> Column:
@@ -63,16 +63,16 @@ def lower_rank(flags: DataFrame, tree: DataFrame, raised: DataFrame) -> DataFram
     One child of lower rank is enough, at its rank after ``raised``.
     """
     rows = next_rank(flags.filter((F.col("state") == SAME_AS_PARENT) & _movable()), -STEP)
-    children = balanced_join(
+    children = dimension_join(
         tree.select("id", "parent_id", "rank_code"), rows.select(F.col("id").alias("parent_id")), ["parent_id"], "left_semi", ["id"]
     )
     lowest = (
-        children.join(raised.select("id", "new_code"), "id", "left")
+        children.join(shuffled(raised.select("id", "new_code")), "id", "left")
         .groupBy(F.col("parent_id").alias("id"))
         .agg(F.min(F.coalesce("new_code", "rank_code")).alias("child_code"))
     )
     return (
-        rows.join(lowest, "id")
+        rows.join(shuffled(lowest), "id")
         .filter(F.col("new_code") > F.col("child_code"))
         .select("id", "rank_code", "new_code", "new_rank")
     )
@@ -84,7 +84,7 @@ def repair_round(tree: DataFrame) -> DataFrame:
     # stored, so that its true size is known when the join with the tree is planned
     moved = materialize(raised.unionByName(lower_rank(flags, tree, raised)).drop("rank_code"), "moved")
     columns = [c for c in tree.columns if c not in ("rank", "rank_code")]
-    return tree.join(moved, "id", "left").select(
+    return dimension_join(tree, moved, ["id"], "left", ["id"]).select(
         *columns,
         F.coalesce("new_rank", "rank").alias("rank"),
         F.coalesce("new_code", "rank_code").alias("rank_code"),

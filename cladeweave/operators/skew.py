@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import BINARY, materialize
+from ..runtime import BINARY, materialize, shuffled
 
 _SALT = "_salt"
 _SALTS = "_salts"
@@ -141,7 +141,7 @@ def balanced_join(
 
     ``how`` is inner, left, left_semi or left_anti. ``spread`` names columns of
     ``left`` that tell the rows of one key apart: salts are a function of them, so
-    a task that runs twice sends every row the same way.
+    a task that runs twice sends every row the same way. Neither side is broadcast.
 
     Keys are counted in ``left``, which should be cheap to read; otherwise give a
     stored table as ``hot_in`` that has the keys and at least the same rows. If
@@ -154,7 +154,7 @@ def balanced_join(
     total = _large(counted, settings) if _comparable(left, keys) else None
     hot = None if total is None else hot_keys(counted, keys, total, settings)
     if hot is None and (total is None or not null_heavy):
-        return left.join(right, keys, how)
+        return left.join(shuffled(right), keys, how)
     parts = -(-3 * total // settings.bound(total))
     hashed = F.xxhash64(*spread)
     own_salt = F.lit(0)
@@ -172,7 +172,7 @@ def balanced_join(
     right = right.drop(_SALTS)
     if parts > int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")):
         left, right = (df.repartition(parts, *keys, _SALT) for df in (left, right))
-    return left.join(right, [*keys, _SALT], how).drop(_SALT)
+    return left.join(shuffled(right), [*keys, _SALT], how).drop(_SALT)
 
 
 def balanced_outer(left: DataFrame, right: DataFrame, keys: list[str], spread: list[str]) -> DataFrame:
@@ -185,9 +185,9 @@ def balanced_outer(left: DataFrame, right: DataFrame, keys: list[str], spread: l
     counted = right.select(*keys)
     total = _large(counted, settings) if _comparable(right, keys) else None
     if total is None or hot_keys(counted, keys, total, settings) is None:
-        return left.join(right, keys, "left")
+        return left.join(shuffled(right), keys, "left")
     met = balanced_join(right, left, keys, "inner", spread)
-    unmet = left.join(counted.distinct(), keys, "left_anti")
+    unmet = left.join(shuffled(counted.distinct()), keys, "left_anti")
     return met.unionByName(unmet, allowMissingColumns=True)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import ROOT_NAME
-from ..runtime import BINARY, materialize, name_key
+from ..runtime import BINARY, materialize, name_key, shuffled
 from .skew import balanced_join
 
 _PREFIX = "_key_"
@@ -57,7 +57,7 @@ class Spelling:
             .drop("n")
         )
         # a class of n spellings is one key of n short rows, each spelling once in all tables
-        met = names.join(classes, name_key("name", collation) == F.col("_class")).drop("_class")
+        met = names.join(shuffled(classes), name_key("name", collation) == F.col("_class")).drop("_class")
         self._variants = materialize(met.filter(F.col("name") != F.col("canonical")), "variants")
         self._small = self._variants.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
 

@@ -11,7 +11,7 @@ from ..operators.parents import link_parents
 from ..operators.repair import repair_ranks
 from ..operators.skew import at_most
 from ..operators.spelling import Spelling, without_keys
-from ..runtime import DEFAULT_COLLATION, materialize
+from ..runtime import DEFAULT_COLLATION, materialize, shuffled
 
 # long texts that no step of the merge looks at join in at the end
 _TEXTS = ["author", "scientificName"]
@@ -48,4 +48,4 @@ def merge_taxonomy(
         kept = merge_doubles(slim, lineage_df, collation, winner_scope)
         linked = materialize(link_parents(kept, collation), "linked")
         tree = prune_unconnected(repair_ranks(linked), collation)
-    return without_keys(tree).join(taxa.select("id", *_TEXTS), "id")
+    return without_keys(tree).join(shuffled(taxa.select("id", *_TEXTS)), "id")

@@ -82,6 +82,15 @@ def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(store(df, name, keep))
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that is not broadcast unless it is counted first.
+
+    Spark would go by the size of compressed files, of which a few megabytes can be
+    many rows, and every such table passes through the driver.
+    """
+    return df.hint("merge")
+
+
 def release(spark: SparkSession) -> None:
     """Delete all intermediate tables of this application."""
     _delete(spark, scratch_root(spark))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import names
 from ..model import ACCEPTED_ID, PARENT_ID, PROJECT, REDLIST_LABELS, REDLIST_PROJECT_RANGES, SOURCE, TAXON_ID, SourceSpec
 from ..operators.skew import ROW, balanced_join, balanced_outer, dimension_join, numbered
-from ..runtime import DEFAULT_COLLATION, materialize, name_key
+from ..runtime import DEFAULT_COLLATION, materialize, name_key, shuffled
 
 # Tables of a checklist database and the columns that are used.
 TABLES = {
@@ -124,12 +124,12 @@ def _acceptance(t: Tables, project_ids: Sequence[int]) -> DataFrame:
 
 def accepted_only(members: DataFrame, t: Tables, project_ids: Sequence[int]) -> DataFrame:
     """Members whose name is accepted in the project."""
-    return members.join(_acceptance(t, project_ids), _MEMBER, "left_semi")
+    return members.join(shuffled(_acceptance(t, project_ids)), _MEMBER, "left_semi")
 
 
 def not_accepted(members: DataFrame, t: Tables, project_ids: Sequence[int]) -> DataFrame:
     """Members whose name is not accepted in the project."""
-    return members.join(_acceptance(t, project_ids), _MEMBER, "left_anti")
+    return members.join(shuffled(_acceptance(t, project_ids)), _MEMBER, "left_anti")
 
 
 def with_hierarchy(members: DataFrame, t: Tables, project_ids: Sequence[int]) -> DataFrame:
@@ -220,7 +220,7 @@ def name_texts(t: Tables, project_ids: Sequence[int]) -> DataFrame:
     members = project_members(t, project_ids).select("NameID")
     parents = by_project(t["TaxonHierarchy"], project_ids).select(F.col("NameParentID").alias("NameID"))
     needed = members.union(parents).filter(F.col("NameID").isNotNull()).distinct()
-    found = t["TaxonName"].join(needed, "NameID", "left_semi")
+    found = t["TaxonName"].join(shuffled(needed), "NameID", "left_semi")
     return materialize(with_authorship(with_canonical_name(found, t)).select(*_TEXTS), "name-texts")
 
 
@@ -283,7 +283,7 @@ def extract_synonyms(t: Tables, source_id: int, project_ids: Sequence[int], text
 
 
 def _known_members(t: Tables, project_ids: Sequence[int]) -> DataFrame:
-    return project_members(t, project_ids).join(t["TaxonName"].select("NameID"), "NameID", "left_semi")
+    return project_members(t, project_ids).join(shuffled(t["TaxonName"].select("NameID")), "NameID", "left_semi")
 
 
 def common_names(t: Tables, project_ids: Sequence[int]) -> DataFrame:
