@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 
@@ -79,16 +80,18 @@ class Encoder:
     def _places(self, words: list[str], firsts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Places of words after a space, and of words at the beginning of a text."""
         place = self._place
-        new = [w for w in words if w not in place]
-        if new:
-            self._add(*self._learn(new))
+        after = np.fromiter(map(place.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(after < 0)
+        learned = [words[i] for i in unknown.tolist()]
+        if learned:
+            self._add(*self._learn(learned))
+            after[unknown] = np.fromiter(map(place.__getitem__, learned), np.int64, len(learned))
         new = list({w for w in firsts if (w,) not in place})
         if new:
             own = self._ids_of(new)
             self._add([(w,) for w in new], np.concatenate(own), np.cumsum([len(x) for x in own]))
-        after = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
         at_start = np.fromiter((place[(w,)] for w in firsts), np.int64, len(firsts))
-        for w in [w for w in words if len(w) > MEMO_LENGTH]:  # a first word is one of the words
+        for w in [w for w in learned if len(w) > MEMO_LENGTH]:  # never known, a first word is one of the words
             place.pop(w, None)
             place.pop((w,), None)
         return after, at_start

@@ -117,7 +117,7 @@ def cut_words(texts: list[str]) -> Words:
         sizes = sizes[place]
         shift = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
         codes = codes[np.arange(len(codes)) + shift]
-    return Words(flat.dictionary.to_pylist(), codes, np.cumsum(sizes))
+    return Words(flat.dictionary.to_numpy(zero_copy_only=False).tolist(), codes, np.cumsum(sizes))
 
 
 def gather(values: np.ndarray, ends: np.ndarray, picked: np.ndarray) -> np.ndarray:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from cladeweave.llm import pack, token_file
-from cladeweave.llm.encoder import END_ID, encoder
+from cladeweave.llm.encoder import END_ID, Encoder, encoder
 from cladeweave.llm.token_count import count_symbols, count_tokens, counter
 from cladeweave.llm.tokens import Memo, pieces
 
@@ -170,3 +170,30 @@ def test_plan_refuses_what_cannot_fit():
         pack.plan({2000: 1})
     with pytest.raises(ValueError):
         pack.plan({1: 1}, pack.Capacity(rule="other"))
+
+
+class _Counting(dict):
+    looked_up = 0
+
+    def __contains__(self, key):
+        self.looked_up += isinstance(key, str)
+        return super().__contains__(key)
+
+    def __getitem__(self, key):
+        self.looked_up += isinstance(key, str)
+        return super().__getitem__(key)
+
+    def get(self, key, default=None):
+        self.looked_up += 1
+        return super().get(key, default)
+
+
+def test_known_words_are_looked_up_once(tokenizer, library):
+    """The work of a batch: one look-up for every different word, long ones are forgotten."""
+    e, texts = Encoder(tokenizer), ["the cat sat", "on the mat " + "y" * 500, ""]
+    first = [x.tolist() for x in e.documents(texts)]
+    assert first == [[*library.encode(t, add_special_tokens=False).ids, END_ID] for t in texts]
+    assert not any(len(w) > 64 for w in e._place)
+    e._place = _Counting(e._place)
+    assert [x.tolist() for x in e.documents(texts[:1])] == first[:1]
+    assert e._place.looked_up == 3
