@@ -33,6 +33,7 @@ import os
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -109,6 +110,8 @@ class Aligned(NamedTuple):
 
 
 _NONE = Aligned(0, 0, 0, "", b"")
+#: not a result: words without alignments have None
+_UNKNOWN = object()
 
 
 class Pair:
@@ -198,11 +201,16 @@ class Pair:
     def words(self, words: list[str]) -> list[Aligned | None]:
         """Alignments of words, each looked up or made once."""
         memo, old = self._memo, self._old
-        made = self._made([w for w in words if w not in memo and w not in old])
-        found = [memo[w] if w in memo else old[w] if w in old else made[w] for w in words]
+        found = list(map(memo.get, words, repeat(_UNKNOWN)))
+        missed = [i for i, m in enumerate(found) if m is _UNKNOWN]
+        made = self._made([words[i] for i in missed if words[i] not in old])
         if len(memo) > MEMO:
             self._old, self._memo = memo, {}
-        self._memo.update((w, m) for w, m in zip(words, found) if len(w) <= MEMO_LENGTH)
+        for i in missed:
+            word = words[i]
+            found[i] = old[word] if word in old else made[word]
+            if len(word) <= MEMO_LENGTH:
+                self._memo[word] = found[i]
         return found
 
 
