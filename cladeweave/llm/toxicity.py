@@ -33,6 +33,7 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -52,6 +53,8 @@ STEPS, RATE, START = 50, 0.1, 0.1
 WEIGHT_NOISE, VECTOR_NOISE, WEAKEN, DECAY = 0.8, 0.5, 10.0, 1.0
 #: entries summed together
 SLICE = 1 << 16
+#: weights or vectors that take a step together
+ROWS_AT_ONCE = 1 << 14
 FOLDS = 5
 
 _WORD = re.compile(r"\w+")
@@ -139,29 +142,42 @@ class _Adam:
     """Steps for parameters that a penalty on their size keeps at zero.
 
     A parameter is a row: one weight, or a vector. At zero it stays while its gradient is
-    not longer than the penalty; where a step would turn it around it becomes zero.
+    not longer than the penalty; where a step would turn it around it becomes zero. Rows
+    do not depend on each other and go by ranges, so what a step holds beside its results
+    is bounded.
     """
 
     def __init__(self, like: np.ndarray):
         self._mean, self._square, self._step = np.zeros_like(like), np.zeros((len(like), 1), like.dtype), 0
 
-    def step(self, values: np.ndarray, gradient: np.ndarray, penalty: np.ndarray) -> np.ndarray:
+    def step(self, values: np.ndarray, gradient: np.ndarray, penalty: np.ndarray) -> None:
+        """Change ``values``."""
+        self._step += 1
+        for a in range(0, len(values), ROWS_AT_ONCE):
+            rows = slice(a, a + ROWS_AT_ONCE)
+            values[rows] = self._shrunk(rows, values[rows], gradient[rows], penalty[rows])
+
+    def _shrunk(self, rows: slice, values: np.ndarray, gradient: np.ndarray, penalty: np.ndarray) -> np.ndarray:
         size = np.sqrt((values**2).sum(1))
         length = np.sqrt((gradient**2).sum(1))
         on = size > 0
         pull = penalty / (1 + WEAKEN * size) / np.where(on, size, 1)
         left = np.maximum(1 - penalty / np.maximum(length, 1e-12), 0)
         moved = np.where(on[:, None], gradient + pull[:, None] * values, gradient * left[:, None])
-        self._mean[~on & (left == 0)] = 0
-        new = values - self.move(moved)
+        self._mean[rows][~on & (left == 0)] = 0
+        new = values - self._moved(rows, moved)
         new[on & ((new * values).sum(1) < 0)] = 0
         return new
 
     def move(self, gradient: np.ndarray) -> np.ndarray:
         self._step += 1
-        self._mean += 0.1 * (gradient - self._mean)
-        self._square += 0.01 * ((gradient**2).sum(1, keepdims=True) - self._square)
-        mean, square = self._mean / (1 - 0.9**self._step), self._square / (1 - 0.99**self._step)
+        return self._moved(slice(None), gradient)
+
+    def _moved(self, rows: slice, gradient: np.ndarray) -> np.ndarray:
+        mean, square = self._mean[rows], self._square[rows]
+        mean += 0.1 * (gradient - mean)
+        square += 0.01 * ((gradient**2).sum(1, keepdims=True) - square)
+        mean, square = mean / (1 - 0.9**self._step), square / (1 - 0.99**self._step)
         return RATE * mean / (np.sqrt(square) + 1e-8)
 
 
@@ -173,9 +189,8 @@ class _Incidence:
     """
 
     def __init__(self, flat: np.ndarray, sizes: np.ndarray, n_terms: int):
-        doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-        self.docs = np.bincount(flat, minlength=n_terms)
-        self._flat, self._sizes, self._by_term = flat, sizes, doc[np.argsort(flat, kind="stable")]
+        self.docs = _counts(flat, sizes, n_terms)
+        self._flat, self._sizes, self._by_term = flat, sizes, _turned(flat, sizes, self.docs)
         self._cuts = _cuts(self.docs)
         self._live = self._members = None
 
@@ -187,10 +202,9 @@ class _Incidence:
         """Sums of a row of ``values`` per term over the terms of every document, those that
         are ``live``, as the others are zero."""
         if self._live is None or (live != self._live).any():
-            at = live[self._flat]
-            ends = np.cumsum(self._sizes)
-            sizes = np.diff(np.append(0, np.cumsum(at, dtype=np.int64))[np.append(0, ends)])
-            self._live, self._members = live, (self._flat[at], sizes, _cuts(sizes))
+            self._members = None  # the ones before go first
+            flat, sizes = _only(self._flat, self._sizes, live)
+            self._live, self._members = live, (flat, sizes, _cuts(sizes))
         return _sums(values, *self._members)
 
 
@@ -201,6 +215,47 @@ def _cuts(sizes: np.ndarray) -> list[tuple[int, int]]:
     return list(zip([0, *cuts.tolist()], [*cuts.tolist(), len(sizes)]))
 
 
+def _slices(sizes: np.ndarray) -> Iterator[tuple[slice, slice]]:
+    """The documents of every range of about ``SLICE`` entries, and these entries."""
+    ends = np.cumsum(sizes, dtype=np.int64)
+    for a, b in _cuts(sizes):
+        if b > a:
+            yield slice(a, b), slice(int(ends[a] - sizes[a]), int(ends[b - 1]))
+
+
+def _counts(flat: np.ndarray, sizes: np.ndarray, n_terms: int) -> np.ndarray:
+    """Documents of every term."""
+    docs = np.zeros(n_terms, np.int64)
+    for _, at in _slices(sizes):
+        np.add.at(docs, flat[at], 1)
+    return docs
+
+
+def _turned(flat: np.ndarray, sizes: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """The documents of every term in order, one term after the other."""
+    turned = np.empty(len(flat), np.int32)
+    free = np.cumsum(docs) - docs  # the next place of every term
+    for some, at in _slices(sizes):
+        order = np.argsort(flat[at], kind="stable")
+        term, first, count = np.unique(flat[at][order], return_index=True, return_counts=True)
+        place = np.arange(len(order)) + np.repeat(free[term] - first, count)
+        turned[place] = np.repeat(np.arange(some.start, some.stop, dtype=np.int32), sizes[some])[order]
+        free[term] += count
+    return turned
+
+
+def _only(flat: np.ndarray, sizes: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What of ``flat`` is among ``terms``, and its sizes."""
+    if terms.all():
+        return flat, sizes
+    left, parts = np.zeros(len(sizes), np.int64), [flat[:0]]
+    for some, at in _slices(sizes):
+        stays = terms[flat[at]]
+        parts.append(flat[at][stays])
+        left[some] = np.diff(np.append(0, np.cumsum(stays))[np.append(0, np.cumsum(sizes[some]))])
+    return np.concatenate(parts), left
+
+
 def _sums(values: np.ndarray, at: np.ndarray, sizes: np.ndarray, cuts: list[tuple[int, int]]) -> np.ndarray:
     """Sums of ``values[at]`` over consecutive groups of ``sizes`` entries."""
     sums = np.zeros((len(sizes), values.shape[1]), values.dtype)
@@ -221,9 +276,11 @@ def _movable(flat: np.ndarray, sizes: np.ndarray, weight: np.ndarray, noise: flo
     the sum of them, and that of a vector at most the root of the sum of their squares
     times the root of what the penalty on it is in proportion to.
     """
-    doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-    docs = np.bincount(flat, minlength=n_terms)
-    most, square = (np.bincount(flat, x[doc], n_terms) for x in (weight, weight**2))
+    docs, most, square = _counts(flat, sizes, n_terms), np.zeros(n_terms), np.zeros(n_terms)
+    for some, at in _slices(sizes):
+        each = np.repeat(weight[some], sizes[some])
+        np.add.at(most, flat[at], each)
+        np.add.at(square, flat[at], each**2)
     penalty = WEIGHT_NOISE * noise * np.sqrt(docs * (1 - docs / len(sizes)))
     return (most > penalty) | (np.sqrt(square) > VECTOR_NOISE * noise)
 
@@ -237,11 +294,11 @@ def _fit(flat: np.ndarray, sizes: np.ndarray, y: np.ndarray, n_terms: int) -> tu
     weight = np.where(y == 1, 0.5 / share, 0.5 / (1 - share))
     noise = float(np.sqrt(2 * np.log(max(n_terms, 2)) * np.mean((0.5 * weight) ** 2)))
     movable = _movable(flat, sizes, weight, noise, n_terms)
-    stays = movable[flat]
-    flat = (np.cumsum(movable, dtype=np.int32) - 1)[flat[stays]]
-    sizes = np.diff(np.append(0, np.cumsum(stays, dtype=np.int64))[np.append(0, np.cumsum(sizes))])
+    flat, sizes = _only(flat, sizes, movable)
+    flat = (np.cumsum(movable, dtype=np.int32) - 1)[flat]
+    bias, of_weights, of_vectors = _descend(_Incidence(flat, sizes, int(movable.sum())), y, weight, noise)
     w, v = np.zeros(n_terms), np.zeros((n_terms, FACTORS))
-    bias, w[movable], v[movable] = _descend(_Incidence(flat, sizes, int(movable.sum())), y, weight, noise)
+    w[movable], v[movable] = of_weights, of_vectors
     return bias, w, v
 
 
@@ -268,10 +325,10 @@ def _descend(terms_of: _Incidence, y: np.ndarray, weight: np.ndarray, noise: flo
         by_w = sums[:, :1].astype(float)
         if live.any():
             by_v = sums[:, 1:-1] + (np.float32(DECAY) - sums[:, :1]) * v
-            v = adam[2].step(v, by_v, (VECTOR_NOISE * noise * np.sqrt(sums[:, -1])).astype(np.float32))
-        w = adam[1].step(w, by_w + DECAY * w, penalty)
+            adam[2].step(v, by_v, (VECTOR_NOISE * noise * np.sqrt(sums[:, -1])).astype(np.float32))
+        adam[1].step(w, by_w + DECAY * w, penalty)
         bias = bias - adam[0].move(np.array([[error.sum()]]))
-    return float(bias[0, 0]), w[:, 0], v.astype(float)
+    return float(bias[0, 0]), w[:, 0], v
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = ROWS) -> Machine:

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -118,6 +119,43 @@ def test_terms_left_out_could_not_move(monkeypatch):
     assert not every[~movable].any()
 
 
+def test_the_fit_holds_little_beside_the_sample(monkeypatch):
+    rng = np.random.default_rng(6)
+    sizes = np.full(4000, 500)
+    flat, y = rng.integers(0, 20_000, sizes.sum()).astype(np.int32), (np.arange(4000) % 10 == 0).astype(float)
+    monkeypatch.setattr(tx, "STEPS", 1)
+    tracemalloc.start()
+    tx._fit(flat, sizes, y, 20_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 5 * flat.nbytes
+
+
+def test_the_sample_by_ranges_is_as_at_once(monkeypatch):
+    monkeypatch.setattr(tx, "SLICE", 64)
+    monkeypatch.setattr(tx, "ROWS_AT_ONCE", 7)
+    rng = np.random.default_rng(7)
+    sizes = np.append(rng.integers(0, 30, 200), [300, 0, 0])
+    flat, terms = rng.integers(0, 50, sizes.sum()).astype(np.int32), rng.random(50) < 0.5
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    docs = tx._counts(flat, sizes, 50)
+    assert (docs == np.bincount(flat, minlength=50)).all()
+    assert (tx._turned(flat, sizes, docs) == doc[np.argsort(flat, kind="stable")]).all()
+    left, left_sizes = tx._only(flat, sizes, terms)
+    assert (left == flat[terms[flat]]).all() and (left_sizes == np.bincount(doc[terms[flat]], minlength=len(sizes))).all()
+    for none in (tx._only(flat, sizes, terms & False), tx._only(flat[:0], np.zeros(0, np.int64), terms)):
+        assert len(none[0]) == 0 and not none[1].any()
+    by_blocks, at_once = tx._Adam(np.zeros((50, 3))), tx._Adam(np.zeros((50, 3)))
+    a, b = np.zeros((50, 3)), np.zeros((50, 3))
+    for _ in range(20):
+        gradient, penalty = rng.standard_normal((50, 3)), rng.random(50)
+        by_blocks.step(a, gradient, penalty)
+        monkeypatch.setattr(tx, "ROWS_AT_ONCE", 50)
+        at_once.step(b, gradient, penalty)
+        monkeypatch.setattr(tx, "ROWS_AT_ONCE", 7)
+        assert (a == b).all()
+
+
 def test_few_documents_are_enough_for_a_telling_term(spark, docs_of):
     rnd = random.Random(5)
     docs, labels = [], []
