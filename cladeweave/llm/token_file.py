@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import fields, record, steps
-from .encoder import encoder
+from .encoder import ENCODED_BYTES, encoder
 
 SEGMENT_TOKENS = 1 << 20
 SELECT_STEP = 64
@@ -94,6 +95,16 @@ class EliasFano:
                 return at + int(ones[skip])
             width *= 4
 
+    def numbers(self) -> np.ndarray:
+        """All of them at once, in 64 bits that wrap around as those of the ids do."""
+        places = np.flatnonzero(np.unpackbits(self._bits, bitorder="little"))[: self.n]
+        bits = np.unpackbits(np.frombuffer(self._low, np.uint8), count=self.n * self.low_bits, bitorder="little")
+        low = np.zeros(self.n, np.uint64)
+        for shift in range(self.low_bits):
+            low |= bits[shift :: self.low_bits].astype(np.uint64) << np.uint64(shift)
+        high = (places - np.arange(self.n)).astype(np.uint64) << np.uint64(self.low_bits)
+        return ((high | low) + np.array(self.base, np.int64).view(np.uint64)).view(np.int64)
+
     def select(self, i: int) -> int:
         high = self._place(i) - i
         first = i * self.low_bits
@@ -133,8 +144,14 @@ class Segment:
     def bounds(self, i: int) -> tuple[int, int]:
         return (self._ends.select(i - 1) if i else 0), self._ends.select(i)
 
+    def documents(self) -> tuple[list[int | None], np.ndarray]:
+        """The doc_ids of all documents, and the bounds of their ids."""
+        return [None] * self._nulls + self._doc_ids.numbers().tolist(), np.append(0, self._ends.numbers())
+
     def ids(self, i: int) -> np.ndarray:
-        a, b = self.bounds(i)
+        return self.between(*self.bounds(i))
+
+    def between(self, a: int, b: int) -> np.ndarray:
         return self._ids[a:b]
 
 
@@ -150,7 +167,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, segment_tokens: int
             row = [[part], [number], [first], [len(ids)], [size], [pack_segment(doc_ids, ids)]]
             return record(row, arrow)
 
-        for batch in steps(batches):
+        for batch in steps(batches, ENCODED_BYTES):
             for doc_id, doc in zip(batch.column(0), e.documents(batch.column(1).to_pylist())):
                 if ids and size + len(doc) > segment_tokens:
                     yield full()
@@ -187,13 +204,12 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for start, payload in zip(batch.column(0), batch.column(1)):
                 segment, start = Segment(payload.as_py()), start.as_py()
-                every = range(segment.n_docs)
-                bounds = [segment.bounds(i) for i in every]
+                doc_ids, bounds = segment.documents()
                 columns = [
-                    [segment.doc_id(i) for i in every],
-                    [start + a for a, _ in bounds],
-                    [b - a for a, b in bounds],
-                    [segment.ids(i).astype("<u4").tobytes() for i in every],
+                    doc_ids,
+                    start + bounds[:-1],
+                    np.diff(bounds),
+                    [segment.between(a, b).astype("<u4").tobytes() for a, b in pairwise(bounds.tolist())],
                 ]
                 yield record(columns, arrow)
 

@@ -61,6 +61,20 @@ def test_elias_fano(numbers):
     assert end == len(data) and [ef.select(i) for i in range(ef.n)] == numbers
 
 
+@pytest.mark.parametrize("numbers", [[], [0], [-(2**63), -1, 2**63 - 1], [0, 0, 5, 5], [*range(-90, 90)], [3] * 100 + [10**12]])
+def test_elias_fano_all_at_once(numbers):
+    ef, _ = token_file.EliasFano.from_bytes(token_file.EliasFano.encode(numbers).to_bytes(), 0)
+    assert ef.numbers().tolist() == numbers
+
+
+def test_all_documents_of_a_segment():
+    ids = [np.arange(n, dtype="<u2") for n in (1, 3, 1, 200, 2)]
+    segment = token_file.Segment(token_file.pack_segment([None, None, -5, 7, 7], ids))
+    doc_ids, bounds = segment.documents()
+    assert doc_ids == [segment.doc_id(i) for i in range(5)] == [None, None, -5, 7, 7]
+    assert list(zip(bounds.tolist(), bounds.tolist()[1:])) == [segment.bounds(i) for i in range(5)]
+
+
 def test_elias_fano_random_and_small():
     rng = np.random.default_rng(0)
     numbers = np.sort(rng.integers(0, 10**7, 5000))
@@ -197,3 +211,27 @@ def test_known_words_are_looked_up_once(tokenizer, library):
     e._place = _Counting(e._place)
     assert [x.tolist() for x in e.documents(texts[:1])] == first[:1]
     assert e._place.looked_up == 3
+
+
+def test_words_of_known_runs_are_not_encoded_again(tokenizer, library):
+    """New words made of known runs of letters and marks need nothing of the library."""
+    e, encoded = Encoder(tokenizer), []
+    e.documents(["a house, (cat) b.\nCat b"])
+    ids_of = e._ids_of
+    e._ids_of = lambda texts: encoded.extend(texts) or ids_of(texts)
+    texts = ["a house.\nCat) b, (cat. (b", "a (cat.\nCat, b)"]
+    got = [x.tolist() for x in e.documents(texts)]
+    assert got == [[*library.encode(t, add_special_tokens=False).ids, END_ID] for t in texts]
+    assert encoded == ["b"]  # it had not stood without a space
+
+
+def test_runs_are_cut_as_by_the_library(library, tokenizer):
+    rnd, e = random.Random(12), Encoder(tokenizer)
+    assert e._runs
+    parts = ["Été", "слово", "ver", "a", "'s", "'", ".", ",%%%", "\n", "\n\n", " ", " ", "  ", "12", "ß", "\u0300", "²", "×",
+             "\u037e", "µ", "ª", "¡", "\t", "_", "`", "{|}", "<|endoftext|>", "中", "ǅ", "\u0482", "x" * 70]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 12))) for _ in range(4000)]
+    for at in range(0, len(texts), 50):
+        some = texts[at : at + 50]
+        want = [[*library.encode(t, add_special_tokens=False).ids, END_ID] for t in some]
+        assert [x.tolist() for x in e.documents(some)] == want
