@@ -58,10 +58,11 @@ def map_batches(
     df: DataFrame,
     fn: Callable[[dict[str, list]], dict[str, list]],
     schema: T.StructType | str,
+    size: int = STEP_BYTES,
 ) -> DataFrame:
     """``df`` through ``fn``, which turns columns of lists into columns of lists.
 
-    Batches are cut to about ``STEP_BYTES``, so memory does not depend on how many
+    Batches are cut to about ``size`` bytes, so memory does not depend on how many
     long texts stand side by side.
     """
     if isinstance(schema, str):
@@ -69,7 +70,7 @@ def map_batches(
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches):
+        for batch in steps(batches, size):
             yield pa.RecordBatch.from_pydict(fn(batch.to_pydict()), schema=arrow)
 
     return df.mapInArrow(run, schema)

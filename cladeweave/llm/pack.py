@@ -31,7 +31,7 @@ from pyspark.sql.window import Window
 
 from ..runtime import materialize
 from .common import map_batches
-from .encoder import encoder
+from .encoder import ENCODED_BYTES, encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", sequence_id long, offset long"
@@ -173,7 +173,8 @@ def cut(docs: DataFrame, tokenizer: str, tokens: int) -> DataFrame:
         names = ["doc_id", "piece", "start", "length", "ids_crc32"]
         return dict(zip(names, map(list, zip(*out)))) if out else {n: [] for n in names}
 
-    return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), batch, PIECES)
+    picked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return map_batches(picked, batch, PIECES, ENCODED_BYTES)
 
 
 def ranked(pieces: DataFrame, buckets: int) -> DataFrame:
