@@ -35,10 +35,13 @@ _holder: list = [None, None]
 
 
 def claim(owner: str, forget: Callable[[], None]) -> None:
-    """Let one operator at a time keep memos in a worker: those of the one before go."""
+    """Let one operator at a time keep memos in a worker: those of the one before go, and
+    their memory goes back to the system."""
     if _holder[0] != owner:
         if _holder[1]:
             _holder[1]()
+            for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+                pool.release_unused()
         _holder[:] = [owner, forget]
 
 
@@ -58,11 +61,10 @@ def map_batches(
     df: DataFrame,
     fn: Callable[[dict[str, list]], dict[str, list]],
     schema: T.StructType | str,
-    size: int = STEP_BYTES,
 ) -> DataFrame:
     """``df`` through ``fn``, which turns columns of lists into columns of lists.
 
-    Batches are cut to about ``size`` bytes, so memory does not depend on how many
+    Batches are cut to about ``STEP_BYTES``, so memory does not depend on how many
     long texts stand side by side.
     """
     if isinstance(schema, str):
@@ -70,7 +72,7 @@ def map_batches(
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, size):
+        for batch in steps(batches):
             yield pa.RecordBatch.from_pydict(fn(batch.to_pydict()), schema=arrow)
 
     return df.mapInArrow(run, schema)

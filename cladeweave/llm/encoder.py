@@ -34,8 +34,6 @@ _RUN = re.compile(f" ?[{LETTERS}]+| ?[{MARKS}]+|\n")
 _WHOLE = f"[^{LETTERS}{MARKS}\n]|^$|^\n|\n\n|\n$"
 #: a word that is empty or begins with white space, among words joined by spaces
 _SPACE_BEFORE = re.compile(r"(?:\A| )(?:\s|\Z)")
-#: bytes of text that are encoded together; words repeat more than in smaller steps
-ENCODED_BYTES = 4 << 20
 
 
 class Encoder:

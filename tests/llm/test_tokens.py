@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 import pytest
 
-from cladeweave.llm import pack, token_file
+from cladeweave.llm import common, pack, token_file
 from cladeweave.llm.encoder import END_ID, Encoder, encoder
 from cladeweave.llm.token_count import count_symbols, count_tokens, counter
 from cladeweave.llm.tokens import Memo, pieces
@@ -235,3 +235,19 @@ def test_runs_are_cut_as_by_the_library(library, tokenizer):
         some = texts[at : at + 50]
         want = [[*library.encode(t, add_special_tokens=False).ids, END_ID] for t in some]
         assert [x.tolist() for x in e.documents(some)] == want
+
+
+def test_memory_of_memos_goes_back_once(monkeypatch):
+    class Pool:
+        released = 0
+
+        def release_unused(self):
+            self.released += 1
+
+    pool = Pool()
+    monkeypatch.setattr(common.pa, "default_memory_pool", lambda: pool)
+    monkeypatch.setattr(common.pa, "system_memory_pool", lambda: pool)
+    monkeypatch.setattr(common, "_holder", [None, None])
+    for owner in ("a", "a", "b", "b"):
+        common.claim(owner, lambda: None)
+    assert pool.released == 2
