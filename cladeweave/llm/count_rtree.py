@@ -56,16 +56,27 @@ class CountTree:
         grouped = np.where(members[place] > 1, place, -1)  # entries alone in their class mix
         self.order = np.lexsort((points[:, 0], sizes, grouped))
         least = sizes[self.order].astype(np.int64)
-        level = (points[self.order], over[self.order], least, least, classes[self.order], classes[self.order])
+        level = (points[self.order], over[self.order], least, least)
         self._levels = [level]
         while len(level[0]) > 1:
             cuts = np.arange(0, len(level[0]), FANOUT)
-            by = (np.maximum, np.maximum, np.minimum, np.maximum, np.minimum, np.maximum)
+            by = (np.maximum, np.maximum, np.minimum, np.maximum)
             level = tuple(f.reduceat(x, cuts) for f, x in zip(by, level))
             self._levels.append(level)
+        self.classify(classes)
+
+    def classify(self, classes: np.ndarray) -> None:
+        """Give the entries other classes, also between two portions of ``pairs``: classes
+        that have become one are not paired from then on."""
+        low = high = classes[self.order]
+        self._classes = [(low, high)]
+        while len(low) > 1:
+            cuts = np.arange(0, len(low), FANOUT)
+            low, high = np.minimum.reduceat(low, cuts), np.maximum.reduceat(high, cuts)
+            self._classes.append((low, high))
 
     def _pass(self, level: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        top, over, least, most, low, high = self._levels[level]
+        (top, over, least, most), (low, high) = self._levels[level], self._classes[level]
         one_class = (low[i] == high[i]) & (low[j] == high[j]) & (low[i] == low[j])
         sized = (100 * most[i] >= self._percent * least[j]) & (100 * most[j] >= self._percent * least[i])
         keep = sized & ~one_class

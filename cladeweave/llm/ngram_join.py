@@ -25,14 +25,17 @@ blocks are bounded by their count vectors and the rest is verified on the whole
 4. Each node is paired with the first node of its token. These pairs, as many as places
    in blocks, are bounded and verified; their components usually are whole groups.
 5. Only tokens whose nodes lie in different components are left, one for each set of nodes.
-   Each is a block with an R-tree of its nodes' points; pairs from different components
-   that the tree cannot rule out are verified. Blocks of one leaf are joined without a
-   tree, and blocks above ``BLOCK`` nodes are cut into parts that meet pairwise.
+   Blocks of one leaf are joined without a tree. The nodes of every other one, or of all
+   that have the same first node and mostly the same others, are a block with an R-tree of
+   their points. Pairs from different components that the tree cannot rule out are verified
+   where they are found, and what links joins its components for the rest of the block: a
+   block gives fewer links than it has nodes, however many pairs it holds. Blocks above
+   ``BLOCK`` nodes or ``BLOCK_TOKENS`` tokens are cut into parts that meet pairwise.
 
 ``ngram_links`` counts links and so takes no short cut by components: in place of steps 4
 and 5 every token with several nodes is a block, every pair of different sets in a block
-that the bounds cannot rule out is verified, and a link of two sets counts once for each
-copy.
+that the bounds cannot rule out is a row that is verified, and a link of two sets counts
+once for each copy.
 
 A pair that shares a first token thus is in one component after step 4 or is looked at in
 step 5; no link between different sets is lost, and copies are never expanded.
@@ -55,11 +58,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..runtime import materialize, temporary
+from ..runtime import materialize, shuffled, temporary
 from .common import fields, identity, record, same_columns, steps, unused
 from .components import components
 from .count_rtree import FANOUT, CountTree, group_counts, may_link, overlap_bound, read_points
 from .shingles import fingerprint, shingles
+from .unions import Unions
 
 PERCENT = 75
 FREQUENT = 1 << 18
@@ -69,6 +73,8 @@ REPEATED = 2
 WINDOW = 1 << 22
 #: first tokens a bucket should hold, nodes of a token from which it is split, of a block
 BUCKET, SPLIT, BLOCK = 500_000, 200_000, 4096
+#: tokens of all sets of a block
+BLOCK_TOKENS = 1 << 22
 #: share of the range of hashes whose tokens are all compared
 SAMPLE = 3 / 8
 
@@ -300,6 +306,11 @@ def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return met.select("text", "node", "hi", "lo").mapInArrow(make, _SET)
 
 
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sets are similar enough."""
     arrow = to_arrow_schema(_PAIR)
@@ -308,9 +319,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             kept = []
             for a, b, x, y in zip(*(batch.column(n) for n in ("a", "b", "x", "y"))):
-                x, y = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * both >= percent * (len(x) + len(y) - both):
+                if _similar(*(np.frombuffer(v.as_py(), np.uint64) for v in (x, y)), percent):
                     kept.append((a.as_py(), b.as_py()))
             yield record([[a for a, _ in kept], [b for _, b in kept]], arrow)
 
@@ -320,23 +329,58 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return materialize(met.mapInArrow(verify, _PAIR), "verified")
 
 
+def _tree(rows: pa.Table, percent: int) -> CountTree:
+    points, over = read_points(rows.column("point").to_pylist())
+    return CountTree(points, over, rows.column("size").to_numpy(), rows.column("component").to_numpy(), percent)
+
+
+def _met_pairs(rows: pa.Table, tree: CountTree) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of the tree, of two parts only those from one to the other."""
+    side = rows.column("side").to_numpy()
+    across = rows.column("part")[0] != rows.column("other")[0]
+    for i, j in tree.pairs():
+        keep = side[i] != side[j] if across else np.ones(len(i), bool)
+        yield i[keep], j[keep]
+
+
 def _block_pairs(members: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components in blocks (token, part, other, side, node, component, ...)."""
     arrow = to_arrow_schema(_PAIR)
 
-    def tree(rows: pa.Table) -> pa.Table:
-        get = lambda name: rows.column(name).to_numpy()
-        node, side = get("node"), get("side")
-        points, over = read_points(rows.column("point").to_pylist())
-        across = get("part")[0] != get("other")[0]
+    def pair(rows: pa.Table) -> pa.Table:
+        node = rows.column("node").to_numpy()
         found = [np.zeros((0, 2), np.int64)]
-        for i, j in CountTree(points, over, get("size"), get("component"), percent).pairs():
-            keep = side[i] != side[j] if across else np.ones(len(i), bool)
-            found.append(np.stack([np.minimum(node[i], node[j])[keep], np.maximum(node[i], node[j])[keep]], 1))
+        for i, j in _met_pairs(rows, _tree(rows, percent)):
+            found.append(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])], 1))
         pairs = np.unique(np.concatenate(found), axis=0)
         return pa.Table.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=arrow)
 
-    return members.groupBy("token", "part", "other").applyInArrow(tree, _PAIR).distinct()
+    return members.groupBy("token", "part", "other").applyInArrow(pair, _PAIR).distinct()
+
+
+def _block_links(members: DataFrame, percent: int) -> DataFrame:
+    """Links that connect the components of blocks like those of ``_block_pairs``, with the
+    tokens of their sets, as far as pairs within a block do."""
+    arrow = to_arrow_schema(_PAIR)
+
+    def link(rows: pa.Table) -> pa.Table:
+        node = rows.column("node").to_numpy()
+        sets = [np.frombuffer(t, np.uint64) for t in rows.column("tokens").to_pylist()]
+        names, place = np.unique(rows.column("component").to_numpy(), return_inverse=True)
+        own, joined, tree = place.tolist(), Unions(len(names)), _tree(rows, percent)
+        found = []
+        for i, j in _met_pairs(rows, tree):
+            before = len(found)
+            for p, q in zip(i.tolist(), j.tolist()):
+                if joined.root(own[p]) != joined.root(own[q]) and _similar(sets[p], sets[q], percent):
+                    joined.join(own[p], own[q])
+                    found.append((p, q))
+            if len(found) > before:
+                tree.classify(np.array([joined.root(c) for c in range(len(names))])[place])
+        a, b = (node[np.array([f[side] for f in found], np.int64)] for side in (0, 1))
+        return pa.Table.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], schema=arrow)
+
+    return members.groupBy("token", "part", "other").applyInArrow(link, _PAIR).distinct()
 
 
 def _open_blocks(met: DataFrame, sizes: DataFrame, components_: DataFrame) -> DataFrame:
@@ -358,7 +402,7 @@ def _open_blocks(met: DataFrame, sizes: DataFrame, components_: DataFrame) -> Da
         .filter("_l != _m")
         .groupBy(*same)
         .agg(F.min("token").alias("token"))
-        .select("token", F.col("_n").alias("n"))
+        .select("token", F.col("_n").alias("n"), F.col("_first").alias("first"))
     )
     return known.join(open_, "token").join(sizes, "node")
 
@@ -372,10 +416,22 @@ def _leaf_pairs(members: DataFrame, percent: int) -> DataFrame:
     return met.filter(sized).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
-def _tree_members(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Members of larger blocks with their points, cut into parts."""
-    members = members.join(sets.select("node", "point"), "node")
-    members = members.withColumn("parts", F.ceil(F.col("n") / BLOCK).cast("int"))
+def _united(members: DataFrame) -> DataFrame:
+    """Blocks that have the same first node as one, each node once, unless all their nodes
+    are more than twice those of the largest; the others as they are."""
+    nodes = members.groupBy("first", "node").agg(F.max("n").alias("n"))
+    alike = nodes.groupBy("first").agg(F.count(F.lit(1)).alias("_all"), F.max("n").alias("_most"))
+    alike = alike.filter(F.col("_all") <= 2 * F.col("_most")).select("first", F.col("first").alias("_block"))
+    block = F.coalesce("_block", "token").alias("token")
+    return members.join(alike, "first", "left").select(block, "node", "component", "size").distinct()
+
+
+def _tree_members(members: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
+    """Members of larger blocks with these columns of their sets, cut into parts."""
+    members = materialize(_united(members), "members")
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("size") / BLOCK_TOKENS)).cast("int")
+    members = members.join(members.groupBy("token").agg(parts.alias("parts")), "token")
+    members = members.join(shuffled(sets.select("node", *columns)), "node")
     own = F.pmod(F.xxhash64("node", "token"), F.col("parts")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("_other")
     return members.withColumn("side", own).select("*", other).select(
@@ -386,7 +442,7 @@ def _tree_members(members: DataFrame, sets: DataFrame) -> DataFrame:
         "node",
         "component",
         "size",
-        "point",
+        *columns,
     )
 
 
@@ -448,13 +504,13 @@ def _joined(docs: DataFrame, percent: int, count_links: bool = False) -> DataFra
     )
 
 
-def _candidates(met: DataFrame, sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes of different components that share a token and may link."""
+def _blocks(met: DataFrame, sets: DataFrame, groups: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs of nodes of different components that share a token of few nodes and may link,
+    and the rows of the tokens of more nodes."""
     blocks = _open_blocks(met.select("token", "node"), sets.select("node", "size"), groups)
     blocks = materialize(blocks, "blocks")
-    left = _bounded(_leaf_pairs(blocks.filter(F.col("n") <= FANOUT), percent), sets, percent)
-    left = left.unionByName(_block_pairs(_tree_members(blocks.filter(F.col("n") > FANOUT), sets), percent))
-    return left.distinct()
+    pairs = _bounded(_leaf_pairs(blocks.filter(F.col("n") <= FANOUT), percent), sets, percent)
+    return pairs, blocks.filter(F.col("n") > FANOUT)
 
 
 def _link_counts(rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -490,7 +546,9 @@ def _named(docs: DataFrame, rows: DataFrame, met: DataFrame, percent: int, count
 
     if count_links:  # every node is a component of its own, so no pair is left out
         alone = wanted.select("node", F.col("node").alias("component"))
-        links = _verified(materialize(_candidates(met, sets, alone, percent), "pairs"), sets, percent)
+        pairs, larger = _blocks(met, sets, alone, percent)
+        pairs = pairs.unionByName(_block_pairs(_tree_members(larger, sets, "point"), percent)).distinct()
+        links = _verified(materialize(pairs, "pairs"), sets, percent)
     else:
         stars = met.filter("node != first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
         tried = materialize(_bounded(stars, sets, percent), "stars")
@@ -498,9 +556,11 @@ def _named(docs: DataFrame, rows: DataFrame, met: DataFrame, percent: int, count
 
         groups = components(links).withColumnRenamed("component", "_found")
         groups = wanted.join(groups, "node", "left").select("node", F.coalesce("_found", "node").alias("component"))
-        left = _candidates(met, sets, materialize(groups, "groups"), percent)
+        left, larger = _blocks(met, sets, materialize(groups, "groups"), percent)
         left = materialize(left.join(tried, ["a", "b"], "left_anti"), "left")
         links = links.unionByName(_verified(left, sets, percent))
+        found = _block_links(_tree_members(larger, sets, "point", "tokens"), percent)
+        links = links.unionByName(materialize(found, "found"))
 
     named = points.join(components(links), "node", "left").select(
         "hi", "lo", "doc_id", "node", F.coalesce("component", "node").alias("component")

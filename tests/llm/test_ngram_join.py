@@ -118,6 +118,56 @@ def test_links_in_split_blocks(docs_of, monkeypatch):
     check_links(docs_of, list(enumerate([t for _, t in corpus(rnd, 50)] + chain(rnd, 2, 12))))
 
 
+def near_copies(rnd, n):
+    """Texts that differ in one word each, after two that are like none of the others."""
+    base = [f"b{rnd.randrange(10**6)}" for _ in range(130)]
+
+    def changed(places, name):
+        return " ".join(f"{name}x{k}" if k in places else w for k, w in enumerate(base))
+
+    far = [changed(places, name) for places, name in (((20, 50, 80), "e"), ((35, 65, 95), "f"))]
+    return far + [changed((5 + i % 120,), f"g{i}") for i in range(n)]
+
+
+def stored_rows(monkeypatch):
+    """Row counts of the tables that the join stores, by name, as they come up."""
+    found, store = {}, nj.materialize
+
+    def count(df, name, keep=False):
+        out = store(df, name, keep)
+        found[name] = max(found.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(nj, "materialize", count)
+    return found
+
+
+@pytest.mark.parametrize("n", [60, 180])
+def test_rows_of_a_group_of_near_copies(docs_of, monkeypatch, n):
+    """All pairs of the group link, but no step makes a row for each of them."""
+    docs = list(enumerate(near_copies(random.Random(9), n)))
+    rows = stored_rows(monkeypatch)
+    check(docs_of, docs)
+    pairs = [rows.get(name, 0) for name in ("stars", "left", "verified", "members", "found")]
+    assert 0 < max(pairs) <= 4 * len(docs)
+
+
+def test_near_copies_in_parts(docs_of, monkeypatch):
+    rnd = random.Random(10)
+    texts = [t for seed in (11, 12) for t in near_copies(random.Random(seed), 50)] + chain(rnd, 2, 30)
+    for name, value in {"BLOCK": 20, "BLOCK_TOKENS": 2000, "FANOUT": 2}.items():
+        monkeypatch.setattr(nj, name, value)
+    check(docs_of, list(enumerate(texts)))
+
+
+def test_blocks_of_one_first_node_unite_if_alike(spark, monkeypatch):
+    rows = [(t, v, v, 1, 4, f) for t, f, vs in ((1, 7, range(7, 11)), (2, 7, range(7, 11)), (3, 20, range(20, 24)),
+            (4, 20, (20, *range(30, 33))), (5, 20, (20, *range(40, 43)))) for v in vs]
+    members = spark.createDataFrame(rows, "token long, node long, component long, size int, n long, first long")
+    got = {(r.token, r.node) for r in nj._united(members).collect()}
+    assert got == {(7, v) for v in range(7, 11)} | {(r[0], r[1]) for r in rows if r[0] > 2}
+
+
 def test_odd_rows(docs_of):
     docs = list(enumerate(ODD)) + [(None, "a b c d e f"), (50, "A b\tc d e f"), (3, "a"), (3, "a"), (None, None)]
     check(docs_of, docs)
@@ -156,6 +206,23 @@ def test_tree_loses_no_pair():
     assert len(found) < 150 * 149 // 2
 
 
+def test_tree_leaves_out_classes_joined_on_the_way():
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 2**64, 60, np.uint64)
+    sets = [np.unique(np.r_[base, rng.integers(0, 2**64, 2, np.uint64)]) for _ in range(100)]
+    points, over = read_points([group_counts(s) for s in sets])
+    tree = CountTree(points, over, np.array([len(s) for s in sets]), np.arange(100), 75)
+    portions = tree.pairs()
+    i, j = next(portions)
+    assert len(i)
+    classes = np.arange(100) % 2  # the rest pairs even with odd entries only
+    tree.classify(classes)
+    rest = [pair for portion in portions for pair in zip(*portion)]
+    seen = {frozenset(p) for p in zip(i.tolist(), j.tolist())} | {frozenset(map(int, p)) for p in rest}
+    assert rest and all(classes[p] != classes[q] for p, q in rest)
+    assert seen >= {frozenset((p, q)) for p in range(0, 100, 2) for q in range(1, 100, 2)}
+
+
 def test_points_of_large_counts():
     same = np.sort(np.random.default_rng(1).integers(0, 2**52, 2000).astype(np.uint64))  # all in one group
     points, over = read_points([group_counts(same), group_counts(same[:1500])])
