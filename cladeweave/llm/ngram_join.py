@@ -422,8 +422,9 @@ def _united(members: DataFrame) -> DataFrame:
     nodes = members.groupBy("first", "node").agg(F.max("n").alias("n"))
     alike = nodes.groupBy("first").agg(F.count(F.lit(1)).alias("_all"), F.max("n").alias("_most"))
     alike = alike.filter(F.col("_all") <= 2 * F.col("_most")).select("first", F.col("first").alias("_block"))
+    of = members.select("token", "first").distinct().join(alike, "first").select("token", "_block")
     block = F.coalesce("_block", "token").alias("token")
-    return members.join(alike, "first", "left").select(block, "node", "component", "size").distinct()
+    return members.join(of, "token", "left").select(block, "node", "component", "size").distinct()
 
 
 def _tree_members(members: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
